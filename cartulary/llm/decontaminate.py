@@ -2,10 +2,10 @@
 
 Test items are cut into windows of consecutive words.  Corpus-wide counts of the
 test vocabulary tell the rarest terms of each window; the positional index stores
-the postings of those terms (document, position, and the words around the
-position).  Offset-adjusted postings of a window's rarest terms are intersected,
-and what is left is held against the whole phrase (or, for proximity, against the
-span that holds all of its words).
+the postings of those terms (document, position).  Offset-adjusted postings of a
+window's rarest terms are intersected, and the few places that are left are held
+against the whole phrase (or, for proximity, the rarest term's places against the
+spans around them that hold all words of the window).
 
 Defined cases: null or wordless texts have no words and no window; an item of fewer
 words than a window is one window; a null item_id marks words but is not listed;
@@ -20,35 +20,32 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cartulary.llm.shared import fresh, stash
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+GAP_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
     """Words of the text after lower-casing A-Z alone; lower() serves where every character is ASCII."""
-    low = F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
-    return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
+    low = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    return F.array_remove(F.split(low, GAP), "")
+
+
+def count_words(text: Column) -> Column:
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP_ANY_CASE), "")).cast("long")
 
 
 def _key(docs: DataFrame) -> DataFrame:
     """Rows with a null-free key: equal rows share it, so that a repeated row isn't counted twice."""
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("k"),
-        F.xxhash64("text").alias("h"),
-        "doc_id",
-        "text",
-    )
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k"), F.xxhash64("text").alias("h"), "doc_id", "text")
 
 
 def windows(items: DataFrame, size: int) -> DataFrame:
-    """Distinct windows (wid, gram array<string>, n) and the items that have them (item_id)."""
-    w = items.select("item_id", words(F.coalesce("text", F.lit(""))).alias("w")).where(F.size("w") > 0)
-    return w.select(
-        "item_id",
-        F.explode(
-            F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - size + 1, F.lit(1))), lambda i: F.slice("w", i, size))
-        ).alias("gram"),
-    ).select("item_id", "gram", F.size("gram").alias("n"), F.sha2(F.array_join("gram", " "), 256).alias("wid"))
+    """Distinct windows, written: wid, gram array<string>, n, items (the sorted ids as strings)."""
+    w = items.select(F.col("item_id").cast("string").alias("item"), words(F.coalesce("text", F.lit(""))).alias("w")).where(F.size("w") > 0)
+    starts = F.sequence(F.lit(1), F.greatest(F.size("w") - size + 1, F.lit(1)))
+    cut = w.select("item", F.explode(F.transform(starts, lambda i: F.slice("w", i, size))).alias("gram"))
+    grouped = cut.groupBy("gram").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return stash(grouped.select(F.monotonically_increasing_id().alias("wid"), "gram", F.size("gram").alias("n"), "items"), "windows")
 
 
 def term_counts(docs: DataFrame, grams: DataFrame) -> DataFrame:
@@ -59,85 +56,73 @@ def term_counts(docs: DataFrame, grams: DataFrame) -> DataFrame:
 
 
 def rarest_terms(grams: DataFrame, counts: DataFrame, terms: int) -> DataFrame:
-    """Per window its ``terms`` rarest words with their offsets: (wid, part, term, off, parts)."""
+    """Per window its ``terms`` rarest words with their offsets, written: wid, term, off, parts (how many there are)."""
     spread = grams.select("wid", "n", F.posexplode("gram").alias("off", "term")).join(counts, "term")
     order = Window.partitionBy("wid").orderBy("count", "term", "off")
-    return (
-        spread.select("*", F.row_number().over(order).alias("part"))
-        .where(F.col("part") <= terms)
-        .select("wid", "part", "term", "off", F.least("n", F.lit(terms)).alias("parts"))
-    )
+    ranked = spread.select("*", F.row_number().over(order).alias("part")).where(F.col("part") <= terms)
+    return stash(ranked.select("wid", "term", "off", F.least("n", F.lit(terms)).alias("parts")), "rarest")
 
 
-def index(docs: DataFrame, terms: DataFrame, reach: int) -> DataFrame:
-    """Postings (term, k, h, pos, first, around) of the given terms, written in the shared folder.
-
-    ``around`` holds the words from position ``first`` to ``reach`` words past ``pos``.
-    """
-    first = F.greatest(F.col("pos") - reach, F.lit(0))
-    return stash(
-        _key(docs)
-        .select("k", "h", words(F.col("text")).alias("w"))
-        .select("k", "h", "w", F.posexplode("w").alias("pos", "term"))
-        .join(terms, "term")
-        .select("term", "k", "h", "pos", first.alias("first"), F.slice("w", first + 1, F.col("pos") - first + reach + 1).alias("around")),
-        "postings",
-    )
+def index(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """The positional index of the given terms, written: term, k, h, pos."""
+    spread = _key(docs).select("k", "h", F.posexplode(words(F.col("text"))).alias("pos", "term"))
+    return stash(spread.join(terms, "term").select("term", "k", "h", "pos"), "postings")
 
 
-def matches(docs: DataFrame, items: DataFrame, size: int = 10, terms: int = 2, slop: int | None = None) -> DataFrame:
-    """Occurrences of item windows: (k, h, start, n, wid), n the words from start on.
+def matches(docs: DataFrame, grams: DataFrame, terms: int = 2, slop: int | None = None) -> DataFrame:
+    """Occurrences of the windows ``grams``, written: (k, h, start, n, wid), n the words from start on.
 
     ``slop`` None asks for exact phrases.  A number asks for proximity: all distinct
     words of the window, in any order, among ``n + slop`` consecutive words around its
     rarest word; ``start`` is where those words begin.
     """
-    grams = stash(windows(items, size).select("wid", "gram", "n").distinct(), "windows")
-    parts = stash(rarest_terms(grams, term_counts(docs, grams), terms if slop is None else 1), "rarest")
-    reach = size - 1 if slop is None else size - 1 + slop
-    postings = index(docs, stash(parts.select("term").distinct(), "terms"), reach)
-    near = postings.join(parts, "term").select("*", (F.col("pos") - F.col("off")).alias("start"))
+    parts = rarest_terms(grams, term_counts(docs, grams), terms if slop is None else 1)
+    postings = index(docs, stash(parts.select("term").distinct(), "terms"))
+    near = postings.join(parts, "term").select("k", "h", "wid", "parts", "pos", (F.col("pos") - F.col("off")).alias("start"))
     if slop is None:
-        both = near.where("start >= 0").groupBy("k", "h", "wid", "start").agg(
-            F.count_distinct("part").alias("met"),
-            F.max("parts").alias("parts"),
-            F.max(F.when(F.col("part") == 1, F.struct("first", "around"))).alias("c"),
-        )
-        found = both.where("met = parts").join(grams, "wid")
-        phrase = F.slice("c.around", F.col("start") - F.col("c.first") + 1, F.col("n"))
-        return found.where((F.col("start") >= F.col("c.first")) & (phrase == F.col("gram"))).select("k", "h", "start", "n", "wid")
-    span = F.col("n") + slop
-    held = near.where("part = 1").join(grams, "wid").select(
-        "k", "h", "wid", "first",
-        F.explode(
-            F.filter(
-                F.transform(F.sequence(F.lit(0), F.greatest(F.size("around") - 1, F.lit(0))), lambda i: F.struct(i.alias("i"), F.slice("around", i + 1, span).alias("s"))),
-                lambda x: F.size(F.array_except("gram", x["s"])) == 0,
+        met = near.where("start >= 0").groupBy("k", "h", "wid", "start").agg(F.count("*").alias("met"), F.max("parts").alias("parts"))
+        places = met.where("met = parts").withColumn("pos", F.col("start"))
+    else:
+        places = near
+    listed = places.join(grams.select("wid", "gram", "n"), "wid").groupBy("k", "h").agg(F.collect_list(F.struct("start", "pos", "n", "wid", "gram")).alias("places"))
+    texts = _key(docs).join(stash(listed, "places"), ["k", "h"])
+
+    def phrases(w: Column) -> Column:
+        return F.filter("places", lambda c: F.slice(w, c["start"] + 1, c["n"]) == c["gram"])
+
+    def spans(w: Column) -> Column:
+        def around(c: Column) -> Column:
+            first = F.greatest(c["pos"] - c["n"] - slop + 1, F.lit(0))
+            held = F.filter(
+                F.sequence(first, c["pos"]), lambda i: F.size(F.array_except(c["gram"], F.slice(w, i + 1, c["n"] + slop))) == 0
             )
-        ).alias("x"),
-    )
-    return held.select("k", "h", (F.col("first") + F.col("x.i")).alias("start"), F.size("x.s").alias("n"), "wid").distinct()
+            return F.transform(held, lambda i: F.struct(i.alias("start"), F.least(c["n"] + slop, F.size(w) - i).alias("n"), c["wid"].alias("wid")))
+
+        return F.flatten(F.transform("places", around))
+
+    # the one-element array binds the words, so that they are cut once a document
+    found = F.flatten(F.transform(F.array(words(F.col("text"))), phrases if slop is None else spans))
+    return stash(texts.select("k", "h", F.explode(found).alias("m")).select("k", "h", "m.start", "m.n", "m.wid").distinct(), "matches")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, terms: int = 2) -> DataFrame:
     """Per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, item_ids."""
-    found = stash(matches(docs, items, size, terms), "matches")
+    grams = windows(items, size)
+    found = matches(docs, grams, terms)
     before = Window.partitionBy("k", "h").orderBy("start", "n").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("n")
     covered = (
-        found.select("k", "h", "start", "n").distinct()
-        .select("k", "h", "start", end.alias("end"), F.max(end).over(before).alias("done"))
+        found.select("k", "h", "start", end.alias("end"), F.max(end).over(before).alias("done"))
         .groupBy("k", "h")
         .agg(F.sum(F.greatest(F.col("end") - F.greatest("start", F.coalesce("done", F.lit(0))), F.lit(0))).alias("n_hit"))
     )
-    owners = windows(items, size).select("wid", F.col("item_id").cast("string").alias("item_id")).distinct()
     listed = (
-        found.select("k", "h", "wid").distinct().join(owners, "wid")
-        .groupBy("k", "h").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
+        found.select("k", "h", "wid").distinct().join(grams.select("wid", F.explode("items").alias("item")), "wid")
+        .groupBy("k", "h").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
     )
-    hits = covered.join(listed, ["k", "h"], "left")
-    sized = _key(docs).select("k", "h", "doc_id", F.coalesce(F.regexp_count("text", F.lit(WORD_ANY_CASE)), F.lit(0)).cast("long").alias("n_words"))
+    hits = stash(covered.join(listed, ["k", "h"], "left"), "hits")
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
+    sized = _key(docs).select("k", "h", "doc_id", count_words(F.col("text")).alias("n_words"))
     return sized.join(hits, ["k", "h"], "left").select(
         "doc_id",
         "n_words",
@@ -152,6 +137,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, terms: int
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 10, terms: int = 2) -> DataFrame:
     """``docs`` with its own columns, without documents that hold a window of a test item."""
     key = fresh(docs, "k", "h")
-    bad = matches(docs, items, size, terms).select(F.col("k").alias(key[0]), F.col("h").alias(key[1])).distinct()
-    keyed = docs.select("*", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(key[0]), F.xxhash64("text").alias(key[1]))
+    bad = matches(docs, windows(items, size), terms).select(F.col("k").alias(key[0]), F.col("h").alias(key[1])).distinct()
+    keyed = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias(key[0]), F.xxhash64("text").alias(key[1]))
     return keyed.join(stash(bad, "contaminated"), key, "left_anti").drop(*key)
