@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cartulary.llm.shared import stash
 
-WORD = r"[^\x20\x09-\x0D]+"
+GAP = r"[\x20\x09-\x0D]+"
 SEED = 20_240_601
 
 
@@ -111,7 +111,7 @@ class Mix:
             docs.select(
                 "doc_id",
                 F.col("source").cast("string").alias("source"),
-                F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+                F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), GAP), "")).cast("long").alias("size"),
                 F.xxhash64(F.lit(seed), "doc_id").alias("r"),
                 F.xxhash64("text").alias("h"),
             ),
