@@ -110,12 +110,16 @@ def train(texts: list[str], labels: np.ndarray, langs: list[str | None], seed: i
         b = np.frombuffer((t or "").encode(), np.uint8)
         h = word_hashes(b, np.array([0, len(b)]))[0][:TRAIN_WORDS]
         words.append(h)
-        owner.append(np.full(len(h), i))
+        owner.append(np.full(len(h), i, np.int32))
     h, owner = np.concatenate(words), np.concatenate(owner)
-    pair = np.unique(np.stack([h, owner.astype(np.uint64)], 1), axis=0)
-    vocab, first = np.unique(pair[:, 0], return_index=True)
-    toxic_in = np.add.reduceat(y[pair[:, 1].astype(np.int64)], first)
-    seen_in = np.diff(np.append(first, len(pair)))
+    order = np.lexsort((owner, h))  # each word once a text, by word
+    once = h[order], owner[order]
+    new = np.concatenate(([True], (once[0][1:] != once[0][:-1]) | (once[1][1:] != once[1][:-1])))
+    once = once[0][new], once[1][new]
+    vocab, first = np.unique(once[0], return_index=True)
+    toxic_in = np.add.reduceat(y[once[1]], first)
+    seen_in = np.diff(np.append(first, len(once[0])))
+    del order, new, once
     common = seen_in >= 2
     vocab, toxic_in, seen_in = vocab[common], toxic_in[common], seen_in[common]
     order = np.argsort(seen_in, kind="stable")  # the most common word owns a bucket
