@@ -157,7 +157,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
             offsets, raw = utf8_column(b, "text")
             ids, rows = b.column("doc_id").to_pylist(), []
             for i, j in row_blocks(offsets, 1 << 19):
-                h, owner, first, end = word_hashes(raw, offsets[i : j + 1], digits=True)
+                h, owner, first, end, _ = word_hashes(raw, offsets[i : j + 1], digits=True)
                 if len(h) < GRAM:
                     continue
                 g = grams(h)

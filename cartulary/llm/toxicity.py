@@ -1,10 +1,11 @@
 """Toxicity by a convolutional text classifier trained here in numpy.
 
-Words (runs of letters, A-Z folded) are hashed into embedding buckets.  Filters of
-widths 1, 2 and 3 run over the whole text, each filter's largest response over all
-positions is kept (max pooling), and a logistic layer gives the score.  A bucket
-carries check bits of the word it was trained for; other words of the bucket and
-unseen words take the row of the unknown word.
+Words (runs of letters, A-Z folded) and their first ``LEAD`` bytes are hashed into
+embedding buckets; a word's embedding is the sum of the two.  Filters of widths 1, 2
+and 3 run over the whole text, each filter's largest response over all positions is
+kept (max pooling), and a logistic layer gives the score.  A bucket carries check bits
+of the word it was trained for; others of the bucket and unseen ones take the row of
+the unknown word.
 
 The score never sees language, source or id.  Besides the fixed score threshold of
 0.5, a threshold per language is calibrated on the training rows for ``rejected``.
@@ -20,7 +21,7 @@ share of toxic labels (0 without labels); other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,8 +32,8 @@ from cartulary.llm.shared import row_blocks, utf8_column
 from cartulary.llm.wordhash import BLOCK, word_hashes
 
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 18, 4, (1, 2, 3), 3
-TRAIN_ROWS, TRAIN_WORDS, FOLDS, HELD_OUT = 12_000, 4096, 5, 0
-UNKNOWN = BUCKETS
+LEAD = 4
+TRAIN_ROWS, TRAIN_WORDS, FOLDS, HELD_OUT = 6_000, 2048, 5, 0
 
 
 def fold(doc_id: Column) -> Column:
@@ -67,22 +68,25 @@ def check_bits(h: np.ndarray) -> np.ndarray:
 def _pooled(model: Model, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Largest response of each filter in each text.
 
-    ``rows`` holds the texts one after the other, each followed by two unknown words.
+    ``rows`` (2, n) holds the texts one after the other, each followed by two unknown words.
     """
     out = []
     for f, b in zip(model.filters, model.bias):
-        n = len(rows) - (len(f) - 1)
-        r = sum((model.embed @ f[j])[rows[j : j + n]] for j in range(len(f)))
+        n = rows.shape[1] - (len(f) - 1)
+        r = 0
+        for j in range(len(f)):
+            table = model.embed @ f[j]
+            r = r + table[rows[0, j : j + n]] + table[rows[1, j : j + n]]
         out.append(np.maximum(np.maximum.reduceat(r, starts, axis=0) + b, 0))
     return np.concatenate(out, axis=1)
 
 
-def _padded(h_rows: np.ndarray, texts: np.ndarray, count: int, unknown: int) -> tuple[np.ndarray, np.ndarray]:
+def _padded(rows: np.ndarray, texts: np.ndarray, count: int, unknown: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows of ``count`` texts with two unknown words after each, and where each text starts."""
     lengths = np.bincount(texts, minlength=count)
     starts = np.concatenate(([0], np.cumsum(lengths + 2)))[:-1]
-    flat = np.full(int(lengths.sum()) + 2 * count, unknown, np.int32)
-    flat[np.arange(len(h_rows)) + 2 * texts] = h_rows
+    flat = np.full((2, int(lengths.sum()) + 2 * count), unknown, np.int32)
+    flat[:, np.arange(len(texts)) + 2 * texts] = rows
     return flat, starts
 
 
@@ -90,62 +94,78 @@ def score_block(model: Model, raw: np.ndarray, offsets: np.ndarray) -> np.ndarra
     count = len(offsets) - 1
     if model.constant is not None:
         return np.full(count, model.constant)
-    h, text, _, _ = word_hashes(raw, offsets)
-    flat, starts = _padded(model.rows(h), text, count, len(model.embed) - 1)
+    h, text, _, _, first = word_hashes(raw, offsets, lead=LEAD)
+    flat, starts = _padded(np.stack([model.rows(h), model.rows(first)]), text, count, len(model.embed) - 1)
     z = _pooled(model, flat, starts) @ model.out[:-1] + model.out[-1]
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(texts: list[str], labels: np.ndarray, langs: list[str | None], seed: int = 7) -> Model:
+def _log_odds(hashes: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each hash in two texts or more: the hash, its texts, and how surely it tells toxic texts (log odds by their deviation)."""
+    once = [np.unique(h) for h in hashes]
+    label = np.repeat(y, [len(u) for u in once])
+    flat = np.concatenate(once)
+    order = np.argsort(flat)
+    flat, label = flat[order], label[order]
+    first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+    seen = np.diff(np.append(first, len(flat)))
+    toxic = np.add.reduceat(label, first)
+    common = seen >= 2
+    vocab, seen, toxic = flat[first][common], seen[common], toxic[common]
+    odds = np.log((toxic + 0.5) / (y.sum() + 1)) - np.log((seen - toxic + 0.5) / ((1 - y).sum() + 1))
+    return vocab, seen, odds / np.sqrt(1 / (toxic + 0.5) + 1 / (seen - toxic + 0.5))
+
+
+def train(texts: Iterable[str | None], labels: np.ndarray, langs: list[str | None], seed: int = 7) -> Model:
     """Fit the network: embeddings start from each word's log odds of toxic texts, then Adam on all weights."""
+    hashes: list[list[np.ndarray]] = [[], []]
+    for t in texts:
+        b = np.frombuffer((t or "").encode(), np.uint8)
+        h, _, _, _, first = word_hashes(b, np.array([0, len(b)]), lead=LEAD)
+        hashes[0].append(h[:TRAIN_WORDS].copy())
+        hashes[1].append(first[:TRAIN_WORDS].copy())
+    return train_hashes(hashes, labels, langs, seed)
+
+
+def train_hashes(hashes: list[list[np.ndarray]], labels: np.ndarray, langs: list[str | None], seed: int = 7) -> Model:
+    """``train`` from the hashes of each text's words and of their first bytes."""
     y = np.asarray(labels, np.float64)
     blank = Model(np.zeros(BUCKETS, np.uint32), np.zeros(BUCKETS, np.int32), np.zeros((1, DIM)), [], [], np.zeros(1))
-    if len(y) == 0 or y.min() == y.max():
+    blank.thresholds = {}
+    if len(y) == 0 or y.min() == y.max() or not any(map(len, hashes[0])):
         blank.constant = float(y.mean()) if len(y) else 0.0
-        blank.thresholds = {}
         return blank
     rng = np.random.default_rng(seed)
-    words, owner = [], []
-    for i, t in enumerate(texts):
-        b = np.frombuffer((t or "").encode(), np.uint8)
-        h = word_hashes(b, np.array([0, len(b)]))[0][:TRAIN_WORDS]
-        words.append(h)
-        owner.append(np.full(len(h), i, np.int32))
-    h, owner = np.concatenate(words), np.concatenate(owner)
-    order = np.lexsort((owner, h))  # each word once a text, by word
-    once = h[order], owner[order]
-    new = np.concatenate(([True], (once[0][1:] != once[0][:-1]) | (once[1][1:] != once[1][:-1])))
-    once = once[0][new], once[1][new]
-    vocab, first = np.unique(once[0], return_index=True)
-    toxic_in = np.add.reduceat(y[once[1]], first)
-    seen_in = np.diff(np.append(first, len(once[0])))
-    del order, new, once
-    common = seen_in >= 2
-    vocab, toxic_in, seen_in = vocab[common], toxic_in[common], seen_in[common]
-    order = np.argsort(seen_in, kind="stable")  # the most common word owns a bucket
+    found = [_log_odds(h, y) for h in hashes]
+    vocab, seen, sure = (np.concatenate([f[k] for f in found]) for k in range(3))
+    kind = np.repeat([0, 1], [len(f[0]) for f in found])
+    order = np.argsort(seen, kind="stable")  # the most common word owns a bucket
     bucket = (vocab[order] & np.uint64(BUCKETS - 1)).astype(np.int64)
     model = blank
     model.keys[bucket] = check_bits(vocab[order])
     model.row_of[bucket] = order
-    n1, n0 = y.sum(), (1 - y).sum()
-    odds = np.log((toxic_in + 0.5) / (n1 + 1)) - np.log((seen_in - toxic_in + 0.5) / (n0 + 1))
-    sure = odds / np.sqrt(1 / (toxic_in + 0.5) + 1 / (seen_in - toxic_in + 0.5))
     size = len(vocab) + 1
     model.embed = rng.normal(0, 0.01, (size, DIM))
-    model.embed[:-1, 0] = np.clip(sure, -3, 6) / 3
+    model.embed[np.arange(size - 1), kind] = np.clip(sure, -3, 6) / 3
     model.filters = [rng.normal(0, 0.05, (w, DIM, FILTERS)) for w in WIDTHS]
-    for f in model.filters:
-        f[:, 0, 0] += 1 / len(f)
+    for f in model.filters:  # the first filter starts on words, the second on first bytes
+        f[:, [0, 1], [0, 1]] += 1 / len(f)
     model.bias = [np.full(FILTERS, -0.3) for _ in WIDTHS]
     model.out = rng.normal(0, 0.05, len(WIDTHS) * FILTERS + 1)
-    model.out[0], model.out[-1] = 2.0, -1.5
+    model.out[:2], model.out[-1] = 1.0, -1.5
 
-    rows = model.rows(h)
+    lengths = np.array([len(h) for h in hashes[0]])
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), lengths)
+    rows = np.stack([np.concatenate([model.rows(h) for h in part]) for part in hashes])
+    for part in hashes:
+        part.clear()
     flat, starts = _padded(rows, owner, len(y), size - 1)
-    lengths = np.bincount(owner, minlength=len(y))
+    del rows, owner
     _fit(model, flat, starts, lengths, y, rng)
     p = np.concatenate([_scores(model, flat, starts, lengths, np.arange(i, min(i + 256, len(y)))) for i in range(0, len(y), 256)])
-    model.thresholds = {str(k): calibrated(p[np.array([x == k for x in langs])], y[np.array([x == k for x in langs])]) for k in sorted({x for x in langs if x is not None})}
+    for k in sorted({x for x in langs if x is not None}):
+        mine = np.array([x == k for x in langs])
+        model.thresholds[str(k)] = calibrated(p[mine], y[mine])
     return model
 
 
@@ -163,7 +183,7 @@ def calibrated(p: np.ndarray, y: np.ndarray) -> float:
 def _batch(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     take = lengths[pick] + 2
     at = np.concatenate(([0], np.cumsum(take)))[:-1]
-    return flat[np.arange(take.sum()) - np.repeat(at - starts[pick], take)], at
+    return flat[:, np.arange(take.sum()) - np.repeat(at - starts[pick], take)], at
 
 
 def _scores(model: Model, flat, starts, lengths, pick) -> np.ndarray:
@@ -182,13 +202,13 @@ def _fit(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray
         for i in range(0, len(y), batch):
             pick = order[i : i + batch]
             rows, at = _batch(flat, starts, lengths, pick)
-            ends = np.append(at[1:], len(rows))
+            ends = np.append(at[1:], rows.shape[1])
             grads = [np.zeros_like(p) if k else None for k, p in enumerate(params)]
             touched, feats, tops = [], [], []
             for f, b in zip(model.filters, model.bias):
                 w = len(f)
-                n = len(rows) - (w - 1)
-                r = sum((model.embed @ f[j])[rows[j : j + n]] if len(rows) > len(model.embed) else model.embed[rows[j : j + n]] @ f[j] for j in range(w))
+                n = rows.shape[1] - (w - 1)
+                r = sum(model.embed[k[j : j + n]] @ f[j] for k in rows for j in range(w))
                 top = np.stack([s + r[s : min(e, n)].argmax(0) for s, e in zip(at, ends)])
                 tops.append(top)
                 feats.append(np.maximum(np.take_along_axis(r, top, 0) + b, 0))
@@ -201,9 +221,10 @@ def _fit(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray
                 d = g[:, None] * model.out[part][None] * (feats[k] > 0)
                 grads[1 + len(WIDTHS) + k] += d.sum(0)
                 for j in range(len(f)):
-                    at_rows = rows[tops[k] + j]
-                    grads[1 + k][j] += np.einsum("tf,tfd->df", d, model.embed[at_rows])
-                    touched.append((at_rows.ravel(), (d[:, :, None] * f[j].T[None]).reshape(-1, DIM)))
+                    for kind in rows:
+                        at_rows = kind[tops[k] + j]
+                        grads[1 + k][j] += np.einsum("tf,tfd->df", d, model.embed[at_rows])
+                        touched.append((at_rows.ravel(), (d[:, :, None] * f[j].T[None]).reshape(-1, DIM)))
             idx = np.concatenate([a for a, _ in touched])
             u, inv = np.unique(idx, return_inverse=True)
             ge = np.zeros((len(u), DIM))
@@ -227,8 +248,17 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     order = F.crc32(F.concat(F.lit("sample "), F.col("doc_id").cast("string")).cast("binary"))
     chosen = mine.orderBy(order, "doc_id").limit(rows)
     sample = docs.select("doc_id", "text", "lang").join(chosen, "doc_id").select("doc_id", F.left("text", F.lit(TRAIN_WORDS * 8)).alias("text"), "lang", "toxic")
-    got = sorted((tuple(r) for r in sample.collect()), key=lambda r: (r[0], r[1] or ""))
-    return train([r[1] for r in got], np.array([r[3] for r in got]), [r[2] for r in got])
+    ids, toxic, langs, hashes = [], [], [], ([], [])
+    for doc_id, text, lang, label in sample.toLocalIterator():  # texts are hashed as they come, not held
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        h, _, _, _, first = word_hashes(raw, np.array([0, len(raw)]), lead=LEAD)
+        ids.append((doc_id, len(raw), int(h.sum()) if len(h) else 0))
+        toxic.append(label)
+        langs.append(lang)
+        for out, x in zip(hashes, (h, first)):
+            out.append(x[:TRAIN_WORDS].copy())
+    order = sorted(range(len(ids)), key=ids.__getitem__)  # the same order whatever the partitions
+    return train_hashes([[part[i] for i in order] for part in hashes], np.array([toxic[i] for i in order]), [langs[i] for i in order])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -34,8 +34,19 @@ def letter_table(digits: bool) -> np.ndarray:
     return t
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray, digits: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, rows, first bytes and ends of the runs of letters in rows ``offsets`` of ``raw``.
+def _mixed(h: np.ndarray, length: np.ndarray) -> np.ndarray:
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(29)
+    h += length.astype(np.uint64)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(32)
+    return h
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, digits: bool = False, lead: int = 0) -> tuple[np.ndarray, ...]:
+    """Hashes, rows, first bytes and ends of the runs of letters in rows ``offsets`` of ``raw``,
+    and hashes of the first ``lead`` bytes of each (none if 0).
 
     A run that spans two rows is cut at the border.  ``offsets`` are positions in ``raw``.
     """
@@ -44,7 +55,7 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, digits: bool = False) -> t
     n = len(low)
     if n == 0:
         none = np.zeros(0, np.int64)
-        return none.astype(np.uint64), none, none, none
+        return none.astype(np.uint64), none, none, none, none.astype(np.uint64)
     inside = low != 0
     cut = np.zeros(n + 1, bool)
     cut[offsets - base] = True
@@ -56,11 +67,7 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, digits: bool = False) -> t
     up, down = _powers(max(BLOCK, 1 << (n - 1).bit_length()) + 1)
     prefix = np.zeros(n + 1, np.uint64)
     np.cumsum(low.astype(np.uint64) * up[:n], out=prefix[1:])
-    h = (prefix[e] - prefix[s]) * down[s]
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(29)
-    h += (e - s).astype(np.uint64)
-    h *= np.uint64(0x94D049BB133111EB)
-    h ^= h >> np.uint64(32)
-    return h, np.searchsorted(offsets - base, s, side="right") - 1, s + base, e + base
+    h = _mixed((prefix[e] - prefix[s]) * down[s], e - s)
+    short = np.minimum(e, s + lead)
+    first_bytes = _mixed((prefix[short] - prefix[s]) * down[s] + np.uint64(lead), short - s) if lead else h[:0]
+    return h, np.searchsorted(offsets - base, s, side="right") - 1, s + base, e + base, first_bytes
