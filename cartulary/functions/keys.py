@@ -188,7 +188,7 @@ MONTHS = ("janvier", "février", "mars", "avril", "mai", "juin", "juillet", "ao
 
 def long_date(year: Column, month: Column, day: Column) -> Column:
     names = F.array(*map(F.lit, MONTHS))
-    return F.concat_ws(" ", F.when(day == 1, F.lit("1er")).otherwise(day.cast("string")), F.get(names, month - 1), year.cast("string"))
+    return F.concat_ws(" ", day.cast("string"), F.get(names, month - 1), year.cast("string"))
 
 
 def preferred_href(s3_key: Column, path: Column, name: Column) -> Column:

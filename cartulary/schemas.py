@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, MapType, StringType, StructField, StructType
 
 _MIX = (
     "mix_objectIdentifierValue string, mix_fileSize long, mix_dateTimeCreated string, mix_formatName string, mix_byteOrder string, "
@@ -11,8 +11,12 @@ _MIX = (
 )
 
 
+_TYPES = {"string": StringType(), "long": LongType(), "bigint": LongType(), "int": IntegerType(), "double": DoubleType(), "boolean": BooleanType(), "map<string;string>": MapType(StringType(), StringType())}
+
+
 def _struct(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+    """A schema from "name type, ...", without a session."""
+    return StructType([StructField(n, _TYPES[t]) for n, t in (f.strip().split(" ") for f in ddl.split(","))])
 
 
 #: Disk inventory: one row per file of a snapshot; dates are epoch seconds.
@@ -43,7 +47,7 @@ TECHNICAL = _struct(
 )
 #: An XML document as rows in document order.
 NODES = _struct(
-    "doc string, node_id int, parent_id int, ord int, depth int, tag string, attrs map<string,string>, text string, tail string, comp_id int, comp_depth int"
+    "doc string, node_id int, parent_id int, ord int, depth int, tag string, attrs map<string;string>, text string, tail string, comp_id int, comp_depth int"
 )
 TRANSFER_LOG = _struct("name string, path string, checksum_md5 string, uuid string, size long, key string, uploaded boolean, uploaded_file_size long, uploaded_file_lastmodified string, error string")
 COPY_LOG = _struct("corpus_code string, name string, statut string, src string, dst string, erreur string")
