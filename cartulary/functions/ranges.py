@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from cartulary.functions.keys import basename, dirname, splitext_extension, stem
@@ -12,12 +14,24 @@ def tokens(x: Column) -> Column:
     return F.regexp_extract_all(x, F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1))
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _differing(a: Column, b: Column) -> Column:
+    places = F.filter(F.sequence(F.lit(0), F.greatest(F.size(a) - 1, F.lit(0))), lambda i: ~F.get(a, i).eqNullSafe(F.get(b, i)))
+    return bind(places, lambda p: F.when((F.size(a) == F.size(b)) & (F.size(p) == 1), F.get(p, F.lit(0))))
+
+
 def varying_token(first: Column, last: Column) -> Column:
     """Index of the only token that differs, if it is a number on both sides; else null."""
-    a, b = tokens(first), tokens(last)
-    places = F.filter(F.sequence(F.lit(0), F.greatest(F.size(a) - 1, F.lit(0))), lambda i: ~F.get(a, i).eqNullSafe(F.get(b, i)))
-    i = F.get(places, F.lit(0))
-    return F.when((F.size(a) == F.size(b)) & (F.size(places) == 1) & F.get(a, i).rlike("^[0-9]+$") & F.get(b, i).rlike("^[0-9]+$"), i)
+
+    def index(t: Column) -> Column:
+        number = lambda i: F.get(t["a"], i).rlike("^[0-9]+$") & F.get(t["b"], i).rlike("^[0-9]+$")
+        return bind(_differing(t["a"], t["b"]), lambda i: F.when(number(i), i))
+
+    return bind(F.struct(tokens(first).alias("a"), tokens(last).alias("b")), index)
 
 
 def expand(first: Column, last: Column) -> Column:
@@ -26,19 +40,26 @@ def expand(first: Column, last: Column) -> Column:
     Directory and extension are the first one's.  Null where not exactly one number
     differs (equal bounds too), or the numbers descend.
     """
-    a, b = stem(basename(first)), stem(basename(last))
-    ta, i = tokens(a), varying_token(a, b)
-    x, y = F.get(ta, i).try_cast("long"), F.get(tokens(b), i).try_cast("long")
-    folder = dirname(first)
+    base, folder = basename(first), dirname(first)
     lead = F.when(F.contains(first, F.lit("/")), F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))).otherwise(F.lit(""))
-    head, foot = F.array_join(F.slice(ta, F.lit(1), i), ""), F.array_join(F.slice(ta, i + 2, F.greatest(F.size(ta), F.lit(1))), "")
+    parts = F.struct(tokens(stem(base)).alias("a"), tokens(stem(basename(last))).alias("b"), lead.alias("lead"), splitext_extension(base).alias("ext"))
+
+    def names(p: Column, i: Column) -> Column:
+        ends = F.struct(
+            F.concat(p["lead"], F.array_join(F.slice(p["a"], F.lit(1), i), "")).alias("head"),
+            F.concat(F.array_join(F.slice(p["a"], i + 2, F.greatest(F.size(p["a"]), F.lit(1))), ""), p["ext"]).alias("foot"),
+            F.length(F.get(p["a"], i)).alias("width"),
+            F.get(p["a"], i).try_cast("long").alias("x"),
+            F.get(p["b"], i).try_cast("long").alias("y"),
+        )
+
+        def name(e: Column, n: Column) -> Column:
+            digits = n.cast("string")
+            return F.concat(e["head"], F.lpad(digits, F.greatest(e["width"], F.length(digits)), F.lit("0")), e["foot"])
 
-    def name(n: Column) -> Column:
-        digits = n.cast("string")
-        number = F.lpad(digits, F.greatest(F.length(F.get(ta, i)), F.length(digits)), F.lit("0"))
-        return F.concat(lead, head, number, foot, splitext_extension(basename(first)))
+        return bind(ends, lambda e: F.when(e["y"] >= e["x"], F.transform(F.sequence(e["x"], F.greatest(e["x"], e["y"])), lambda n: name(e, n))))
 
-    return F.when(i.isNotNull() & (y >= x), F.transform(F.sequence(x, F.greatest(x, y)), name))
+    return bind(parts, lambda p: bind(_differing(p["a"], p["b"]), lambda i: F.when(i.isNotNull(), names(p, i))))
 
 
 def position(index: Column, size: Column) -> Column:
