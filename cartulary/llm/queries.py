@@ -105,5 +105,15 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND owner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 1000 AND owner <> page_id THEN owner END AS refers_to
 FROM o
+""",
+    "op10_substring_dedup": r"""
+WITH d AS (SELECT DISTINCT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, i, substr(h, CAST(2 * i + 1 AS BIGINT), 200) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM d WHERE n >= 100)),
+r AS (SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+g AS (SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i > p + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM (SELECT *, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM r)),
+c AS (SELECT doc_id, k, min(i) AS lo, max(i) + 100 AS hi FROM g GROUP BY ALL),
+e AS (SELECT *, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS done, lead(lo) OVER (PARTITION BY doc_id ORDER BY lo) IS NULL AS last FROM c),
+x AS (SELECT e.doc_id, count(*) AS n_spans, sum(hi - lo) AS n_removed, string_agg(substr(h, CAST(2 * done + 1 AS BIGINT), CAST(2 * (lo - done) AS BIGINT)) || CASE WHEN last THEN substr(h, CAST(2 * hi + 1 AS BIGINT)) ELSE '' END, '' ORDER BY lo) AS kept FROM e JOIN d USING (doc_id) GROUP BY e.doc_id)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN x USING (doc_id)
 """,
 }
