@@ -11,6 +11,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cartulary.operators.materialise import written
+
 
 @dataclass
 class Tier:
@@ -29,12 +31,17 @@ def null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, (F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)))
 
 
-def match_exact(left: DataFrame, right: DataFrame, keys: Sequence[str], carry: Sequence[str]) -> Tier:
+def match_exact(left: DataFrame, right: DataFrame, keys: Sequence[str], carry: Sequence[str], write: bool = False) -> Tier:
     """Full outer match on all keys, split by side.  ``right`` rows repeated whole count once;
-    ``ok`` has the left columns and ``carry`` from the right."""
+    ``ok`` has the left columns and ``carry`` from the right.
+
+    ``write`` writes the join once for all three parts, so that a cascade's later tiers
+    don't compute the earlier ones again."""
     r = _prefixed(right.distinct(), "r_").withColumn("r_here", F.lit(True))
     l = _prefixed(left, "l_").withColumn("l_here", F.lit(True))
     both = l.join(r, null_safe(["l_" + k for k in keys], ["r_" + k for k in keys]), "full_outer")
+    if write:
+        both = written(both, "tier")
     ok = both.where("l_here and r_here").select(*[F.col("l_" + c).alias(c) for c in left.columns if c not in carry], *[F.col("r_" + c).alias(c) for c in carry])
     return Tier(
         ok,
@@ -48,11 +55,11 @@ def mark_multiple(df: DataFrame, keys: Sequence[str], name: str = "multiple") ->
     return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1)
 
 
-def match_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], carry: Sequence[str]) -> Tier:
+def match_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], carry: Sequence[str], write: bool = False) -> Tier:
     """Match on keys that are unique on both sides; rows of repeated keys stay in the rest."""
     marked = [mark_multiple(d, keys) for d in (left, right)]
     single = [m.where(~F.col("multiple")).drop("multiple") for m in marked]
-    hit = match_exact(single[0], single[1], keys, carry)
+    hit = match_exact(single[0], single[1], keys, carry, write)
     rest = [m.where("multiple").drop("multiple") for m in marked]
     return Tier(hit.ok, hit.left.unionByName(rest[0]), hit.right.unionByName(rest[1]))
 

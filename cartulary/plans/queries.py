@@ -191,9 +191,9 @@ def snapshots(spark, sf):
 def _tiers(spark, sf):
     old, new = snapshots(spark, sf)
     l = new.withColumnRenamed("checksum", "new_checksum")
-    one = linkage.match_exact(l, old, ["name", "path", "size", "d1", "d2"], ["checksum", "uuid"])
-    two = linkage.match_unique(one.left, one.right, ["name", "path", "size"], ["checksum", "uuid"])
-    three = linkage.match_unique(two.left.withColumnRenamed("new_checksum", "checksum"), two.right, ["name", "checksum"], ["uuid"])
+    one = linkage.match_exact(l, old, ["name", "path", "size", "d1", "d2"], ["checksum", "uuid"], write=True)
+    two = linkage.match_unique(one.left, one.right, ["name", "path", "size"], ["checksum", "uuid"], write=True)
+    three = linkage.match_unique(two.left.withColumnRenamed("new_checksum", "checksum"), two.right, ["name", "checksum"], ["uuid"], write=True)
     return new, old, one, two, three
 
 

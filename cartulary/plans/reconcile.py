@@ -33,11 +33,11 @@ def cascade(old: DataFrame, new: DataFrame) -> Reconciliation:
     carry = ["checksum_md5", "uuid"]
     r = old.select(*EXACT, *carry)
     l = new.select(*EXACT, F.col("checksum_md5").alias("new_checksum"))
-    one = linkage.match_exact(l, r, EXACT, carry)
-    two = linkage.match_unique(one.left, one.right, RELAXED, carry)
+    one = linkage.match_exact(l, r, EXACT, carry, write=True)
+    two = linkage.match_unique(one.left, one.right, RELAXED, carry, write=True)
     summed = two.left.withColumnRenamed("new_checksum", "checksum_md5")
-    three = linkage.match_unique(summed, two.right, ["name", "checksum_md5"], ["uuid"])
-    four = linkage.match_unique(three.left, three.right, ["name", "path", "checksum_md5"], ["uuid"])
+    three = linkage.match_unique(summed, two.right, ["name", "checksum_md5"], ["uuid"], write=True)
+    four = linkage.match_unique(three.left, three.right, ["name", "path", "checksum_md5"], ["uuid"], write=True)
     columns = [*EXACT, "checksum_md5", "uuid"]
     matched = (
         one.ok.select(*columns, F.lit(1).alias("tier"))
