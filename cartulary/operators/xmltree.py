@@ -133,7 +133,7 @@ def nodes(docs: DataFrame, tolerant: bool = False) -> DataFrame:
 
 def sniff(files: DataFrame, root: str = "ead", size: int = 4096) -> DataFrame:
     """Files (path, content) named .xml whose first bytes hold the root element."""
-    head = F.decode(F.substring("content", 1, size), F.lit("ISO-8859-1"))
+    head = F.decode(F.substring("content", 1, size), "ISO-8859-1")
     return files.where(F.lower(K.splitext_extension(K.basename(F.col("path")))).eqNullSafe(".xml") & head.rlike(rf"<{root}[\s>]"))
 
 

@@ -80,10 +80,10 @@ def q_year_prefix(spark, sf):
     return linkage.new_files(o, "d", "d", 1996)[0].select("o_orderkey", "o_orderdate")
 
 
-@query("SELECT p_type, count(*) AS n FROM part WHERE contains(p_type, 'STEEL') OR contains(p_type, 'BRASS') OR starts_with(p_type, 'PROMO') GROUP BY p_type")
+@query("SELECT p_type, count(*) AS n FROM part WHERE contains(p_type, 'AND') OR contains(p_type, 'MED') OR starts_with(p_type, 'PROMO') GROUP BY p_type")
 def q_contains_any(spark, sf):
     t = F.col("p_type")
-    return table(spark, sf, "part").where(K.contains_any(t, ["STEEL", "BRASS"]) | F.coalesce(t.startswith("PROMO"), F.lit(False))).groupBy("p_type").agg(F.count("*").alias("n"))
+    return table(spark, sf, "part").where(K.contains_any(t, ["AND", "MED"]) | F.coalesce(t.startswith("PROMO"), F.lit(False))).groupBy("p_type").agg(F.count("*").alias("n"))
 
 
 @query("SELECT p_partkey, CAST(round_even(CAST(p_size AS DOUBLE) * 1000 / 12, 0) AS BIGINT) AS jpeg, CAST(round_even(CAST(p_size AS DOUBLE) * 1000 / 15, 0) AS BIGINT) AS jp2, round_even(p_size * 1234567.0 / 1048576, 2) AS mo FROM part")
@@ -659,3 +659,139 @@ def q_size_regression(spark, sf):
 
     l = table(spark, sf, "lineitem").select(F.col("l_extendedprice").alias("size"), F.col("l_quantity").alias("height"), F.col("l_tax").alias("width"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("target"), "l_orderkey", "l_linenumber", "l_partkey")
     return size_model(l, ["size", "height", "width"], "target", ["l_orderkey", "l_linenumber", "l_partkey"]).report
+
+
+# ---- more of the function and report surface ----
+
+
+@query(
+    "SELECT o_orderkey, 'BNR' || o_orderkey AS record, '/' || o_custkey AS path, coalesce(CASE WHEN o_orderkey % 3 = 0 THEN 's3/' || o_orderkey END, 'disk/' || o_custkey || '/' || o_orderkey) AS href, 'uuid=' || o_orderkey || '&checksum_md5=' || md5(CAST(o_orderkey AS VARCHAR)) AS tags, "
+    "o_orderkey % 100000000 BETWEEN 100 AND 5000 AS chosen, 'corpus_' || o_orderkey AS manifest FROM orders"
+)
+def q_key_functions(spark, sf):
+    k, s = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    path = F.concat(F.lit("disk\\"), F.col("o_custkey").cast("string"))
+    return table(spark, sf, "orders").select(
+        "o_orderkey", K.record_id(F.concat(F.lit("oai:x:"), s), "oai:x:", "BNR").alias("record"), K.without_prefix(K.forward_slashes(path), "disk").alias("path"),
+        K.preferred_href(F.when(k % 3 == 0, F.concat(F.lit("s3/"), s)), K.forward_slashes(path), s).alias("href"), K.transfer_tags(s, F.md5(s)).alias("tags"),
+        K.suffix_between(F.concat(F.lit("f_"), F.lpad(s, 8, "0")), 100, 5000).alias("chosen"), K.manifest_stem(F.concat(F.lit("/m/corpus_"), s, F.lit(".csv.gz"))).alias("manifest"),
+    )
+
+
+@query(
+    "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m, CAST(day(o_orderdate) AS INTEGER) AS d, "
+    "day(o_orderdate) || ' ' || ['janvier','février','mars','avril','mai','juin','juillet','août','septembre','octobre','novembre','décembre'][month(o_orderdate)] || ' ' || year(o_orderdate) AS said, "
+    "CAST(year(o_orderdate) AS VARCHAR) AS first, CASE WHEN o_orderkey % 2 = 0 THEN CAST(year(o_orderdate) + 5 AS VARCHAR) ELSE CAST(year(o_orderdate) AS VARCHAR) END AS last, CAST(o_custkey % 1000 AS INTEGER) AS n FROM orders"
+)
+def q_date_parts(spark, sf):
+    d = K.date_parts(F.concat(F.lit("PRA_"), F.date_format("o_orderdate", "yyyyMMdd")))
+    y = F.year("o_orderdate")
+    span = K.year_span(F.concat(F.lit("/r ("), y.cast("string"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("-"), (y + 5).cast("string"))).otherwise(""), F.lit(")/x")))
+    mark = F.concat(F.lit("D "), (F.col("o_custkey") % 1000).cast("string"), F.lit(" x 7"))
+    return table(spark, sf, "orders").select(
+        "o_orderkey", d["year"].alias("y"), d["month"].alias("m"), d["day"].alias("d"), K.long_date(d["year"], d["month"], d["day"]).alias("said"), span["first"].alias("first"), span["last"].alias("last"), K.first_number(mark).alias("n")
+    )
+
+
+@query(
+    "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'image' WHEN 1 THEN 'audio' WHEN 2 THEN 'video' END AS family, 'audio' AS role_family, 'X_' || p_partkey AS bare, "
+    "array_to_string(CASE WHEN p_partkey % 2 = 0 THEN ['A_X_' || p_partkey || '_TI', 'X_' || p_partkey || '_TI', 'A_X_' || p_partkey, 'X_' || p_partkey] ELSE ['A_X_' || p_partkey, 'X_' || p_partkey] END, '|') AS keys FROM part"
+)
+def q_media_keys(spark, sf):
+    k, s = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    ext = F.get(F.array(*map(F.lit, (".JPG", ".wav", ".mov", ".txt"))), (k % 4).cast("int"))
+    variant = F.when(k % 2 == 0, "_TI").otherwise("")
+    keys = K.exact_keys(F.concat(F.lit("d/A_X_"), s, variant, F.lit(".wav")), "A_X_", "X_")
+    return table(spark, sf, "part").select(
+        "p_partkey", K.media_family(ext).alias("family"), K.role_family(F.lit("access:audio:first")).alias("role_family"), K.strip_audio_variant(F.concat(F.lit("X_"), s, F.lit("_44kHz24B"))).alias("bare"), F.array_join(keys, "|").alias("keys")
+    )
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'MED/X/' || c_custkey ELSE split_part(c_mktsegment, 'L', 1) || '/' || c_mktsegment || '/' || c_name END AS dst FROM (SELECT * REPLACE (replace(c_mktsegment, 'L', '_L') AS c_mktsegment) FROM customer WHERE false) UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'MED/X/' || c_custkey ELSE split_part(replace(c_mktsegment, 'I', '_'), '_', 1) || '/' || replace(c_mktsegment, 'I', '_') || '/' || c_name END FROM customer")
+def q_destination_key(spark, sf):
+    from cartulary.sources.writers import destination_key
+
+    key = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("MED/X/"), F.col("c_custkey").cast("string"))).otherwise(F.lit(" "))
+    return table(spark, sf, "customer").select("c_custkey", destination_key(key, F.replace("c_mktsegment", F.lit("I"), F.lit("_")), F.col("c_name")).alias("dst"))
+
+
+@query("SELECT l_returnflag, l_linestatus, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS q, count(*) AS n FROM lineitem GROUP BY 1, 2 UNION ALL SELECT l_returnflag, 'Total', CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE), count(*) FROM lineitem GROUP BY 1 UNION ALL SELECT 'Total', 'Total', CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE), count(*) FROM lineitem")
+def q_pivot_two_values(spark, sf):
+    c = table(spark, sf, "lineitem").cube("l_returnflag", "l_linestatus").agg(F.sum(money("l_quantity")).cast("double").alias("q"), F.count("*").alias("n"), F.grouping_id().alias("g")).where("g in (0, 1, 3)")
+    return c.select(F.when(F.col("g") == 3, "Total").otherwise(F.col("l_returnflag")).alias("l_returnflag"), F.when(F.col("g") > 0, "Total").otherwise(F.col("l_linestatus")).alias("l_linestatus"), "q", "n")
+
+
+@query("SELECT p_brand, count(*) AS n, median(CAST(p_size * 2 AS DOUBLE)) AS pixels, quantile_cont(CAST(p_size AS DOUBLE), 0.25) AS q1, quantile_cont(CAST(p_size AS DOUBLE), 0.75) AS q3, count(*) FILTER (WHERE p_size < 20) AS small FROM part WHERE contains(p_type, 'A') GROUP BY 1")
+def q_media_mix(spark, sf):
+    p = table(spark, sf, "part").where(F.contains("p_type", F.lit("A")))
+    size = F.col("p_size").cast("double")
+    return p.groupBy("p_brand").agg(
+        F.count("*").alias("n"), F.percentile(size * 2, F.lit(0.5)).alias("pixels"), F.percentile(size, F.lit(0.25)).alias("q1"), F.percentile(size, F.lit(0.75)).alias("q3"), F.count_if(F.col("p_size") < 20).alias("small")
+    )
+
+
+@query("SELECT l_orderkey, array_to_string(list(DISTINCT l_returnflag ORDER BY l_returnflag), '|') AS flags, CAST(len(list_intersect(list(DISTINCT l_returnflag), ['A', 'R'])) AS INTEGER) AS shared FROM lineitem GROUP BY 1")
+def q_set_operations(spark, sf):
+    flags = F.array_sort(F.collect_set("l_returnflag"))
+    return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_join(flags, "|").alias("flags"), F.size(F.array_intersect(flags, F.array(F.lit("A"), F.lit("R")))).alias("shared"))
+
+
+@query("SELECT l_orderkey, first(l_partkey ORDER BY CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 ELSE 9 END, l_linenumber, l_partkey) AS best FROM lineitem GROUP BY 1")
+def q_custom_order(spark, sf):
+    l = table(spark, sf, "lineitem").withColumn("r", survive.ranked_choice("l_returnflag", ["R", "A"]))
+    return survive.first_per_key(l, ["l_orderkey"], ["r", "l_linenumber", "l_partkey"]).select("l_orderkey", F.col("l_partkey").alias("best"))
+
+
+@query("SELECT p_brand, p_type, min_by(m, r) AS methode FROM (SELECT *, CASE p_partkey % 4 WHEN 0 THEN 'exacte' WHEN 1 THEN 'normalisee' WHEN 2 THEN 'padding' ELSE 'aucun' END AS m, p_partkey % 4 AS r FROM part) GROUP BY 1, 2")
+def q_best_method(spark, sf):
+    names = ["exacte", "normalisee", "padding", "aucun"]
+    p = table(spark, sf, "part").withColumn("methode", F.get(F.array(*map(F.lit, names)), (F.col("p_partkey") % 4).cast("int")))
+    return matching.best_method(p, ["p_brand", "p_type"], names)
+
+
+def _finding_aids(spark, sf):
+    """Press finding aids of the orders, a corpus for each priority."""
+    from cartulary.plans import catalogue
+
+    o = table(spark, sf, "orders").where("o_orderkey % 20 = 0")
+    files = o.select(
+        F.concat(F.lit("PRA_"), F.left("o_orderpriority", F.lit(1))).alias("corpus_code"), F.concat(F.lit("PRA_"), F.date_format("o_orderdate", "yyyyMMdd")).alias("unitid"),
+        F.concat(F.lit("p_"), F.col("o_orderkey").cast("string"), F.lit(".tif")).alias("name"), F.lit("/p").alias("path"), F.lit(None).cast("string").alias("s3_key"),
+    )
+    made = catalogue.press_finding_aid(files, F.concat(F.lit("m0"), F.md5(F.col("key"))))
+    text = catalogue.whole_document(F.col("corpus_code"), F.col("corpus_code"), F.col("dsc"), F.concat(F.lit("m0"), F.col("corpus_code")), "Library")
+    return made.select(F.concat("corpus_code", F.lit(".xml")).alias("doc"), F.encode(text, "UTF-8").alias("content"))
+
+
+_ISSUES = "SELECT DISTINCT 'PRA_' || left(o_orderpriority, 1) || '.xml' AS doc, strftime(o_orderdate, '%Y%m%d') AS d FROM orders WHERE o_orderkey % 20 = 0"
+
+
+@query(f"WITH i AS ({_ISSUES}) SELECT doc, count(*) + count(DISTINCT left(d, 6)) + count(DISTINCT left(d, 4)) + 1 AS components, count(*) AS leaves, 4 AS deepest FROM i GROUP BY doc".replace("4 AS deepest", "3 AS deepest"))
+def q_generated_components(spark, sf):
+    from cartulary.operators import xmltree
+
+    c = xmltree.components(xmltree.nodes(_finding_aids(spark, sf)))
+    return c.groupBy("doc").agg(F.count("*").alias("components"), F.count_if(F.col("leaf")).alias("leaves"), F.max("comp_depth").alias("deepest"))
+
+
+@query("SELECT 'PRA_' || left(o_orderpriority, 1) || '.xml' AS doc, 'PRA_' || strftime(o_orderdate, '%Y%m%d') AS unitid, '/p/p_' || o_orderkey || '.tif' AS href, 'preservation:image' AS role, 'isole' AS position FROM orders WHERE o_orderkey % 20 = 0")
+def q_extracted_links(spark, sf):
+    from cartulary.operators import xmltree
+
+    links = xmltree.expanded_links(xmltree.nodes(_finding_aids(spark, sf)), "gen")
+    return links.select(F.col("ir").alias("doc"), "unitid", "href", "role", "position")
+
+
+@query("SELECT 'PRA_' || left(o_orderpriority, 1) || '.xml' AS doc, count(*) AS n_changes, CAST(NULL AS VARCHAR) AS error FROM (SELECT DISTINCT o_orderpriority, o_orderkey FROM orders WHERE o_orderkey % 20 = 0) GROUP BY 1")
+def q_batch_dryrun(spark, sf):
+    from cartulary.operators import xmledit
+
+    return xmledit.batch(_finding_aids(spark, sf), "rename_role", {"old": "preservation:image", "new": "preservation:tif"}).drop("content")
+
+
+@query(None)
+def q_rewrite_documents(spark, sf):
+    from cartulary.operators import xmledit
+
+    out = xmledit.rewrite_all(_finding_aids(spark, sf), xmledit.Rules("https://links.example/"))
+    return out.select("doc", F.length("content").alias("size"), F.size("new_ids").alias("new_ids"), "error")

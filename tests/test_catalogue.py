@@ -238,3 +238,8 @@ def test_technical_metadata(spark):
     <repInfo uri="f2"><format>JPEG</format><format>JPEG2</format></repInfo></jhove>"""
     got = {r.jhove_uri: r for r in xmltree.technical(xmltree.nodes(spark.createDataFrame([("j", bytearray(text))], "doc string, content binary"))).collect()}
     assert got["f1"].jhove_x_resolution == 300.0 and got["f1"].jhove_imageWidth == "100" and got["f2"].jhove_format == "JPEG2"
+
+
+def test_sniffing(spark):
+    rows = [("/a/x.xml", bytearray(FOO)), ("/a/y.xml", bytearray(b"<other/>")), ("/a/x.txt", bytearray(FOO)), ("/a/Z.XML", bytearray(b"<ead>"))]
+    assert {r.path for r in xmltree.sniff(spark.createDataFrame(rows, "path string, content binary")).collect()} == {"/a/x.xml", "/a/Z.XML"}
