@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cartulary.llm.shared import stash
+from cartulary.llm.shared import bounded_batches, stash
 
 #: A subtree is of the template when at least this many distinct pages, and this share of the host's, have it.
 LEAST_PAGES, LEAST_SHARE = 8, 0.5
@@ -275,6 +275,7 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def templates(pages: DataFrame, least: int = LEAST_PAGES, share: float = LEAST_SHARE) -> DataFrame:
     """(host, nodes): hashes of the subtrees that recur across the host's distinct pages."""
+    bounded_batches(pages)
     seen = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(_hashes, "host string, sig long, node long").distinct()
     counted = stash(seen.groupBy("host", "node").agg(F.count("*").alias("n")).where(F.col("node").isNull() | (F.col("n") >= least)), "subtrees")
     total = counted.where("node is null").select("host", F.col("n").alias("total"))

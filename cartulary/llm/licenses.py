@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cartulary.llm.shared import row_blocks, utf8_column
+from cartulary.llm.shared import bounded_batches, row_blocks, utf8_column
 from cartulary.llm.wordhash import word_hashes
 
 GRAM, WINDOW, BAND, COVERAGE = 5, 4, 8, 0.8
@@ -172,4 +172,5 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
             columns = list(zip(*rows)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "license", "coverage", "span_start", "span_end", "n_words"])
 
+    bounded_batches(docs)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, license string, coverage double, span_start long, span_end long, n_words long")

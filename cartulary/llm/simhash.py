@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartulary.llm.components import components
-from cartulary.llm.shared import fresh, stash
+from cartulary.llm.shared import bounded_batches, fresh, stash
 
 SEGMENTS = ((0, 22, 1), (22, 21, 1), (43, 21, 0))  # first bit, bits, radius
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -59,6 +59,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed 64-bit integer."""
+    bounded_batches(docs)
     return docs.select("doc_id", "text").mapInArrow(_fingerprints, "doc_id long, fp long")
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cartulary.llm.shared import stash, utf8_column
+from cartulary.llm.shared import bounded_batches, stash, utf8_column
 
 LENGTH, GRAM, CROWD = 100, 32, 2000
 SCAN, SORT = 1 << 20, 1 << 19
@@ -396,6 +396,7 @@ def _remaining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Per document row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
+    bounded_batches(docs)
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     mine = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))

@@ -24,6 +24,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from cartulary.llm.shared import bounded_batches
+
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHED_WORDS = 300_000
@@ -109,4 +111,5 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
                 [b.column("doc_id"), pa.array([c for c, _ in pairs], pa.int64()), pa.array([x for _, x in pairs], pa.float64())], ["doc_id", "n_tokens", "score"]
             )
 
+    bounded_batches(docs)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, score double")

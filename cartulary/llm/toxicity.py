@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cartulary.llm.shared import row_blocks, utf8_column
+from cartulary.llm.shared import bounded_batches, row_blocks, utf8_column
 from cartulary.llm.wordhash import BLOCK, word_hashes
 
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 18, 4, (1, 2, 3), 3
@@ -273,6 +273,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             p = [score_block(net, raw, offsets[i : j + 1]) for i, j in row_blocks(offsets, BLOCK // 4)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("lang"), pa.array(np.concatenate([*p, np.zeros(0)]))], ["doc_id", "lang", "score"])
 
+    bounded_batches(docs)
     scored = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang")).mapInArrow(run, "doc_id long, lang string, score double")
     cut = F.coalesce(*(F.when(F.col("lang") == k, F.lit(t)) for k, t in (model.thresholds or {}).items()), F.lit(0.5))
     return scored.select("doc_id", "lang", "score", (F.col("score") >= cut).alias("rejected"))
@@ -294,4 +295,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
             cut = np.array([cuts.get(x, 0.5) for x in b.column("lang").to_pylist()])
             yield b.filter(pa.array(p < cut)) if len(p) else b
 
+    bounded_batches(docs)
     return docs.select(*names).mapInArrow(run, docs.schema)

@@ -27,7 +27,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
-from cartulary.llm.shared import shared_dir, stash
+from cartulary.llm.shared import bounded_batches, shared_dir, stash
 
 LEAST_REVISIT = 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -157,6 +157,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         if done:
             yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in done]), pa.array([c for _, c in done], pa.int64())], ["path", "records"])
 
+    bounded_batches(pages)
     return stash(pages.select("page_id", "url", "html", "refers_to").mapInArrow(run, "path string, records long"), "archives")
 
 
