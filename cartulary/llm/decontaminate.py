@@ -56,11 +56,11 @@ def term_counts(docs: DataFrame, grams: DataFrame) -> DataFrame:
 
 
 def rarest_terms(grams: DataFrame, counts: DataFrame, terms: int) -> DataFrame:
-    """Per window its ``terms`` rarest words with their offsets, written: wid, term, off, parts (how many there are)."""
+    """Per window its ``terms`` (at most 63) rarest words with their offsets, written: wid, term, off, part (its number), parts (how many there are)."""
     spread = grams.select("wid", "n", F.posexplode("gram").alias("off", "term")).join(counts, "term")
     order = Window.partitionBy("wid").orderBy("count", "term", "off")
     ranked = spread.select("*", F.row_number().over(order).alias("part")).where(F.col("part") <= terms)
-    return stash(ranked.select("wid", "term", "off", F.least("n", F.lit(terms)).alias("parts")), "rarest")
+    return stash(ranked.select("wid", "term", "off", "part", F.least("n", F.lit(terms)).alias("parts")), "rarest")
 
 
 def index(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -78,10 +78,12 @@ def matches(docs: DataFrame, grams: DataFrame, terms: int = 2, slop: int | None
     """
     parts = rarest_terms(grams, term_counts(docs, grams), terms if slop is None else 1)
     postings = index(docs, stash(parts.select("term").distinct(), "terms"))
-    near = postings.join(parts, "term").select("k", "h", "wid", "parts", "pos", (F.col("pos") - F.col("off")).alias("start"))
+    near = postings.join(parts, "term").select("k", "h", "wid", "part", "parts", "pos", (F.col("pos") - F.col("off")).alias("start"))
     if slop is None:
-        met = near.where("start >= 0").groupBy("k", "h", "wid", "start").agg(F.count("*").alias("met"), F.max("parts").alias("parts"))
-        places = met.where("met = parts").withColumn("pos", F.col("start"))
+        # a bit per term, as the postings of a row that is repeated whole come more than once
+        term = F.expr("shiftleft(1L, part - 1)")
+        met = near.where("start >= 0").groupBy("k", "h", "wid", "start").agg(F.bit_or(term).alias("met"), F.max("parts").alias("parts"))
+        places = met.where("bit_count(met) = parts").withColumn("pos", F.col("start"))
     else:
         places = near
     listed = places.join(grams.select("wid", "gram", "n"), "wid").groupBy("k", "h").agg(F.collect_list(F.struct("start", "pos", "n", "wid", "gram")).alias("places"))

@@ -148,6 +148,16 @@ def test_decontamination_agrees_with_brute_force(docs, rows, items, empty):
     assert decontaminate.decontaminate(docs, items.limit(0)).where("contaminated").count() == 0
 
 
+def test_rows_repeated_whole_are_hit_alike(spark, rows):
+    passage = " ".join(rows[85][1].split()[25:50])
+    data = [(1, f"a {passage} b"), (1, f"a {passage} b"), (1, f"a {passage} b"), (2, passage), (2, "other words"), (None, passage), (None, passage)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    items = spark.createDataFrame([(9, passage), (9, passage)], "item_id long, text string")
+    found = decontaminate.decontaminate(docs, items).collect()
+    assert sorted((r.doc_id or -1, r.n_hit, r.n_items) for r in found) == [(-1, 25, 1)] * 2 + [(1, 25, 1)] * 3 + [(2, 0, 0), (2, 25, 1)]
+    assert [r.text for r in decontaminate.drop_contaminated(docs, items).collect()] == ["other words"]
+
+
 def test_proximity_finds_reordered_words(spark):
     docs = spark.createDataFrame([(1, "w1 w2 w3 filler w5 w4 w6 end"), (2, "w1 w2 w3"), (3, "w1 w2 w3 w4 w5 w6")], "doc_id long, text string")
     items = spark.createDataFrame([(9, "w1 w2 w3 w4 w5 w6")], "item_id long, text string")
