@@ -6,8 +6,9 @@ that recur on many pages of the host are deleted, and so are elements whose tag,
 class or id marks them as no part of the article.
 
 Defined cases: a null html gives an empty text; a null url is a host of its own; pages
-with equal html count once towards the recurrence; an empty table gives an empty
-result; other columns are ignored.
+with equal text (of what tags and names leave) count once towards the recurrence, so that
+a copied article is no template; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -202,8 +203,8 @@ def subtree_hash(node: Node, text: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{node.tag}|{words}|{text}") - (1 << 63)
 
 
-def subtree_hashes(page: str | None) -> set[int]:
-    """Hashes of the block elements that are left in the body."""
+def subtree_hashes(page: str | None) -> tuple[int, set[int]]:
+    """Hash of the text that is left in the body, and hashes of its block elements."""
     found: set[int] = set()
     tree = parse(page or "")
     _clean(tree)
@@ -216,7 +217,7 @@ def subtree_hashes(page: str | None) -> set[int]:
                 walk(x)
 
     walk(tree)
-    return found
+    return xxhash.xxh3_64_intdigest(_text(tree).encode("utf-8", "surrogatepass")) - (1 << 63), found
 
 
 def _delete(node: Node, template: frozenset[int]) -> None:
@@ -265,9 +266,8 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
         for h, page in zip(b.column("host").to_pylist(), b.column("html")):
-            text = page.as_py() or ""
-            sig = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
-            rows += [(h, sig, k) for k in subtree_hashes(text)]
+            sig, nodes = subtree_hashes(page.as_py())
+            rows += [(h, sig, k) for k in nodes]
             rows.append((h, sig, None))
         columns = list(zip(*rows)) or [[]] * 3
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64())], ["host", "sig", "node"])

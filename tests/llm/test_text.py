@@ -37,11 +37,13 @@ def test_templates_of_a_host_go(spark):
 
     rows = [(i, f"http://h.example/{i}", page(i)) for i in range(12)] + [(100 + i, "http://one.example/", page(3)) for i in range(12)]
     rows += [(200, None, None), (None, "http://h.example/x", ""), (201, "nonsense", page(1))]
+    rows += [(300 + i, "http://two.example/", f"<nav>menu {i}</nav>{page(4)}<footer>{i}</footer>") for i in range(12)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("x")).withColumn("nodes", F.lit(1))
     got = {r.page_id: r for r in html_text.extract(pages).collect()}
     assert len(got) == len(rows)
     assert got[4].text == "Text number 4 about 28" and got[4].n_chars == 22
     assert got[105].text == "Text number 3 about 21\n\nRead the terms"  # copies of one page count once
+    assert got[305].text == "Text number 4 about 28\n\nRead the terms"  # and so do copies in different menus
     assert got[200].text == "" and got[200].n_chars == 0 and got[None].text == ""
     assert html_text.extract(pages.limit(0)).count() == 0
 
