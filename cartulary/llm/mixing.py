@@ -4,8 +4,10 @@ The words of each source are packed into blocks: documents go to bins by a hash
 their id, are laid end to end in each bin, and every ``block`` words of a bin are
 one block (its last block is shorter).  Each output shard draws its source counts
 from a multinomial over what the sources still owe, so that the sum over shards
-meets the targets.  A source's slots, counted over all shards, run through a keyed
-pseudorandom permutation of its block indexes, and the blocks are joined by index.
+meets the targets.  The driver draws so for at most ``GROUPS`` groups of consecutive
+shards, and a task draws for the shards of its group.  A source's slots, counted over
+all shards, run through a keyed pseudorandom permutation of its block indexes, and the
+blocks are joined by index.
 
 Defined cases: a null text has size zero and takes nothing; a null source is a
 source of its own, last in order; sources without words have the target zero; a
@@ -26,6 +28,7 @@ from cartulary.llm.shared import stash
 
 GAP = r"[\x20\x09-\x0D]+"
 SEED = 20_240_601
+GROUPS = 4096
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], ceiling: float = 3.0) -> list[float]:
@@ -49,7 +52,7 @@ def cyclic_weights(n: int) -> list[float]:
     return [float(i % 3 + 1) for i in range(n)]
 
 
-def draw_shards(owed: np.ndarray, slots: int, seed: int = SEED) -> Iterator[np.ndarray]:
+def draw_shards(owed: np.ndarray, slots: int, *seed: int) -> Iterator[np.ndarray]:
     """Source counts of each shard of ``slots`` slots: multinomial by what is still owed, the last shard takes the rest."""
     left, k = owed.astype(np.int64).copy(), 0
     while left.sum() > 0:
@@ -57,7 +60,7 @@ def draw_shards(owed: np.ndarray, slots: int, seed: int = SEED) -> Iterator[np.n
         if total <= slots:
             got = left.copy()
         else:
-            rng, got, need = np.random.default_rng((seed, k)), np.zeros_like(left), slots
+            rng, got, need = np.random.default_rng((*seed, k)), np.zeros_like(left), slots
             while need:  # a source that owes less than it drew gives its slots back
                 room = left - got
                 got += np.minimum(rng.multinomial(need, room / room.sum()), room)
@@ -87,19 +90,24 @@ def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(src, shard, first, count, n): ``count`` slots of a shard from the source's slot ``first`` on, to one row per slot."""
-    for b in batches:
-        src, shard, first, count, n = (b.column(c).to_numpy(zero_copy_only=False) for c in ("src", "shard", "first", "count", "n"))
-        ends = np.cumsum(count)
-        for lo in range(0, int(ends[-1]) if len(ends) else 0, 1 << 16):
-            slot = np.arange(lo, min(lo + (1 << 16), int(ends[-1])))
-            row = np.searchsorted(ends, slot, side="right")
-            own = slot - (ends[row] - count[row])
-            j = first[row] + own
-            key = ((j // n[row]).astype(np.uint64) + src[row].astype(np.uint64) * np.uint64(1000) + np.uint64(17)) * np.uint64(0x2545F4914F6CDD1D)
-            columns = [src[row].astype(np.int32), shard[row], own, permuted(j % n[row], n[row], key)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["src", "shard", "slot", "block"])
+def _slots(shard: int, per_group: int, seed: int):
+    """From a row per group of shards (grp; src, first, count, n per source) to a row per slot; a source's slots of
+    the group follow its slot ``first``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                src, at, count, n = (np.array(row[c], np.int64) for c in ("src", "first", "count", "n"))
+                for k, got in enumerate(draw_shards(count, shard, seed, row["grp"])):
+                    i = np.repeat(np.arange(len(src)), got)
+                    own = np.arange(len(i)) - np.repeat(np.cumsum(got) - got, got)
+                    j = at[i] + own
+                    key = ((j // n[i]).astype(np.uint64) + src[i].astype(np.uint64) * np.uint64(1000) + np.uint64(17)) * np.uint64(0x2545F4914F6CDD1D)
+                    columns = [src[i].astype(np.int32), np.full(len(i), row["grp"] * per_group + k), own, permuted(j % n[i], n[i], key)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["src", "shard", "slot", "block"])
+                    at += got
+
+    return run
 
 
 class Mix:
@@ -134,13 +142,15 @@ class Mix:
         n = np.array([blocks.get(i, 0) for i in range(len(rows))], np.int64)
         size = np.array([r[2] for r in rows], np.float64)
         owed = np.minimum(np.rint(np.array(goals) * n / np.maximum(size, 1)), np.floor(ceiling) * n).astype(np.int64)
+        per_group = max(1, -(-int(owed.sum()) // (shard * GROUPS)))
         drawn, first = [], np.zeros(len(rows), np.int64)
-        for k, got in enumerate(draw_shards(owed, shard, seed)):
-            drawn += [(int(i), k, int(first[i]), int(got[i]), int(n[i])) for i in np.flatnonzero(got)]
+        for k, got in enumerate(draw_shards(owed, shard * per_group, seed)):
+            some = np.flatnonzero(got)
+            drawn.append((k, some.tolist(), first[some].tolist(), got[some].tolist(), n[some].tolist()))
             first += got
-        plan = spark.createDataFrame(drawn, "src int, shard long, first long, count long, n long")
+        plan = spark.createDataFrame(drawn, "grp long, src array<int>, first array<long>, count array<long>, n array<long>")
         tasks = max(1, min(len(drawn), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-        self.slots = plan.repartition(tasks).mapInArrow(_slots, "src int, shard long, slot long, block long")
+        self.slots = plan.repartition(tasks, "grp").mapInArrow(_slots(shard, per_group, seed), "src int, shard long, slot long, block long")
 
     def pieces(self) -> DataFrame:
         """(row columns, src, block, words): how many words of a document each block holds."""

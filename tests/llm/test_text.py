@@ -138,10 +138,23 @@ def test_permutation_is_a_bijection():
 
 def test_draws_pay_what_is_owed():
     owed = np.array([5, 0, 1000, 333])
-    shards = list(mixing.draw_shards(owed, 64))
+    shards = list(mixing.draw_shards(owed, 64, 1))
     assert (sum(shards) == owed).all() and all(s.sum() == 64 for s in shards[:-1])
 
 
+def test_groups_of_shards_make_whole_shards(docs, monkeypatch):
+    plain = mixing.Mix(docs, block=4, shard=16, bin_words=500)
+    monkeypatch.setattr(mixing, "GROUPS", 7)
+    grouped = mixing.Mix(docs, block=4, shard=16, bin_words=500)
+    counts = [[tuple(r) for r in m.slots.groupBy("src").count().orderBy("src").collect()] for m in (plain, grouped)]
+    assert counts[0] == counts[1]
+    shards = [r["count"] for r in grouped.slots.groupBy("shard").count().orderBy("shard").collect()]
+    assert set(shards[:-1]) == {16} and len(shards) == -(-sum(shards) // 16) > 100
+    assert [r.shard for r in grouped.slots.select("shard").distinct().orderBy("shard").collect()] == list(range(len(shards)))
+    times = [{r["n"] for r in m.slots.groupBy("src", "block").agg(F.count("*").alias("n")).collect()} for m in (plain, grouped)]
+    assert times[0] == times[1]
+
+
 def test_mix(docs, rows, empty):
     got = [tuple(r) for r in mixing.mix(docs, block=4, shard=16, bin_words=500).select("doc_id", "source", "size", "source_size", "target", "taken").collect()]
     again = [tuple(r) for r in mixing.mix(docs.repartition(2), block=4, shard=16, bin_words=500).select("doc_id", "source", "size", "source_size", "target", "taken").collect()]
