@@ -78,23 +78,43 @@ def verified(table: DataFrame) -> DataFrame:
     )
 
 
+def _crowded(groups: DataFrame, rows: int) -> DataFrame:
+    """(g, parts): how many parts a group of very many copies is split into for the join back.
+
+    A group counts as crowded above 1000 rows and above 1/4096 of all, so that there are
+    fewer than 4096 of them, however many rows there are.
+    """
+    least = max(1000, -(-rows // 4096))
+    return groups.where(F.col("group_size") > least).groupBy("g").agg(F.ceil(F.max("group_size") / least).cast("long").alias("parts"))
+
+
 def exact_dedup(
     docs: DataFrame, least: int = 512, most: int = 4096, digest: Callable[[Column], Column] = F.xxhash64
 ) -> DataFrame:
     """Return per row: rid, doc_id, n, keep_id, group_size, kept, text_sha256.
 
-    Of equal texts the row of most code points, then of least doc_id, is kept.
+    Of equal texts the row of most code points, then of least doc_id, is kept.  Groups of
+    several rows are pre-aggregated and joined back, crowded ones in parts.
     """
-    table = verified(stash(recipes(docs, least, most, digest), "recipes"))
+    read = stash(recipes(docs, least, most, digest), "recipes")
+    g = F.xxhash64("ids", "ords").alias("g")
+    table = verified(read).select("*", g)
     best = F.max(F.struct("n", F.bitwise_not("doc_id").alias("i"), F.bitwise_not("rid").alias("r"))).alias("best")
-    groups = table.groupBy("ids", "ords").agg(F.count("*").alias("group_size"), best)
-    return table.join(groups, ["ids", "ords"]).select(
+    groups = table.groupBy("g", "ids", "ords").agg(F.count("*").alias("group_size"), best).where("group_size > 1")
+    groups = stash(groups, "groups")
+    crowded = F.broadcast(stash(_crowded(groups, read.count()), "crowded"))  # fewer than 4096 rows
+    parts = F.coalesce("parts", F.lit(1))
+    spread = groups.join(crowded, "g", "left").select(
+        "g", "ids", "ords", "group_size", "best", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part")
+    )
+    placed = table.join(crowded, "g", "left").select(*table.columns, F.pmod(F.xxhash64("rid"), parts).alias("part"))
+    return placed.join(spread, ["g", "part", "ids", "ords"], "left").select(
         "rid",
         "doc_id",
         "n",
-        F.bitwise_not("best.i").alias("keep_id"),
-        "group_size",
-        (F.bitwise_not("best.r") == F.col("rid")).alias("kept"),
+        F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.bitwise_not("best.i")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
+        F.coalesce(F.bitwise_not("best.r") == F.col("rid"), F.lit(True)).alias("kept"),
         "text_sha256",
     )
 

@@ -40,6 +40,16 @@ def test_exact_dedup_agrees_with_brute_force_even_when_digests_clash(docs, rows,
     assert set(kept.values()) == {1}
 
 
+def test_exact_dedup_splits_crowded_groups(spark):
+    rows = [(i, "the same text" if i % 3 else f"text {i}") for i in range(6000)] + [(7000 + i, None) for i in range(1500)] + [(None, "the  same text")]
+    found = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows)
+    sizes = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in found}
+    assert sizes[4] == (None, 4001, False) and sizes[None] == (None, 4001, True)  # one more space
+    assert sizes[7000] == (7000, 1500, True) and sizes[7001] == (7000, 1500, False) and sizes[3] == (3, 1, True)
+    assert sum(r.kept for r in found) == 2002
+
+
 def test_exact_dedup_stage_keeps_columns_and_one_of_each(docs, rows, empty):
     out = exact_dedup.drop_exact_copies(docs)
     assert out.columns == docs.columns
