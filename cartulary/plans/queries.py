@@ -749,13 +749,15 @@ def q_best_method(spark, sf):
     return matching.best_method(p, ["p_brand", "p_type"], names)
 
 
-def _finding_aids(spark, sf):
-    """Press finding aids of the orders, a corpus for each priority."""
+def _finding_aids(orders, by_month=False):
+    """Press finding aids of the orders: a corpus for each priority, or for each priority and month, which bounds a document's days."""
     from cartulary.plans import catalogue
 
-    o = table(spark, sf, "orders").where("o_orderkey % 20 = 0")
-    files = o.select(
-        F.concat(F.lit("PRA_"), F.left("o_orderpriority", F.lit(1))).alias("corpus_code"), F.concat(F.lit("PRA_"), F.date_format("o_orderdate", "yyyyMMdd")).alias("unitid"),
+    code = F.concat(F.lit("PRA_"), F.left("o_orderpriority", F.lit(1)))
+    if by_month:
+        code = F.concat(code, F.lit("_"), F.date_format("o_orderdate", "yyyyMM"))
+    files = orders.select(
+        code.alias("corpus_code"), F.concat(F.lit("PRA_"), F.date_format("o_orderdate", "yyyyMMdd")).alias("unitid"),
         F.concat(F.lit("p_"), F.col("o_orderkey").cast("string"), F.lit(".tif")).alias("name"), F.lit("/p").alias("path"), F.lit(None).cast("string").alias("s3_key"),
     )
     made = catalogue.press_finding_aid(files, F.concat(F.lit("m0"), F.md5(F.col("key"))))
@@ -763,35 +765,74 @@ def _finding_aids(spark, sf):
     return made.select(F.concat("corpus_code", F.lit(".xml")).alias("doc"), F.encode(text, "UTF-8").alias("content"))
 
 
+def _twentieth(spark, sf):
+    """The orders that the SQL of ``q_generated_components``, ``q_extracted_links`` and ``q_batch_dryrun`` asks for;
+    the queries ending in ``_all`` and ``q_rewrite_documents`` take every order."""
+    return table(spark, sf, "orders").where("o_orderkey % 20 = 0")
+
+
 _ISSUES = "SELECT DISTINCT 'PRA_' || left(o_orderpriority, 1) || '.xml' AS doc, strftime(o_orderdate, '%Y%m%d') AS d FROM orders WHERE o_orderkey % 20 = 0"
 
 
 @query(f"WITH i AS ({_ISSUES}) SELECT doc, count(*) + count(DISTINCT left(d, 6)) + count(DISTINCT left(d, 4)) + 1 AS components, count(*) AS leaves, 4 AS deepest FROM i GROUP BY doc".replace("4 AS deepest", "3 AS deepest"))
 def q_generated_components(spark, sf):
+    return _generated_components(_finding_aids(_twentieth(spark, sf)))
+
+
+@query(
+    "SELECT 'PRA_' || left(o_orderpriority, 1) || '_' || strftime(o_orderdate, '%Y%m') || '.xml' AS doc, count(DISTINCT strftime(o_orderdate, '%Y%m%d')) + 3 AS components, "
+    "count(DISTINCT strftime(o_orderdate, '%Y%m%d')) AS leaves, 3 AS deepest FROM orders GROUP BY 1"
+)
+def q_generated_components_all(spark, sf):
+    return _generated_components(_finding_aids(table(spark, sf, "orders"), by_month=True))
+
+
+def _generated_components(docs):
     from cartulary.operators import xmltree
 
-    c = xmltree.components(xmltree.nodes(_finding_aids(spark, sf)))
+    c = xmltree.components(xmltree.nodes(docs))
     return c.groupBy("doc").agg(F.count("*").alias("components"), F.count_if(F.col("leaf")).alias("leaves"), F.max("comp_depth").alias("deepest"))
 
 
 @query("SELECT 'PRA_' || left(o_orderpriority, 1) || '.xml' AS doc, 'PRA_' || strftime(o_orderdate, '%Y%m%d') AS unitid, '/p/p_' || o_orderkey || '.tif' AS href, 'preservation:image' AS role, 'isole' AS position FROM orders WHERE o_orderkey % 20 = 0")
 def q_extracted_links(spark, sf):
+    return _extracted_links(_finding_aids(_twentieth(spark, sf)))
+
+
+@query(
+    "SELECT 'PRA_' || left(o_orderpriority, 1) || '_' || strftime(o_orderdate, '%Y%m') || '.xml' AS doc, 'PRA_' || strftime(o_orderdate, '%Y%m%d') AS unitid, "
+    "'/p/p_' || o_orderkey || '.tif' AS href, 'preservation:image' AS role, 'isole' AS position FROM orders"
+)
+def q_extracted_links_all(spark, sf):
+    return _extracted_links(_finding_aids(table(spark, sf, "orders"), by_month=True))
+
+
+def _extracted_links(docs):
     from cartulary.operators import xmltree
 
-    links = xmltree.expanded_links(xmltree.nodes(_finding_aids(spark, sf)), "gen")
+    links = xmltree.expanded_links(xmltree.nodes(docs), "gen")
     return links.select(F.col("ir").alias("doc"), "unitid", "href", "role", "position")
 
 
 @query("SELECT 'PRA_' || left(o_orderpriority, 1) || '.xml' AS doc, count(*) AS n_changes, CAST(NULL AS VARCHAR) AS error FROM (SELECT DISTINCT o_orderpriority, o_orderkey FROM orders WHERE o_orderkey % 20 = 0) GROUP BY 1")
 def q_batch_dryrun(spark, sf):
+    return _batch_dryrun(_finding_aids(_twentieth(spark, sf)))
+
+
+@query("SELECT 'PRA_' || left(o_orderpriority, 1) || '_' || strftime(o_orderdate, '%Y%m') || '.xml' AS doc, count(DISTINCT o_orderkey) AS n_changes, CAST(NULL AS VARCHAR) AS error FROM orders GROUP BY 1")
+def q_batch_dryrun_all(spark, sf):
+    return _batch_dryrun(_finding_aids(table(spark, sf, "orders"), by_month=True))
+
+
+def _batch_dryrun(docs):
     from cartulary.operators import xmledit
 
-    return xmledit.batch(_finding_aids(spark, sf), "rename_role", {"old": "preservation:image", "new": "preservation:tif"}).drop("content")
+    return xmledit.batch(docs, "rename_role", {"old": "preservation:image", "new": "preservation:tif"}).drop("content")
 
 
 @query(None)
 def q_rewrite_documents(spark, sf):
     from cartulary.operators import xmledit
 
-    out = xmledit.rewrite_all(_finding_aids(spark, sf), xmledit.Rules("https://links.example/"))
+    out = xmledit.rewrite_all(_finding_aids(table(spark, sf, "orders"), by_month=True), xmledit.Rules("https://links.example/"))
     return out.select("doc", F.length("content").alias("size"), F.size("new_ids").alias("new_ids"), "error")
