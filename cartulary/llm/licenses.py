@@ -2,9 +2,9 @@
 
 Templates are cut into five-word grams; winnowing keeps the least hash of every
 ``WINDOW`` grams, and an inverted index leads from a hash to (template, word place).
-Every gram of a document is looked up.  Hits of a template on neighbouring diagonals
-are one candidate, whose words are aligned to the template's within a band; a match
-is reported when at least ``COVERAGE`` of the template's words are matched in order.
+Every gram of a document is looked up.  Around the diagonal of each hit the words are
+aligned to the template's within a band; a match is reported when at least ``COVERAGE``
+of the template's words are matched in order and none of them is in another match of it.
 
 The templates are few and fixed, so they travel with the task.
 
@@ -15,6 +15,7 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -111,41 +112,69 @@ class Index:
                 seeds[k].append(p - place)
         found = []
         for k, diagonals in seeds.items():
-            diagonals.sort()
-            last = None
-            for d in diagonals:
-                if last is not None and d - last <= BAND:
-                    continue
-                last = d
-                if hit := aligned(self.words[k], h, d):
-                    found.append((k, *hit))
+            found += [(k, *hit) for hit in occurrences(self.words[k], h, sorted(set(diagonals)))]
         return sorted(found, key=lambda x: (x[2], x[0]))
 
 
+def occurrences(template: np.ndarray, text: np.ndarray, diagonals: list[int]) -> list[tuple[float, int, int]]:
+    """Matches that share no word, from the alignments around ``diagonals``: exact ones first, then those with the
+    fewest words missing or between.  An alignment that meets a reported match is sought again in the words left."""
+    n, m = len(template), len(text)
+    need = int(np.ceil(COVERAGE * n - 1e-9))
+    taken, found, queue = np.zeros(m, bool), [], []
+    for d in diagonals:
+        if 0 <= d <= m - n and not taken[d : d + n].any() and (text[d : d + n] == template).all():
+            taken[d : d + n] = True
+            found.append((1.0, d, d + n))
+
+    def seek(d: int) -> None:
+        lo, hi = max(d - BAND, 0), min(d + n + BAND, m)
+        edges = np.flatnonzero(np.diff(np.concatenate(([1], taken[lo:hi], [1]))))
+        for x, y in zip((edges[::2] + lo).tolist(), (edges[1::2] + lo).tolist()):
+            if y - x >= need and (hit := aligned(template, text[x:y], d - x)):
+                coverage, first, end = hit
+                matched = round(coverage * n)
+                heapq.heappush(queue, (n + end - first - 2 * matched, first + x, end + x, coverage, d))
+
+    for d in diagonals:
+        seek(d)
+    while queue:
+        _, first, end, coverage, d = heapq.heappop(queue)
+        if taken[first:end].any():
+            seek(d)
+        else:
+            taken[first:end] = True
+            found.append((coverage, first, end))
+            seek(d)
+    return found
+
+
 def aligned(template: np.ndarray, text: np.ndarray, diagonal: int) -> tuple[float, int, int] | None:
-    """Longest common subsequence of the template and the text around a diagonal, within the band:
-    (coverage, first matched word, end), or None below ``COVERAGE``."""
+    """Longest common subsequence of the template and the text around a diagonal, within the band, the one over the
+    fewest words of the text: (coverage, first matched word, end), or None below ``COVERAGE``."""
     n = len(template)
     if 0 <= diagonal and diagonal + n <= len(text) and (text[diagonal : diagonal + n] == template).all():
         return 1.0, diagonal, diagonal + n
     width = 2 * BAND + 1
-    # best[c]: (matched, -span) of the prefix ending at band column c, with where it began
-    best = [(0, 0, -1)] * (width + 1)
+    words, wanted = text.tolist(), template.tolist()
+    # best[c]: (matched, latest beginning) of the prefix ending at band column c; top: (matched, -span, end)
+    best, top = [(0, -1)] * (width + 1), (0, 0, 0)
     for i in range(n):
-        row = [(0, 0, -1)] * (width + 1)
-        left = (0, 0, -1)
+        row = [(0, -1)] * (width + 1)
+        left = (0, -1)
         for c in range(width):
             j = diagonal + i + c - BAND
             up = best[c + 1]  # same text place, template word skipped
-            cell = max(up, left, key=lambda x: x[0])
-            if 0 <= j < len(text) and text[j] == template[i]:
-                m, _, first = best[c]
-                if m + 1 > cell[0]:
-                    cell = (m + 1, j + 1, j if first < 0 else first)
+            cell = max(up, left)
+            if 0 <= j < len(words) and words[j] == wanted[i]:
+                m, first = best[c]
+                first = first if m else j
+                cell = max(cell, (m + 1, first))
+                top = max(top, (m + 1, first - j - 1, j + 1))
             row[c] = left = cell
         best = row
-    matched, end, first = max(best, key=lambda x: x[0])
-    return (matched / n, first, end) if matched >= COVERAGE * n else None
+    matched, span, end = top
+    return (matched / n, end + span, end) if matched >= COVERAGE * n else None
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:

@@ -224,6 +224,17 @@ def test_license_matches_and_spans(spark, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_each_copy_of_a_notice_is_found():
+    index = licenses.Index(licenses.TEMPLATES)
+    for k, (name, notice) in enumerate(licenses.TEMPLATES.items()):
+        if not name.endswith("-notice"):
+            continue
+        n = len(index.words[k])
+        for copies in (2, 3, 7):
+            got = [x for x in index.scan(licenses._words(f"Here. {notice * copies}")) if x[0] == k]
+            assert got == [(k, 1.0, 1 + i * n, 1 + (i + 1) * n) for i in range(copies)], name
+
+
 def test_alignment_agrees_with_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(200):
