@@ -1,14 +1,16 @@
-"""License scans: winnowed fingerprints of templates pick candidates, banded alignment decides.
+"""License scans: fingerprints of templates pick candidates, banded alignment decides.
 
-Templates are cut into five-word grams; winnowing keeps the least hash of every
-``WINDOW`` grams, and an inverted index leads from a hash to (template, word place).
-Every gram of a document is looked up.  Around the diagonal of each hit the words are
-aligned to the template's within a band; a match is reported when at least ``COVERAGE``
-of the template's words are matched in order and none of them is in another match of it.
+A fingerprint is a single word: longer grams, and winnowing them, lose notices whose
+changed words hit every gram.  An inverted index leads from a word to the templates
+that have it, and every word of a document is looked up.  A diagonal is a candidate if
+its band covers as many of a template's words as a match needs, so no match is lost.
+Around it the words are aligned to the template's within the band; a match is reported
+when at least ``COVERAGE`` of the template's words are matched in order and none of
+them is in another match of it.
 
 The templates are few and fixed, so they travel with the task.
 
-Defined cases: null and wordless texts have no matches; a template that occurs several
+Defined cases: null and wordless texts and those of fewer than ``LEAST_WORDS`` words have no matches; a template that occurs several
 times in a text is reported each time; rows repeated whole are reported each; an empty
 table gives an empty result; other columns are ignored.
 """
@@ -16,7 +18,6 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import heapq
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from cartulary.llm.shared import bounded_batches, row_blocks, utf8_column
 from cartulary.llm.wordhash import word_hashes
 
-GRAM, WINDOW, BAND, COVERAGE = 5, 4, 8, 0.8
+LEAST_WORDS, BAND, COVERAGE = 5, 8, 0.8
 
 # Public license notices.
 TEMPLATES = {
@@ -65,62 +66,71 @@ def _words(text: str) -> np.ndarray:
     return word_hashes(raw, np.array([0, len(raw)]), digits=True)[0]
 
 
-def grams(h: np.ndarray) -> np.ndarray:
-    """Hash of the ``GRAM`` words from each place on."""
-    if len(h) < GRAM:
-        return np.zeros(0, np.uint64)
-    out = h[: len(h) - GRAM + 1].copy()
-    for j in range(1, GRAM):
-        out *= np.uint64(0x9E3779B97F4A7C15)
-        out ^= h[j : len(h) - GRAM + 1 + j]
-    return out ^ (out >> np.uint64(31))
-
-
-def winnowed(g: np.ndarray) -> np.ndarray:
-    """Places of the least gram (the last among equals) of every ``WINDOW`` consecutive grams."""
-    n = max(len(g) - WINDOW + 1, 1) if len(g) else 0
-    picked = []
-    for i in range(n):
-        part = g[i : i + WINDOW]
-        picked.append(i + len(part) - 1 - int(np.argmin(part[::-1])))
-    return np.unique(np.array(picked, np.int64))
-
-
 class Index:
-    """Inverted index of the winnowed fingerprints of templates."""
+    """Inverted index from a word to the templates that have it, and how often."""
 
     def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
         self.words = [_words(t) for t in templates.values()]
-        where = defaultdict(list)
+        self.need = [least_matched(len(w)) for w in self.words]
+        self.hashes = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.words]))
+        # often[k][x]: how often template k has word x of ``hashes``; the last column is for all other words
+        self.often = np.zeros((len(self.words), len(self.hashes) + 1), np.int64)
+        for often, w in zip(self.often, self.words):
+            np.add.at(often, np.searchsorted(self.hashes, w), 1)
+
+    def look_up(self, h: np.ndarray) -> np.ndarray:
+        """Place of each word in ``hashes``, their number for words of no template."""
+        at = np.searchsorted(self.hashes, h)
+        known = at < len(self.hashes)
+        known[known] = self.hashes[at[known]] == h[known]
+        return np.where(known, at, len(self.hashes))
+
+    def candidates(self, at: np.ndarray, owner: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """Per template the rows with enough of its words, repeated or not, within the words that one band covers."""
+        out = []
         for k, w in enumerate(self.words):
-            g = grams(w)
-            for place in winnowed(g).tolist():
-                where[int(g[place])].append((k, place))
-        self.where = dict(where)
-        self.hashes = np.array(sorted(self.where), np.uint64)
+            mine = (self.often[k] > 0)[at]
+            count = np.concatenate(([0], np.cumsum(mine)))
+            last = np.flatnonzero(mine)
+            enough = count[last + 1] - count[np.maximum(last + 1 - len(w) - 2 * BAND, 0)] >= self.need[k]
+            out.append((k, np.unique(owner[last[enough]])))
+        return out
+
+    def diagonals(self, k: int, at: np.ndarray) -> list[int]:
+        """Diagonals whose band covers enough words of the template, none counted oftener than the template has it."""
+        n, m = len(self.words[k]), len(at)
+        d = np.arange(self.need[k] - n - BAND, m + BAND - self.need[k] + 1)
+        lo, hi = np.clip(d - BAND, 0, m), np.clip(d + n + BAND, 0, m)
+        total = np.zeros(len(d), np.int64)
+        for x in np.flatnonzero(self.often[k]).tolist():
+            places = np.flatnonzero(at == x)
+            if len(places):
+                total += np.minimum(np.searchsorted(places, hi) - np.searchsorted(places, lo), self.often[k][x])
+        return d[total >= self.need[k]].tolist()
 
     def scan(self, h: np.ndarray) -> list[tuple[int, float, int, int]]:
         """Matches (template, coverage, first word, end) in the words of one text."""
-        g = grams(h)
-        if not len(g) or not len(self.hashes):
+        if len(h) < LEAST_WORDS:
             return []
-        at = np.minimum(np.searchsorted(self.hashes, g), len(self.hashes) - 1)
-        seeds = defaultdict(list)
-        for p in np.flatnonzero(self.hashes[at] == g).tolist():
-            for k, place in self.where[int(g[p])]:
-                seeds[k].append(p - place)
+        at = self.look_up(h)
         found = []
-        for k, diagonals in seeds.items():
-            found += [(k, *hit) for hit in occurrences(self.words[k], h, sorted(set(diagonals)))]
+        for k, rows in self.candidates(at, np.zeros(len(h), np.int64)):
+            if len(rows):
+                found += [(k, *hit) for hit in occurrences(self.words[k], h, self.diagonals(k, at))]
         return sorted(found, key=lambda x: (x[2], x[0]))
 
 
+def least_matched(n: int) -> int:
+    """The fewest words of ``n`` that are ``COVERAGE``."""
+    return next(x for x in range(n + 1) if x >= COVERAGE * n)
+
+
 def occurrences(template: np.ndarray, text: np.ndarray, diagonals: list[int]) -> list[tuple[float, int, int]]:
     """Matches that share no word, from the alignments around ``diagonals``: exact ones first, then those with the
     fewest words missing or between.  An alignment that meets a reported match is sought again in the words left."""
     n, m = len(template), len(text)
-    need = int(np.ceil(COVERAGE * n - 1e-9))
+    need, mine = least_matched(n), np.isin(text, template)
     taken, found, queue = np.zeros(m, bool), [], []
     for d in diagonals:
         if 0 <= d <= m - n and not taken[d : d + n].any() and (text[d : d + n] == template).all():
@@ -131,7 +141,7 @@ def occurrences(template: np.ndarray, text: np.ndarray, diagonals: list[int]) ->
         lo, hi = max(d - BAND, 0), min(d + n + BAND, m)
         edges = np.flatnonzero(np.diff(np.concatenate(([1], taken[lo:hi], [1]))))
         for x, y in zip((edges[::2] + lo).tolist(), (edges[1::2] + lo).tolist()):
-            if y - x >= need and (hit := aligned(template, text[x:y], d - x)):
+            if mine[x:y].sum() >= need and (hit := aligned(template, text[x:y], d - x)):
                 coverage, first, end = hit
                 matched = round(coverage * n)
                 heapq.heappush(queue, (n + end - first - 2 * matched, first + x, end + x, coverage, d))
@@ -187,12 +197,11 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
             ids, rows = b.column("doc_id").to_pylist(), []
             for i, j in row_blocks(offsets, 1 << 19):
                 h, owner, first, end, _ = word_hashes(raw, offsets[i : j + 1], digits=True)
-                if len(h) < GRAM:
+                if not len(h):
                     continue
-                g = grams(h)
-                at = np.minimum(np.searchsorted(index.hashes, g), len(index.hashes) - 1)
                 cuts = np.searchsorted(owner, np.arange(j - i + 1))
-                for r in np.unique(owner[np.flatnonzero(index.hashes[at] == g)]).tolist():
+                some = np.unique(np.concatenate([r for _, r in index.candidates(index.look_up(h), owner)]))
+                for r in some.tolist():
                     lo, hi = cuts[r], cuts[r + 1]
                     for k, coverage, x, y in index.scan(h[lo:hi]):
                         span = int(first[lo + x] - offsets[i + r]), int(end[lo + y - 1] - offsets[i + r])

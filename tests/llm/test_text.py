@@ -235,6 +235,29 @@ def test_each_copy_of_a_notice_is_found():
             assert got == [(k, 1.0, 1 + i * n, 1 + (i + 1) * n) for i in range(copies)], name
 
 
+def test_scan_agrees_with_aligning_every_place():
+    rng, index = random.Random(5), licenses.Index(licenses.TEMPLATES)
+    for text, name in (
+        ("Licensed under the Apache Licence, Version 2.0", "apache-2.0-notice"), ("Licensed under CC BY-NC 3.0", "cc-by-nc-4.0-notice"),
+        ("This work is licensed under the ABC General Public License, version 3.", "gpl-3.0-notice"), *((" ".join(w if i != x else "other" for i, w in enumerate("Released under the MIT License".split())), "mit-notice") for x in range(5)),
+    ):
+        assert [index.names[x[0]] for x in index.scan(licenses._words(text))] == [name], text
+    common = "the of under license and work in".split()
+    for _ in range(150):
+        words = rng.choices(common, k=rng.randint(0, 15))
+        for notice in rng.choices([t for t in licenses.TEMPLATES.values() if len(t) < 200], k=rng.randint(1, 3)):
+            for w in notice.split():
+                words += rng.choices([[w], ["other"], [], [w, "more"]], [9, 1, 1, 1])[0]
+            words += rng.choices(common, k=rng.choice([0, 0, 9]))
+        h = licenses._words(" ".join(words))
+        if len(h) >= licenses.LEAST_WORDS:
+            every = [(k, *hit) for k, t in enumerate(index.words) for hit in licenses.occurrences(t, h, range(-len(t) - 8, len(h) + 9))]
+            assert index.scan(h) == sorted(every, key=lambda x: (x[2], x[0])), words
+    mine = [i for i, x in enumerate(index.names) if x == "mit-notice"][0]
+    hurt = "Released under the MIT License. Released under the MIT licence. Released under the MIT License."
+    assert [x[1:] for x in index.scan(licenses._words(hurt)) if x[0] == mine] == [(1.0, 0, 5), (0.8, 5, 9), (1.0, 10, 15)]
+
+
 def test_alignment_agrees_with_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(200):
