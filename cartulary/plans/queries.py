@@ -640,7 +640,7 @@ def q_role_rename_dryrun(spark, sf):
 @query("SELECT conv_id, count(*) - count(DISTINCT (role, trim(left(text, 20)))) AS removed FROM conversations GROUP BY 1")
 def q_term_dedupe(spark, sf):
     c = table(spark, sf, "conversations")
-    w = Window.partitionBy("conv_id", "role", F.trim(F.left("text", F.lit(20)))).orderBy("turn")
+    w = Window.partitionBy("conv_id", "role", F.trim("text")).orderBy("turn")
     again = c.select("conv_id", (F.row_number().over(w) > 1).cast("long").alias("again"))
     return again.groupBy("conv_id").agg(F.sum("again").alias("removed"))
 

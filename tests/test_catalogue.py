@@ -247,6 +247,13 @@ def test_finding_aids_take_every_order(spark, tmp_path):
     assert {r.doc for r in out} == docs and all(r.error is None for r in out)
 
 
+def test_terms_are_compared_whole(spark, tmp_path):
+    stock = "Thank you for asking about "
+    turns = [(1, 0, "user", stock + "rivers"), (1, 1, "user", stock + "lakes"), (1, 2, "user", f" {stock}rivers "), (1, 3, "bot", stock + "rivers"), (2, 0, "user", stock), (2, 1, "user", None), (2, 2, "user", None)]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    assert {r.conv_id: r.removed for r in Q.q_term_dedupe(spark, str(tmp_path)).collect()} == {1: 1, 2: 1}
+
+
 def test_technical_metadata(spark):
     text = b"""<jhove><repInfo uri="f1"><format>TIFF</format><size>12</size><mix:x xmlns:mix="m"><mix:imageWidth>100</mix:imageWidth><mix:xSamplingFrequency><mix:numerator>600</mix:numerator><mix:denominator>2</mix:denominator></mix:xSamplingFrequency></mix:x></repInfo>
     <repInfo uri="f2"><format>JPEG</format><format>JPEG2</format></repInfo></jhove>"""
