@@ -11,7 +11,8 @@ The score never sees language, source or id.  Besides the fixed score threshold
 0.5, a threshold per language is calibrated on the training rows for ``rejected``.
 
 The training sample is bounded by ``TRAIN_ROWS`` labelled rows, those of least
-crc32 of their id, and ``TRAIN_WORDS`` words of each (all words are scored).
+crc32 of their id.  All words of a text train, as all are scored; the driver holds
+the hashes of these texts.
 
 Defined cases: null and wordless texts are scored as a text of unknown words;
 documents without a label are scored alike; a document with several labels counts
@@ -33,7 +34,7 @@ from cartulary.llm.wordhash import BLOCK, word_hashes
 
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 18, 4, (1, 2, 3), 3
 LEAD = 4
-TRAIN_ROWS, TRAIN_WORDS, FOLDS, HELD_OUT = 6_000, 2048, 5, 0
+TRAIN_ROWS, FOLDS, HELD_OUT = 6_000, 5, 0
 
 
 def fold(doc_id: Column) -> Column:
@@ -122,8 +123,8 @@ def train(texts: Iterable[str | None], labels: np.ndarray, langs: list[str | Non
     for t in texts:
         b = np.frombuffer((t or "").encode(), np.uint8)
         h, _, _, _, first = word_hashes(b, np.array([0, len(b)]), lead=LEAD)
-        hashes[0].append(h[:TRAIN_WORDS].copy())
-        hashes[1].append(first[:TRAIN_WORDS].copy())
+        hashes[0].append(h)
+        hashes[1].append(first)
     return train_hashes(hashes, labels, langs, seed)
 
 
@@ -247,7 +248,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     mine = labels.where(F.col("toxic").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.crc32(F.concat(F.lit("sample "), F.col("doc_id").cast("string")).cast("binary"))
     chosen = mine.orderBy(order, "doc_id").limit(rows)
-    sample = docs.select("doc_id", "text", "lang").join(chosen, "doc_id").select("doc_id", F.left("text", F.lit(TRAIN_WORDS * 8)).alias("text"), "lang", "toxic")
+    sample = docs.select("doc_id", "text", "lang").join(chosen, "doc_id").select("doc_id", "text", "lang", "toxic")
     ids, toxic, langs, hashes = [], [], [], ([], [])
     for doc_id, text, lang, label in sample.toLocalIterator():  # texts are hashed as they come, not held
         raw = np.frombuffer((text or "").encode(), np.uint8)
@@ -256,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         toxic.append(label)
         langs.append(lang)
         for out, x in zip(hashes, (h, first)):
-            out.append(x[:TRAIN_WORDS].copy())
+            out.append(x)
     order = sorted(range(len(ids)), key=ids.__getitem__)  # the same order whatever the partitions
     return train_hashes([[part[i] for i in order] for part in hashes], np.array([toxic[i] for i in order]), [langs[i] for i in order])
 

@@ -78,6 +78,19 @@ def test_classifier_learns_and_holds_out(spark, rows):
     assert all(again[r.doc_id] == r.score for r in got)  # held-out labels change nothing
 
 
+def test_whole_texts_train(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(7, 10))) for _ in range(300)]
+    rows = []
+    for i in range(180):  # the insult of a toxic text comes last, after 2200 words and over 16384 characters
+        w = rng.choices(words, k=40 if i % 3 == 1 else 2200)
+        rows.append((i, " ".join([*w, "blockhead"] if i % 3 == 0 else w), "en", int(i % 3 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    model = toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic"))
+    got = toxicity.score(docs, model).withColumn("held_out", toxicity.fold(F.col("doc_id")) == 0).where("held_out").collect()
+    assert len(got) > 20 and all((r.score >= 0.5) == (r.doc_id % 3 == 0) for r in got)
+
+
 def test_classifier_edge_cases(docs, empty, spark):
     labels = spark.createDataFrame([(0, 1), (1, 0), (1, None), (None, 1), (999, 1)], "doc_id long, toxic int")
     for d in (docs, empty):
