@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cartulary.llm.components import components
 from cartulary.llm.shared import bounded_batches, fresh, stash
@@ -134,10 +135,23 @@ def near_duplicates(docs: DataFrame, hot: int = 2000) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, hot: int = 2000) -> DataFrame:
-    """``docs`` with its own columns, without those whose component has a smaller doc_id.
-
-    Rows without a doc_id can't be told apart and stay.
+    """``docs`` with its own columns, one row of each component: that of the least doc_id (null last), then of the
+    least fingerprint; of rows that agree in both, any one.
     """
-    (name,) = fresh(docs, "id")
-    gone = near_duplicates(docs, hot).where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
-    return docs.withColumn(name, F.col("doc_id").cast("long")).join(stash(gone, "near-copies"), name, "left_anti").drop(name)
+    fp, rid = fresh(docs, "fp", "rid")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            text = b.column("text")
+            prints = np.fromiter((fingerprint(t.as_py()) for t in text), np.uint64, len(text))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(prints.view(np.int64))], [*b.schema.names, fp])
+
+    bounded_batches(docs)
+    rows = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(fp, LongType())]))
+    rows = stash(rows.withColumn(rid, F.monotonically_increasing_id()), "prints")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.col(fp), F.col(rid).alias("rid"))
+    nodes = stash(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(order).alias("first")), "nodes")
+    roots = components(links(nodes.select("fp"), hot), "a", "b")
+    placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("first").alias("first"))
+    kept = stash(placed.select(F.col("first.rid").alias(rid)), "kept")
+    return rows.join(kept, rid, "left_semi").select(*docs.columns)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -120,6 +121,19 @@ def test_simhash_stage(docs, empty):
     assert simhash.keep_one(empty).count() == 0 and simhash.near_duplicates(empty).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(8)
+    a, b, c = (" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(200)) for _ in range(3))
+    near = lambda t, n: " ".join([*t.split()[:-1], f"x{n}"])
+    assert all(0 < (simhash.fingerprint(t) ^ simhash.fingerprint(near(t, n))).bit_count() <= simhash.DISTANCE for t in (a, b, c) for n in (1, 2))
+    rows = [(1, a), (2, near(a, 1)), (2, b), (3, c), (3, near(c, 1)), (3, c), (None, near(b, 1)), (None, near(b, 2))]
+    alone = " ".join("".join(rng.choices("ijklmnop", k=5)) for _ in range(200))
+    rows += [(None, alone), (None, near(alone, 2)), (None, alone)]
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    assert len(kept) == 4 and {(1, a), (2, b)} <= set(kept)
+    assert sorted(d for d, _ in kept if d) == [1, 2, 3] and [t for d, t in kept if d is None][0] in (alone, near(alone, 2))
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "x long, y long"), "x", "y").collect()}
