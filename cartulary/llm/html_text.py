@@ -240,19 +240,32 @@ def _find(node: Node, test) -> Iterator[Node]:
                 yield from _find(x, test)
 
 
+def _is_main(node: Node) -> bool:
+    return node.tag == "main" or "main" == node.names()[1]
+
+
+def _articles(node: Node, inside: bool = False) -> Iterator[Node]:
+    """Outermost article elements, and headings beside them in the main that encloses them, in order."""
+    for x in node.parts:
+        if not isinstance(x, str):
+            if x.tag == "article" or (inside and x.tag in HEADING):
+                yield x
+            else:
+                yield from _articles(x, inside or (_is_main(x) and any(_text(y) for y in _find(x, lambda y: y.tag == "article"))))
+
+
 def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
-    """The article's text: the article elements at least half as long as the longest, else main, else the body."""
+    """The article's text: all article elements with the headings of their main, else main, else the body."""
     if not page:
         return ""
     tree = parse(page)
     _clean(tree)
     if template:
         _delete(tree, template)
-    articles = [t for x in _find(tree, lambda x: x.tag == "article") if (t := _text(x))]
-    if articles:
-        most = max(map(len, articles))
-        return "\n\n".join(t for t in articles if 2 * len(t) >= most)
-    for test in (lambda x: x.tag == "main" or "main" == x.names()[1], lambda x: x.tag == "body"):
+    articles = [(x.tag, t) for x in _articles(tree) if (t := _text(x))]
+    if any(tag == "article" for tag, _ in articles):
+        return "\n\n".join(t for _, t in articles)
+    for test in (_is_main, lambda x: x.tag == "body"):
         if found := [t for x in _find(tree, test) if (t := _text(x))]:
             return "\n\n".join(found)
     return _text(tree)

@@ -48,6 +48,13 @@ def test_templates_of_a_host_go(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def test_all_articles_and_the_headings_beside_them_stay():
+    page = "<body><h1>Site</h1><main><h1>Title</h1><p>beside</p><article><p>A long first part of the story.</p></article><div><h2>Next</h2></div><article><p>End.</p></article></main></body>"
+    assert html_text.main_text(page).split("\n\n") == ["Title", "A long first part of the story.", "Next", "End."]
+    assert html_text.main_text("<body><main><h1>Other</h1></main><article>Story</article></body>") == "Story"
+    assert html_text.main_text("<body><main><h1>Title</h1><p>x</p><article> </article></main></body>").split() == ["Title", "x"]
+
+
 # ---- toxicity ----
 
 
