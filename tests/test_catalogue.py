@@ -249,7 +249,7 @@ def test_finding_aids_take_every_order(spark, tmp_path):
 
 def test_terms_are_compared_whole(spark, tmp_path):
     stock = "Thank you for asking about "
-    turns = [(1, 0, "user", stock + "rivers"), (1, 1, "user", stock + "lakes"), (1, 2, "user", f" {stock}rivers "), (1, 3, "bot", stock + "rivers"), (2, 0, "user", stock), (2, 1, "user", None), (2, 2, "user", None)]
+    turns = [(1, 0, "user", stock + "rivers"), (1, 1, "user", stock + "lakes"), (1, 2, "user", f"{stock}rivers "), (1, 3, "bot", stock + "rivers"), (2, 0, "user", stock), (2, 1, "user", None), (2, 2, "user", None)]
     spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     assert {r.conv_id: r.removed for r in Q.q_term_dedupe(spark, str(tmp_path)).collect()} == {1: 1, 2: 1}
 
