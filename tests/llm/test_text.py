@@ -48,11 +48,83 @@ def test_templates_of_a_host_go(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
-def test_all_articles_and_the_headings_beside_them_stay():
-    page = "<body><h1>Site</h1><main><h1>Title</h1><p>beside</p><article><p>A long first part of the story.</p></article><div><h2>Next</h2></div><article><p>End.</p></article></main></body>"
-    assert html_text.main_text(page).split("\n\n") == ["Title", "A long first part of the story.", "Next", "End."]
-    assert html_text.main_text("<body><main><h1>Other</h1></main><article>Story</article></body>") == "Story"
+def test_main_around_articles_stays():
+    page = "<body><h1>Site</h1><main><h1>Title</h1><p>beside</p><article><p>A long first part of the story.</p></article><div><h2>Next</h2></div><article><p>End.</p></article>outro</main></body>"
+    assert html_text.main_text(page).split("\n\n") == ["Title", "beside", "A long first part of the story.", "Next", "End.", "outro"]
+    assert html_text.main_text("<body><main><h1>Other</h1></main><article>Story</article><article>2</article></body>") == "Story\n\n2"
     assert html_text.main_text("<body><main><h1>Title</h1><p>x</p><article> </article></main></body>").split() == ["Title", "x"]
+    assert html_text.main_text('<div role="main"><header><h1>T</h1></header><article>x</article></div><article class="comment">no</article>') == "T\n\nx"
+
+
+def test_what_an_article_excludes_and_keeps():
+    inside = lambda x: html_text.main_text(f"<article><p>a</p>{x}<p>z</p></article>").split("\n\n")[1:-1]
+    for gone in (
+        '<div class="ad">x</div>', '<div class="ad-container">x</div>', '<p class="ad">x</p>', '<section id="article-comments">x</section>', '<div class="related-posts">x</div>', '<nav>x</nav>', "<aside>x</aside>",
+        "<footer>x</footer>", "<form><p>x</p></form>", '<div hidden>x</div>', '<div role="alert">x</div>', '<div class="cookie-notice">x</div>', "<script>x</script>", '<ul class="social-share-buttons"><li>x</li></ul>', "<!-- x -->", "</3>",
+    ):
+        assert inside(gone) == [], gone
+    for kept in (
+        '<div class="related-work">x</div>', '<section id="notice-period">x</section>', '<p class="notice">x</p>', '<table class="widget"><tr><td>x</td></tr></table>', '<header><p class="lead">x</p><span>by me</span></header>',
+        '<div class="header">x</div>', "<math><mi>x</mi><annotation>tex</annotation></math>", '<div class="has-sidebar">x</div>',
+    ):
+        assert inside(kept) == ["x"], kept
+    assert inside('<a href="x>y') == ["y"] and html_text.main_text('<a href="x>link') == "link" and html_text.main_text("<a title=it's>don't</a>") == "don't"
+    assert html_text.main_text('<p title="a > b">x</p><p title=\'"\'>y') == "x\n\ny"
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "x", "<b>" * 100_000 + "</i>" * 100_000 + "x", "<article>" * 20_000 + "x", "<i><div>" + "<b>" * 30_000 + "</i>" * 30_000 + "x", "<span><div>" * 30_000 + "x"])
+def test_deep_nesting_is_read(page):
+    assert html_text.main_text(page) == "x"
+    assert len(html_text.page_hashes(page)[1]) == (0 if page.startswith("<b>") else len(set(html_text.subtree_hashes(html_text.parse(page)).values())))
+
+
+def test_each_deep_page_goes_through_spark(spark):
+    deep = "<div>" * 50_000 + "x"
+    got = html_text.extract(spark.createDataFrame([(1, "http://a/", deep), (2, "http://a/", "<p>y")], "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {1: "x", 2: "y"}
+
+
+def _site(rng, host, n, layouts):
+    """Pages of known articles in layouts of known furniture that nothing marks: (url, html, expected text)."""
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 8)))
+    line = lambda k: " ".join(word() for _ in range(k))
+    furniture = [([line(6) for _ in range(3)], line(9), line(12)) for _ in range(layouts)]
+    stock = line(30)  # a paragraph that many articles quote
+    for i in range(n):
+        links, before, after = furniture[i % layouts]
+        blocks = [line(rng.randint(1, 40)) for _ in range(rng.randint(1, 6))] + [stock] * (i % 4 == 0)
+        tags = [rng.choice(["p", "h2", "div", "blockquote", "li", "pre"]) for _ in blocks]
+        spaced = [b.replace(" ", rng.choice([" ", "\n  ", "&nbsp;", " <b></b>", "&#32;"]), 2) for b in blocks]
+        story = "".join(f"<{t}>{x}</{t}>" if rng.random() < 0.8 or t not in ("p", "li") else f"<{t}>{x}" for t, x in zip(tags, spaced))
+        body = f"<div><ul>{''.join(f'<li><a href=#>{x}</a></li>' for x in links)}</ul></div><div><p>{before}</p></div>{'<article>' if i % 2 else '<div>'}{story}{'</article>' if i % 2 else '</div>'}<div><span>{after}</span></div>"
+        yield f"http://{host}/{i}", f"<html><head><title>{line(3)}</title></head><body>{body}</body></html>", "\n\n".join(blocks)
+
+
+@pytest.mark.parametrize("layouts", [1, 2, 3])
+def test_planted_articles_of_sites_come_back(spark, layouts):
+    rng = random.Random(layouts)
+    rows = [(i, *x) for i, x in enumerate([*_site(rng, "a.example", 90, layouts), *_site(rng, "b.example", 60, layouts)])]
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    assert got == {r[0]: r[3] for r in rows}
+
+
+def test_templates_agree_with_counting_by_hand(spark):
+    rng = random.Random(9)
+    rows = [(i, *x) for i, x in enumerate([*_site(rng, "a.example", 40, 2), *_site(rng, "b.example", 7, 1), *_site(rng, "c.example", 30, 4)])]
+    rows += [(900 + i, *rows[0][1:]) for i in range(20)]
+    by_host: dict[str, dict[int, set[int]]] = {}
+    for _, url, page, _ in rows:
+        sig, nodes = html_text.page_hashes(page)
+        by_host.setdefault(url.split("/")[2], {})[sig] = nodes
+    expected = {}
+    for h, found in by_host.items():
+        for k in set().union(*found.values()):
+            n = sum(k in x for x in found.values())
+            if n >= 8 and n >= (0.5 if k & 1 else 0.25) * len(found):
+                expected.setdefault(h, []).append(k)
+    got = {r.host: r.nodes for r in html_text.templates(spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")).collect()}
+    assert got == {h: sorted(x) for h, x in expected.items()} and set(got) == {"a.example", "c.example"}
 
 
 # ---- toxicity ----
