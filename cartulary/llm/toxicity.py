@@ -8,7 +8,9 @@ of the word it was trained for; others of the bucket and unseen ones take the ro
 the unknown word.
 
 The score never sees language, source or id.  Besides the fixed score threshold of
-0.5, a threshold per language is calibrated on the training rows for ``rejected``.
+0.5, a threshold per language is calibrated for ``rejected``, on training rows that are
+kept back from a first fit.  These also tell when to stop; the model is then fitted
+anew on all training rows.  Weights decay towards where they started.
 
 The training sample is bounded by ``TRAIN_ROWS`` labelled rows, those of least
 crc32 of their id.  All words of a text train, as all are scored; the driver holds
@@ -35,6 +37,8 @@ from cartulary.llm.wordhash import BLOCK, word_hashes
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 18, 4, (1, 2, 3), 3
 LEAD = 4
 TRAIN_ROWS, FOLDS, HELD_OUT = 6_000, 5, 0
+RATE, DECAY = 0.01, 0.3
+BACK, LEAST_BACK, PATIENCE = 6, 20, 4
 
 
 def fold(doc_id: Column) -> Column:
@@ -55,6 +59,9 @@ class Model:
     constant: float | None = None
     thresholds: dict[str, float] | None = None
 
+    def like(self) -> Model:
+        return Model(self.keys.copy(), self.row_of.copy(), self.embed, [], [], self.out, thresholds={})
+
     def rows(self, h: np.ndarray) -> np.ndarray:
         """Embedding rows of word hashes."""
         bucket = (h & np.uint64(BUCKETS - 1)).astype(np.int64)
@@ -117,32 +124,43 @@ def _log_odds(hashes: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.n
     return vocab, seen, odds / np.sqrt(1 / (toxic + 0.5) + 1 / (seen - toxic + 0.5))
 
 
-def train(texts: Iterable[str | None], labels: np.ndarray, langs: list[str | None], seed: int = 7) -> Model:
-    """Fit the network: embeddings start from each word's log odds of toxic texts, then Adam on all weights."""
-    hashes: list[list[np.ndarray]] = [[], []]
-    for t in texts:
-        b = np.frombuffer((t or "").encode(), np.uint8)
-        h, _, _, _, first = word_hashes(b, np.array([0, len(b)]), lead=LEAD)
-        hashes[0].append(h)
-        hashes[1].append(first)
-    return train_hashes(hashes, labels, langs, seed)
-
-
 def train_hashes(hashes: list[list[np.ndarray]], labels: np.ndarray, langs: list[str | None], seed: int = 7) -> Model:
-    """``train`` from the hashes of each text's words and of their first bytes."""
+    """Fit the network on the hashes of each text's words and of their first bytes.
+
+    Embeddings start from each word's log odds of toxic texts, then Adam moves all weights.  A first fit without the
+    rows kept back tells how many epochs to take, and calibrates the thresholds; a second one takes all rows."""
     y = np.asarray(labels, np.float64)
+    back = calibration_rows(hashes[0], y)
     blank = Model(np.zeros(BUCKETS, np.uint32), np.zeros(BUCKETS, np.int32), np.zeros((1, DIM)), [], [], np.zeros(1))
     blank.thresholds = {}
     if len(y) == 0 or y.min() == y.max() or not any(map(len, hashes[0])):
         blank.constant = float(y.mean()) if len(y) else 0.0
         return blank
+    lengths = np.array([len(h) for h in hashes[0]])
+    epochs = None
+    if back.any():
+        first = blank.like()
+        flat, starts = _begin(first, hashes, y, ~back, seed)
+        kept_back = np.flatnonzero(back)
+        epochs = _fit(first, flat, starts, lengths, y, np.flatnonzero(~back), seed, rows_back=kept_back)
+        p = _scores(first, flat, starts, lengths, kept_back)
+        for k in sorted({x for x in langs if x is not None}):
+            mine = np.array([langs[i] == k for i in kept_back], bool)
+            blank.thresholds[str(k)] = calibrated(p[mine], y[kept_back][mine])
+        del first, flat
+    flat, starts = _begin(blank, hashes, y, np.ones(len(y), bool), seed)
+    _fit(blank, flat, starts, lengths, y, np.arange(len(y)), seed, epochs)
+    return blank
+
+
+def _begin(model: Model, hashes: list[list[np.ndarray]], y: np.ndarray, some: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vocabulary and starting weights from the rows ``some``; the padded embedding rows of all texts and their starts."""
     rng = np.random.default_rng(seed)
-    found = [_log_odds(h, y) for h in hashes]
+    found = [_log_odds([x for x, s in zip(h, some) if s], y[some]) for h in hashes]
     vocab, seen, sure = (np.concatenate([f[k] for f in found]) for k in range(3))
     kind = np.repeat([0, 1], [len(f[0]) for f in found])
     order = np.argsort(seen, kind="stable")  # the most common word owns a bucket
     bucket = (vocab[order] & np.uint64(BUCKETS - 1)).astype(np.int64)
-    model = blank
     model.keys[bucket] = check_bits(vocab[order])
     model.row_of[bucket] = order
     size = len(vocab) + 1
@@ -154,26 +172,23 @@ def train_hashes(hashes: list[list[np.ndarray]], labels: np.ndarray, langs: list
     model.bias = [np.full(FILTERS, -0.3) for _ in WIDTHS]
     model.out = rng.normal(0, 0.05, len(WIDTHS) * FILTERS + 1)
     model.out[:2], model.out[-1] = 1.0, -1.5
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), [len(h) for h in hashes[0]])
+    rows = np.stack([np.concatenate([model.rows(h).astype(np.int32) for h in part]) for part in hashes])
+    return _padded(rows, owner, len(y), size - 1)
 
-    lengths = np.array([len(h) for h in hashes[0]])
-    owner = np.repeat(np.arange(len(y), dtype=np.int32), lengths)
-    rows = np.stack([np.concatenate([model.rows(h) for h in part]) for part in hashes])
-    for part in hashes:
-        part.clear()
-    flat, starts = _padded(rows, owner, len(y), size - 1)
-    del rows, owner
-    _fit(model, flat, starts, lengths, y, rng)
-    p = np.concatenate([_scores(model, flat, starts, lengths, np.arange(i, min(i + 256, len(y)))) for i in range(0, len(y), 256)])
-    for k in sorted({x for x in langs if x is not None}):
-        mine = np.array([x == k for x in langs])
-        model.thresholds[str(k)] = calibrated(p[mine], y[mine])
-    return model
+
+def calibration_rows(hashes: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Whether a row is kept back from the fit: those of one remainder in ``BACK`` of a digest of the text's words, so
+    that copies of a text stay together; none where that leaves fewer than ``LEAST_BACK`` rows of either kind."""
+    back = np.array([int(h.sum(dtype=np.uint64) >> np.uint64(33)) % BACK == 0 for h in hashes], bool)
+    few = min(y[back].sum(), (1 - y)[back].sum()) < LEAST_BACK if len(y) else True
+    return np.zeros(len(y), bool) if few else back
 
 
 def calibrated(p: np.ndarray, y: np.ndarray) -> float:
     """The threshold of least error on the rows of a language, the one nearest to 0.5 among equals;
-    0.5 where the language has too few rows (under 20) of either kind."""
-    if min(y.sum(), (1 - y).sum()) < 20:
+    0.5 where the language has too few rows (under 10) of either kind."""
+    if min(y.sum(), (1 - y).sum()) < 10:
         return 0.5
     cuts = np.linspace(0.2, 0.8, 61)
     errors = np.array([((p >= c) != (y > 0.5)).sum() for c in cuts])
@@ -188,19 +203,34 @@ def _batch(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pick: np.n
 
 
 def _scores(model: Model, flat, starts, lengths, pick) -> np.ndarray:
-    rows, at = _batch(flat, starts, lengths, pick)
-    return 1 / (1 + np.exp(-(_pooled(model, rows, at) @ model.out[:-1] + model.out[-1])))
+    out = [np.zeros(0)]
+    for i in range(0, len(pick), 256):
+        rows, at = _batch(flat, starts, lengths, pick[i : i + 256])
+        out.append(1 / (1 + np.exp(-np.clip(_pooled(model, rows, at) @ model.out[:-1] + model.out[-1], -30, 30))))
+    return np.concatenate(out)
+
+
+def _loss(p: np.ndarray, y: np.ndarray) -> float:
+    p = np.clip(p, 1e-6, 1 - 1e-6)
+    return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
+
 
+def _fit(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, y: np.ndarray, rows_in: np.ndarray, seed: int, epochs: int | None = None, rows_back: np.ndarray = np.zeros(0, np.int64)) -> int:
+    """Adam; the gradient of a pooled filter flows to the words of its largest response.
 
-def _fit(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, y: np.ndarray, rng) -> None:
-    """Adam; the gradient of a pooled filter flows to the words of its largest response."""
+    Weights decay towards where they started.  Returns the epochs taken: ``epochs`` if given, else as many as have the
+    least loss on ``rows_back``, whose weights stay, or all if there are none."""
+    rng = np.random.default_rng(seed + 1)
     params = [model.embed, *model.filters, *model.bias, model.out]
+    began = [p.copy() for p in params]
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    epochs, batch, step, rate = int(np.clip(60_000 // len(y), 4, 40)), 64, 0, 0.01
+    most = epochs or int(np.clip(60_000 // max(len(rows_in), 1), 4, 40))
+    batch, step, rate = 64, 0, RATE
     weight = np.where(y > 0.5, min(4.0, np.sqrt((1 - y).sum() / y.sum())), 1.0)
-    for _ in range(epochs):
-        order = rng.permutation(len(y))
-        for i in range(0, len(y), batch):
+    best, least, taken = None, np.inf, most
+    for epoch in range(1, most + 1):
+        order = rng.permutation(rows_in)
+        for i in range(0, len(order), batch):
             pick = order[i : i + batch]
             rows, at = _batch(flat, starts, lengths, pick)
             ends = np.append(at[1:], rows.shape[1])
@@ -214,9 +244,9 @@ def _fit(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray
                 tops.append(top)
                 feats.append(np.maximum(np.take_along_axis(r, top, 0) + b, 0))
             x = np.concatenate(feats, axis=1)
-            p = 1 / (1 + np.exp(-(x @ model.out[:-1] + model.out[-1])))
+            p = 1 / (1 + np.exp(-np.clip(x @ model.out[:-1] + model.out[-1], -30, 30)))
             g = (p - y[pick]) * weight[pick] / len(pick)
-            grads[-1][:-1], grads[-1][-1] = x.T @ g + 1e-4 * model.out[:-1], g.sum()
+            grads[-1][:-1], grads[-1][-1] = x.T @ g, g.sum()
             for k, f in enumerate(model.filters):
                 part = slice(k * FILTERS, (k + 1) * FILTERS)
                 d = g[:, None] * model.out[part][None] * (feats[k] > 0)
@@ -236,11 +266,21 @@ def _fit(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray
                 if k == 0:
                     m[0][u] = 0.9 * m[0][u] + 0.1 * ge
                     v[0][u] = 0.999 * v[0][u] + 0.001 * ge**2
-                    par[u] -= scale * m[0][u] / (np.sqrt(v[0][u]) + 1e-8)
+                    par[u] -= scale * m[0][u] / (np.sqrt(v[0][u]) + 1e-8) + rate * DECAY * (par[u] - began[0][u])
                 else:
                     m[k] = 0.9 * m[k] + 0.1 * grads[k]
                     v[k] = 0.999 * v[k] + 0.001 * grads[k] ** 2
-                    par -= scale * m[k] / (np.sqrt(v[k]) + 1e-8)
+                    par -= scale * m[k] / (np.sqrt(v[k]) + 1e-8) + rate * DECAY * (par - began[k])
+        if len(rows_back):
+            now = _loss(_scores(model, flat, starts, lengths, rows_back), y[rows_back])
+            if now < least:
+                best, least, taken = [p.copy() for p in params], now, epoch
+            elif epoch >= taken + PATIENCE:
+                break
+    if best is not None:
+        for p, q in zip(params, best):
+            p[...] = q
+    return taken
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:

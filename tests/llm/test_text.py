@@ -170,6 +170,17 @@ def test_whole_texts_train(spark):
     assert len(got) > 20 and all((r.score >= 0.5) == (r.doc_id % 3 == 0) for r in got)
 
 
+def test_rows_are_kept_back_for_calibration():
+    rng = np.random.default_rng(3)
+    hashes = [rng.integers(0, 1 << 62, 9).astype(np.uint64) for _ in range(900)]
+    y = (np.arange(900) % 4 == 0).astype(float)
+    back = toxicity.calibration_rows([*hashes, hashes[0]], np.append(y, 0))
+    assert 0.1 < back.mean() < 0.25 and back[0] == back[-1]
+    assert not toxicity.calibration_rows(hashes[:60], y[:60]).any() and not len(toxicity.calibration_rows([], y[:0]))
+    p, z = np.r_[np.full(30, 0.62), np.full(30, 0.8)], np.r_[np.zeros(30), np.ones(30)]
+    assert 0.62 < toxicity.calibrated(p, z) < 0.8 and toxicity.calibrated(p, np.r_[np.zeros(55), np.ones(5)]) == 0.5
+
+
 def test_classifier_edge_cases(docs, empty, spark):
     labels = spark.createDataFrame([(0, 1), (1, 0), (1, None), (None, 1), (999, 1)], "doc_id long, toxic int")
     for d in (docs, empty):
