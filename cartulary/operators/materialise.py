@@ -2,24 +2,47 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+KEY = "spark.checkpoint.dir"
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as Parquet where all executors read it, and read back.
 
-    Only where the setting is unset and the master is local, a temporary folder serves.
+def shared_dir(spark: SparkSession) -> str:
+    """Folder that driver and executors share, one level per application.
+
+    Only where the setting is unset and the master is local, a temporary folder serves
+    (recorded in the session, deleted at exit).
     """
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get(KEY, None) or spark.sparkContext.getConf().get(KEY)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="cartulary-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+            raise ValueError(f"{KEY} must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="cartulary-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        root = f"file://{folder}"
+        spark.conf.set(KEY, root)
+    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet where all executors read it, and read back."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that ``written`` returned; nothing may read it any more."""
+    path = getattr(df, "written_to", None)
+    if path:
+        jvm = df.sparkSession._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
