@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cartulary.llm.shared import stash
+from cartulary.llm.shared import drop_stash, stash
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(
-        edges.agg(F.count("*"), F.sum((F.xxhash64("a", "b") % 1_000_003).cast("decimal(30,0)"))).first()
-    )
+def settled(edges: DataFrame) -> bool:
+    """Whether the edges (a, b) are stars: every a has one b, and no b is an a."""
+    if not edges.groupBy("a").count().where("count > 1").isEmpty():
+        return False
+    return edges.select("b").join(edges.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
 
 
 def components(edges: DataFrame, left: str, right: str, max_rounds: int = 60) -> DataFrame:
@@ -24,10 +25,9 @@ def components(edges: DataFrame, left: str, right: str, max_rounds: int = 60) ->
     """
     e = edges.select(F.greatest(left, right).alias("a"), F.least(left, right).alias("b")).where("a <> b").distinct()
     e = stash(e, "edges")
-    before = _mark(e)
-    if before[0] == 0:
-        return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
     for _ in range(max_rounds):
+        if settled(e):
+            return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             e.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
@@ -42,9 +42,6 @@ def components(edges: DataFrame, left: str, right: str, max_rounds: int = 60) ->
             .unionByName(root.select("a", F.col("m").alias("b")))
             .distinct()
         )
-        e = stash(small, "small-star")
-        after = _mark(e)
-        if after == before:
-            return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = after
+        before, e = e, stash(small, "small-star")
+        drop_stash(before, large)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -16,7 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cartulary.llm.shared import fresh, stash
+from cartulary.llm.shared import fresh, named_rows, stash
 
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -36,13 +36,14 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, "")
 
 
-def recipes(docs: DataFrame, least: int, most: int, digest: Callable[[Column], Column]) -> DataFrame:
-    """One narrow row per document row: rid, doc_id, n, text_sha256, recipe array<struct<d, s>>."""
+def recipes(docs: DataFrame, least: int, most: int, digest: Callable[[Column], Column], *more: str) -> DataFrame:
+    """One narrow row per document row: rid, doc_id, n, text_sha256, recipe array<struct<d, s>>, and the columns ``more``."""
     pattern = F.lit(chunk_pattern(least, most))
     return (
-        docs.select("doc_id", "text")
-        .select("doc_id", F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("n"), normalised(F.col("text")).alias("t"))
+        docs.select("doc_id", "text", *more)
+        .select(*more, "doc_id", F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("n"), normalised(F.col("text")).alias("t"))
         .select(
+            *more,
             "doc_id",
             "n",
             F.sha2("t", 256).alias("text_sha256"),
@@ -96,7 +97,10 @@ def exact_dedup(
     Of equal texts the row of most code points, then of least doc_id, is kept.  Groups of
     several rows are pre-aggregated and joined back, crowded ones in parts.
     """
-    read = stash(recipes(docs, least, most, digest), "recipes")
+    return _decided(stash(recipes(docs, least, most, digest), "recipes"))
+
+
+def _decided(read: DataFrame) -> DataFrame:
     g = F.xxhash64("ids", "ords").alias("g")
     table = verified(read).select("*", g)
     best = F.max(F.struct("n", F.bitwise_not("doc_id").alias("i"), F.bitwise_not("rid").alias("r"))).alias("best")
@@ -119,19 +123,12 @@ def exact_dedup(
     )
 
 
-def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with its own columns, one row of each set of equal texts.
-
-    Rows that agree in doc_id, length and text without white space count as one row.
-    """
-    key = fresh(docs, "id", "n", "sha")
-    kept = exact_dedup(docs).where("kept").select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(key[0]), F.col("n").alias(key[1]), F.col("text_sha256").alias(key[2])
-    )
-    marked = docs.select(
-        "*",
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(key[0]),
-        F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias(key[1]),
-        F.sha2(normalised(F.col("text")), 256).alias(key[2]),
-    )
-    return marked.join(kept, key, "left_semi").dropDuplicates(key).drop(*key)
+def drop_exact_copies(docs: DataFrame, least: int = 512, most: int = 4096) -> DataFrame:
+    """``docs`` with its own columns, one row of each set of equal texts; the texts are read, not moved."""
+    file, row = fresh(docs, "file", "row")
+    named = named_rows(docs, file, row)
+    mine = named.select("doc_id", "text", F.col(file).alias("file"), F.col(row).alias("row"))
+    read = stash(recipes(mine, least, most, F.xxhash64, "file", "row"), "recipes")
+    gone = _decided(read.drop("file", "row")).where(~F.col("kept")).select("rid")
+    gone = gone.join(read.select("rid", "file", "row"), "rid").select(F.col("file").alias(file), F.col("row").alias(row))
+    return named.join(stash(gone, "gone"), [file, row], "left_anti").select(*docs.columns)

@@ -2,42 +2,46 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, functions as F
 
-CHECKPOINT_KEY = "spark.checkpoint.dir"
+from cartulary.operators.materialise import discard, written
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share, one level per application.
+def stash(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet in the folder of ``spark.checkpoint.dir`` and read back.
 
-    Read from ``spark.checkpoint.dir``.  Only where that is unset (single-machine
-    tests) a temporary folder is made and recorded in the session.
+    Cuts the lineage at files that outlive any executor, and gives the planner the
+    true size of what was written, so that joins broadcast only what is small.
     """
-    root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="cartulary-")
-        spark.conf.set(CHECKPOINT_KEY, root)
-    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
+    return written(df, label)
 
 
-def stash(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+def drop_stash(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for df in tables:
+        discard(df)
 
-    Cuts the lineage at files that outlive any executor, and gives the planner the
-    true size of what was written, so that joins broadcast only what is small.
+
+def named_rows(docs: DataFrame, file: str, row: str) -> DataFrame:
+    """``docs`` with the file of each row and its number therein, which name the same row whenever the files are read.
+
+    What isn't merely columns and rows picked from files is written first.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    here = ("_metadata.file_path", "_metadata.row_index")
+    if "LogicalRelation" not in plan.getClass().getName():
+        docs = stash(docs, "rows")
+    try:
+        return docs.select("*", F.col(here[0]).alias(file), F.col(here[1]).alias(row))
+    except AnalysisException:  # files that number no rows, such as CSV
+        return stash(docs, "rows").select("*", F.col(here[0]).alias(file), F.col(here[1]).alias(row))
 
 
 #: Rows and bytes of an Arrow batch of texts, unless the session states its own.
@@ -85,7 +89,3 @@ def row_blocks(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         j = min(max(j, i + 1), n)
         yield i, j
         i = j
-
-
-def long_column(batch: pa.RecordBatch, name: str) -> pa.Array:
-    return batch.column(batch.schema.get_field_index(name)).cast(pa.int64())

@@ -1,11 +1,13 @@
 """SimHash near-duplicates by multi-index hashing.
 
-A fingerprint is cut into three segments.  Two fingerprints that differ in at most
-four bits agree but for one bit in the first or second segment, or wholly in the
-third (thresholds 1, 1, 0 sum to 4 - 3 + 1).  So every fingerprint looks up the
-Hamming ball of radius 1 around its first and second segment and its third segment
-as it is, and complete distances of what it meets are verified.  A radius-1 pair is
-met once, from the side that has the differing bit set.
+A fingerprint is cut into segments.  With three, two fingerprints that differ in at
+most four bits agree but for one bit in the first or second segment, or wholly in the
+third (radii 1, 1, 0 sum to 4 - 3 + 1); with two, they agree but for two bits in the
+first or one in the second (radii 2, 1).  So every fingerprint looks up the Hamming
+ball of that radius around each segment, and complete distances of what it meets are
+verified.  Of a ball only the values up to the segment's own are looked up, so that
+pairs of different values are met once.  The number of fingerprints tells which cut
+has fewer lookups and candidates; both find the same links.
 
 A segment value that more than ``hot`` fingerprints share is not paired.  Those
 fingerprints, and those that look it up, go a linear way that loses no link: two
@@ -22,18 +24,17 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from cartulary.llm.components import components
-from cartulary.llm.shared import bounded_batches, fresh, stash
+from cartulary.llm.shared import bounded_batches, fresh, named_rows, stash
 
-SEGMENTS = ((0, 22, 1), (22, 21, 1), (43, 21, 0))  # first bit, bits, radius
+CUTS = (((0, 22, 1), (22, 21, 1), (43, 21, 0)), ((0, 32, 2), (32, 32, 1)))  # first bit, bits, radius
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 
 
@@ -64,33 +65,40 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_fingerprints, "doc_id long, fp long")
 
 
-def _bits(start: int, n: int) -> int:
-    mask = ((1 << n) - 1) << start
-    return mask - (1 << 64) if mask >= 1 << 63 else mask
+def ball(bits: int, radius: int) -> list[int]:
+    """Masks of at most ``radius`` of the low ``bits`` bits."""
+    return [sum(1 << i for i in some) for r in range(radius + 1) for some in combinations(range(bits), r)]
 
 
-def _bit(i: int) -> Column:
-    return F.lit((1 << i) - (1 << 64) if i == 63 else 1 << i)
+def best_cut(n: int) -> tuple:
+    """The cut of least lookups and expected candidates for each of ``n`` fingerprints."""
+    return min(CUTS, key=lambda cut: sum(len(ball(bits, r)) * (1 + n / 2**bits) for _, bits, r in cut))
 
 
-def _probes(segment: int) -> Column:
-    """(segment, value) that are looked up: the segment's own value, and with each set bit cleared."""
-    start, n, radius = SEGMENTS[segment]
-    own = F.col("fp").bitwiseAND(F.lit(_bits(start, n)))
-    near = [F.when(F.col("fp").bitwiseAND(_bit(i)) != 0, own.bitwiseXOR(_bit(i))) for i in range(start, start + n)] if radius else []
-    found = F.filter(F.array(own, *near), lambda v: v.isNotNull())
-    return F.transform(found, lambda v: F.struct(F.lit(segment).alias("s"), v.alias("v")))
+def _segment(start: int, bits: int) -> Column:
+    return F.shiftrightunsigned("fp", start).bitwiseAND(F.lit((1 << bits) - 1))
+
+
+def _constant(values: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+
+
+def _probes(s: int, start: int, bits: int, radius: int) -> Column:
+    """(segment, value) that are looked up: of the ball around the segment's value those up to the value itself."""
+    own = _segment(start, bits)
+    near = F.filter(F.transform(_constant(ball(bits, radius)), lambda m: m.bitwiseXOR(own)), lambda v: v <= own)
+    return F.transform(near, lambda v: F.struct(F.lit(s).alias("s"), v.alias("v")))
 
 
 def distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def links(nodes: DataFrame, hot: int = 2000) -> DataFrame:
+def links(nodes: DataFrame, hot: int = 2000, cut: tuple | None = None) -> DataFrame:
     """Edges (a, b) between distinct fingerprints ``fp`` whose components are those of all links."""
+    cut = cut or best_cut(nodes.count())
     table = nodes.select(
-        "fp",
-        F.explode(F.array(*(F.struct(F.lit(s).alias("s"), F.col("fp").bitwiseAND(F.lit(_bits(*SEGMENTS[s][:2]))).alias("v")) for s in range(3)))).alias("e"),
+        "fp", F.explode(F.array(*(F.struct(F.lit(s).alias("s"), _segment(*c[:2]).alias("v")) for s, c in enumerate(cut)))).alias("e")
     ).select("e.s", "e.v", "fp")
     crowded = stash(table.groupBy("s", "v").count().where(F.col("count") > hot).select("s", "v", F.lit(True).alias("crowd")), "crowded")
     marked = table.join(crowded, ["s", "v"], "left")
@@ -99,7 +107,7 @@ def links(nodes: DataFrame, hot: int = 2000) -> DataFrame:
     )
     probes = nodes.select(
         "fp",
-        F.explode(F.concat(*map(_probes, range(3)))).alias("e"),
+        F.explode(F.concat(*(_probes(s, *c) for s, c in enumerate(cut)))).alias("e"),
     ).select(F.col("fp").alias("a"), "e.s", "e.v")
     met = probes.join(entries, ["s", "v"]).where(
         F.col("b").isNull() | ((F.col("a") != F.col("b")) & (distance(F.col("a"), F.col("b")) <= DISTANCE))
@@ -114,11 +122,8 @@ def links(nodes: DataFrame, hot: int = 2000) -> DataFrame:
 
 def dense_links(nodes: DataFrame) -> DataFrame:
     """Star edges through common points of radius-2 balls; linear in the number of fingerprints."""
-    one = [1 << i for i in range(64)]
-    masks = {0, *one, *(x ^ y for x in one for y in one)}
-    signed = sorted(m - (1 << 64) if m >> 63 else m for m in masks)
-    ball = F.split(F.lit(",".join(map(str, signed))), ",").cast("array<long>")  # a constant
-    points = nodes.select("fp", F.explode(F.transform(ball, lambda m: m.bitwiseXOR(F.col("fp")))).alias("p"))
+    masks = _constant([m - (1 << 64) if m >> 63 else m for m in ball(64, 2)])
+    points = nodes.select("fp", F.explode(F.transform(masks, lambda m: m.bitwiseXOR(F.col("fp")))).alias("p"))
     least = points.groupBy("p").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1").select("p", "b")
     return points.join(least, "p").where("fp <> b").select(F.col("b").alias("a"), F.col("fp").alias("b")).distinct()
 
@@ -136,22 +141,27 @@ def near_duplicates(docs: DataFrame, hot: int = 2000) -> DataFrame:
 
 def keep_one(docs: DataFrame, hot: int = 2000) -> DataFrame:
     """``docs`` with its own columns, one row of each component: that of the least doc_id (null last), then of the
-    least fingerprint; of rows that agree in both, any one.
+    least fingerprint; of rows that agree in both, the first of the first file.
+
+    Only names of rows and fingerprints are written; the rows that go are taken out of ``docs`` by name.
     """
-    fp, rid = fresh(docs, "fp", "rid")
+    file, row = fresh(docs, "file", "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text = b.column("text")
             prints = np.fromiter((fingerprint(t.as_py()) for t in text), np.uint64, len(text))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(prints.view(np.int64))], [*b.schema.names, fp])
+            yield pa.RecordBatch.from_arrays([b.column("file"), b.column("row"), b.column("doc_id"), pa.array(prints.view(np.int64))], ["file", "row", "doc_id", "fp"])
 
     bounded_batches(docs)
-    rows = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(fp, LongType())]))
-    rows = stash(rows.withColumn(rid, F.monotonically_increasing_id()), "prints")
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.col(fp), F.col(rid).alias("rid"))
-    nodes = stash(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(order).alias("first")), "nodes")
+    named = named_rows(docs, file, row)
+    rows = named.select(F.col(file).alias("file"), F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = stash(rows.mapInArrow(run, "file string, row long, doc_id long, fp long"), "prints")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("fp"), F.col("file"), F.col("row"))
+    nodes = stash(rows.groupBy("fp").agg(F.min(order).alias("first"), F.count("*").alias("n")), "nodes")
     roots = components(links(nodes.select("fp"), hot), "a", "b")
-    placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("first").alias("first"))
-    kept = stash(placed.select(F.col("first.rid").alias(rid)), "kept")
-    return rows.join(kept, rid, "left_semi").select(*docs.columns)
+    placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", "n", F.coalesce("root", "fp").alias("root"))
+    best = placed.groupBy("root").agg(F.min("first").alias("best"), F.sum("n").alias("rows")).where("rows > 1")
+    several = stash(placed.join(best, "root").select("fp", F.col("best.file").alias("kept_file"), F.col("best.row").alias("kept_row")), "several")
+    gone = rows.join(several, "fp").where("file <> kept_file or row <> kept_row").select(F.col("file").alias(file), F.col("row").alias(row))
+    return named.join(stash(gone, "gone"), [file, row], "left_anti").select(*docs.columns)

@@ -27,7 +27,8 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
-from cartulary.llm.shared import bounded_batches, shared_dir, stash
+from cartulary.llm.shared import bounded_batches, stash
+from cartulary.operators.materialise import shared_dir
 
 LEAST_REVISIT = 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
