@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cartulary.llm import decontaminate, exact_dedup, mixing, simhash, toxicity
-from cartulary.llm.shared import stash
+from cartulary.llm.shared import drop_stash, stash
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +41,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``, each written and read again."""
+    """All stages on ``documents``, each written and read again; what the next stage has read is deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stash(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        before, docs = docs, stash(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        drop_stash(before)
     return STAGES[-1][1](spark, docs, sf_dir)
