@@ -6,13 +6,16 @@ next to each other with one anchor form a context.
 
 1. Documents are scanned for contexts; (anchor, digest of the context, place) go, packed
    by anchor range, to one task a range, which finds the anchors of several contexts.
-   Contexts that equal an earlier one repeat wholly; so much needs no text.
-2. Contexts that share an anchor but differ are cut from their documents and
-   suffix-sorted together: directly only the suffixes smaller than their successors,
-   the rest induced by bucket scans.  Adjacent suffixes with a common prefix of
-   ``LENGTH`` bytes or more are equal strings, of which all but the earliest repeat.
+   Contexts whose digest an earlier one has are taken to be its copies; neighbours
+   that copy neighbours are joined to runs.
+2. Contexts that share an anchor but differ, and the runs with what they copy, are cut
+   from their documents.  The former are suffix-sorted together: directly only the
+   suffixes smaller than their successors, the rest induced by bucket scans.  Adjacent
+   suffixes with a common prefix of ``LENGTH`` bytes or more are equal strings, of which
+   all but the earliest repeat.  A run repeats if its bytes are those of what it copies;
+   one whose digests clashed is cut into its contexts again, which are sorted like others.
    Contexts of an anchor with more than ``CROWD`` different contexts are cut into
-   their single strings, which go by their own digest.
+   their single strings, which go by their own digest to the sort.
 3. The spans found are joined by document, united and cut out.
 
 Defined cases: a null text is empty; documents of less than ``LENGTH`` bytes keep all;
@@ -23,15 +26,16 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cartulary.llm.shared import bounded_batches, stash, utf8_column
+from cartulary.llm.shared import bounded_batches, drop_stash, stash, utf8_column
 
 LENGTH, GRAM, CROWD = 100, 32, 2000
 SCAN, SORT = 1 << 20, 1 << 19
@@ -160,8 +164,10 @@ def repeats(pieces: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, i
     doc = np.array([p[0] for p in pieces], np.int64)[owner[which]]
     start = np.array([p[1] for p in pieces], np.int64)[owner[which]] + own[which]
     by = np.lexsort((start, doc, kind))
-    again = np.concatenate(([False], kind[by][1:] == kind[by][:-1]))
-    d, s = doc[by][again], start[by][again]
+    kind, doc, start = kind[by], doc[by], start[by]
+    first = np.searchsorted(kind, kind)  # a place may be in several pieces
+    again = (doc != doc[first]) | (start != start[first])
+    d, s = doc[again], start[again]
     by = np.lexsort((s, d))
     return runs(d[by], s[by], s[by] + 1)
 
@@ -180,11 +186,12 @@ def runs(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int
 # ---- stage 1: contexts of all documents, packed by anchor range ----
 
 ENTRY = np.dtype([("anchor", "<u8"), ("digest", "<u8"), ("doc", "<i4"), ("lo", "<i4"), ("n", "u1")])
+RUN = np.dtype([("doc", "<i4"), ("lo", "<i4"), ("n", "<i4"), ("odoc", "<i4"), ("olo", "<i4")])  # n starts from lo on copy those from olo on
 FLUSH = 1 << 21
 
 
-def _earliest(e: np.ndarray, ids: np.ndarray, hs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order entries by anchor, digest and place; a mask of the first of each (anchor, digest)."""
+def _earliest(e: np.ndarray, ids: np.ndarray, hs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries ordered by anchor, digest and place; a mask of the first of each (anchor, digest); and its index for each."""
     order = np.lexsort((e["lo"], hs[e["doc"]], ids[e["doc"]], e["digest"], e["anchor"]))
     e = e[order]
     i, h = ids[e["doc"]], hs[e["doc"]]
@@ -192,14 +199,41 @@ def _earliest(e: np.ndarray, ids: np.ndarray, hs: np.ndarray) -> tuple[np.ndarra
     first[1:] = (e["anchor"][1:] != e["anchor"][:-1]) | (e["digest"][1:] != e["digest"][:-1])
     row = np.ones(len(e), bool)  # False: the same place of a repeated row
     row[1:] = first[1:] | (i[1:] != i[:-1]) | (h[1:] != h[:-1]) | (e["lo"][1:] != e["lo"][:-1])
-    return e[row], first[row]
+    e, first = e[row], first[row]
+    return e, first, np.maximum.accumulate(np.where(first, np.arange(len(e)), 0))
+
+
+def _copies(e: np.ndarray, first: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Runs of the entries that aren't the first of their digest."""
+    again = np.flatnonzero(~first)
+    x, o = e[again], e[owner[again]]
+    out = np.empty(len(again), RUN)
+    out["doc"], out["lo"], out["n"], out["odoc"], out["olo"] = x["doc"], x["lo"], x["n"], o["doc"], o["lo"]
+    out = out[np.lexsort((out["lo"], out["doc"]))]
+    return joined(out, (out["doc"], out["odoc"]))
+
+
+def joined(x: np.ndarray, same: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Unite consecutive runs that continue each other, and what they copy too."""
+    if not len(x):
+        return x
+    new = np.ones(len(x), bool)
+    new[1:] = (x["lo"][1:] != x["lo"][:-1] + x["n"][:-1]) | (x["olo"][1:] != x["olo"][:-1] + x["n"][:-1])
+    for column in same:
+        new[1:] |= column[1:] != column[:-1]
+    at = np.flatnonzero(new)
+    out = x[at].copy()
+    out["n"] = np.add.reduceat(x["n"].astype(np.int64), at)
+    return out
 
 
-def _pack(ids: np.ndarray, hs: np.ndarray, e: np.ndarray, marks: np.ndarray) -> bytes:
-    used, doc = np.unique(np.concatenate([e["doc"], marks["doc"]]), return_inverse=True)
-    parts = [np.array([len(used), len(e), len(marks)], "<i8").tobytes(), ids[used].tobytes(), hs[used].tobytes()]
-    for x, d in ((e, doc[: len(e)]), (marks, doc[len(e) :])):  # columns: the values of one compress together
-        parts += [x["anchor"].tobytes(), x["digest"].tobytes(), d.astype("<i4").tobytes(), x["lo"].tobytes(), x["n"].tobytes()]
+def _pack(ids: np.ndarray, hs: np.ndarray, e: np.ndarray, copies: np.ndarray) -> bytes:
+    used, doc = np.unique(np.concatenate([e["doc"], copies["doc"], copies["odoc"]]), return_inverse=True)
+    e, copies = e.copy(), copies.copy()
+    e["doc"], copies["doc"], copies["odoc"] = np.split(doc, [len(e), len(e) + len(copies)])
+    parts = [np.array([len(used), len(e), len(copies)], "<i8").tobytes(), ids[used].tobytes(), hs[used].tobytes()]
+    for x in (e, copies):  # columns: the values of one compress together
+        parts += [x[name].tobytes() for name in x.dtype.names]
     return b"".join(parts)
 
 
@@ -210,31 +244,34 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     for _ in range(2):
         out.append(np.frombuffer(blob, "<i8", n_docs, at))
         at += 8 * n_docs
-    for n in counts:
-        x = np.empty(n, ENTRY)
-        for name in ENTRY.names:
-            kind = ENTRY[name]
-            x[name] = np.frombuffer(blob, kind, n, at)
-            at += kind.itemsize * n
+    for kind, n in zip((ENTRY, RUN), counts):
+        x = np.empty(n, kind)
+        for name in kind.names:
+            x[name] = np.frombuffer(blob, kind[name], n, at)
+            at += kind[name].itemsize * n
         out.append(x)
     return tuple(out)
 
 
-def _scan(buckets: int):
+def xxh3(piece) -> int:
+    return xxhash.xxh3_64_intdigest(piece)
+
+
+def _scan(buckets: int, digest: Callable):
     def flush(ids: list, hs: list, parts: list) -> pa.RecordBatch:
         i, h = np.array(ids, np.int64), np.array(hs, np.int64)
-        e, first = _earliest(np.concatenate(parts), i, h)
-        marks, e = e[~first], e[first]
+        e, first, owner = _earliest(np.concatenate(parts), i, h)
+        copies, e = _copies(e, first, owner), e[first]
         key = (e["anchor"] >> np.uint64(20)) % np.uint64(buckets)
-        mark_key = marks["doc"] % buckets
+        copy_key = copies["doc"] % buckets
         rows = []
-        order, mark_order = np.argsort(key, kind="stable"), np.argsort(mark_key, kind="stable")
+        order, copy_order = np.argsort(key, kind="stable"), np.argsort(copy_key, kind="stable")
         ends = np.searchsorted(key[order], np.arange(buckets + 1))
-        mark_ends = np.searchsorted(mark_key[mark_order], np.arange(buckets + 1))
+        copy_ends = np.searchsorted(copy_key[copy_order], np.arange(buckets + 1))
         for k in range(buckets):
-            own, own_marks = e[order[ends[k] : ends[k + 1]]], marks[mark_order[mark_ends[k] : mark_ends[k + 1]]]
-            if len(own) or len(own_marks):
-                rows.append((k, _pack(i, h, own, own_marks)))
+            own, own_copies = e[order[ends[k] : ends[k + 1]]], copies[copy_order[copy_ends[k] : copy_ends[k + 1]]]
+            if len(own) or len(own_copies):
+                rows.append((k, _pack(i, h, own, own_copies)))
         return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["bucket", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +287,7 @@ def _scan(buckets: int):
                 view, hi = memoryview(t), lo + n + (LENGTH - 1)
                 e = np.empty(len(lo), ENTRY)
                 e["anchor"], e["lo"], e["n"], e["doc"] = anchor, lo, n, len(ids)
-                e["digest"] = [xxhash.xxh3_64_intdigest(view[x:y]) for x, y in zip(lo.tolist(), hi.tolist())]
+                e["digest"] = [digest(view[x:y]) for x, y in zip(lo.tolist(), hi.tolist())]
                 parts.append(e)
                 ids.append(i[r])
                 hs.append(h[r])
@@ -264,80 +301,168 @@ def _scan(buckets: int):
     return run
 
 
-WHOLE, SHARED, CROWDED = 0, 1, 2
-ACTIONS = "i long, h long, lo int, n int, kind int, anchor long"
+COPY, SHARED, CROWDED = 0, 1, 2
+ACTIONS = "i long, h long, lo int, n int, kind int, anchor long, oi long, oh long, olo int"
 
 
 def _meet(crowd: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, hs, parts, base = [], [], [], 0
-
-        def out(x: np.ndarray, i: np.ndarray, h: np.ndarray, kind: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for a in range(0, len(x), 1 << 16):
-                y = x[a : a + (1 << 16)]
-                columns = [i[y["doc"]], h[y["doc"]], y["lo"], y["n"].astype(np.int32), kind[a : a + (1 << 16)].astype(np.int32), y["anchor"].view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], ["i", "h", "lo", "n", "kind", "anchor"])
+    """What becomes of the contexts of each bucket; a task's buckets come one after the other."""
+
+    def out(i, h, x, kind, anchor, oi, oh, olo) -> Iterator[pa.RecordBatch]:
+        columns = [i, h, x["lo"], x["n"].astype(np.int32), kind.astype(np.int32), anchor, oi, oh, olo]
+        for a in range(0, len(x), 1 << 16):
+            part = [pa.array(np.ascontiguousarray(c[a : a + (1 << 16)])) for c in columns]
+            yield pa.RecordBatch.from_arrays(part, [f.split()[0] for f in ACTIONS.split(", ")])
+
+    def solve(ids: list, hs: list, parts: list) -> Iterator[pa.RecordBatch]:
+        i, h = np.concatenate(ids), np.concatenate(hs)
+        e, first, owner = _earliest(np.concatenate(parts), i, h)
+        if not len(e):
+            return
+        starts = np.flatnonzero(np.concatenate(([True], e["anchor"][1:] != e["anchor"][:-1])))
+        kinds = np.add.reduceat(first.astype(np.int64), starts)
+        kinds = np.repeat(kinds, np.diff(np.append(starts, len(e))))
+        kind = np.where(~first, COPY, np.where(kinds > crowd, CROWDED, SHARED))
+        keep = ~first | (kinds > 1)
+        x, o = e[keep], e[owner][keep]
+        yield from out(i[x["doc"]], h[x["doc"]], x, kind[keep], x["anchor"].view(np.int64), i[o["doc"]], h[o["doc"]], o["lo"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, hs, parts, base, bucket = [], [], [], 0, None
         for b in batches:
-            for blob in b.column("blob"):
-                i, h, e, marks = _unpack(blob.as_buffer())
-                yield from out(marks, i, h, np.zeros(len(marks), np.int32))
+            for k, blob in zip(b.column("bucket").to_pylist(), b.column("blob")):
+                if k != bucket and parts:
+                    yield from solve(ids, hs, parts)
+                    ids, hs, parts, base = [], [], [], 0
+                bucket = k
+                i, h, e, copies = _unpack(blob.as_buffer())
+                none = np.zeros(len(copies), np.int64)
+                yield from out(i[copies["doc"]], h[copies["doc"]], copies, none, none, i[copies["odoc"]], h[copies["odoc"]], copies["olo"])
                 e["doc"] += base
                 base += len(i)
                 ids.append(i)
                 hs.append(h)
                 parts.append(e)
         if parts:
-            i, h = np.concatenate(ids), np.concatenate(hs)
-            e, first = _earliest(np.concatenate(parts), i, h)
-            starts = np.flatnonzero(np.concatenate(([True], e["anchor"][1:] != e["anchor"][:-1])))
-            kinds = np.add.reduceat(first.astype(np.int64), starts)
-            kinds = np.repeat(kinds, np.diff(np.append(starts, len(e))))
-            kind = np.where(~first, WHOLE, np.where(kinds > crowd, CROWDED, SHARED))
-            keep = ~first | (kinds > 1)
-            yield from out(e[keep], i, h, kind[keep])
+            yield from solve(ids, hs, parts)
 
     return run
 
 
-# ---- stage 2: the contexts that share an anchor, cut from their documents and sorted ----
+# ---- stage 2: what shares an anchor is cut from the documents and sorted, what copies is compared ----
+
+LONGEST = 1 << 15  # starts of a run that is compared at once
+NEEDS = "array<struct<lo:int,n:int,kind:int,anchor:long>>"
+RUNS = "array<struct<lo:int,n:int,oi:long,oh:long,olo:int>>"
+
+
+def _plan(longest: int):
+    """Per document the contexts that are to be sorted, and its copies joined to runs of at most ``longest`` starts."""
+    return lambda batches: map(functools.partial(_planned, longest), batches)
+
+
+def _planned(longest: int, b: pa.RecordBatch) -> pa.RecordBatch:
+    needs, runs_ = [], []
+    for acts in b.column("acts"):
+        x = {name: acts.values.field(name).to_numpy(zero_copy_only=False) for name in ("lo", "n", "kind", "anchor", "oi", "oh", "olo")}
+        some = np.flatnonzero(x["kind"] != COPY)
+        needs.append([dict(zip(("lo", "n", "kind", "anchor"), v)) for v in zip(*(x[c][some].tolist() for c in ("lo", "n", "kind", "anchor")))])
+        some = np.flatnonzero(x["kind"] == COPY)
+        some = some[np.lexsort((x["lo"][some], x["oh"][some], x["oi"][some], x["lo"][some] - x["olo"][some]))]
+        run = np.zeros(len(some), RUN)
+        run["lo"], run["n"], run["olo"] = x["lo"][some], x["n"][some], x["olo"][some]
+        run["doc"] = np.arange(len(some))
+        oi, oh = x["oi"][some], x["oh"][some]
+        run = joined(run, (oi, oh))
+        mine = []
+        for lo, n, olo, at in zip(run["lo"].tolist(), run["n"].tolist(), run["olo"].tolist(), run["doc"].tolist()):
+            for d in range(0, n, longest):
+                mine.append({"lo": lo + d, "n": min(longest, n - d), "oi": int(oi[at]), "oh": int(oh[at]), "olo": olo + d})
+        runs_.append(mine)
+    need = pa.list_(pa.struct([("lo", pa.int32()), ("n", pa.int32()), ("kind", pa.int32()), ("anchor", pa.int64())]))
+    run_ = pa.list_(pa.struct([("lo", pa.int32()), ("n", pa.int32()), ("oi", pa.int64()), ("oh", pa.int64()), ("olo", pa.int32())]))
+    return pa.RecordBatch.from_arrays([b.column("i"), b.column("h"), pa.array(needs, need), pa.array(runs_, run_)], ["i", "h", "needs", "runs"])
+
+
+SORTED, COPIED, ASKED = 0, 1, 2
+PIECES = "side int, route long, i long, h long, lo int, n int, oi long, oh long, olo int, piece binary"
+
+
+def _pieces(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    columns = list(zip(*rows)) or [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [f.split()[0] for f in PIECES.split(", ")])
+
+
+class _Strings:
+    """Single strings of the documents of a batch: the earliest of each, and the others, which repeat."""
+
+    def __init__(self) -> None:
+        self.seen: dict[bytes, tuple] = {}
+        self.again: list[tuple] = []
+
+    def add(self, t: np.ndarray, i: int, h: int, lo: int, n: int) -> None:
+        for x in range(lo, lo + n):
+            piece = t[x : x + LENGTH].tobytes()
+            before = self.seen.get(piece)
+            if before is None or (i, h, x) < before:
+                self.seen[piece] = (i, h, x)
+            if before is not None and before != (i, h, x):
+                self.again.append((SORTED, 0, *max(before, (i, h, x)), 1, None, None, None, None))
+
+    def rows(self) -> list[tuple]:
+        return self.again + [(SORTED, xxh3(p) - (1 << 63), *at, 1, None, None, None, p) for p, at in self.seen.items()]
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces (route, i, h, lo, n, piece); without bytes: strings that an earlier piece of this task equals."""
+    """Pieces of three sides: to be sorted by their route (without bytes: strings that an earlier piece of this task
+    equals), copies, and what is asked for to compare them with."""
     for b in batches:
         offsets, raw = utf8_column(b, "text")
-        rows, seen, held = [], {}, 0
+        rows, strings, held = [], _Strings(), 0
         for r in range(b.num_rows):
             t = raw[offsets[r] : offsets[r + 1]]
             i, h = b.column("i")[r].as_py(), b.column("h")[r].as_py()
-            for need in b.column("needs")[r].as_py():
+            for need in b.column("needs")[r].as_py() or ():
                 lo, n = need["lo"], need["n"]
                 if need["kind"] == SHARED:
-                    rows.append((need["anchor"], i, h, lo, n, t[lo : lo + n + LENGTH - 1].tobytes()))
+                    rows.append((SORTED, need["anchor"], i, h, lo, n, None, None, None, t[lo : lo + n + LENGTH - 1].tobytes()))
                     held += n + LENGTH
-                    continue
-                for x in range(lo, lo + n):
-                    piece = t[x : x + LENGTH].tobytes()
-                    before = seen.get(piece)
-                    if before is None or (i, h, x) < before:
-                        seen[piece] = (i, h, x)
-                    if before is not None and before != (i, h, x):
-                        rows.append((0, *max(before, (i, h, x)), 1, None))
-            if held > 1 << 23:
-                yield _pieces(rows)
-                rows, held = [], 0
-        rows += [(xxhash.xxh3_64_intdigest(p) - (1 << 63), *at, 1, p) for p, at in seen.items()]
-        yield _pieces(rows)
-
-
-PIECES = "route long, i long, h long, lo int, n int, piece binary"
-
-
-def _pieces(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    columns = list(zip(*rows)) or [[]] * 6
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["route", "i", "h", "lo", "n", "piece"])
+                else:
+                    strings.add(t, i, h, lo, n)
+            for x in b.column("runs")[r].as_py() or ():
+                lo, n = x["lo"], x["n"]
+                rows.append((COPIED, None, i, h, lo, n, x["oi"], x["oh"], x["olo"], t[lo : lo + n + LENGTH - 1].tobytes()))
+                held += n + LENGTH
+                if held > 1 << 23:
+                    yield _pieces(rows)
+                    rows, held = [], 0
+            for x in b.column("asked")[r].as_py() or ():
+                lo, n = x["lo"], x["n"]
+                rows.append((ASKED, None, i, h, lo, n, None, None, None, t[lo : lo + n + LENGTH - 1].tobytes()))
+                held += n + LENGTH
+                if held > 1 << 23:
+                    yield _pieces(rows)
+                    rows, held = [], 0
+        yield _pieces(rows + strings.rows())
+
+
+def _cut_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts and single strings of the ranges of documents whose digests clashed, to be sorted."""
+    for b in batches:
+        offsets, raw = utf8_column(b, "text")
+        for r in range(b.num_rows):
+            t, strings, rows = raw[offsets[r] : offsets[r + 1]], _Strings(), []
+            i, h = b.column("i")[r].as_py(), b.column("h")[r].as_py()
+            anchor, lo, n = contexts(t)
+            wanted = np.zeros(len(t) + 1, bool)
+            for x in b.column("ranges")[r].as_py():
+                wanted[x["lo"] : x["lo"] + x["n"]] = True
+            for k in np.flatnonzero(wanted[lo]).tolist():
+                x, m = int(lo[k]), int(n[k])
+                rows.append((SORTED, int(anchor[k : k + 1].view(np.int64)[0]), i, h, x, m, None, None, None, t[x : x + m + LENGTH - 1].tobytes()))
+                strings.add(t, i, h, x, m)
+            yield _pieces(rows + strings.rows())
 
 
 SPANS = "i long, h long, lo int, hi int"
@@ -394,22 +519,48 @@ def _remaining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), size, pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def remove_repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
+def _tasks(docs: DataFrame) -> int:
+    """Tasks that contexts are dealt to: the session's partitions, or more where the files are large."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size >> 27 if size < 1 << 60 else 0)
+
+
+def remove_repeats(docs: DataFrame, crowd: int = CROWD, digest: Callable = xxh3, longest: int = LONGEST) -> DataFrame:
     """Per document row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
     bounded_batches(docs)
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = _tasks(docs)
     mine = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     keyed = mine.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("i"), F.xxhash64("text").alias("h"), "text")
-    packed = keyed.select("i", "h", "text").mapInArrow(_scan(4 * n), "bucket int, blob binary")
-    actions = stash(packed.repartition(n, "bucket").mapInArrow(_meet(crowd), ACTIONS), "actions")
-    needs = actions.where(F.col("kind") != WHOLE).groupBy("i", "h").agg(F.collect_list(F.struct("lo", "n", "kind", "anchor")).alias("needs"))
-    cut = stash(keyed.select("i", "h", "text").join(stash(needs, "needs"), ["i", "h"]).mapInArrow(_cut, PIECES), "pieces")
-    routed = cut.where("piece is not null").repartition(n, "route").sortWithinPartitions("route")
+    texts = keyed.select("i", "h", "text")
+    packed = texts.mapInArrow(_scan(4 * n, digest), "bucket int, blob binary")
+    actions = stash(packed.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_meet(crowd), ACTIONS), "actions")
+    acts = actions.groupBy("i", "h").agg(F.collect_list(F.struct("lo", "n", "kind", "anchor", "oi", "oh", "olo")).alias("acts"))
+    plans = stash(acts.mapInArrow(_plan(longest), f"i long, h long, needs {NEEDS}, runs {RUNS}"), "plans")
+    drop_stash(actions)
+    wanted = plans.select(F.explode("runs").alias("r")).select(F.col("r.oi").alias("i"), F.col("r.oh").alias("h"), F.col("r.olo").alias("lo"), "r.n").distinct()
+    asked = wanted.groupBy("i", "h").agg(F.collect_list(F.struct("lo", "n")).alias("asked"))
+    work = stash(plans.join(asked, ["i", "h"], "full"), "work")
+    cut = stash(texts.join(work, ["i", "h"]).mapInArrow(_cut, PIECES), "pieces")
+    drop_stash(plans, work)
+
+    # one row per copied run: what it copies is joined to it and compared; a row that occurs several times gives several
+    place = ["oi", "oh", "olo", "n"]
+    asked = cut.where(F.col("side") == ASKED).select(F.col("i").alias("oi"), F.col("h").alias("oh"), F.col("lo").alias("olo"), "n", F.col("piece").alias("other")).dropDuplicates(place)
+    copied = cut.where(F.col("side") == COPIED).join(asked, place, "left")
+    compared = stash(copied.select("i", "h", "lo", *place, (F.col("piece") == F.col("other")).alias("same")), "compared")
+    to_sort = cut.where((F.col("side") == SORTED) & F.col("piece").isNotNull()).select("route", "i", "h", "lo", "n", "piece")
+    lone = cut.where((F.col("side") == SORTED) & F.col("piece").isNull())
+    differ = compared.where("not coalesce(same, false)")
+    if not differ.isEmpty():
+        both = differ.select("i", "h", "lo", "n").unionByName(differ.select(F.col("oi").alias("i"), F.col("oh").alias("h"), F.col("olo").alias("lo"), "n")).distinct()
+        again = stash(both.groupBy("i", "h").agg(F.collect_list(F.struct("lo", "n")).alias("ranges")), "clashes")
+        more = stash(texts.join(again, ["i", "h"]).mapInArrow(_cut_again, PIECES), "pieces-again")
+        to_sort = to_sort.unionByName(more.where("piece is not null").select(*to_sort.columns))
+        lone = lone.unionByName(more.where("piece is null"))
     spans = (
-        routed.mapInArrow(_sorted_repeats, SPANS)
-        .unionByName(cut.where("piece is null").select("i", "h", "lo", (F.col("lo") + LENGTH).alias("hi")))
-        .unionByName(actions.where(F.col("kind") == WHOLE).select("i", "h", "lo", (F.col("lo") + F.col("n") + (LENGTH - 1)).alias("hi")))
+        to_sort.repartition(n, "route").sortWithinPartitions("route").mapInArrow(_sorted_repeats, SPANS)
+        .unionByName(lone.select("i", "h", "lo", (F.col("lo") + LENGTH).alias("hi")))
+        .unionByName(compared.where("same").select("i", "h", "lo", (F.col("lo") + F.col("n") + (LENGTH - 1)).alias("hi")))
     )
     cuts = stash(spans.groupBy("i", "h").agg(F.collect_list(F.struct("lo", "hi")).alias("cut")), "cuts")
     return keyed.join(cuts, ["i", "h"], "left").select("doc_id", "text", "cut").mapInArrow(

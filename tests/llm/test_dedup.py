@@ -5,6 +5,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -198,8 +199,19 @@ def brute_repeats(rows):
     return texts
 
 
-@pytest.mark.parametrize("crowd", [2000, 1])
-def test_substrings_agree_with_brute_force(spark, docs, rows, empty, crowd):
+def clashing(piece) -> int:
+    """A digest that many different contexts share."""
+    return len(piece) % 3
+
+
+def test_runs_are_joined():
+    x = np.array([(0, 0, 5, 7, 10), (0, 5, 4, 7, 15), (0, 9, 4, 7, 30), (0, 13, 2, 8, 34), (1, 15, 3, 8, 36)], substrings.RUN)
+    got = substrings.joined(x, (x["doc"], x["odoc"]))
+    assert got.tolist() == [(0, 0, 9, 7, 10), (0, 9, 4, 7, 30), (0, 13, 2, 8, 34), (1, 15, 3, 8, 36)]
+
+
+@pytest.mark.parametrize(("crowd", "digest", "longest"), [(2000, substrings.xxh3, 1 << 15), (1, substrings.xxh3, 1 << 15), (2000, clashing, 1 << 15), (1, clashing, 1 << 15), (2000, substrings.xxh3, 64)])
+def test_substrings_agree_with_brute_force(spark, docs, rows, empty, crowd, digest, longest):
     hashes = {r.t: r.h for r in docs.select(F.coalesce("text", F.lit("")).alias("t"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
     texts = sorted({(r[0] if r[0] is not None else -(1 << 63), hashes[r[1] or ""], r[1] or "") for r in rows})
     seen, expected = set(), {}
@@ -214,7 +226,7 @@ def test_substrings_agree_with_brute_force(spark, docs, rows, empty, crowd):
         rest = bytes(x for x, c in zip(b, cut) if not c)
         spans = len(re.findall(b"\1+", bytes(cut)))
         expected[i, h] = (len(b), sum(cut), spans, hashlib.sha256(rest).hexdigest())
-    found = substrings.remove_repeats(docs, crowd).drop("kept").collect()
+    found = substrings.remove_repeats(docs, crowd, digest, longest).drop("kept").collect()
     wanted = sorted((r[0] if r[0] is not None else -1, *expected[r[0] if r[0] is not None else -(1 << 63), hashes[r[1] or ""]]) for r in rows)
     assert sorted((r.doc_id if r.doc_id is not None else -1, *r[1:]) for r in found) == wanted
     assert sum(r.n_removed > 0 for r in found) > 20
