@@ -107,7 +107,8 @@ class Element:
     def insert_before(self, child: Element, before: Element) -> Element:
         child.parent = self
         at = next(i for i, p in enumerate(self.parts) if p is before)
-        self.parts[at:at] = [child, self._indent()] if self._indent() else [child]
+        blank = self.parts[at - 1] if at and isinstance(self.parts[at - 1], str) and self.parts[at - 1].strip() == "" else self._indent()
+        self.parts[at:at] = [child, blank] if blank else [child]
         return child
 
     def insert_after(self, child: Element, after: Element) -> Element:
@@ -200,4 +201,6 @@ class Document:
         return sorted({r for e in self.root.iter("dao", "daoloc") if (r := e.get("role"))})
 
     def known_sources(self) -> list[str]:
-        return sorted({s for ca in self.root.iter("controlaccess") for e in ca.iter() if (s := e.get("source"))})
+        from cartulary.operators.xmltree import TERMS
+
+        return sorted({s for e in self.root.iter(*TERMS) if (s := e.get("source"))})

@@ -16,12 +16,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cartulary.functions import keys as K, ranges as R
 
 COMPONENTS = ("c", "archdesc")
-FIELDS = "doc string, node_id int, parent_id int, ord int, depth int, tag string, attrs map<string,string>, text string, tail string, comp_id int, comp_depth int"
+FIELDS = "doc string, node_id int, parent_id int, ord int, depth int, tag string, attrs map<string,string>, text string, tail string, comp_id int, comp_depth int, last_id int, inner string"
+#: Tags that index, wherever they stand.
+TERMS = ("subject", "geogname", "persname", "corpname", "famname", "genreform", "function", "occupation", "title", "name")  # fixed values
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
 class _Builder:
-    """Collects nodes; text and tail as in an element tree."""
+    """Collects nodes; text and tail as in an element tree, ``inner`` the whole text of a description of links."""
 
     def __init__(self) -> None:
         self.rows: list[list] = []
@@ -40,15 +42,19 @@ class _Builder:
         comp, depth = (above[9], above[10]) if above else (None, -1)
         if tag in COMPONENTS:
             comp, depth = node, 0 if tag == "archdesc" else max(depth, 0) + 1
-        self.rows.append([None, node, parent, order, len(self.stack), tag, attrs, "", "", comp, depth])
+        self.rows.append([None, node, parent, order, len(self.stack), tag, attrs, "", "", comp, depth, node, "" if tag == "daodesc" else None])
         self.children.append(0)
         self.stack.append(node)
         self.last = None
 
     def end(self) -> None:
         self.last = self.stack.pop()
+        self.rows[self.last][11] = len(self.rows) - 1
 
     def data(self, text: str) -> None:
+        for k in self.stack:
+            if self.rows[k][12] is not None:
+                self.rows[k][12] += text
         if self.last is not None:
             self.rows[self.last][8] += text
         elif self.stack:
@@ -110,7 +116,7 @@ def parse_tolerant(content: bytes) -> list[list]:
 def nodes(docs: DataFrame, tolerant: bool = False) -> DataFrame:
     """Node rows of ``docs`` (doc, content binary); documents that don't parse have none."""
     names = [f.split()[0] for f in FIELDS.split(", ")]
-    kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.map_(pa.string(), pa.string()), pa.string(), pa.string(), pa.int32(), pa.int32()]
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.map_(pa.string(), pa.string()), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -145,13 +151,14 @@ def _attr(name: str) -> Column:
     return F.try_element_at(F.col("attrs"), F.lit(name))
 
 
-def components(n: DataFrame) -> DataFrame:
+def components(n: DataFrame, trimmed: bool = True) -> DataFrame:
     """Components in document order: doc, comp_id, tag, level, id, unitid, unittitle, comp_depth, leaf."""
+    said = F.trim("text") if trimmed else F.col("text")
     did = n.where("tag = 'did'").select("doc", F.col("node_id").alias("did_id"), F.col("parent_id").alias("comp_id"))
     fields = n.where(F.col("tag").isin("unitid", "unittitle")).select("doc", F.col("parent_id").alias("did_id"), "tag", "ord", "text")
     first = fields.join(did, ["doc", "did_id"]).groupBy("doc", "comp_id").agg(
-        F.min_by(F.when(F.col("tag") == "unitid", F.trim("text")), F.when(F.col("tag") == "unitid", F.col("ord"))).alias("unitid"),
-        F.min_by(F.when(F.col("tag") == "unittitle", F.trim("text")), F.when(F.col("tag") == "unittitle", F.col("ord"))).alias("unittitle"),
+        F.min_by(F.when(F.col("tag") == "unitid", said), F.when(F.col("tag") == "unitid", F.col("ord"))).alias("unitid"),
+        F.min_by(F.when(F.col("tag") == "unittitle", said), F.when(F.col("tag") == "unittitle", F.col("ord"))).alias("unittitle"),
     )
     inner = n.where("tag = 'c'").select("doc", F.col("parent_id").alias("comp_id"), F.lit(False).alias("_leaf")).distinct()
     comps = n.where(F.col("tag").isin(*COMPONENTS)).select("doc", F.col("node_id").alias("comp_id"), "tag", _attr("level").alias("level"), _attr("id").alias("id"), "comp_depth")
@@ -227,9 +234,9 @@ def terms(n: DataFrame) -> DataFrame:
 
 
 def known(n: DataFrame) -> DataFrame:
-    """One row: the roles of links and the sources of terms, sorted."""
-    a = links(n).agg(F.array_sort(F.collect_set("role")).alias("roles"))
-    return a.join(terms(n).agg(F.array_sort(F.collect_set("source")).alias("sources")), F.lit(True))
+    """One row: the roles of links and the sources of indexing tags anywhere, sorted; empty ones don't count."""
+    said = lambda tags, name: F.array_sort(F.collect_set(F.when(F.col("tag").isin(*tags), F.nullif(_attr(name), F.lit("")))))
+    return n.agg(said(("dao", "daoloc"), "role").alias("roles"), said(TERMS, "source").alias("sources"))
 
 
 def finding_aids(n: DataFrame) -> DataFrame:

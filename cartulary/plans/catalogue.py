@@ -28,32 +28,9 @@ def _media(files: DataFrame) -> DataFrame:
     )
 
 
-def with_lookups(docs: DataFrame, heads: DataFrame, concordance: DataFrame, records: DataFrame, names: DataFrame, files: DataFrame, renamed: tuple[str, str]) -> DataFrame:
-    """``docs`` (doc, content) with what each document looks up, joined by keys that it holds.
-
-    heads: doc, eadid, unitid, repository · concordance: ir, unitid, id, n · records: unitid, osiros_id, n ·
-    names: contenu, type · files: name, s3_key, file_type.
-    """
-    n = xmltree.nodes(docs)
-    head = heads.select("doc", F.array(*(F.struct(F.lit(k).alias("k"), F.col(k).alias("v")) for k in ("eadid", "unitid", "repository"))).alias("head"))
-    ids = concordance.groupBy(F.col("ir")).agg(F.array_sort(F.collect_list(F.struct("n", "unitid", "id"))).alias("ids")).join(heads.select("doc", F.col("eadid").alias("ir")), "ir").drop("ir")
-    held = n.where("tag = 'unitid'").select("doc", F.col("text").alias("unitid")).distinct()
-    rec = held.join(survive.last_per_key(records, "unitid", "osiros_id", "n"), "unitid").groupBy("doc").agg(F.collect_list(F.struct(F.col("unitid").alias("k"), F.col("osiros_id").alias("v"))).alias("records"))
-    said = n.where(F.col("tag").isin("name", "persname")).select("doc", F.trim("text").alias("contenu")).distinct().join(names.dropna(subset=["contenu"]), "contenu")
-    people = said.groupBy("doc").agg(F.collect_set(F.when(F.col("type") == "persname", F.col("contenu"))).alias("persons"), F.collect_set(F.when(F.col("type") == "corpname", F.col("contenu"))).alias("bodies"))
-    s = K.stem(K.basename(F.col("href")))
-    stems = xmltree.links(n).where("href is not null").select("doc", F.explode(F.array_distinct(F.array(s, K.renamed(s, *renamed) if renamed[0] else s))).alias("stem")).distinct()
-    index = media_index(files)
-    media = stems.join(index, "stem").groupBy("doc").agg(F.collect_list(F.struct("stem", "family", "variant", "s3_key")).alias("media"))
-    spoken = _media(files).where("upper(variant) = 'TI' and ext = '.mp3'").groupBy("stem").agg(F.max("s3_key").alias("v"))
-    spoken = stems.join(spoken, "stem").groupBy("doc").agg(F.collect_list(F.struct(F.col("stem").alias("k"), "v")).alias("audio"))
-    ocr = files.where("file_type = 'ocr xml' and s3_key is not null").groupBy(K.stem(F.col("name")).alias("stem")).agg(F.max("s3_key").alias("v"))
-    texts = stems.join(ocr, "stem").groupBy("doc").agg(F.collect_list(F.struct(F.col("stem").alias("k"), "v")).alias("ocr"))
-    out = docs
-    for part in (head, ids, rec, people, media, spoken, texts):
-        out = out.join(part, "doc", "left")
-    pairs = "array<struct<k:string,v:string>>"
-    return out.withColumn("head", F.col("head").cast(pairs))
+def spoken_files(files: DataFrame) -> DataFrame:
+    """stem, s3_key: the MP3 of the variant TI of each stem, the last by key."""
+    return _media(files).where("upper(variant) = 'TI' and ext = '.mp3'").groupBy("stem").agg(F.max("s3_key").alias("s3_key"))
 
 
 def check_ranges(members: DataFrame, files: DataFrame) -> DataFrame:

@@ -828,11 +828,3 @@ def _batch_dryrun(docs):
     from cartulary.operators import xmledit
 
     return xmledit.batch(docs, "rename_role", {"old": "preservation:image", "new": "preservation:tif"}).drop("content")
-
-
-@query(None)
-def q_rewrite_documents(spark, sf):
-    from cartulary.operators import xmledit
-
-    out = xmledit.rewrite_all(_finding_aids(table(spark, sf, "orders"), by_month=True), xmledit.Rules("https://links.example/"))
-    return out.select("doc", F.length("content").alias("size"), F.size("new_ids").alias("new_ids"), "error")

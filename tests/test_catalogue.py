@@ -1,188 +1,273 @@
-"""Documents, their edits, extraction and generation.  The fixture follows the described sample finding aid."""
+"""Documents, their edits, extraction, generation and rewrite, on a small harbour archive."""
 
 from __future__ import annotations
 
 import datetime
+import random
 import xml.etree.ElementTree as ET
 
 import pytest
 from pyspark.sql import functions as F
 
 from cartulary.operators import xmledit as X, xmltree
-from cartulary.operators.xmldoc import Document
-from cartulary.plans import catalogue, queries as Q
-
-FOO = b"""<?xml version='1.0' encoding='UTF-8'?>
-<!DOCTYPE ead PUBLIC "+//ISBN 1-931666-00-8//DTD ead.dtd (Encoded Archival Description (EAD) Version 2002)//EN" "ead2002/ead.dtd">
-<ead audience="external">
-  <eadheader><eadid>OLD</eadid><filedesc><titlestmt><titleproper>Foo &amp; co</titleproper></titlestmt></filedesc></eadheader>
-  <archdesc level="collection">
-    <did>
-      <unitid>MED_FOO</unitid>
-      <unittitle>Foo</unittitle>
-      <repository>Here</repository>
-    </did>
-    <controlaccess>
-      <genreform>photo</genreform>
-      <subject source="theme">Sports</subject>
-      <persname> Jane Doe </persname>
-      <!-- a comment -->
-    </controlaccess>
-    <dao href="https://x.example/ark:/1" role="publication:current"/>
-    <dsc type="in-depth">
-      <c level="series">
-        <did><unitid>FOO_S01</unitid><origination><name>ACME</name></origination></did>
-        <c level="file">
-          <did><unitid>FOO_S01_D01</unitid><repository>There</repository></did>
-          <dao href="d/A_01.mp3" role="access:audio"/>
-          <daogrp>
-            <daoloc href="https://x.example/ark:/2" role="publication:previous"/>
-            <daoloc href="P_08.jpg" role="access:image:first"/>
-            <daoloc href="P_10.jpg" role="access:image:last"/>
-          </daogrp>
-        </c>
-        <c level="file">
-          <did><unitid>FOO_S01_D02</unitid></did>
-          <dao href="d/A_02.mp3" role="access:audio"/>
-        </c>
-        <c level="file">
-          <did><unitid>FOO_S01_D03</unitid></did>
-          <dao href="d/A_03.mp3" role="access:audio"/>
-          <dao href="https://x.example/ark:/3" role="publication:previous"/>
-        </c>
-      </c>
-    </dsc>
-  </archdesc>
+from cartulary.operators.xmldoc import Document, Element
+from cartulary.plans import catalogue, document_queries as D, queries as Q, rewrite as W
+
+HARBOUR = """<?xml version="1.0" encoding="utf-8"?>
+<?view plain?>
+<ead>
+\t<eadheader><eadid>H-0</eadid><filedesc><titlestmt><titleproper>Harbour &lt;office&gt;</titleproper></titlestmt></filedesc></eadheader>
+\t<archdesc level='fonds' id="top">
+\t\t<did><unitid> H </unitid><unittitle>Harbour</unittitle><repository>Cellar</repository><origination><persname role="p">Ida Berg</persname> and <name>Pilots</name></origination></did>
+\t\t<dsc>
+\t\t\t<c level="series"><did><unitid>H/1</unitid><unittitle>Log books</unittitle></did>
+\t\t\t\t<controlaccess><!-- kept --><subject>Tide</subject><subject source=""> Tide </subject><subject source="s">Tide</subject><name>Pilots</name><name>Nobody</name></controlaccess>
+\t\t\t\t<c id="k7"><did><unitid>H/1/7</unitid><repository>Attic</repository></did>
+\t\t\t\t\t<daogrp><daodesc><p>Scans</p></daodesc><daoloc href="b/log_7.jpg" role="image"/><daoloc href="b/log_8.jpg" role="image"/></daogrp>
+\t\t\t\t\t<daogrp><daodesc><p>Scans </p></daodesc><daoloc href="b/log_7.jpg" role="image"/><daoloc href="b/log_9.jpg" role="image" audience="internal"/></daogrp>
+\t\t\t\t</c>
+\t\t\t\t<c><did><unitid>H/1/8</unitid></did><dao href="song_1.mp3" role="mp3"/><dao href="film.mov" role="access:video"/></c>
+\t\t\t\t<c><did><unittitle>Unnumbered</unittitle></did></c>
+\t\t\t</c>
+\t\t</dsc>
+\t</archdesc>
 </ead>
-"""
+<!-- end -->
+""".encode()
 
 
 @pytest.fixture
-def doc():
-    return Document.load(FOO)
-
-
-def test_roundtrip_is_identical_and_keeps_the_prolog(doc):
-    assert doc.to_bytes() == FOO and b"<!DOCTYPE ead PUBLIC" in doc.to_bytes()
-    for bad in (b"<a><b></a>", b"", b"text", b"<a/><b/>"):
-        with pytest.raises(ValueError):
-            Document.load(bad)
-
-
-def test_components_and_entries(doc):
-    comps = doc.components()
-    assert comps[0][0].tag == "archdesc" and [e.tag for e, _ in comps].count("c") == 4
-    depth = {e.find("did/unitid").text: d for e, d in comps}
-    assert depth["FOO_S01"] < depth["FOO_S01_D01"]
-    assert [e.get("role") for e in doc.dao_entries(doc.component("MED_FOO"))] == ["publication:current"]
-    assert {e.tag for e in doc.dao_entries(doc.component("FOO_S01_D01"))} == {"dao", "daoloc"}
-    assert [t.tag for t in doc.term_entries(doc.component("MED_FOO"))] == ["genreform", "subject", "persname"]
-    assert doc.known_sources() == ["theme"] and "access:audio" in doc.known_roles()
-
-
-def test_add_and_remove_links(doc):
-    arch = doc.component("MED_FOO")
-    new = X.add_dao(arch, "T.jpg", "access:image")
-    assert len(doc.dao_entries(arch)) == 2 and new.parent is arch
-    assert b'<dao href="T.jpg" role="access:image"/>\n    <dsc' in doc.to_bytes()
-    assert X.remove_dao(new) == 1 and doc.to_bytes() == FOO
-    d01 = doc.component("FOO_S01_D01")
-    inner = X.add_dao(d01, "X.jpg", "access:image", into_group=True)
-    assert inner.tag == "daoloc" and inner.parent.tag == "daogrp"
-    for e in [c for c in d01.find("daogrp").children()]:
-        X.remove_dao(e)
-    assert d01.find("daogrp") is None
+def harbour():
+    return Document.load(HARBOUR)
+
+
+def table(spark, *contents):
+    return spark.createDataFrame([(f"{n}.xml", None if c is None else bytearray(c)) for n, c in contents], "doc string, content binary")
+
+
+def unit(document, mark):
+    return document.component(mark)
+
+
+def links(e):
+    return [(x.tag, x.get("href"), x.get("role")) for x in Document.dao_entries(e)]
+
+
+# ---- what is read is written ----
+
+
+@pytest.mark.parametrize("text", [HARBOUR, b"\xef\xbb\xbf<a x='1'>&#233;<b/><![CDATA[<]]></a>", "<?xml version='1.0' encoding='iso-8859-1'?><é>ü</é>".encode("latin-1").replace(b"\xe9", b"e"), b"<!DOCTYPE a [<!ENTITY x 'y'>]><a >\r\n</a >"])
+def test_unedited_documents_keep_every_byte(text):
+    assert Document.load(text).to_bytes() == text
+
+
+@pytest.mark.parametrize("text", [b"", b"words", b"<a>", b"</a>", b"<a></b>", b"<a/><a/>"])
+def test_what_is_not_well_formed_is_refused(text):
     with pytest.raises(ValueError):
-        X.add_dao(arch, "", "x")
-
-
-def test_attributes_and_counts(doc):
-    e = doc.dao_entries(doc.component("MED_FOO"))[0]
-    assert X.set_dao_attr(e, e.get("href"), e.get("role"), "internal") == 1
-    assert X.set_dao_attr(e, e.get("href"), e.get("role"), "") == 1 and "audience" not in e.attrs
-    assert X.set_dao_attr(e, e.get("href"), e.get("role"), "") == 0
-    assert X.replace_in_href(doc.root, "https://x.example", "https://x.example/v2") == 3
-    assert X.replace_in_href(doc.root, r"\.mp3$", ".ogg", regex=True, role="access:audio") == 3
-    assert X.rename_role(doc.root, "publication:previous", "publication:archived") == 2
-    assert X.rename_role(doc.root, "publication:previous", "x") == 0
-    assert X.set_audience(doc.root, "internal", "access:audio") == 3 and X.set_audience(doc.root, "internal", "access:audio") == 0
-
-
-def test_terms(doc):
-    arch = doc.component("MED_FOO")
-    ca = X.controlaccess(arch)
-    assert ca is arch.find("controlaccess")
-    t = X.add_term(ca, "subject", "Football <x>", "theme")
-    assert X.edit_term(t, "geogname", "Town", "geo") == 1 and X.edit_term(t, "geogname", "Town", "geo") == 0 and X.remove_term(t) == 1
-    assert X.replace_term_text(doc.root, "Sports", "Sport", "subject") == 1 and X.replace_term_text(doc.root, "Jane Doe", "Jane Doe") == 1
-    assert X.normalize_source(doc.root, {"theme": "t2", "x": "x"}) == 1 and X.normalize_source(doc.root, {"t2": "t2"}) == 0
-    X.add_term(ca, "subject", "Sport", "t2")
-    assert X.dedupe_terms(ca) == 1
-    made = X.controlaccess(doc.component("FOO_S01_D01"))
-    order = [c.tag for c in doc.component("FOO_S01_D01").children()]
-    assert made.parent is not None and order.index("controlaccess") < order.index("dao")
-    assert ET.fromstring(doc.to_bytes()).tag == "ead"
-
-
-def test_rewrite_passes():
-    l = X.Lookups(
-        {"eadid": "NEW", "unitid": "U", "repository": "R"}, [("FOO_S01", "m0kept")], {"FOO_S01_D02": "REC2"}, frozenset(["Jane Doe"]), frozenset(["ACME"]),
-        {("A_01", "audio"): {"TI": "K/A_01_TI.wav", "96kHz24B": "K/A_01_96kHz24B.wav"}}, {}, {"A_01": "K/A_01_TI.mp3"},
-    )
-    rules = X.Rules("https://y.example/", "m0", 1_700_000_000, {"genreform": "g.xml"}, {("subject", "theme"): "t.xml"})
-    out, made = X.rewrite(FOO, "foo.xml", l, rules)
-    again, _ = X.rewrite(FOO, "foo.xml", l, rules)
-    assert out == again
-    root = ET.fromstring(out)
-    assert root.findtext(".//eadid") == "NEW" and root.findtext("archdesc/did/unitid") == "U" and len(root.findall(".//repository")) == 1
-    assert root.find(".//c").get("id") == "m0kept" and len(made) == 4 and len({i for _, i in made}) == 4
-    assert root.find(".//origination") is None and [e.text for e in root.iter("corpname")] == ["ACME"]
-    assert root.find(".//subject").get("source") == "t.xml" and root.find(".//genreform").get("source") == "g.xml" and root.find(".//persname").text == "Jane Doe"
-    d01 = [c for c in root.iter("c") if c.findtext("did/unitid") == "FOO_S01_D01"][0]
-    roles = [e.get("role") for e in d01.find("daogrp")]
-    assert roles[:2] == ["preservation:audio", "preservation:audio"] and "publication:current" in roles
-    assert [e.get("href") for e in d01.iter("daoloc") if e.get("role") == "preservation:audio"] == ["K/A_01_96kHz24B.wav", "K/A_01_TI.wav"]
-    d02 = [c for c in root.iter("c") if c.findtext("did/unitid") == "FOO_S01_D02"][0]
-    assert {e.get("href") for e in d02.iter("daoloc") if e.get("role") == "publication:previous"} == {"https://y.example/REC2"}
-
-
-def test_batch_is_dry_unless_told(spark):
-    docs = spark.createDataFrame([("a.xml", bytearray(FOO)), ("b.xml", bytearray(b"<broken>")), ("c.xml", None)], "doc string, content binary")
-    got = {r.doc: r for r in X.batch(docs, "rename_role", {"old": "access:audio", "new": "x"}).collect()}
-    assert got["a.xml"].n_changes == 3 and got["a.xml"].content is None and got["b.xml"].error and got["c.xml"].error
-    done = X.batch(docs, "rename_role", {"old": "access:audio", "new": "x"}, write=True)
-    assert b'role="x"' in {r.doc: r for r in done.collect()}["a.xml"].content
-    t = X.batch_totals(done).first()
-    assert (t.files, t.changed, t.changes, t.errors) == (3, 1, 3, 2)
-
-
-def test_node_table_and_extractions(spark):
-    docs = spark.createDataFrame([("foo.xml", bytearray(FOO)), ("bad.xml", bytearray(b"<ead><c>"))], "doc string, content binary")
+        Document.load(text)
+
+
+def test_views(harbour):
+    assert [(e.tag, e.get("id"), depth) for e, depth in harbour.components()] == [("archdesc", "top", 1), ("c", None, 3), ("c", "k7", 4), ("c", None, 4), ("c", None, 4)]
+    assert unit(harbour, "H/1/9") is None and unit(harbour, "H").tag == "archdesc"
+    assert len(links(unit(harbour, "H/1/7"))) == 4 and links(unit(harbour, "H/1")) == []
+    assert [t.tag for t in harbour.term_entries(unit(harbour, "H/1"))] == ["subject"] * 3 + ["name"] * 2
+    assert harbour.known_roles() == ["access:video", "image", "mp3"] and harbour.known_sources() == ["s"]
+
+
+def test_sources_are_known_outside_of_terms_too():
+    d = Document.load(b"<ead><archdesc><did><origination><persname source='list'>A</persname></origination></did><controlaccess><p source='no'/></controlaccess></archdesc></ead>")
+    assert d.known_sources() == ["list"]
+
+
+# ---- single edits ----
+
+
+def test_a_link_is_put_and_taken_without_a_trace(harbour):
+    for mark in ("H", "H/1", "H/1/7", "H/1/8"):
+        made = X.add_dao(unit(harbour, mark), "n.jpg", "image", "internal")
+        where = made.parent.children()
+        later = where[where.index(made) + 1 :]
+        assert made.attrs == {"href": "n.jpg", "role": "image", "audience": "internal"} and all(c.tag in ("c", "dsc") for c in later)
+        assert X.remove_dao(made) == 1 and X.remove_dao(made) == 0
+    assert harbour.to_bytes() == HARBOUR
+
+
+def test_a_group_goes_with_its_last_link(harbour):
+    e = unit(harbour, "H/1/7")
+    first = X.add_dao(e, "n.jpg", "image", into_group=True).parent
+    assert first is e.find("daogrp") and len(first.children()) == 4
+    for x in first.children()[1:]:
+        X.remove_dao(x)
+    assert first.parent is e  # its description stays
+    assert X.remove_dao(first.children()[0]) == 1 and first.parent is None
+    assert X.add_dao(unit(harbour, "H/1/8"), "n.jpg", "image", into_group=True).tag == "dao"  # there is no group
+
+
+@pytest.mark.parametrize("href, role", [("", "image"), ("x", ""), ("", "")])
+def test_links_need_href_and_role(harbour, href, role):
+    with pytest.raises(ValueError):
+        X.add_dao(unit(harbour, "H"), href, role)
+
+
+def test_attributes_tell_whether_they_changed():
+    e = Element("dao", {"href": "a", "role": "r"})
+    assert [X.set_dao_attr(e, *x) for x in (("a", "r"), ("b", "r"), ("b", "r", "external"), ("b", "r", "external"), ("b", "r"))] == [0, 1, 1, 0, 1]
+
+
+def test_terms_are_added_edited_and_removed(harbour):
+    e = unit(harbour, "H/1/8")
+    access = X.controlaccess(e)
+    assert [c.tag for c in e.children()] == ["did", "controlaccess", "dao", "dao"] and X.controlaccess(e) is access
+    t = X.add_term(access, "", "Ropes & sails")
+    assert t.tag == "subject" and b"<subject>Ropes &amp; sails</subject>" in harbour.to_bytes()
+    assert [X.edit_term(t, "title", "Ropes", "x"), X.edit_term(t, "title", "Ropes", "x"), X.edit_term(t, "title", "Ropes")] == [1, 0, 1]
+    assert X.remove_term(t) == 1 and X.remove_term(t) == 0
+    with pytest.raises(ValueError):
+        X.add_term(access, "subject", " ")
+
+
+# ---- counted edits ----
+
+
+def test_counted_edits_of_links(harbour):
+    r = harbour.root
+    assert X.replace_in_href(r, "b/log_", "c/log_") == 4 and X.replace_in_href(r, "b/log_", "c/log_") == 0
+    assert X.replace_in_href(r, r"_(\d)\.", r"-\1.", regex=True, role="mp3") == 1 and links(unit(harbour, "H/1/8"))[0][1] == "song-1.mp3"
+    assert X.rename_role(r, "image", "access:image") == 4 and X.rename_role(r, "image", "x") == 0
+    assert X.set_audience(r, "internal", "access:image") == 3 and X.set_audience(r, "internal") == 2 and X.set_audience(r, "") == 6
+
+
+def test_counted_edits_of_terms_reach_the_whole_tree(harbour):
+    r = harbour.root
+    assert X.replace_term_text(r, "Pilots", "Pilots") == 2  # in the origination and among the terms; no change counts too
+    assert X.replace_term_text(r, "Ida Berg", "I. Berg", "persname") == 1 and X.replace_term_text(r, "Tide", "Tides", "title") == 0
+    assert X.normalize_source(r, {"s": "list"}) == 1 and X.normalize_source(r, {"list": "list"}) == 0 and X.normalize_source(r, {"": "own"}) == 6
+    assert {e.get("source") for e in r.iter("persname", "name")} == {"own"}
+
+
+def test_no_source_and_an_empty_one_are_alike(harbour):
+    access = unit(harbour, "H/1").find("controlaccess")
+    assert X.dedupe_terms(access) == 1 and [(t.text, t.get("source")) for t in access.children()][:2] == [("Tide", None), ("Tide", "s")]
+    assert X.dedupe_all(harbour.root) == 0 and b"<!-- kept -->" in harbour.to_bytes()
+
+
+def test_a_batch_changes_nothing_unless_told(spark):
+    docs = table(spark, ("h", HARBOUR), ("bad", b"<a>"), ("none", None))
+    for write in (False, True):
+        out = X.batch(docs, "rename_role", {"old": "image", "new": "still"}, write)
+        got = {r.doc: r for r in out.collect()}
+        assert (got["h.xml"].n_changes, got["h.xml"].error) == (4, None) and got["bad.xml"].error and got["none.xml"].error
+        assert (got["h.xml"].content == HARBOUR.replace(b'role="image"', b'role="still"')) == write
+        assert tuple(X.batch_totals(out).first()) == (3, 1, 4, 2)
+    assert X.batch(docs.limit(1), lambda root: len(root.children()), {}).first().n_changes == 2
+
+
+# ---- nodes and extraction ----
+
+
+def test_nodes_agree_with_the_tree(spark):
+    got = xmltree.nodes(table(spark, ("h", HARBOUR), ("bad", b"<ead><c>"))).orderBy("node_id").collect()
+    tree = list(ET.fromstring(HARBOUR).iter())
+    assert [(r.tag, dict(r.attrs), r.text, r.tail) for r in got] == [(e.tag, e.attrib, e.text or "", e.tail or "" if i else "") for i, e in enumerate(tree)]
+    assert [r.last_id - r.node_id + 1 for r in got] == [len(list(e.iter())) for e in tree]
+    assert [r.inner for r in got if r.inner is not None] == ["Scans", "Scans "]
+
+
+def test_extractions(spark):
+    docs = table(spark, ("h", HARBOUR), ("bad", b"<ead><c>"))
     n = xmltree.nodes(docs).cache()
-    assert [r.doc for r in xmltree.unparsed(docs, n).collect()] == ["bad.xml"]
-    assert xmltree.nodes(docs, tolerant=True).where("doc = 'bad.xml'").count() == 2
+    assert [r.doc for r in xmltree.unparsed(docs, n).collect()] == ["bad.xml"] and xmltree.nodes(docs, tolerant=True).where("doc = 'bad.xml'").count() == 2
     comps = {r.unitid: r for r in xmltree.components(n).collect()}
-    assert set(comps) == {"MED_FOO", "FOO_S01", "FOO_S01_D01", "FOO_S01_D02", "FOO_S01_D03"}
-    assert comps["FOO_S01"].comp_depth == 1 and comps["FOO_S01_D01"].leaf and not comps["FOO_S01"].leaf and not comps["MED_FOO"].leaf
-    rows = xmltree.expanded_links(n, "src").collect()
-    spans = sorted((r.href, r.position) for r in rows if r.role == "access:image:plage")
-    assert spans == [("P_08.jpg", "first"), ("P_09.jpg", "intermediaire"), ("P_10.jpg", "last")]
-    assert {r.finding_aid for r in rows} == {"src_foo.xml"} and sum(r.position == "isole" for r in rows) == 6
-    assert {r.unitid: r.profondeur for r in rows}["FOO_S01_D01"] == 2
-    assert {r.href for r in xmltree.orphan_links(n, "", "").collect() if r.role == "access:audio"} == {"d/A_01.mp3", "d/A_02.mp3", "d/A_03.mp3"}
-    assert {(r.tag, r.text) for r in xmltree.terms(n).collect()} == {("genreform", "photo"), ("subject", "Sports"), ("persname", "Jane Doe")}
-    assert xmltree.finding_aids(n).where("doc = 'foo.xml'").first().titleproper == "Foo & co"
-    assert xmltree.known(n).first().sources == ["theme"]
-    assert {r.unitid: r.dao for r in xmltree.leaf_statistics(n).collect()} == {"FOO_S01_D01": "avec", "FOO_S01_D02": "avec", "FOO_S01_D03": "avec"}
+    assert {u: (r.comp_depth, r.leaf) for u, r in comps.items()} == {"H": (0, False), "H/1": (1, False), "H/1/7": (2, True), "H/1/8": (2, True), None: (2, True)}
+    assert xmltree.components(n, trimmed=False).where("unitid = ' H '").count() == 1
+    assert sorted((r.unitid or "", r.dao) for r in xmltree.leaf_statistics(n, ["image"]).collect()) == [("", "sans"), ("H/1/7", "avec"), ("H/1/8", "sans")]
+    assert tuple(xmltree.known(n).first()) == (["access:video", "image", "mp3"], ["s"])
+    head = xmltree.finding_aids(n).first()
+    assert (head.eadid, head.titleproper, head.unitid, head.repository) == ("H-0", "Harbour <office>", "H", "Cellar")
     nav = {r.unitid: r for r in xmltree.navigator(n).collect()}
-    assert nav["FOO_S01_D01"].parent_comp == nav["FOO_S01"].comp_id and nav["MED_FOO"].label == "MED_FOO — Foo"
-    c = xmltree.concepts(xmltree.terms(n), "th")
-    assert [(r.concept, r.slug) for r in c.collect()] == [("Sports", "sports")]
+    assert nav["H/1/8"].parent_comp == comps["H/1"].comp_id and nav[None].label == "? — Unnumbered" and nav["H/1"].label == "H/1 — Log books"
+    assert sorted(r.id for r in xmltree.component_ids(n).collect()) == ["k7"]
+    made = xmltree.concepts(xmltree.terms(n), "s")
+    assert [tuple(r) for r in made.collect()] == [("s", "Tide", "tide")]
     from cartulary.sources.writers import rdf_documents
 
-    made = rdf_documents(xmltree.triples(c, "http://t.example/")).first()
-    assert made.doc == "theme.rdf" and ET.fromstring(made.content.encode()) is not None
-    assert xmltree.triples(c, "http://t.example/").count() == 3
+    rdf = rdf_documents(xmltree.triples(made, "http://t.example/")).first()
+    assert rdf.doc == "s.rdf" and b"Tide" in ET.tostring(ET.fromstring(rdf.content.encode())) and xmltree.triples(made, "http://t.example/").count() == 3
+
+
+# ---- the rewrite ----
+
+
+def sources(spark):
+    heads = spark.createDataFrame([("h.xml", "H-1", "HH", "Tower")], W.SHAPES["heads"])
+    stored = spark.createDataFrame([("H-1", "H/1/8", "m0second", 1), ("H-1", "H/1/8", "m0third", 2), ("other", "H/1", "no", 1)], W.SHAPES["concordance"])
+    records = spark.createDataFrame([("H/1/7", "older", 1), ("H/1/7", "old7", 2), (" H ", "never", 3)], W.SHAPES["records"])
+    names = spark.createDataFrame([("Pilots", "persname"), ("Pilots", "corpname"), (None, "corpname")], W.SHAPES["names"])
+    files = spark.createDataFrame(
+        [("log_7.tif", "m/log_7.tif", "tiff"), ("log_9.tif", "m/log_9.tif", "tiff"), ("log_9.xml", "t/log_9.xml", "ocr xml"), ("sound_1_TI.wav", "w/sound_1_TI.wav", "audio"), ("sound_1_96kHz24B.wav", "w/sound_1_96kHz24B.wav", "audio"), ("sound_1_TI.mp3", "w/sound_1_TI.mp3", "audio"), ("film.mp4", None, "video")],
+        W.SHAPES["files"],
+    )
+    return W.Sources(heads, stored, records, names, files)
+
+
+def test_a_rewrite(spark):
+    rules = W.Rules("http://p/", "m0", 5, {"name": "people"}, {("subject", "s"): "subjects"}, ("song", "sound"))
+    out, new = W.rewrite_all(table(spark, ("h", HARBOUR), ("bad", b"<a>")), sources(spark), rules)
+    got = {r.doc: r for r in out.collect()}
+    assert got["bad.xml"].error.startswith("ValueError") and got["bad.xml"].content is None
+    d = Document.load(got["h.xml"].content)
+    r = d.root
+    assert [e.text for e in r.iter("eadid", "repository")] == ["H-1", "Tower"] and unit(d, "HH").get("id") == "top"
+    assert [(e.tag, e.text, e.get("source"), e.get("role")) for e in unit(d, "HH").find("controlaccess").children()] == [("persname", "Ida Berg", None, "p"), ("persname", "Pilots", None, None)]
+    assert [e.all_text().strip() for e in r.iter("origination")] == ["and"]
+    assert [(e.tag, e.text, e.get("source")) for e in unit(d, "H/1").find("controlaccess").children()] == [
+        ("subject", "Tide", None), ("subject", "Tide", None), ("subject", "Tide", "subjects"), ("corpname", "Pilots", None), ("name", "Nobody", "people"),
+    ]
+    assert links(unit(d, "H/1/7")) == [
+        ("daoloc", "m/log_7.tif", "preservation:image"), ("daoloc", "m/log_9.tif", "preservation:image"), ("daoloc", "m/log_7.jpg", "access:image"), ("daoloc", "b/log_8.jpg", "access:image"),
+        ("daoloc", "m/log_9.jpg", "access:image"), ("daoloc", "t/log_9.xml", "access:ocr"), ("daoloc", "http://p/k7", "publication:current"), ("daoloc", "http://p/old7", "publication:previous"),
+    ]
+    assert [len(e.children()) for e in unit(d, "H/1/7").children() if e.tag == "daogrp"] == [9] and unit(d, "H/1/7").find("daogrp").children()[5].get("audience") == "internal"
+    assert links(unit(d, "H/1/8")) == [
+        ("dao", "film.mov", "access:video"), ("daoloc", "w/sound_1_96kHz24B.wav", "preservation:audio"), ("daoloc", "w/sound_1_TI.wav", "preservation:audio"), ("daoloc", "w/sound_1_TI.mp3", "access:audio"),
+        ("daoloc", "http://p/m0second", "publication:current"),
+    ]
+    ids = {r.unitid: r.id for r in new.collect()}
+    assert set(ids) == {"H/1"} and unit(d, "H/1").get("id") == ids["H/1"] and ids["H/1"].startswith("m05")
+    assert links(unit(d, "H/1")) == [("dao", f"http://p/{ids['H/1']}", "publication:current")]
+    lone = [e for e, _ in d.components() if e.find("did/unittitle") is not None and e.find("did/unittitle").text == "Unnumbered"][0]
+    assert lone.get("id") and links(lone) == [("dao", f"http://p/{lone.get('id')}", "publication:current")]
+    again, _ = W.rewrite_all(table(spark, ("h", HARBOUR)), sources(spark), rules)
+    assert again.first().content == got["h.xml"].content
+
+
+def test_a_rewrite_without_lookups_and_of_nothing(spark):
+    out, new = W.rewrite_all(table(spark, ("h", HARBOUR)), W.Sources(), W.Rules("http://p/"))
+    d = Document.load(out.first().content)
+    assert d.root.find("eadheader/eadid").text == "H-0" and new.count() == 2 and len({e.get("id") for e, _ in d.components()}) == 5
+    none, new = W.rewrite_all(table(spark, ("h", HARBOUR)).limit(0), W.Sources(), W.Rules("http://p/"))
+    assert none.count() == 0 and new.count() == 0
+
+
+def test_groups_that_hold_nothing_take_links_and_copies_go(spark):
+    text = b"""<ead><archdesc id="a"><did><unitid>u</unitid></did><daogrp/><dao href="x.jpg" role="image"/><daogrp><daoloc href="y.jpg" role="r"/><daoloc href="y.jpg" role="r"/></daogrp>
+    <daogrp><daoloc href="y.jpg" role="r"/><dao href="z" role="q"/></daogrp></archdesc></ead>"""
+    files = spark.createDataFrame([("x.tif", "m/x.tif", "tiff")], W.SHAPES["files"])
+    out, _ = W.rewrite_all(table(spark, ("e", text)), W.Sources(files=files), W.Rules("http://p/"))
+    d = Document.load(out.first().content)
+    assert [(x.tag, x.get("href")) for x in d.root.iter("dao", "daoloc")] == [("daoloc", "m/x.tif"), ("daoloc", "m/x.jpg"), ("daoloc", "http://p/a"), ("daoloc", "y.jpg"), ("dao", "z")]
+    assert len(list(d.root.iter("daogrp"))) == 1
+
+
+def test_document_queries_take_every_customer(spark, tmp_path):
+    rng = random.Random(4)
+    customers = [(k, f"Customer {k}", k % 3, rng.choice(["BUILDING", "MACHINERY"])) for k in range(40)]
+    orders = [(k, rng.randrange(40), rng.choice("POF"), rng.choice(["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"])) for k in range(150)]
+    spark.createDataFrame(customers, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    assert D.q_doc_components(spark, str(tmp_path)).where("leaf").count() == 40
+    assert D.q_doc_links(spark, str(tmp_path)).agg(F.sum("n")).first()[0] == 150
 
 
 def test_preservation_range_beats_access(spark):
@@ -199,23 +284,6 @@ def test_preservation_range_beats_access(spark):
     assert (g.total, g.presents, g.manquants, g.taux) == (3, 2, 1, 66.7)
 
 
-def test_lookups_are_joined_per_document(spark):
-    docs = spark.createDataFrame([("foo.xml", bytearray(FOO))], "doc string, content binary")
-    heads = spark.createDataFrame([("foo.xml", "NEW", "U", "R")], "doc string, eadid string, unitid string, repository string")
-    conc = spark.createDataFrame([("NEW", "FOO_S01", "m0kept", 1), ("X", "FOO_S01", "no", 2)], "ir string, unitid string, id string, n int")
-    rec = spark.createDataFrame([("FOO_S01_D02", "OLD", 1), ("FOO_S01_D02", "REC2", 2), ("zzz", "no", 3)], "unitid string, osiros_id string, n int")
-    names = spark.createDataFrame([("ACME", "corpname"), ("Jane Doe", "persname"), (None, "persname")], "contenu string, type string")
-    files = spark.createDataFrame([("A_01_TI.wav", "K/A_01_TI.wav", "audio"), ("A_01_TI.mp3", "K/A_01_TI.mp3", "audio"), ("P_08.xml", "K/P_08.xml", "ocr xml"), ("P_08.jpg", "K/P_08.jpg", "jpeg"), ("P_08.tif", "M/P_08.tif", "tiff")], "name string, s3_key string, file_type string")
-    full = catalogue.with_lookups(docs, heads, conc, rec, names, files, ("", ""))
-    out = X.rewrite_all(full, X.Rules("https://y.example/")).first()
-    assert out.error is None and len(out.new_ids) == 4
-    root = ET.fromstring(out.content)
-    assert root.find(".//c").get("id") == "m0kept" and "https://y.example/REC2" in {e.get("href") for e in root.iter("daoloc")}
-    assert "K/P_08.xml" in {e.get("href") for e in root.iter("daoloc") if e.get("role") == "access:ocr"}
-    assert root.findtext(".//eadid") == "NEW" and "K/A_01_TI.mp3" in {e.get("href") for e in root.iter("daoloc") if e.get("role") == "access:audio"}
-    assert "M/P_08.tif" in {e.get("href") for e in root.iter("daoloc")} and "K/A_01_TI.wav" in {e.get("href") for e in root.iter("daoloc")}
-
-
 def test_generated_finding_aids(spark):
     files = spark.createDataFrame(
         [("P", "P_19050302", "x_2.tif", "/p", None), ("P", "P_19050302", "x_1.xml", "/p", None), ("P", "P_19050302", "x_1.tif", "/p", "k/x_1.tif"), ("P", "P_19041201", "y_1.tif", "/p", None), ("P", "undated", "z.tif", "/p", None)],
@@ -243,8 +311,6 @@ def test_finding_aids_take_every_order(spark, tmp_path):
     assert {r.doc for r in links} == docs
     assert {r.doc: r.leaves for r in Q.q_generated_components_all(spark, str(tmp_path)).collect()} == {x: len({d for _, p, d in days if x == f"PRA_{p[0]}_{d:%Y%m}.xml"}) for x in docs}
     assert sum(r.n_changes for r in Q.q_batch_dryrun_all(spark, str(tmp_path)).collect()) == len(days)
-    out = Q.q_rewrite_documents(spark, str(tmp_path)).collect()
-    assert {r.doc for r in out} == docs and all(r.error is None for r in out)
 
 
 def test_terms_are_compared_whole(spark, tmp_path):
@@ -262,5 +328,5 @@ def test_technical_metadata(spark):
 
 
 def test_sniffing(spark):
-    rows = [("/a/x.xml", bytearray(FOO)), ("/a/y.xml", bytearray(b"<other/>")), ("/a/x.txt", bytearray(FOO)), ("/a/Z.XML", bytearray(b"<ead>"))]
+    rows = [("/a/x.xml", bytearray(HARBOUR)), ("/a/y.xml", bytearray(b"<other/>")), ("/a/x.txt", bytearray(HARBOUR)), ("/a/Z.XML", bytearray(b"<ead>")), ("/a/late.xml", bytearray(b" " * 5000 + b"<ead>"))]
     assert {r.path for r in xmltree.sniff(spark.createDataFrame(rows, "path string, content binary")).collect()} == {"/a/x.xml", "/a/Z.XML"}
