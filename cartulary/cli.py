@@ -7,15 +7,21 @@ outputs are gzipped CSV folders, or Parquet where the name ends in ``.parquet``.
 from __future__ import annotations
 
 import argparse
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from cartulary.functions import keys as K
 from cartulary.operators import aggregates, enrich, sampling, survive
 from cartulary.plans import catalogue
+from cartulary.operators.materialise import written
+from cartulary.plans.images import resolution_recap
 from cartulary.plans.reconcile import rebuild
 from cartulary.schemas import INVENTORY, RECAP, REFERENCE
-from cartulary.sources import readers, writers
+from cartulary.sources import clients, readers, writers
+
+IMAGES = StructType([StructField("corpus", StringType()), *(StructField(c, DoubleType()) for c in ("width", "height", "dpi"))])
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
@@ -90,6 +96,28 @@ def rebuild_reference(spark: SparkSession, a) -> DataFrame:
     return rebuild(old, typed(load(spark, a.input), INVENTORY), a.year, a.source, [f.name for f in REFERENCE.fields])
 
 
+def harvest(spark: SparkSession, a) -> DataFrame:
+    sets = spark.createDataFrame(clients.harvest_sets(a.input), "setspec string, setname string")
+    return readers.harvest(spark, sets.repartition(max(1, sets.count())), clients.harvest_records(a.input), a.prefix, a.replacement)
+
+
+def transfer(spark: SparkSession, a) -> DataFrame:
+    """The log also tells how many files ended in each state."""
+    log = written(writers.copy_files(load(spark, a.input), a.source, a.destination, Path(a.input.rstrip("/")).name.split(".")[0]), "copies")
+    for r in log.groupBy("statut").count().orderBy("statut").collect():
+        print(f"{r.statut}: {r['count']}")
+    return log
+
+
+def checksums(spark: SparkSession, a) -> DataFrame:
+    return readers.digests(readers.discover(spark, a.input, a.pattern))
+
+
+def images(spark: SparkSession, a) -> DataFrame:
+    rows = typed(load(spark, a.input), IMAGES)
+    return resolution_recap(rows, F.lit(a.factor), a.floor)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="cartulary", description=__doc__)
     jobs = top.add_subparsers(dest="job", required=True)
@@ -113,6 +141,10 @@ def parser() -> argparse.ArgumentParser:
     job("pivot", pivot, ("--index", many), ("--columns", {"nargs": "*", "default": []}), ("--values", many), ("--aggfunc", {"nargs": "+", "default": ["mean"], "choices": ["mean", "median", "sum", "count"]}), ("--decimales", {"type": int, "default": 2}))
     job("summary", summary, ("--marqueur", need), ("--decimales", {"type": int, "default": 2}))
     job("rebuild", rebuild_reference, ("--ref", need), ("--year", {"type": int, "required": True}), ("--source", {"default": "az"}))
+    job("harvest", harvest, ("--prefix", need), ("--replacement", need))
+    job("transfer", transfer, ("--source", need), ("--destination", need))
+    job("checksums", checksums, ("--pattern", {"default": "*"}))
+    job("image-recap", images, ("--factor", {"type": float, "required": True}), ("--floor", {"type": float, "default": 2000.0}))
     return top
 
 

@@ -269,3 +269,17 @@ def _slug(t: str) -> str:
 def uri_slug(x: pd.Series) -> pd.Series:
     """NFKD without combining marks, blanks and hyphens to underscores, lower case, letters, digits and underscores only."""
     return x.map(_slug, na_action="ignore")
+
+
+def sent_or_exempt(uploaded: Column, corpus: Column, source: Column, exempt: Sequence[tuple[str, str]]) -> Column:
+    """Whether a file was uploaded (truth value or text), or is of a (corpus, source) that never is; never null."""
+    test = flag(uploaded)
+    for code, origin in exempt:
+        test = test | F.coalesce((corpus == code) & (source == origin), F.lit(False))
+    return test
+
+
+def mentions(text: Column, mark: str, regex: bool = False) -> Column:
+    """Whether a text holds a mark; a null text doesn't."""
+    known = F.coalesce(text, F.lit(""))
+    return known.rlike(mark) if regex else F.contains(known, F.lit(mark))

@@ -17,6 +17,30 @@ def histogram_text(df: DataFrame, keys: Sequence[str], column: str, name: str, m
     return counts.groupBy(*keys).agg(text.alias(name))
 
 
+def role_counts(df: DataFrame, keys: Sequence[str], flags: dict[str, Column], total: str = "total", rest: str = "reste") -> DataFrame:
+    """Per key the rows, the rows of each flag, and the rows without the first flag."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias(total), *(F.count_if(c).alias(n) for n, c in flags.items()))
+    return counts.withColumn(rest, F.col(total) - F.col(next(iter(flags))))
+
+
+def totals_by(df: DataFrame, row: str, column: str, measures: dict[str, Column], total: str = "Total") -> DataFrame:
+    """Several measures by row and column, in long form, with a total of each row and one of all; null keys are left out."""
+    known = df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
+    rolled = known.rollup(row, column).agg(*(m.alias(n) for n, m in measures.items()), F.grouping_id().alias("_g"))
+    return rolled.select(
+        F.when(F.col("_g") == 3, total).otherwise(F.col(row).cast("string")).alias(row), F.when(F.col("_g") > 0, total).otherwise(F.col(column).cast("string")).alias(column), *measures
+    )
+
+
+def spread(df: DataFrame, keys: Sequence[str], medians: dict[str, Column], quartiles: dict[str, Column], counts: dict[str, Column]) -> DataFrame:
+    """Per key the rows, exact medians, first and third quartiles (name_q1, name_q3), and rows that pass tests."""
+    at = lambda c, p: F.percentile(c, F.lit(p))
+    return df.groupBy(*keys).agg(
+        F.count("*").alias("n"), *(at(c, 0.5).alias(n) for n, c in medians.items()), *(at(c, p).alias(f"{n}_{q}") for n, c in quartiles.items() for q, p in (("q1", 0.25), ("q3", 0.75))),
+        *(F.count_if(c).alias(n) for n, c in counts.items()),
+    )
+
+
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     """100 * part / whole in decimals, half to even; null for an empty whole."""
     return F.bround(F.try_divide(F.lit(100).cast("decimal(20,6)") * part.cast("decimal(20,0)"), whole.cast("decimal(20,0)")), digits).cast("double")

@@ -81,3 +81,19 @@ def full_outer_using(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Full outer join; columns of the right replace those of the left that share their name."""
     shared = [c for c in left.columns if c in right.columns and c != key]
     return left.drop(*shared).join(right, key, "full_outer")
+
+
+def with_technical(files: DataFrame, technical: DataFrame) -> DataFrame:
+    """Files (path, name) that have technical metadata, with its columns, by their uri."""
+    uri = F.concat_ws("/", "path", "name")
+    return files.withColumn("uri", uri).join(technical, F.col("uri") == F.col("jhove_uri"))
+
+
+def type_mismatches(files: DataFrame) -> DataFrame:
+    """Rows of ``with_technical`` whose two media types differ; an unknown type differs from any."""
+    return files.where(~F.coalesce(F.col("mimetype") == F.col("jhove_mimeType"), F.lit(False)))
+
+
+def swapped(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Two columns with their values exchanged, as old snapshots need it whose dates were the wrong way round."""
+    return df.withColumns({a: F.col(b), b: F.col(a)})

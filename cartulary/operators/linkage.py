@@ -64,12 +64,6 @@ def match_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], carry:
     return Tier(hit.ok, hit.left.unionByName(rest[0]), hit.right.unionByName(rest[1]))
 
 
-def left_split(left: DataFrame, right: DataFrame, keys: Sequence[str], carry: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Left match on keys that no left row shares, split into matched and unmatched rows."""
-    tier = match_unique(left, right, keys, carry)
-    return tier.ok, tier.left
-
-
 def still_wanted(right: DataFrame, consumed: DataFrame, known: Sequence[DataFrame], identity: str = "uuid", checksum: str = "checksum_md5") -> DataFrame:
     """Reference rows not consumed yet whose checksum occurs among the known rows."""
     sums = reduce(lambda a, b: a.unionByName(b), (k.select(checksum) for k in known)).distinct()
@@ -104,3 +98,16 @@ def conserved(whole: DataFrame, *parts: DataFrame) -> DataFrame:
     n = whole.agg(F.count("*").alias("whole"))
     m = reduce(lambda a, b: a.unionByName(b), (p.agg(F.count("*").alias("n")) for p in parts)).agg(F.sum("n").alias("parts"))
     return n.join(m, F.lit(True)).select("whole", "parts", (F.col("whole") == F.col("parts")).alias("holds"))
+
+
+def column_difference(a: DataFrame, b: DataFrame) -> list[str]:
+    """Columns that only one of two tables has, sorted."""
+    return sorted(set(a.columns) ^ set(b.columns))
+
+
+def stacked(tables: Sequence[DataFrame]) -> DataFrame:
+    """Tables one below the other by column name; what a table lacks is null there."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t, allowMissingColumns=True)
+    return out

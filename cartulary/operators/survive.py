@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cartulary.operators.materialise import written
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The first row of each key (null keys together) in a stated order, which must be total."""
@@ -39,6 +41,8 @@ def best_format(df: DataFrame, keys: Sequence[str], extension: str, order: Seque
 
 # Texts of the decision table.
 TRANSFER, KEEP_BACK = "transférer", "ne pas transférer"
+COPIES, PUT_ASIDE, RESIDUAL, NOT_SENT = "doublon (%d copies, %d écartée(s))", " : écarté — copie non retenue", "doublon résiduel sur ", " : non transféré ("
+UNIQUE, KEPT, NEWEST, UNDATED, SAME_DATE = "unique : à transférer", " : conservé — ", "modif. la plus récente", "1er (dates absentes)", "1er (dates égales)"
 CONFLICT = {"checksum_md5": "même contenu sous des noms différents", "name": "même nom pour des contenus différents"}
 
 
@@ -62,24 +66,24 @@ def decide_transfers(df: DataFrame, key: Sequence[str], sort: Sequence[str], dat
         (F.row_number().over(group.orderBy(*order)) == 1).alias("_stands"),
     )
     at_newest = F.sum(F.when((F.col("_date") == F.col("_newest")) & complete, 1).otherwise(0)).over(group)
-    marked = marked.withColumn("_at_newest", at_newest)
-    for k in key:
-        others = F.sum(F.col("_stands").cast("int")).over(Window.partitionBy(k))
-        marked = marked.withColumn(f"_clash_{k}", F.col("_stands") & (others > 1))
+    marked = written(marked.withColumn("_at_newest", at_newest), "marked")
+    for k in key:  # a common part of the key is counted before it meets its rows
+        several = marked.where("_stands").groupBy(F.col(k).alias("_part")).count().where("count > 1").select("_part", F.lit(True).alias("_several"))
+        marked = marked.join(several, F.col(k).eqNullSafe(F.col("_part")), "left").withColumn(f"_clash_{k}", F.col("_stands") & F.coalesce("_several", F.lit(False))).drop("_part", "_several")
     clashes = F.filter(F.array(*(F.when(F.col(f"_clash_{k}"), F.lit(k)) for k in key)), lambda c: c.isNotNull())
     reasons = F.filter(F.array(*(F.when(F.col(f"_clash_{k}"), F.lit(CONFLICT.get(k, k))) for k in key)), lambda c: c.isNotNull())
     n = F.col("_copies")
-    copies = F.format_string("doublon (%d copies, %d écartée(s))", n, n - 1)
+    copies = F.format_string(COPIES, n, n - 1)
     motive = (
-        F.when(F.col("_at_newest") == 1, F.lit("modif. la plus récente"))
-        .when(F.col("_date").isNull(), F.lit("1er (dates absentes)"))
-        .otherwise(F.lit("1er (dates égales)"))
+        F.when(F.col("_at_newest") == 1, F.lit(NEWEST))
+        .when(F.col("_date").isNull(), F.lit(UNDATED))
+        .otherwise(F.lit(SAME_DATE))
     )
     treatment = (
-        F.when(~F.col("_stands"), F.concat(copies, F.lit(" : écarté — copie non retenue")))
-        .when(F.size(clashes) > 0, F.concat(F.lit("doublon résiduel sur "), F.array_join(clashes, ", "), F.lit(" : non transféré ("), F.array_join(reasons, " ; "), F.lit(")")))
-        .when(n == 1, F.lit("unique : à transférer"))
-        .otherwise(F.concat(copies, F.lit(" : conservé — "), motive))
+        F.when(~F.col("_stands"), F.concat(copies, F.lit(PUT_ASIDE)))
+        .when(F.size(clashes) > 0, F.concat(F.lit(RESIDUAL), F.array_join(clashes, ", "), F.lit(NOT_SENT), F.array_join(reasons, " ; "), F.lit(")")))
+        .when(n == 1, F.lit(UNIQUE))
+        .otherwise(F.concat(copies, F.lit(KEPT), motive))
     )
     sent = F.col("_stands") & (F.size(clashes) == 0)
     return marked.select(*df.columns, F.when(sent, F.lit(TRANSFER)).otherwise(F.lit(KEEP_BACK)).alias("action"), treatment.alias("traitement"))

@@ -33,6 +33,32 @@ def spoken_files(files: DataFrame) -> DataFrame:
     return _media(files).where("upper(variant) = 'TI' and ext = '.mp3'").groupBy("stem").agg(F.max("s3_key").alias("s3_key"))
 
 
+def finding_aid_names(lists: DataFrame, source: str) -> DataFrame:
+    """New file name to the finding aid it came from (new_name, finding_aid), by the newest list that there is.
+
+    lists: list (its name, which ends in its date), position, nom_fichier, nouveau_nom_fichier; of a new name's several
+    sources the first by position."""
+    newest = lists.agg(F.max("list").alias("list"))
+    rows = lists.join(newest, "list", "left_semi").where("nom_fichier is not null and nouveau_nom_fichier is not null")
+    first = rows.groupBy(F.col("nouveau_nom_fichier").alias("new_name")).agg(F.min_by("nom_fichier", "position").alias("old"))
+    return first.select("new_name", F.concat(F.lit(source + "_"), K.stem(F.col("old")), F.lit(".xml")).alias("finding_aid"))
+
+
+def extract_all(sources: dict[str, DataFrame], roles: dict[str, Sequence[str]] | None = None, names: DataFrame | None = None) -> DataFrame:
+    """Links of the documents of several sources, one below the other; documents with "test" in their name are left out.
+
+    ``names`` (new_name, finding_aid) gives the finding aid of documents that were renamed."""
+    out = None
+    for source, docs in sources.items():
+        n = xmltree.nodes(docs.where(~F.contains(F.lower("doc"), F.lit("test"))))
+        part = xmltree.expanded_links(n, source, (roles or {}).get(source))
+        out = part if out is None else out.unionByName(part)
+    if names is not None:
+        known = names.select(F.col("new_name").alias("ir"), F.col("finding_aid").alias("_old"))
+        out = out.join(known, "ir", "left").withColumn("finding_aid", F.coalesce("_old", "finding_aid")).drop("_old").select(*out.columns)
+    return out
+
+
 def check_ranges(members: DataFrame, files: DataFrame) -> DataFrame:
     """Expanded members (columns with href) with whether the reference and the object store have the file.
 

@@ -20,6 +20,29 @@ def sweep(corpora: DataFrame, kind: str, qualities: Sequence[int], floors: Seque
     return wide.withColumn("signature", F.format_string(kind + "_q%d_f%d_rmin%d", "q", "facteur", "rmin"))
 
 
+def media_mix(files: DataFrame, mark: str, kinds: Sequence[str] = ("tiff", "ocr xml")) -> DataFrame:
+    """Masters and texts of the corpora whose code holds a mark, with ``resolution`` (pixels) where dimensions are known."""
+    some = files.where(F.contains("corpus_code", F.lit(mark)) & F.col("file_type").isin(*kinds))
+    return some.withColumn("resolution", F.col("mix_imageHeight") * F.col("mix_imageWidth"))
+
+
+def resolution_recap(images: DataFrame, factor: Column, floor: float = 2000.0) -> DataFrame:
+    """Per corpus what a reduction by ``factor``, but not below ``floor`` pixels of width, does: median width before and
+    after, median resolution after, percent of pixels left, and images reduced, held at the floor and unchanged.
+
+    images: corpus, width, height, dpi; those without a width are left out."""
+    scale = F.least(F.lit(1.0), F.greatest(F.col("_f"), F.lit(floor) / F.col("width")))
+    r = images.withColumn("_f", factor).where("width is not null").withColumn("_s", scale)
+    after = {n: F.bround(F.col(n) * F.col("_s")) for n in ("width", "height", "dpi")}
+    median = lambda c: F.percentile(c, F.lit(0.5)).cast("long")
+    left = F.bround(F.try_divide(100 * F.sum(after["width"] * after["height"]), F.sum(F.col("width") * F.col("height")))).cast("long")
+    small = F.col("_s") < 0.999
+    return r.groupBy("corpus").agg(
+        median(F.col("width")).alias("x_before"), median(after["width"]).alias("x_after"), median(after["dpi"]).alias("dpi_after"), left.alias("pixels_left"),
+        F.count_if(small).alias("reduced"), F.count_if(small & (F.col("width") * F.col("_f") < floor)).alias("at_floor"), F.count_if(~small).alias("unchanged"),
+    )
+
+
 def target_path(source: Column, root: str, signature: Column, extension: str) -> Column:
     return F.concat_ws("/", F.lit(root), signature, F.concat(K.stem(K.basename(source)), F.lit("_"), signature, F.lit(extension)))
 

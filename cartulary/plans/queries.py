@@ -401,10 +401,18 @@ g AS (SELECT m.k, count(*) AS total, count(h.n) AS present FROM m LEFT JOIN h US
 
 
 def _gaps(spark, sf):
-    m = _members(spark, sf)
-    have = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.concat(F.lit("d/P_"), F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), F.lit(".tif")).alias("href"), F.lit(1).alias("here")).distinct()
-    g = m.join(have, ["k", "href"], "left").groupBy("k").agg(F.count("*").alias("total"), F.count("here").alias("present"))
-    return g.withColumn("taux", A.percent(F.col("present"), F.col("total")))
+    """Ranges of each order's lines held against the lines that there are, through the catalogue's checks."""
+    from cartulary.plans import catalogue
+
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    l, k = table(spark, sf, "lineitem"), F.col("l_orderkey").cast("string")
+    b = l.groupBy(k.alias("k")).agg(F.min("l_linenumber").alias("x"), F.max("l_linenumber").alias("y"))
+    name = lambda n: F.concat(F.lit("d/P_"), F.col("k"), F.lit("_"), two(n), F.lit(".tif"))
+    ranges = b.select("k", name(F.col("x")).alias("f"), name(F.col("y")).alias("l")).withColumn("all", R.expand(F.col("f"), F.col("l"))).where("all is not null")
+    members = ranges.select("k", F.lit("preservation:image").alias("role"), F.size("all").alias("size"), F.posexplode("all").alias("i", "href")).withColumn("position", R.position(F.col("i"), F.col("size")))
+    files = l.select(F.concat(F.lit("P_"), k, F.lit("_"), two(F.col("l_linenumber")), F.lit(".tif")).alias("name"), k.alias("uuid"), F.lit(None).cast("string").alias("s3_key"))
+    g = catalogue.range_gaps(catalogue.check_ranges(members, files), ["k", "role"])
+    return g.select(F.col("k").cast("long").alias("k"), "total", F.col("presents").alias("present"), "taux")
 
 
 @query(_GAPS + " SELECT k, total, present, CAST(taux AS DOUBLE) AS taux FROM t WHERE present < total")
@@ -503,8 +511,7 @@ def q_new_ids(spark, sf):
 
 @query("SELECT l_returnflag, count(*) AS total, count(*) FILTER (WHERE l_linestatus = 'O') AS ouverts, count(*) - count(*) FILTER (WHERE l_linestatus = 'O') AS reste FROM lineitem GROUP BY 1")
 def q_named_aggregates(spark, sf):
-    g = table(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("total"), F.count_if(F.col("l_linestatus") == "O").alias("ouverts"))
-    return g.withColumn("reste", F.col("total") - F.col("ouverts"))
+    return A.role_counts(table(spark, sf, "lineitem"), ["l_returnflag"], {"ouverts": F.col("l_linestatus") == "O"})
 
 
 @query("SELECT o_custkey, string_agg(v || ' (' || n || ')', ' ; ' ORDER BY n DESC, v) AS repartition FROM (SELECT o_custkey, coalesce(nullif(o_orderstatus, 'P'), 'NON RENSEIGNÉ') AS v, count(*) AS n FROM orders GROUP BY 1, 2) GROUP BY 1")
@@ -562,10 +569,11 @@ def q_pivot_mean_median(spark, sf):
     return A.generic_pivot(l, ["l_returnflag", "l_linestatus"], [], ["q"], ["sum", "median", "count"])
 
 
-@query("SELECT l_returnflag, l_linestatus, count(*) AS n, min(t) / 1048576 AS min_mib, max(t) / 1048576 AS max_mib FROM (SELECT *, l_extendedprice * (1 - l_discount) AS t FROM lineitem) WHERE l_extendedprice > 0 AND t > 0 GROUP BY 1, 2")
+@query("SELECT l_returnflag, l_linestatus, count(*) AS n, min(t) / 1048576 AS min_mib, max(t) / 1048576 AS max_mib, round(avg(t) / 1048576, 5) AS mean_mib, round(avg(l_extendedprice / t), 5) AS mean_ratio, round(avg(100 * (1 - t / l_extendedprice)), 5) AS mean_gain FROM (SELECT *, l_extendedprice * (1 - l_discount) AS t FROM lineitem) WHERE l_extendedprice > 0 AND t > 0 GROUP BY 1, 2")
 def q_parameter_summary(spark, sf):
     l = table(spark, sf, "lineitem").withColumn("t", F.col("l_extendedprice") * (1 - F.col("l_discount")))
-    return A.parameter_summary(l, ["l_returnflag", "l_linestatus"], "l_extendedprice", "t").select("l_returnflag", "l_linestatus", "n", "min_mib", "max_mib")
+    out = A.parameter_summary(l, ["l_returnflag", "l_linestatus"], "l_extendedprice", "t")
+    return out.select("l_returnflag", "l_linestatus", "n", "min_mib", "max_mib", *(F.round(c, 5).alias(c) for c in ("mean_mib", "mean_ratio", "mean_gain")))
 
 
 @query("SELECT l_orderkey, " + ", ".join(f"max_by(l_partkey, struct_pack(a := l_linenumber, b := l_partkey)) FILTER (WHERE l_returnflag = '{x}') AS {x}" for x in "ANR") + " FROM lineitem GROUP BY 1")
@@ -599,7 +607,7 @@ def q_nunique_multi(spark, sf):
 def q_union_missing_cols(spark, sf):
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("bal"))
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("seg"))
-    return s.unionByName(c, allowMissingColumns=True)
+    return linkage.stacked([s, c])
 
 
 @query("SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber FROM lineitem")
@@ -618,33 +626,6 @@ def q_param_sweep(spark, sf):
 # ---- semi-structured text ----
 
 
-@query(r"""SELECT page_id, CAST(len(h) AS BIGINT) AS links, CAST(len(list_distinct(h)) AS BIGINT) AS hrefs FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS h FROM pages)""")
-def q_link_counts(spark, sf):
-    h = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
-    return table(spark, sf, "pages").select("page_id", F.size(h).cast("long").alias("links"), F.size(F.array_distinct(h)).cast("long").alias("hrefs"))
-
-
-@query(r"""SELECT page_id, CAST(len(regexp_extract_all(html, 'href="[^"]*/the[^"]*"')) AS BIGINT) AS n_changes, md5(regexp_replace(html, '(href="[^"]*)/the', '\1/la', 'g')) AS after FROM pages""")
-def q_replace_href(spark, sf):
-    html = F.col("html")
-    n = F.size(F.regexp_extract_all(html, F.lit('href="[^"]*/the[^"]*"'), F.lit(0)))
-    return table(spark, sf, "pages").select("page_id", n.cast("long").alias("n_changes"), F.md5(F.regexp_replace(html, '(href="[^"]*)/the', "$1/la")).alias("after"))
-
-
-@query("SELECT conv_id, turn, CASE role WHEN 'user' THEN 'access' ELSE role END AS role, CAST(role = 'user' AS INTEGER) AS changed FROM conversations")
-def q_role_rename_dryrun(spark, sf):
-    c, hit = table(spark, sf, "conversations"), F.col("role") == "user"
-    return c.select("conv_id", "turn", F.when(hit, "access").otherwise(F.col("role")).alias("role"), hit.cast("int").alias("changed"))
-
-
-@query("SELECT conv_id, count(*) - count(DISTINCT (role, trim(left(text, 20)))) AS removed FROM conversations GROUP BY 1")
-def q_term_dedupe(spark, sf):
-    c = table(spark, sf, "conversations")
-    w = Window.partitionBy("conv_id", "role", F.trim("text")).orderBy("turn")
-    again = c.select("conv_id", (F.row_number().over(w) > 1).cast("long").alias("again"))
-    return again.groupBy("conv_id").agg(F.sum("again").alias("removed"))
-
-
 @query(None)
 def q_html_nodes(spark, sf):
     from cartulary.operators import xmltree
@@ -707,7 +688,7 @@ def q_media_keys(spark, sf):
     )
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'MED/X/' || c_custkey ELSE split_part(c_mktsegment, 'L', 1) || '/' || c_mktsegment || '/' || c_name END AS dst FROM (SELECT * REPLACE (replace(c_mktsegment, 'L', '_L') AS c_mktsegment) FROM customer WHERE false) UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'MED/X/' || c_custkey ELSE split_part(replace(c_mktsegment, 'I', '_'), '_', 1) || '/' || replace(c_mktsegment, 'I', '_') || '/' || c_name END FROM customer")
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'MED/X/' || c_custkey ELSE split_part(replace(c_mktsegment, 'I', '_'), '_', 1) || '/' || replace(c_mktsegment, 'I', '_') || '/' || c_name END AS dst FROM customer")
 def q_destination_key(spark, sf):
     from cartulary.sources.writers import destination_key
 
@@ -717,17 +698,16 @@ def q_destination_key(spark, sf):
 
 @query("SELECT l_returnflag, l_linestatus, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS q, count(*) AS n FROM lineitem GROUP BY 1, 2 UNION ALL SELECT l_returnflag, 'Total', CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE), count(*) FROM lineitem GROUP BY 1 UNION ALL SELECT 'Total', 'Total', CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE), count(*) FROM lineitem")
 def q_pivot_two_values(spark, sf):
-    c = table(spark, sf, "lineitem").cube("l_returnflag", "l_linestatus").agg(F.sum(money("l_quantity")).cast("double").alias("q"), F.count("*").alias("n"), F.grouping_id().alias("g")).where("g in (0, 1, 3)")
-    return c.select(F.when(F.col("g") == 3, "Total").otherwise(F.col("l_returnflag")).alias("l_returnflag"), F.when(F.col("g") > 0, "Total").otherwise(F.col("l_linestatus")).alias("l_linestatus"), "q", "n")
+    return A.totals_by(table(spark, sf, "lineitem"), "l_returnflag", "l_linestatus", {"q": F.sum(money("l_quantity")).cast("double"), "n": F.count("*")})
 
 
-@query("SELECT p_brand, count(*) AS n, median(CAST(p_size * 2 AS DOUBLE)) AS pixels, quantile_cont(CAST(p_size AS DOUBLE), 0.25) AS q1, quantile_cont(CAST(p_size AS DOUBLE), 0.75) AS q3, count(*) FILTER (WHERE p_size < 20) AS small FROM part WHERE contains(p_type, 'A') GROUP BY 1")
+@query("SELECT p_brand AS corpus_code, count(*) AS n, median(CAST(p_size * 2 AS DOUBLE)) AS pixels, quantile_cont(CAST(p_size AS DOUBLE), 0.25) AS size_q1, quantile_cont(CAST(p_size AS DOUBLE), 0.75) AS size_q3, count(*) FILTER (WHERE p_size < 20) AS small FROM part WHERE contains(p_brand, '1') AND p_type IN ('ECONOMY', 'SMALL') GROUP BY 1")
 def q_media_mix(spark, sf):
-    p = table(spark, sf, "part").where(F.contains("p_type", F.lit("A")))
-    size = F.col("p_size").cast("double")
-    return p.groupBy("p_brand").agg(
-        F.count("*").alias("n"), F.percentile(size * 2, F.lit(0.5)).alias("pixels"), F.percentile(size, F.lit(0.25)).alias("q1"), F.percentile(size, F.lit(0.75)).alias("q3"), F.count_if(F.col("p_size") < 20).alias("small")
-    )
+    from cartulary.plans.images import media_mix
+
+    files = table(spark, sf, "part").select(F.col("p_brand").alias("corpus_code"), F.col("p_type").alias("file_type"), F.col("p_size").cast("double").alias("mix_imageWidth"), F.lit(2).alias("mix_imageHeight"))
+    size = F.col("mix_imageWidth")
+    return A.spread(media_mix(files, "1", ("ECONOMY", "SMALL")), ["corpus_code"], {"pixels": F.col("resolution")}, {"size": size}, {"small": size < 20})
 
 
 @query("SELECT l_orderkey, array_to_string(list(DISTINCT l_returnflag ORDER BY l_returnflag), '|') AS flags, CAST(len(list_intersect(list(DISTINCT l_returnflag), ['A', 'R'])) AS INTEGER) AS shared FROM lineitem GROUP BY 1")
@@ -749,13 +729,11 @@ def q_best_method(spark, sf):
     return matching.best_method(p, ["p_brand", "p_type"], names)
 
 
-def _finding_aids(orders, by_month=False):
-    """Press finding aids of the orders: a corpus for each priority, or for each priority and month, which bounds a document's days."""
+def _finding_aids(orders):
+    """Press finding aids of the orders: a corpus for each priority and month, which bounds a document's days."""
     from cartulary.plans import catalogue
 
-    code = F.concat(F.lit("PRA_"), F.left("o_orderpriority", F.lit(1)))
-    if by_month:
-        code = F.concat(code, F.lit("_"), F.date_format("o_orderdate", "yyyyMM"))
+    code = F.concat(F.lit("PRA_"), F.left("o_orderpriority", F.lit(1)), F.lit("_"), F.date_format("o_orderdate", "yyyyMM"))
     files = orders.select(
         code.alias("corpus_code"), F.concat(F.lit("PRA_"), F.date_format("o_orderdate", "yyyyMMdd")).alias("unitid"),
         F.concat(F.lit("p_"), F.col("o_orderkey").cast("string"), F.lit(".tif")).alias("name"), F.lit("/p").alias("path"), F.lit(None).cast("string").alias("s3_key"),
@@ -765,66 +743,100 @@ def _finding_aids(orders, by_month=False):
     return made.select(F.concat("corpus_code", F.lit(".xml")).alias("doc"), F.encode(text, "UTF-8").alias("content"))
 
 
-def _twentieth(spark, sf):
-    """The orders that the SQL of ``q_generated_components``, ``q_extracted_links`` and ``q_batch_dryrun`` asks for;
-    the queries ending in ``_all`` and ``q_rewrite_documents`` take every order."""
-    return table(spark, sf, "orders").where("o_orderkey % 20 = 0")
+_AID = "'PRA_' || left(o_orderpriority, 1) || '_' || strftime(o_orderdate, '%Y%m') || '.xml'"
 
 
-_ISSUES = "SELECT DISTINCT 'PRA_' || left(o_orderpriority, 1) || '.xml' AS doc, strftime(o_orderdate, '%Y%m%d') AS d FROM orders WHERE o_orderkey % 20 = 0"
+def _aids(spark, sf):
+    return _finding_aids(table(spark, sf, "orders"))
 
 
-@query(f"WITH i AS ({_ISSUES}) SELECT doc, count(*) + count(DISTINCT left(d, 6)) + count(DISTINCT left(d, 4)) + 1 AS components, count(*) AS leaves, 4 AS deepest FROM i GROUP BY doc".replace("4 AS deepest", "3 AS deepest"))
+@query(f"SELECT {_AID} AS doc, count(DISTINCT strftime(o_orderdate, '%Y%m%d')) + 3 AS components, count(DISTINCT strftime(o_orderdate, '%Y%m%d')) AS leaves, 3 AS deepest FROM orders GROUP BY 1")
 def q_generated_components(spark, sf):
-    return _generated_components(_finding_aids(_twentieth(spark, sf)))
-
+    from cartulary.operators import xmltree
 
-@query(
-    "SELECT 'PRA_' || left(o_orderpriority, 1) || '_' || strftime(o_orderdate, '%Y%m') || '.xml' AS doc, count(DISTINCT strftime(o_orderdate, '%Y%m%d')) + 3 AS components, "
-    "count(DISTINCT strftime(o_orderdate, '%Y%m%d')) AS leaves, 3 AS deepest FROM orders GROUP BY 1"
-)
-def q_generated_components_all(spark, sf):
-    return _generated_components(_finding_aids(table(spark, sf, "orders"), by_month=True))
+    c = xmltree.components(xmltree.nodes(_aids(spark, sf)))
+    return c.groupBy("doc").agg(F.count("*").alias("components"), F.count_if(F.col("leaf")).alias("leaves"), F.max("comp_depth").alias("deepest"))
 
 
-def _generated_components(docs):
+@query(f"SELECT {_AID} AS doc, 'PRA_' || strftime(o_orderdate, '%Y%m%d') AS unitid, '/p/p_' || o_orderkey || '.tif' AS href, 'preservation:image' AS role, 'isole' AS position FROM orders")
+def q_extracted_links(spark, sf):
     from cartulary.operators import xmltree
 
-    c = xmltree.components(xmltree.nodes(docs))
-    return c.groupBy("doc").agg(F.count("*").alias("components"), F.count_if(F.col("leaf")).alias("leaves"), F.max("comp_depth").alias("deepest"))
+    links = xmltree.expanded_links(xmltree.nodes(_aids(spark, sf)), "gen")
+    return links.select(F.col("ir").alias("doc"), "unitid", "href", "role", "position")
 
 
-@query("SELECT 'PRA_' || left(o_orderpriority, 1) || '.xml' AS doc, 'PRA_' || strftime(o_orderdate, '%Y%m%d') AS unitid, '/p/p_' || o_orderkey || '.tif' AS href, 'preservation:image' AS role, 'isole' AS position FROM orders WHERE o_orderkey % 20 = 0")
-def q_extracted_links(spark, sf):
-    return _extracted_links(_finding_aids(_twentieth(spark, sf)))
+@query(f"SELECT {_AID} AS doc, count(DISTINCT o_orderkey) AS n_changes, CAST(NULL AS VARCHAR) AS error FROM orders GROUP BY 1")
+def q_batch_dryrun(spark, sf):
+    from cartulary.operators import xmledit
+
+    return xmledit.batch(_aids(spark, sf), "rename_role", {"old": "preservation:image", "new": "preservation:tif"}).drop("content")
 
 
 @query(
-    "SELECT 'PRA_' || left(o_orderpriority, 1) || '_' || strftime(o_orderdate, '%Y%m') || '.xml' AS doc, 'PRA_' || strftime(o_orderdate, '%Y%m%d') AS unitid, "
-    "'/p/p_' || o_orderkey || '.tif' AS href, 'preservation:image' AS role, 'isole' AS position FROM orders"
+    f"WITH l AS (SELECT 'l_' || n_regionkey AS list, n_nationkey AS position, 'old_' || n_name || '.xml' AS nom_fichier, 'N' || (n_nationkey % 4) || '.xml' AS nouveau_nom_fichier FROM nation), t AS (SELECT * FROM l WHERE list = (SELECT max(list) FROM l)) "
+    "SELECT nouveau_nom_fichier AS new_name, 'src_old_' || replace(min_by(nom_fichier, position), 'old_', '') AS finding_aid FROM t GROUP BY 1"
 )
-def q_extracted_links_all(spark, sf):
-    return _extracted_links(_finding_aids(table(spark, sf, "orders"), by_month=True))
+def q_finding_aid_names(spark, sf):
+    from cartulary.plans import catalogue
 
+    k = F.col("n_nationkey")
+    lists = table(spark, sf, "nation").select(
+        F.concat(F.lit("l_"), F.col("n_regionkey").cast("string")).alias("list"), k.alias("position"), F.concat(F.lit("old_"), F.col("n_name"), F.lit(".xml")).alias("nom_fichier"), F.concat(F.lit("N"), (k % 4).cast("string"), F.lit(".xml")).alias("nouveau_nom_fichier")
+    )
+    return catalogue.finding_aid_names(lists, "src")
 
-def _extracted_links(docs):
-    from cartulary.operators import xmltree
 
-    links = xmltree.expanded_links(xmltree.nodes(docs), "gen")
-    return links.select(F.col("ir").alias("doc"), "unitid", "href", "role", "position")
+@query(
+    "SELECT CASE source WHEN 'b' THEN 'aid' ELSE source || '_' || left(doc, length(doc) - 4) || '.xml' END AS finding_aid, source, count(*) AS n FROM (SELECT 'a' AS source, {0} AS doc FROM orders UNION ALL SELECT 'b', {0} FROM orders WHERE o_orderstatus = 'O') GROUP BY ALL".format(_AID)
+)
+def q_extract_all(spark, sf):
+    from cartulary.plans import catalogue
 
+    a, b = _aids(spark, sf), _finding_aids(table(spark, sf, "orders").where("o_orderstatus = 'O'"))
+    b = b.withColumn("doc", F.concat(F.lit("b_"), "doc")).unionByName(b.limit(1).withColumn("doc", F.lit("A Test.xml")))
+    names = b.select(F.col("doc").alias("new_name"), F.lit("aid").alias("finding_aid"))
+    out = catalogue.extract_all({"a": a, "b": b}, None, names)
+    return out.groupBy("finding_aid", "source").agg(F.count("*").alias("n"))
 
-@query("SELECT 'PRA_' || left(o_orderpriority, 1) || '.xml' AS doc, count(*) AS n_changes, CAST(NULL AS VARCHAR) AS error FROM (SELECT DISTINCT o_orderpriority, o_orderkey FROM orders WHERE o_orderkey % 20 = 0) GROUP BY 1")
-def q_batch_dryrun(spark, sf):
-    return _batch_dryrun(_finding_aids(_twentieth(spark, sf)))
+
+@query(
+    "WITH f AS (SELECT o_custkey || '/' || o_orderkey AS uri, CASE o_orderstatus WHEN 'F' THEN 'image/tiff' WHEN 'O' THEN 'image/jpeg' END AS mimetype, o_orderkey FROM orders), j AS (SELECT o_custkey || '/' || o_orderkey AS uri, CASE WHEN o_orderkey % 7 <> 0 THEN 'image/tiff' END AS jt FROM orders WHERE o_orderkey % 3 <> 0) "
+    "SELECT o_orderkey, mimetype, jt AS \"jhove_mimeType\" FROM f JOIN j USING (uri) WHERE mimetype IS NULL OR jt IS NULL OR mimetype <> jt"
+)
+def q_type_mismatches(spark, sf):
+    k, c = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    o = table(spark, sf, "orders")
+    files = o.select(c.alias("path"), k.cast("string").alias("name"), F.when(F.col("o_orderstatus") == "F", "image/tiff").when(F.col("o_orderstatus") == "O", "image/jpeg").alias("mimetype"), k)
+    technical = o.where(k % 3 != 0).select(F.concat(c, F.lit("/"), k.cast("string")).alias("jhove_uri"), F.when(k % 7 != 0, "image/tiff").alias("jhove_mimeType"))
+    return enrich.type_mismatches(enrich.with_technical(files, technical)).select("o_orderkey", "mimetype", "jhove_mimeType")
 
 
-@query("SELECT 'PRA_' || left(o_orderpriority, 1) || '_' || strftime(o_orderdate, '%Y%m') || '.xml' AS doc, count(DISTINCT o_orderkey) AS n_changes, CAST(NULL AS VARCHAR) AS error FROM orders GROUP BY 1")
-def q_batch_dryrun_all(spark, sf):
-    return _batch_dryrun(_finding_aids(table(spark, sf, "orders"), by_month=True))
+@query("SELECT o_orderkey FROM orders WHERE lower(o_orderstatus) = 'f' OR (o_orderpriority = '5-LOW' AND o_orderstatus = 'P')")
+def q_sent_or_exempt(spark, sf):
+    s = F.col("o_orderstatus")
+    sent = F.when(s == "F", " True ").when(s == "O", "false")
+    return table(spark, sf, "orders").where(K.sent_or_exempt(sent, F.col("o_orderpriority"), s, [("5-LOW", "P"), ("none", "O")])).select("o_orderkey")
 
 
-def _batch_dryrun(docs):
-    from cartulary.operators import xmledit
+@query("SELECT doc_id FROM documents WHERE contains(coalesce(source, ''), '1') OR regexp_matches(coalesce(lang, ''), '^f')")
+def q_mentions(spark, sf):
+    return table(spark, sf, "documents").where(K.mentions(F.col("source"), "1") | K.mentions(F.col("lang"), "^f", regex=True)).select("doc_id")
+
+
+@query("SELECT c_custkey, c_mktsegment AS c_name, c_name AS c_mktsegment FROM customer")
+def q_swapped_columns(spark, sf):
+    return enrich.swapped(table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment"), "c_name", "c_mktsegment")
 
-    return xmledit.batch(docs, "rename_role", {"old": "preservation:image", "new": "preservation:tif"}).drop("content")
+
+@query(
+    "WITH i AS (SELECT p_brand AS corpus, p_size * 131.0 AS w, p_size * 200.0 AS h, 300.0 AS d, CASE WHEN p_brand < 'Brand#2' THEN 0.5 ELSE 0.75 END AS f FROM part WHERE p_partkey % 10 <> 0), s AS (SELECT *, least(1.0, greatest(f, 2000.0 / w)) AS s FROM i) "
+    "SELECT corpus, CAST(floor(median(w)) AS BIGINT) AS x_before, CAST(floor(median(round_even(w * s, 0))) AS BIGINT) AS x_after, CAST(floor(median(round_even(d * s, 0))) AS BIGINT) AS dpi_after, CAST(round_even(100 * sum(round_even(w * s, 0) * round_even(h * s, 0)) / sum(w * h), 0) AS BIGINT) AS pixels_left, "
+    "count(*) FILTER (WHERE s < 0.999) AS reduced, count(*) FILTER (WHERE s < 0.999 AND w * f < 2000) AS at_floor, count(*) FILTER (WHERE s >= 0.999) AS unchanged FROM s GROUP BY 1"
+)
+def q_resolution_recap(spark, sf):
+    from cartulary.plans.images import resolution_recap
+
+    size = F.col("p_size").cast("double")
+    images = table(spark, sf, "part").select(F.col("p_brand").alias("corpus"), F.when(F.col("p_partkey") % 10 != 0, size * 131).alias("width"), (size * 200).alias("height"), F.lit(300.0).alias("dpi"))
+    return resolution_recap(images, F.when(F.col("corpus") < "Brand#2", 0.5).otherwise(0.75))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import re
+import urllib.parse
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -34,60 +36,100 @@ def discover(spark: SparkSession, root: str, pattern: str = "*.csv*", exclude: s
 
 
 def latest(spark: SparkSession, root: str, pattern: str) -> str:
-    """The path whose name matches ``pattern``, the greatest by its first group (a date)."""
-    names = [r.path for r in discover(spark, root, "*").select("path").toLocalIterator()]
-    dated = sorted((m[1], p) for p in names if (m := re.search(pattern, p.rsplit("/", 1)[-1])))
-    if not dated:
+    """The path whose name matches ``pattern``, the greatest by its first group (a date), then by path."""
+    date = F.regexp_extract(K.basename(F.col("path")), pattern, 1)
+    dated = discover(spark, root, "*").where(K.basename(F.col("path")).rlike(pattern))
+    found = dated.agg(F.max(F.struct(date.alias("date"), "path"))["path"].alias("path")).first().path
+    if found is None:
         raise FileNotFoundError(f"no {pattern} in {root}")
-    return dated[-1][1]
+    return found
 
 
-def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path, header): the first line of each file."""
-    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("i"), "value")
-    return lines.groupBy("path").agg(F.min_by("value", "i").alias("header"))
+def headers(spark: SparkSession, root: str, pattern: str, exclude: str | None = None) -> DataFrame:
+    """(path, header): the first line of each file of a tree, null for an empty one."""
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(root)
+    lines = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("i"), "value")
+    first = lines.groupBy("path").agg(F.min_by("value", F.struct("at", "i")).alias("header"))
+    return discover(spark, root, pattern, exclude).select("path").withColumn("_file", _same_file("path")).join(
+        first.select(_same_file("path").alias("_file"), "header"), "_file", "left").drop("_file")
+
+
+def _same_file(path: str) -> Column:
+    """Paths of listings and of file metadata differ in slashes after the scheme, and the latter are escaped."""
+    return F.regexp_replace(F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B"))), "^([a-z0-9]+:)/*", "$1/")
 
 
 def read_strict(spark: SparkSession, root: str, schema: StructType, pattern: str = "*.csv*", exclude: str | None = None, provenance: str = "fichier_source_csv") -> tuple[DataFrame, DataFrame]:
     """Rows of all files whose header is exactly the schema's, with their file's path; and the
-    files that were left out, with the reason."""
-    paths = [r.path for r in discover(spark, root, pattern, exclude).select("path").toLocalIterator()]
-    empty = spark.createDataFrame([], StructType([*schema.fields, StructField(provenance, StringType())]))
-    if not paths:
-        return empty, spark.createDataFrame([], "path string, problem string")
+    files that were left out, with the reason.  Which files are good is joined to the rows."""
     want = ",".join(f.name for f in schema.fields)
-    seen = headers(spark, paths).withColumn("header", F.regexp_replace(F.regexp_replace("header", "^﻿", ""), '"|\r$', ""))
+    seen = headers(spark, root, pattern, exclude).withColumn("header", F.regexp_replace(F.regexp_replace("header", "^\ufeff", ""), '"|\r$', ""))
     bad = seen.where(~F.col("header").eqNullSafe(want)).select("path", F.concat(F.lit("unexpected header: "), F.coalesce("header", F.lit(""))).alias("problem"))
-    good = [r.path for r in seen.where(F.col("header") == want).select("path").toLocalIterator()]
-    rows = read_csv(spark, good, schema).withColumn(provenance, F.col("_metadata.file_path")) if good else empty
-    return rows, bad
+    good = seen.where(F.col("header") == want).select(_same_file("path").alias("_file"))
+    tree = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("enforceSchema", "true")
+    rows = tree.csv(root, schema=schema, header=True, multiLine=True, escape='"', nullValue=MISSING, emptyValue="").withColumn(provenance, F.col("_metadata.file_path"))
+    return rows.withColumn("_file", _same_file(provenance)).join(good, "_file", "left_semi").drop("_file"), bad
 
 
 def inventory(spark: SparkSession, root: str, checksums: bool = False, pattern: str = "*") -> DataFrame:
-    """Files of a tree as an inventory; contents are read only for checksums.
+    """Files of a tree as an inventory; contents are read only for checksums, a block at a time.
 
     Spark's file listing has no metadata date, so that column is null."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
     plain = F.regexp_replace("path", "^[a-z]+:(//[^/]*)?", "")
+    if checksums:
+        f = f.select("path", "length", "modificationTime").join(digests(f.select("path")).select("path", "checksum_md5"), "path", "left")
     return f.select(
         K.basename(plain).alias("name"), K.dirname(plain).alias("path"), F.col("length").alias("size"),
-        (F.md5("content") if checksums else F.lit(None).cast("string")).alias("checksum_md5"),
+        (F.col("checksum_md5") if checksums else F.lit(None).cast("string")).alias("checksum_md5"),
         (F.unix_millis("modificationTime") / 1000).alias("last_content_modification_date"), F.lit(None).cast("double").alias("last_metadata_modification_date"),
     )
 
 
+def digests(files: DataFrame, block: int = 1 << 20) -> DataFrame:
+    """(path, checksum_md5, error) of the files at ``path``, read in blocks, so that their size doesn't matter."""
+    import hashlib
+
+    from pyarrow import fs as pafs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for path in b.column(0).to_pylist():
+                try:
+                    local = path.startswith(("/", "file:"))
+                    fs, at = (pafs.LocalFileSystem(), re.sub("^file:/+", "/", path)) if local else pafs.FileSystem.from_uri(urllib.parse.quote(path, safe=":/%+@"))
+                    digest = hashlib.md5(usedforsecurity=False)
+                    with fs.open_input_stream(at, compression=None) as data:
+                        while part := data.read(block):
+                            digest.update(part)
+                    rows.append((path, digest.hexdigest(), None))
+                except Exception as e:  # noqa: BLE001 - one file's failure is its row's error
+                    rows.append((path, None, str(e)[:500]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (zip(*rows) if rows else [[]] * 3)], ["path", "checksum_md5", "error"])
+
+    return files.select("path").mapInArrow(run, "path string, checksum_md5 string, error string")
+
+
 def documents(spark: SparkSession, root: str, pattern: str = "*.xml") -> DataFrame:
     """(doc, path, content) of the XML files of a tree; names with "test" are left out."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
     return f.select(K.basename(F.col("path")).alias("doc"), "path", "content").where(~F.contains(F.lower("doc"), F.lit("test")))
 
 
-def excel(spark: SparkSession, path: str, schema: StructType | str, sheet: str | int = 0) -> DataFrame:
-    """A small workbook dimension, read on the driver; needs an Excel engine for pandas."""
-    import pandas as pd
+def workbook(spark: SparkSession, path: str, schema: StructType | str, sheet: str | int = 0) -> DataFrame:
+    """A small workbook dimension: the columns of a schema, found by their header; values that don't fit become null."""
+    from cartulary.sources.workbook import read
 
-    frame = pd.read_excel(path, sheet_name=sheet, dtype=object)
-    return spark.createDataFrame(frame.where(frame.notna(), None), schema=schema)
+    data = spark.read.format("binaryFile").load(path).first()
+    if data is None:
+        raise FileNotFoundError(path)
+    rows = read(bytes(data.content), sheet)
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    at = [rows[0].index(f.name) if rows and f.name in rows[0] else None for f in wanted.fields]
+    texts = [tuple(None if i is None or r[i] is None else str(r[i]) for i in at) for r in rows[1:]]
+    plain = spark.createDataFrame(texts, StructType([StructField(f.name, StringType()) for f in wanted.fields]))
+    return plain.select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted.fields))
 
 
 def list_objects(spark: SparkSession, prefixes: DataFrame, lister: Callable[[str, str], Iterator[dict]]) -> DataFrame:
@@ -122,8 +164,8 @@ def harvest(spark: SparkSession, sets: DataFrame, fetch: Callable[[str], Iterato
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for spec, name in zip(b.column("setspec").to_pylist(), b.column("setname").to_pylist()):
-                rows = [(r["identifier"], r.get("source"), list(r.get("titles") or []), name) for r in fetch(spec)]
-                if rows:
+                found = ((r["identifier"], r.get("source"), list(r.get("titles") or []), name) for r in fetch(spec))
+                while rows := list(itertools.islice(found, 5000)):
                     kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.string()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["identifier", "source", "titles", "setname"])
 
@@ -152,7 +194,3 @@ def tool_output(files: DataFrame, command: Callable[[list[str]], str], path: str
 
 def junk_free(files: DataFrame, name: str = "name") -> DataFrame:
     return files.where(~K.is_junk(F.col(name)))
-
-
-def is_known(column: Column) -> Column:
-    return column.isNotNull() & (column != MISSING)

@@ -17,26 +17,25 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, ro
     (w.option("maxRecordsPerFile", rows_per_file) if rows_per_file else w).csv(path)
 
 
-def write_report(sheets: dict[str, DataFrame], path: str, most_rows: int = 100_000) -> None:
-    """Small result tables as sheets of a workbook, or as CSV files beside it where pandas has no Excel engine."""
-    import pandas as pd
+def write_report(sheets: dict[str, DataFrame], path: str, most_rows: int = 100_000, **looks: dict) -> None:
+    """Small result tables as sheets of a workbook; ``looks`` has the formats, widths, scaled columns and total of a sheet."""
+    from cartulary.sources.workbook import Sheet, to_bytes
 
-    frames = {}
+    made = {}
     for name, df in sheets.items():
-        frames[name] = df.limit(most_rows + 1).toPandas()
-        if len(frames[name]) > most_rows:
+        rows = df.limit(most_rows + 1).collect()
+        if len(rows) > most_rows:
             raise ValueError(f"{name} is too long for a report")
-    try:
-        with pd.ExcelWriter(path) as out:
-            for name, frame in frames.items():
-                frame.to_excel(out, sheet_name=name[:31], index=False)
-    except ImportError:
-        for name, frame in frames.items():
-            frame.to_csv(f"{path}.{name}.csv", index=False)
+        made[name] = Sheet(df.columns, [tuple(r) for r in rows], **looks.get(name, {}))
+    fs, at = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+    with fs.open_output_stream(at, compression=None) as out:
+        out.write(to_bytes(made))
 
 
-def write_documents(docs: DataFrame, folder: str) -> DataFrame:
-    """One file per row (doc, content) in a folder that executors reach; returns (doc, path, size, error) as written."""
+def write_documents(docs: DataFrame, folder: str, backup: bool = False) -> DataFrame:
+    """One file per row (doc, content) in a folder that executors reach; returns (doc, path, size, error) as written.
+
+    With ``backup`` a file that is there already stays beside the new one, with .bak behind its name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
@@ -49,6 +48,8 @@ def write_documents(docs: DataFrame, folder: str) -> DataFrame:
                 try:
                     if data is None or "/" in doc:
                         raise ValueError("no content" if data is None else "a name can't have a slash")
+                    if backup and fs.get_file_info(f"{root}/{doc}").type == pafs.FileType.File:
+                        fs.copy_file(f"{root}/{doc}", f"{root}/{doc}.bak")
                     with fs.open_output_stream(f"{root}/{doc}", compression=None) as out:
                         out.write(data)
                     rows.append((doc, f"{root}/{doc}", len(data), None))
@@ -82,6 +83,10 @@ def destination_key(row_key: Column, corpus: Column, name: Column) -> Column:
     return F.when(own.isNotNull(), row_key).otherwise(F.concat_ws("/", F.get(F.split(corpus, "_"), F.lit(0)), corpus, name))
 
 
+# States of a copied file, in the order of the tests.
+ABSENT, THERE, COPIED, FAILED = "absent", "deja_present", "copie", "erreur"
+
+
 def copy_files(manifest: DataFrame, source: str, destination: str, stem: str) -> DataFrame:
     """Copy the files of a manifest (corpus_code, name, path, s3_key); the log (corpus_code, name, statut, src, dst, erreur).
 
@@ -100,16 +105,16 @@ def copy_files(manifest: DataFrame, source: str, destination: str, stem: str) ->
                     to, z = pafs.FileSystem.from_uri(dst)
                     here, there = fs.get_file_info(a), to.get_file_info(z)
                     if here.type != pafs.FileType.File:
-                        state = "absent"
+                        state = ABSENT
                     elif there.type == pafs.FileType.File and there.size == here.size:
-                        state = "deja_present"
+                        state = THERE
                     else:
                         to.create_dir(z.rsplit("/", 1)[0], recursive=True)
                         pafs.copy_files(a, z, source_filesystem=fs, destination_filesystem=to)
-                        state = "copie"
+                        state = COPIED
                     rows.append((code, name, state, src, dst, None))
                 except Exception as e:  # noqa: BLE001 - reported in the row
-                    rows.append((code, name, "erreur", src, dst, str(e)[:500]))
+                    rows.append((code, name, FAILED, src, dst, str(e)[:500]))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (zip(*rows) if rows else [[]] * 6)], ["corpus_code", "name", "statut", "src", "dst", "erreur"])
 
     return jobs.mapInArrow(run, "corpus_code string, name string, statut string, src string, dst string, erreur string")

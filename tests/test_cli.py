@@ -36,3 +36,16 @@ def test_recaps_to_summary(spark, tmp_path):
     main(["summary", "--input", str(tmp_path / "all.parquet"), "--output", str(tmp_path / "sum.parquet"), "--marqueur", "corpora"], spark)
     r = load(spark, str(tmp_path / "sum.parquet")).collect()
     assert [(x.corpus, x.signature, x.n, x.mean_ratio, x.total_mib) for x in r] == [("press", "jp2_q80", 1, 2.0, 1.0)]
+
+
+def test_file_jobs(spark, tmp_path):
+    (tmp_path / "src" / "p").mkdir(parents=True)
+    (tmp_path / "src" / "p" / "a.tif").write_bytes(b"12345")
+    (tmp_path / "m.csv").write_text("corpus_code,name,path,s3_key\nMED_X,a.tif,p,\nMED_X,b.tif,p,\n")
+    main(["transfer", "--input", str(tmp_path / "m.csv"), "--source", f"file://{tmp_path}/src", "--destination", f"file://{tmp_path}/dst", "--output", str(tmp_path / "log.parquet")], spark)
+    assert {r.name: r.statut for r in load(spark, str(tmp_path / "log.parquet")).collect()} == {"a.tif": "copie", "b.tif": "absent"}
+    main(["checksums", "--input", str(tmp_path / "dst"), "--output", str(tmp_path / "sums.parquet")], spark)
+    assert [len(r.checksum_md5) for r in load(spark, str(tmp_path / "sums.parquet")).collect()] == [32]
+    (tmp_path / "i.csv").write_text("corpus,width,height,dpi\nc,4000,100,300\n")
+    main(["image-recap", "--input", str(tmp_path / "i.csv"), "--factor", "0.5", "--output", str(tmp_path / "recap.parquet")], spark)
+    assert [(r.corpus, r.x_after, r.pixels_left) for r in load(spark, str(tmp_path / "recap.parquet")).collect()] == [("c", 2000, 25)]

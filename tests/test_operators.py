@@ -180,3 +180,35 @@ def test_calibration_fails_by_row(spark):
     assert got["a"].error is None and abs(got["a"].ratio - 20) <= 2 and got["b"].error == "empty"
     jobs = images.plan_jobs(spark.createDataFrame([("c", "/i/x.tif", 4000.0), ("c", "/i/y.tif", 1000.0)], "corpus string, source string, width double"), images.sweep(spark.createDataFrame([("c", 50)], "corpus string, facteur int"), "jp2", [80], [3000]), "/out", ".jp2", spark.createDataFrame([("/out/jp2_q80_f50_rmin3000/y_jp2_q80_f50_rmin3000.jp2",)], "path string"))
     assert [(r.source, r.scale) for r in jobs.collect()] == [("/i/x.tif", 0.75)]
+
+
+def test_samples_and_budgets_agree_with_sorting(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.choice(["a", "b", None]), rng.randint(1, 9)) for i in range(9000)] + [(9001, "one", 4)]
+    df = spark.createDataFrame(rows, "id long, g string, size long")
+    order = sampling.shuffled_order(3, "id")
+    key = {r.id: r.o for r in df.select("id", order.alias("o")).collect()}
+    groups = {}
+    for i, g, n in sorted(rows, key=lambda r: key[r[0]]):
+        groups.setdefault(g, []).append((i, n))
+    expected = {i: (k + 1, sum(n for _, n in some[: k + 1])) for some in groups.values() for k, (i, _) in enumerate(some)}
+    assert {r.id: (r["rank"], r.running) for r in sampling.running_budget(df, "g", "size", order).collect()} == expected
+    for share in (0.01, 0.5, 1.0):
+        drawn = {r.id for r in sampling.share_sample(df, "g", share, order).collect()}
+        assert drawn == {i for some in groups.values() for i, _ in some[: -int(-len(some) * share // 1)]}
+
+
+def test_common_parts_of_a_key_clash_without_a_window(spark):
+    rows = [(i, f"c{i}", "common", 1.0) for i in range(500)] + [(600, "c0", "other", 1.0), (601, None, None, None), (602, None, None, 3.0), (603, "x", "alone", None)]
+    out = {r.id: (r.action, r.traitement) for r in survive.decide_transfers(spark.createDataFrame(rows, "id long, checksum_md5 string, name string, d double"), ["checksum_md5", "name"], ["name"], "d", ["id"]).collect()}
+    assert out[1] == ("ne pas transférer", "doublon résiduel sur name : non transféré (même nom pour des contenus différents)")
+    assert "checksum_md5, name" in out[0][1] and "sur checksum_md5 :" in out[600][1] and out[603][0] == "transférer" and out[602][0] == "transférer" and "écarté" in out[601][1]
+
+
+def test_small_functions(spark):
+    assert values(spark, [("image/tiff",), ("audio/mpeg",), ("x/y",), (None,)], "m string", K.extension_of_mime(F.col("m"))) [2:] == [None, None]
+    a, b = spark.createDataFrame([(1, 2)], "x int, y int"), spark.createDataFrame([(3, 4)], "y int, z int")
+    assert linkage.column_difference(a, b) == ["x", "z"] and [tuple(r) for r in linkage.stacked([a, b]).collect()] == [(1, 2, None), (None, 3, 4)]
+    images_ = spark.createDataFrame([("c", 4000.0, 100.0, 300.0), ("c", 1000.0, 10.0, 300.0), ("c", None, 1.0, 1.0)], "corpus string, width double, height double, dpi double")
+    r = images.resolution_recap(images_, F.lit(0.25)).first()
+    assert (r.x_before, r.x_after, r.reduced, r.at_floor, r.unchanged) == (2500, 1500, 1, 1, 1)

@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from cartulary.schemas import OBJECT_LISTING, RECAP, RATIO_RECAP
-from cartulary.sources import readers, writers
+from cartulary.sources import clients, readers, workbook, writers
 from cartulary.streaming import landing
 
 
@@ -111,3 +113,106 @@ def test_landing_stream_goes_on_from_its_checkpoint(spark, tmp_path):
     rows = []
     landing.run_available(landing.event_counts(df, "ts", "kind", "5 minutes"), lambda b, _: rows.extend(b.collect()), str(tmp_path / "cp2"), "update")
     assert sum({r.start: r.n for r in rows}.values()) == 15
+
+
+def test_workbooks_come_back_and_look_as_asked(spark, tmp_path):
+    rows = [("a & <b>", 1, 2.5, True), ("é\n", None, -3.0, False), ("TOTAL", 12345678, 1e-3, None)]
+    df = spark.createDataFrame(rows, "name string, n long, share double, ok boolean").coalesce(1)
+    path = str(tmp_path / "r.xlsx")
+    writers.write_report({"Files": df, "No rows": df.limit(0)}, path, Files={"formats": {"n": workbook.WHOLE, "share": workbook.PERCENT}, "scaled": ["share"], "total": True, "widths": {"name": 60}})
+    data = (tmp_path / "r.xlsx").read_bytes()
+    assert workbook.read(data) == [["name", "n", "share", "ok"], *map(list, rows)] and workbook.read(data, "No rows") == [["name", "n", "share", "ok"]]
+    with zipfile.ZipFile(path) as z:
+        sheet, styles = z.read("xl/worksheets/sheet1.xml").decode(), z.read("xl/styles.xml").decode()
+    assert 'state="frozen"' in sheet and 'sqref="C2:C4"' in sheet and 'width="60"' in sheet and "#,##0" in styles and "D9D9D9" in styles
+    got = readers.workbook(spark, path, "n long, share string, missing int, name string").collect()
+    assert [tuple(r) for r in got] == [(1, "2.5", None, "a & <b>"), (None, "-3.0", None, "é\n"), (12345678, "0.001", None, "TOTAL")]
+    assert [workbook.letters(i) for i in (0, 25, 26, 701, 702)] == ["A", "Z", "AA", "ZZ", "AAA"]
+
+
+def test_files_are_hashed_in_blocks(spark, tmp_path):
+    for name, data in (("a b+c.bin", b"x" * 5000), ("e", b"")):
+        (tmp_path / name).write_bytes(data)
+    files = spark.createDataFrame([(f"file://{tmp_path}/a b+c.bin".replace(" ", " "),), (str(tmp_path / "e"),), (str(tmp_path / "none"),)], "path string")
+    got = {r.path.rsplit("/", 1)[-1]: r for r in readers.digests(files, block=64).collect()}
+    assert got["e"].checksum_md5 == hashlib.md5(b"").hexdigest() and got["none"].error and got["none"].checksum_md5 is None
+    inv = {r.name: r.checksum_md5 for r in readers.inventory(spark, str(tmp_path), checksums=True).collect()}
+    assert inv["a b+c.bin"] == hashlib.md5(b"x" * 5000).hexdigest()
+
+
+def test_a_backup_stays_beside_a_written_document(spark, tmp_path):
+    one = lambda text: spark.createDataFrame([("a.xml", text)], "doc string, content string")
+    for text in ("1", "2", "3"):
+        assert writers.write_documents(one(text), f"file://{tmp_path}", backup=True).first().error is None
+    assert (tmp_path / "a.xml").read_text() == "3" and (tmp_path / "a.xml.bak").read_text() == "2"
+
+
+OAI = '<OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/">{}</OAI-PMH>'
+RECORD = '<record><header{}><identifier>oai:x:{}</identifier></header><metadata><d:dc xmlns:d="http://purl.org/dc/elements/1.1/"><d:source>S, {}</d:source><d:title>T</d:title><d:title>U</d:title></d:dc></metadata></record>'
+
+
+def answers(url):
+    if "ListSets" in url:
+        return OAI.format("<ListSets><set><setSpec>s</setSpec><setName>Set</setName></set><set><setSpec>none</setSpec><setName>None</setName></set></ListSets>").encode()
+    if "resumptionToken=t" in url:
+        return OAI.format("<ListRecords>" + RECORD.format("", 2, 2) + "<resumptionToken/></ListRecords>").encode()
+    if "set=none" in url:
+        return OAI.format('<error code="noRecordsMatch"/>').encode()
+    if "set=s" in url:
+        return OAI.format("<ListRecords>" + RECORD.format("", 1, 1) + RECORD.format(' status="deleted"', 9, 9) + "<resumptionToken>t</resumptionToken></ListRecords>").encode()
+    return OAI.format('<error code="badArgument">no</error>').encode()
+
+
+def test_harvests_follow_their_tokens(spark):
+    sets = clients.harvest_sets("http://h/", answers)
+    assert sets == [("s", "Set"), ("none", "None")]
+    fetch = clients.harvest_records("http://h/", answers)
+    assert [r["identifier"] for r in fetch("s")] == ["oai:x:1", "oai:x:2"] and list(fetch("none")) == []
+    with pytest.raises(ValueError):
+        list(fetch("other"))
+
+
+def test_profiles_and_stores():
+    settings = {"endpoint_url": "https://s", "region_name": "r", "reader": {"access_key": "a", "secret_key": "b"}}
+    p = clients.profile(settings, "reader")
+    assert clients.hadoop_settings(p, "bucket")["spark.hadoop.fs.s3a.bucket.bucket.endpoint.region"] == "r" and len(clients.hadoop_settings(p, "b")) == 4
+    with pytest.raises(KeyError):
+        clients.profile(settings, "writer")
+
+    class Store:
+        held = {"p/1": 3}
+
+        def get_paginator(self, _):
+            return self
+
+        def paginate(self, Bucket, Prefix):  # noqa: N803
+            return [self.list_objects_v2(Bucket, Prefix)]
+
+        def list_objects_v2(self, Bucket, Prefix):  # noqa: N803
+            return {"Contents": [{"Key": k, "Size": n, "LastModified": "d"} for k, n in self.held.items() if k.startswith(Prefix)]}
+
+        def get_object_tagging(self, Bucket, Key):  # noqa: N803
+            return {"TagSet": [{"Key": "uuid", "Value": "u"}]}
+
+        def upload_file(self, path, bucket, key, ExtraArgs):  # noqa: N803
+            self.held[key] = len(path)
+
+        def delete_object(self, Bucket, Key):  # noqa: N803
+            del self.held[Key]
+
+    store = Store()
+    assert list(clients.object_lister(p, lambda _: store)("b", "p")) == [{"key": "p/1", "last_modified": "d", "size": 3, "storage_class": None, "uuid": "u", "checksum_md5": None}]
+    head, put, delete = clients.object_writer(p, "b", lambda _: store)
+    put("1234", "q", "t")
+    assert head("q")["size"] == 4 and head("p") is None
+    delete("q")
+    assert head("q") is None
+
+
+def test_first_rows_of_a_stream(spark, tmp_path):
+    rows = [(1, "a", 0), (1, "a", 5), (2, "b", 9)]
+    spark.createDataFrame(rows, "id long, name string, s long").select("id", "name", F.timestamp_seconds("s").alias("ts")).write.parquet(str(tmp_path / "in"))
+    df = landing.landed(spark, str(tmp_path / "in"), spark.createDataFrame([], "id long, name string, ts timestamp").schema)
+    seen = []
+    landing.run_available(landing.first_seen(df, "ts", ["id", "name"]), lambda b, _: seen.extend(b.collect()), str(tmp_path / "cp"))
+    assert sorted(r.id for r in seen) == [1, 2]
