@@ -2,10 +2,12 @@
 
 Test items are cut into windows of consecutive words.  Corpus-wide counts of the
 test vocabulary tell the rarest terms of each window; the positional index stores
-the postings of those terms (document, position).  Offset-adjusted postings of a
-window's rarest terms are intersected, and the few places that are left are held
-against the whole phrase (or, for proximity, the rarest term's places against the
-spans around them that hold all words of the window).
+the postings of those terms (document, position).  Postings that stand within a window's
+length of each other make pairs (term, term, distance); those that are some window's two
+rarest terms at their offsets are the places, each held against the whole phrase.  So a
+posting meets its neighbours only, however many windows its term is in.  For proximity
+the rarest term's places are held against the spans around them that hold all words of
+the window.
 
 Defined cases: null or wordless texts have no words and no window; an item of fewer
 words than a window is one window; a null item_id marks words but is not listed;
@@ -56,11 +58,11 @@ def term_counts(docs: DataFrame, grams: DataFrame) -> DataFrame:
 
 
 def rarest_terms(grams: DataFrame, counts: DataFrame, terms: int) -> DataFrame:
-    """Per window its ``terms`` (at most 63) rarest words with their offsets, written: wid, term, off, part (its number), parts (how many there are)."""
+    """Per window its ``terms`` rarest words with their offsets, written: wid, rare (array of off, term, by offset)."""
     spread = grams.select("wid", "n", F.posexplode("gram").alias("off", "term")).join(counts, "term")
     order = Window.partitionBy("wid").orderBy("count", "term", "off")
     ranked = spread.select("*", F.row_number().over(order).alias("part")).where(F.col("part") <= terms)
-    return stash(ranked.select("wid", "term", "off", "part", F.least("n", F.lit(terms)).alias("parts")), "rarest")
+    return stash(ranked.groupBy("wid").agg(F.array_sort(F.collect_list(F.struct("off", "term"))).alias("rare")), "rarest")
 
 
 def index(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -69,23 +71,43 @@ def index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return stash(spread.join(terms, "term").select("term", "k", "h", "pos"), "postings")
 
 
-def matches(docs: DataFrame, grams: DataFrame, terms: int = 2, slop: int | None = None) -> DataFrame:
+def neighbours(postings: DataFrame, reach: int) -> DataFrame:
+    """Pairs of postings of one document at most ``reach`` words apart: k, h, pos, term, other, gap."""
+    one = postings.dropDuplicates(["k", "h", "pos"])  # a row that is repeated whole has its postings more than once
+    w = Window.partitionBy("k", "h").orderBy("pos")
+    after = F.array(*(F.lead(F.struct("pos", "term"), i).over(w) for i in range(1, reach + 1)))
+    near = one.select("*", F.filter(after, lambda x: x.isNotNull()).alias("after"))
+    pairs = near.select("k", "h", "pos", "term", F.explode("after").alias("x")).select("k", "h", "pos", "term", F.col("x.term").alias("other"), (F.col("x.pos") - F.col("pos")).alias("gap"))
+    return pairs.where(F.col("gap") <= reach)
+
+
+def places_of(postings: DataFrame, rare: DataFrame) -> DataFrame:
+    """Where all rarest terms of a window stand at their offsets: k, h, wid, start."""
+    x, y = F.col("rare")[0], F.col("rare")[1]
+    alone = rare.where("size(rare) = 1").select("wid", x["off"].alias("off"), x["term"].alias("term"))
+    found = postings.join(alone, "term")
+    reach = rare.agg(F.max(F.try_element_at("rare", F.lit(2))["off"] - x["off"])).first()[0]
+    if reach:
+        twins = rare.where("size(rare) > 1").select("wid", x["off"].alias("off"), x["term"].alias("term"), y["term"].alias("other"), (y["off"] - x["off"]).alias("gap"))
+        columns = ["k", "h", "pos", "wid", "off"]
+        found = found.select(*columns).unionByName(neighbours(postings, reach).join(twins, ["term", "other", "gap"]).select(*columns))
+    return found.select("k", "h", "wid", (F.col("pos") - F.col("off")).alias("start")).where("start >= 0").distinct()
+
+
+def matches(docs: DataFrame, grams: DataFrame, slop: int | None = None) -> DataFrame:
     """Occurrences of the windows ``grams``, written: (k, h, start, n, wid), n the words from start on.
 
     ``slop`` None asks for exact phrases.  A number asks for proximity: all distinct
     words of the window, in any order, among ``n + slop`` consecutive words around its
     rarest word; ``start`` is where those words begin.
     """
-    parts = rarest_terms(grams, term_counts(docs, grams), terms if slop is None else 1)
-    postings = index(docs, stash(parts.select("term").distinct(), "terms"))
-    near = postings.join(parts, "term").select("k", "h", "wid", "part", "parts", "pos", (F.col("pos") - F.col("off")).alias("start"))
+    rare = rarest_terms(grams, term_counts(docs, grams), 2 if slop is None else 1)
+    postings = index(docs, stash(rare.select(F.explode("rare.term").alias("term")).distinct(), "terms"))
     if slop is None:
-        # a bit per term, as the postings of a row that is repeated whole come more than once
-        term = F.expr("shiftleft(1L, part - 1)")
-        met = near.where("start >= 0").groupBy("k", "h", "wid", "start").agg(F.bit_or(term).alias("met"), F.max("parts").alias("parts"))
-        places = met.where("bit_count(met) = parts").withColumn("pos", F.col("start"))
+        places = places_of(postings, rare).withColumn("pos", F.col("start"))
     else:
-        places = near
+        one = rare.select("wid", F.col("rare")[0]["term"].alias("term"), F.col("rare")[0]["off"].alias("off"))
+        places = postings.join(one, "term").select("k", "h", "wid", "pos", (F.col("pos") - F.col("off")).alias("start")).distinct()
     listed = places.join(grams.select("wid", "gram", "n"), "wid").groupBy("k", "h").agg(F.collect_list(F.struct("start", "pos", "n", "wid", "gram")).alias("places"))
     texts = _key(docs).join(stash(listed, "places"), ["k", "h"])
 
@@ -107,10 +129,10 @@ def matches(docs: DataFrame, grams: DataFrame, terms: int = 2, slop: int | None
     return stash(texts.select("k", "h", F.explode(found).alias("m")).select("k", "h", "m.start", "m.n", "m.wid").distinct(), "matches")
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, terms: int = 2) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
     """Per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, item_ids."""
     grams = windows(items, size)
-    found = matches(docs, grams, terms)
+    found = matches(docs, grams)
     before = Window.partitionBy("k", "h").orderBy("start", "n").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("n")
     covered = (
@@ -136,9 +158,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, terms: int
     )
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 10, terms: int = 2) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
     """``docs`` with its own columns, without documents that hold a window of a test item."""
     key = fresh(docs, "k", "h")
-    bad = matches(docs, windows(items, size), terms).select(F.col("k").alias(key[0]), F.col("h").alias(key[1])).distinct()
+    bad = matches(docs, windows(items, size)).select(F.col("k").alias(key[0]), F.col("h").alias(key[1])).distinct()
     keyed = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias(key[0]), F.xxhash64("text").alias(key[1]))
     return keyed.join(stash(bad, "contaminated"), key, "left_anti").drop(*key)

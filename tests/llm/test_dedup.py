@@ -173,6 +173,29 @@ def test_decontamination_agrees_with_brute_force(docs, rows, items, empty):
     assert decontaminate.decontaminate(docs, items.limit(0)).where("contaminated").count() == 0
 
 
+def test_one_word_items_and_repeated_words(spark):
+    rng = random.Random(12)
+    texts = [" ".join(rng.choices(["the", "of", "a", "b"], [6, 2, 1, 1])[0] for _ in range(rng.randint(0, 60))) for _ in range(120)]
+    items = [(1, "the"), (2, "of of"), (3, "the the the the the the the the the the the"), (4, "a b the of the of a"), (5, " ".join(texts[3].split()[:14]) or "x"), (6, "absent the")]
+    grams = defaultdict(set)
+    for i, t in items:
+        w = words(t)
+        for x in range(max(len(w) - 9, 1)):
+            grams[tuple(w[x : x + 10])].add(str(i))
+    expected = []
+    for k, t in enumerate(texts):
+        w, hit, ids = words(t), set(), set()
+        for g, some in grams.items():
+            for x in range(len(w) - len(g) + 1):
+                if tuple(w[x : x + len(g)]) == g:
+                    hit.update(range(x, x + len(g)))
+                    ids |= some
+        expected.append((k, len(hit), sorted(ids)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = decontaminate.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_hit, r.item_ids) for r in found) == expected and sum(n > 0 for _, n, _ in expected) > 100
+
+
 def test_rows_repeated_whole_are_hit_alike(spark, rows):
     passage = " ".join(rows[85][1].split()[25:50])
     data = [(1, f"a {passage} b"), (1, f"a {passage} b"), (1, f"a {passage} b"), (2, passage), (2, "other words"), (None, passage), (None, passage)]
