@@ -33,7 +33,7 @@ from cartulary.operators.materialise import shared_dir
 LEAST_REVISIT = 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
-READ = 1 << 18
+READ, HEADER = 1 << 18, 1 << 24
 ROTATE = 256 << 20
 
 
@@ -51,8 +51,12 @@ def _urn(page_id: int | None) -> str:
     return f"<urn:page:{'' if page_id is None else page_id}>"
 
 
+def _named(digest) -> str:
+    return "sha1:" + base64.b32encode(digest.digest()).decode()
+
+
 def _sha1(data: bytes) -> str:
-    return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+    return _named(hashlib.sha1(data, usedforsecurity=False))
 
 
 def page_record(page_id: int | None, url: str | None, html: str | None, refers_to: int | None, original_url: str | None = None) -> bytes:
@@ -74,42 +78,72 @@ def page_record(page_id: int | None, url: str | None, html: str | None, refers_t
     return _record(headers, block)
 
 
-def members(stream: BinaryIO) -> Iterator[bytes]:
-    """Inflated gzip members of a stream, one after the other, reading ``READ`` bytes at a time."""
+class Frame:
+    """A record as it is inflated: its header, then as many bytes as Content-Length says, hashed as they come."""
+
+    def __init__(self) -> None:
+        self.head, self.headers, self.block, self.left, self.end, self.digest = b"", None, [], 0, b"", hashlib.sha1(usedforsecurity=False)
+
+    def feed(self, data: bytes) -> None:
+        if self.headers is None:
+            self.head += data
+            head, sep, data = self.head.partition(b"\r\n\r\n")
+            if not sep:
+                if len(self.head) > HEADER or not b"WARC/".startswith(self.head[:5]):
+                    raise WarcError("no record header")
+                return
+            self.headers, self.left = self._headers(head)
+        part, rest = data[: self.left], data[self.left :]
+        self.block.append(part)
+        self.digest.update(part)
+        self.left -= len(part)
+        self.end += rest
+        if len(self.end) > 4:
+            raise WarcError("the block is longer than the Content-Length")
+
+    @staticmethod
+    def _headers(head: bytes) -> tuple[dict[str, str], int]:
+        lines = head.decode().split("\r\n")
+        if not lines[0].startswith("WARC/"):
+            raise WarcError("no record header")
+        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+        length = headers.get("content-length", "")
+        if not length.isdigit():
+            raise WarcError("no Content-Length")
+        return headers, int(length)
+
+    def whole(self) -> tuple[dict[str, str], bytes]:
+        if self.headers is None or self.left or self.end != b"\r\n\r\n":
+            raise WarcError("the record ends before its Content-Length")
+        if self.headers.get("warc-block-digest", own := _named(self.digest)) != own:
+            raise WarcError("block digest")
+        return self.headers, b"".join(self.block)
+
+
+def records(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers (lower-case names) and block of each gzip member of a stream, read and inflated ``READ`` bytes at a time."""
     data = stream.read(READ)
     while data:
-        unpack, parts = zlib.decompressobj(31), []
-        while True:
-            parts.append(unpack.decompress(data))
-            if unpack.eof:
-                data = unpack.unused_data or stream.read(READ)
-                break
-            data = stream.read(READ)
+        unpack, frame = zlib.decompressobj(31), Frame()
+        while not unpack.eof:
             if not data:
                 raise WarcError("archive ends within a member")
-        yield b"".join(parts)
+            frame.feed(unpack.decompress(data, READ))
+            data = unpack.unconsumed_tail or (b"" if unpack.eof else stream.read(READ))
+        yield frame.whole()
+        data = unpack.unused_data or stream.read(READ)
 
 
 def parse(member: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers (lower-case names) and block of a record, framed by Content-Length."""
-    head, sep, rest = member.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
-    if not sep or not lines[0].startswith("WARC/"):
-        raise WarcError("no record header")
-    headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-    n = int(headers.get("content-length", "-1"))
-    if n < 0 or len(rest) != n + 4 or rest[n:] != b"\r\n\r\n":
-        raise WarcError("the block's length isn't the Content-Length")
-    block = rest[:n]
-    if "warc-block-digest" in headers and headers["warc-block-digest"] != _sha1(block):
-        raise WarcError("block digest")
-    return headers, block
+    """Headers and block of one record that is inflated already."""
+    frame = Frame()
+    frame.feed(member)
+    return frame.whole()
 
 
 def read_archive(stream: BinaryIO) -> Iterator[dict]:
     """Records of an archive: page_id, url, record_type, payload (None for revisits), digest hex, refers_to."""
-    for member in members(stream):
-        headers, block = parse(member)
+    for headers, block in records(stream):
         kind = headers["warc-type"]
         payload = block.partition(b"\r\n\r\n")[2] if kind == "response" else None
         if payload is not None and headers["warc-payload-digest"] != _sha1(payload):

@@ -197,7 +197,7 @@ def test_classifier_edge_cases(docs, empty, spark):
 def test_warc_roundtrip(spark):
     big, other = "é" * 700, "x" * 1000
     data = [(1, "http://a/1", big), (2, "u", big), (3, None, None), (4, "u", "short"), (5, "u", "short"), (6, "u", other), (7, "u\r\nX: y", big), (None, "n", other), (6, "u", other), (8, "u", "\r\n\r\n" * 400)]
-    pages = spark.createDataFrame(data, "page_id long, url string, html string").withColumn("owner", F.lit(1))
+    pages = spark.createDataFrame(data, "page_id long, url string, html string").withColumns({c: F.lit(1) for c in ("owner", "s", "b", "c", "refers_to", "payload_digest")})
     got = sorted(warc.roundtrip(pages).collect(), key=lambda r: (r.page_id is None, r.page_id or 0))
     want = []
     for i, _, h in data:
@@ -217,9 +217,27 @@ def test_warc_members_and_damage():
     with pytest.raises((warc.WarcError, zlib.error)):
         list(warc.read_archive(io.BytesIO(archive[:-5])))
     plain = gzip.decompress(warc.page_record(1, "u", "payload", None))
-    for bad in (plain.replace(b"payload", b"pAyload"), plain[:-1], plain.replace(b"WARC/1.1", b"HTTP")):
+    for bad in (plain.replace(b"payload", b"pAyload"), plain[:-1], plain.replace(b"WARC/1.1", b"HTTP"), plain + b"x", plain[:20], plain.replace(b"Content-Length: ", b"Content-Length: x")):
         with pytest.raises(warc.WarcError):
             warc.parse(bad)
+        with pytest.raises(warc.WarcError):
+            list(warc.read_archive(io.BytesIO(gzip.compress(bad))))
+
+
+def test_too_long_a_record_stops_the_reader_early():
+    bomb = b"WARC/1.1\r\nContent-Length: 3\r\n\r\n" + b"x" * 50_000_000
+    stream = io.BytesIO(gzip.compress(bomb) + b"never read" * 100_000)
+    with pytest.raises(warc.WarcError, match="longer"):
+        list(warc.records(stream))
+    assert stream.tell() <= warc.READ
+    frame = warc.Frame()
+    for b in warc_bytes(plain := gzip.decompress(warc.page_record(5, "u", "é" * 900, None))):
+        frame.feed(b)
+    assert frame.whole() == warc.parse(plain)
+
+
+def warc_bytes(data):
+    return (data[i : i + 1] for i in range(len(data)))
 
 
 # ---- mixing ----
