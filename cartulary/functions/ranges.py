@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cartulary.functions.keys import basename, dirname, splitext_extension, stem
 
@@ -62,6 +62,34 @@ def expand(first: Column, last: Column) -> Column:
     return bind(parts, lambda p: bind(_differing(p["a"], p["b"]), lambda i: F.when(i.isNotNull(), names(p, i))))
 
 
+def with_span(df: DataFrame, first: Column, last: Column, name: str = "span") -> DataFrame:
+    """``df`` with a struct head, foot, width, lo, hi of the names from ``first`` to ``last``; null where ``expand`` is.
+
+    Tokens are columns of their own, so that each is cut once and the rest is compiled."""
+    base, folder = basename(first), dirname(first)
+    lead = F.when(F.contains(first, F.lit("/")), F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))).otherwise(F.lit(""))
+    a, b, i = F.col("_a"), F.col("_b"), F.col("_i")
+    d = df.withColumns({"_lead": lead, "_ext": splitext_extension(base), "_a": tokens(stem(base)), "_b": tokens(stem(basename(last)))})
+    d = d.withColumn("_other", F.when(F.size(a) == F.size(b), F.zip_with(a, b, lambda x, y: x != y)))
+    d = d.withColumn("_i", F.when(F.size(F.array_remove("_other", F.lit(False))) == 1, F.array_position("_other", F.lit(True)).cast("int")))
+    x, y = F.get(a, i - 1), F.get(b, i - 1)
+    d = d.withColumns({"_x": x, "_lo": F.when(x.rlike("^[0-9]+$"), x.try_cast("long")), "_hi": F.when(y.rlike("^[0-9]+$"), y.try_cast("long"))})
+    head = F.concat("_lead", F.array_join(F.slice(a, F.lit(1), F.greatest(i - 1, F.lit(0))), ""))
+    foot = F.concat(F.array_join(F.slice(a, i + 1, F.size(a)), ""), F.col("_ext"))
+    made = F.struct(head.alias("head"), foot.alias("foot"), F.length("_x").alias("width"), F.col("_lo").alias("lo"), F.col("_hi").alias("hi"))
+    return d.withColumn(name, F.when(F.col("_hi") >= F.col("_lo"), made)).drop("_lead", "_ext", "_a", "_b", "_other", "_i", "_x", "_lo", "_hi")
+
+
+def members(df: DataFrame, name: str = "span", href: str = "href") -> DataFrame:
+    """A row for each name of a span, with its ``position`` and the span's ``size``; rows without a span go."""
+    s = F.col(name)
+    out = df.where(s.isNotNull()).select("*", F.explode(F.sequence(s["lo"], s["hi"])).alias("_n"))
+    digits = F.col("_n").cast("string")
+    made = F.concat(s["head"], F.lpad(digits, F.greatest(s["width"], F.length(digits)), F.lit("0")), s["foot"])
+    size = (s["hi"] - s["lo"] + 1).cast("int")
+    return out.withColumns({href: made, "size": size, "position": position((F.col("_n") - s["lo"]).cast("int"), size)}).drop(name, "_n")
+
+
 def position(index: Column, size: Column) -> Column:
     return F.when(index == 0, F.lit("first")).when(index == size - 1, F.lit("last")).otherwise(F.lit("intermediaire"))
 

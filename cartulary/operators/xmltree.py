@@ -195,10 +195,9 @@ def expanded_links(n: DataFrame, source: str, roles: Sequence[str] | None = None
         media = F.regexp_extract("prefix", "^preservation:(.*)$", 1)
         kept = pairs.where(F.col("prefix").startswith("preservation:")).select("doc", "group_id", F.concat(F.lit("access:"), media).alias("prefix")).distinct()
         pairs = pairs.join(kept, ["doc", "group_id", "prefix"], "left_anti")
-    pairs = pairs.withColumn("names", R.expand(F.coalesce("f", F.lit("")), F.coalesce("l", F.lit(""))))
-    clear = pairs.where("names is not null").select("doc", "comp_id", "comp_depth", F.concat("prefix", F.lit(":plage")).alias("role"), F.size("names").alias("taille_plage"), F.posexplode("names").alias("i", "href"))
-    clear = clear.withColumn("position", R.position(F.col("i"), F.col("taille_plage"))).drop("i")
-    vague = pairs.where("names is null").select(
+    pairs = R.with_span(pairs, F.coalesce("f", F.lit("")), F.coalesce("l", F.lit("")))
+    clear = R.members(pairs).select("doc", "comp_id", "comp_depth", F.concat("prefix", F.lit(":plage")).alias("role"), F.col("size").alias("taille_plage"), "href", "position")
+    vague = pairs.where("span is null").select(
         "doc", "comp_depth", F.concat("prefix", F.lit(":plage:ambigu")).alias("role"),
         F.explode(F.array(F.struct(F.lit("first").alias("position"), F.col("f").alias("href"), F.col("comp_id").alias("comp_id")), F.struct(F.lit("last").alias("position"), F.col("l").alias("href"), F.col("last_comp").alias("comp_id")))).alias("e"),
     ).select("doc", "e.comp_id", "comp_depth", "role", F.lit(None).cast("int").alias("taille_plage"), F.coalesce("e.href", F.lit("")).alias("href"), "e.position")

@@ -387,8 +387,7 @@ def _ranges(spark, sf):
 
 
 def _members(spark, sf):
-    spread = _ranges(spark, sf).withColumn("all", R.expand(F.col("f"), F.col("l"))).where("all is not null")
-    return spread.select("k", F.size("all").alias("size"), F.posexplode("all").alias("i", "href")).withColumn("position", R.position(F.col("i"), F.col("size")))
+    return R.members(R.with_span(_ranges(spark, sf), F.col("f"), F.col("l")))
 
 
 @query(f"WITH {_BOUNDS}, m AS (SELECT k, x, y, unnest(range(x, y + 1)) AS n FROM b WHERE x <> y) SELECT k, 'd/P_' || lpad(CAST(n AS VARCHAR), 2, '0') || '.tif' AS href, CAST(y - x + 1 AS INTEGER) AS size, CASE n WHEN x THEN 'first' WHEN y THEN 'last' ELSE 'intermediaire' END AS position FROM m")
@@ -408,8 +407,7 @@ def _gaps(spark, sf):
     l, k = table(spark, sf, "lineitem"), F.col("l_orderkey").cast("string")
     b = l.groupBy(k.alias("k")).agg(F.min("l_linenumber").alias("x"), F.max("l_linenumber").alias("y"))
     name = lambda n: F.concat(F.lit("d/P_"), F.col("k"), F.lit("_"), two(n), F.lit(".tif"))
-    ranges = b.select("k", name(F.col("x")).alias("f"), name(F.col("y")).alias("l")).withColumn("all", R.expand(F.col("f"), F.col("l"))).where("all is not null")
-    members = ranges.select("k", F.lit("preservation:image").alias("role"), F.size("all").alias("size"), F.posexplode("all").alias("i", "href")).withColumn("position", R.position(F.col("i"), F.col("size")))
+    members = R.members(R.with_span(b, name(F.col("x")), name(F.col("y")))).withColumn("role", F.lit("preservation:image"))
     files = l.select(F.concat(F.lit("P_"), k, F.lit("_"), two(F.col("l_linenumber")), F.lit(".tif")).alias("name"), k.alias("uuid"), F.lit(None).cast("string").alias("s3_key"))
     g = catalogue.range_gaps(catalogue.check_ranges(members, files), ["k", "role"])
     return g.select(F.col("k").cast("long").alias("k"), "total", F.col("presents").alias("present"), "taux")

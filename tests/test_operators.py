@@ -56,6 +56,9 @@ def test_unpad_and_expand_agree_with_their_rules(spark):
     pairs += [(f"x{rng.randint(0, 30):0{rng.randint(1, 3)}d}y{rng.choice('ab1')}", f"x{rng.randint(0, 30):0{rng.randint(1, 3)}d}y{rng.choice('ab1')}") for _ in range(400)]
     rows = [(f"d/{a}.tif", f"d/{b}.tif") for a, b in pairs]
     assert values(spark, rows, "a string, b string", R.expand(F.col("a"), F.col("b"))) == [expand(a, b) for a, b in pairs]
+    spans = R.members(R.with_span(spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, a string, b string"), F.col("a"), F.col("b"))).collect()
+    assert sorted((r.k, r.href) for r in spans) == sorted((k, x) for k, p in enumerate(pairs) for x in expand(*p) or ())
+    assert all((r.size == 1) or (r.position == "first") == (r.href == expand(*pairs[r.k])[0]) for r in spans)
     assert values(spark, [("access:image:first",), ("last_image",), ("x",), (None,)], "r string", R.bound(F.col("r"))) == [("access:image", "first"), ("image", "last"), None, None]
 
 
