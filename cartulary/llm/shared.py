@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from cartulary.operators.materialise import discard, written
 
@@ -35,13 +35,17 @@ def named_rows(docs: DataFrame, file: str, row: str) -> DataFrame:
     plan = docs._jdf.queryExecution().analyzed()
     while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
         plan = plan.children().head()
-    here = ("_metadata.file_path", "_metadata.row_index")
     if "LogicalRelation" not in plan.getClass().getName():
         docs = stash(docs, "rows")
+
+    def named(df: DataFrame) -> DataFrame:
+        place = df.metadataColumn("_metadata")  # also where a column has that name
+        return df.select("*", place["file_path"].alias(file), place["row_index"].alias(row))
+
     try:
-        return docs.select("*", F.col(here[0]).alias(file), F.col(here[1]).alias(row))
+        return named(docs)
     except AnalysisException:  # files that number no rows, such as CSV
-        return stash(docs, "rows").select("*", F.col(here[0]).alias(file), F.col(here[1]).alias(row))
+        return named(stash(docs, "rows"))
 
 
 #: Rows and bytes of an Arrow batch of texts, unless the session states its own.

@@ -11,7 +11,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from cartulary.llm import decontaminate, exact_dedup, simhash, substrings
-from cartulary.llm.components import components
+from cartulary.llm.components import components, settled
+from cartulary.llm.shared import named_rows
 
 
 def bare(text):
@@ -98,15 +99,14 @@ def test_simhash_components(docs, rows, hot):
     assert sorted(found) == expected
 
 
+@pytest.mark.parametrize("cut", simhash.CUTS)
 @pytest.mark.parametrize("hot", [2000, 4])
-def test_links_lose_no_pair(spark, hot):
-    import random
-
+def test_links_lose_no_pair(spark, hot, cut):
     rng = random.Random(3)
     centres = [rng.getrandbits(64) for _ in range(6)]
     prints = {c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 5))) for c in centres for _ in range(25)}
     signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
-    edges = simhash.links(spark.createDataFrame(signed, "fp long"), hot)
+    edges = simhash.links(spark.createDataFrame(signed, "fp long"), hot, cut)
     got = {r.node & ((1 << 64) - 1): r.root & ((1 << 64) - 1) for r in components(edges, "a", "b").collect()}
     roots = brute_components(prints)
     classes = lambda m: sorted(sorted(p for p in prints if m.get(p, p) == r) for r in {m.get(p, p) for p in prints})
@@ -135,6 +135,32 @@ def test_one_row_of_each_component_stays(spark):
     assert sorted(d for d, _ in kept if d) == [1, 2, 3] and [t for d, t in kept if d is None][0] in (alone, near(alone, 2))
 
 
+def test_the_number_of_fingerprints_tells_the_cut():
+    assert simhash.best_cut(0) == simhash.best_cut(10**6) == simhash.CUTS[0] and simhash.best_cut(10**9) == simhash.CUTS[1]
+    for cut in simhash.CUTS:  # segments tile the 64 bits, and their radii leave no pair of four bits out
+        assert [a + n for a, n, _ in cut] == [*(a for a, _, _ in cut[1:]), 64] and sum(r + 1 for _, _, r in cut) == simhash.DISTANCE + 1
+    assert len(simhash.ball(32, 2)) == 529 and sorted(simhash.ball(3, 1)) == [0, 1, 2, 4]
+
+
+def test_rows_are_named_whatever_they_come_from(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(50)], "doc_id long, text string").repartition(3)
+    df.write.parquet(f"{tmp_path}/p")
+    df.write.csv(f"{tmp_path}/c")
+    stored = spark.read.parquet(f"{tmp_path}/p")
+    twice = stored.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")).drop("copy")
+    stored.withColumn("_metadata", F.lit("mine")).write.parquet(f"{tmp_path}/m")
+    sources = [(spark.read.parquet(f"{tmp_path}/m"), 50), (stored, 50), (stored.where("doc_id > 9").select("text"), 40), (stored.unionByName(stored), 100), (twice, 100), (df, 50), (spark.read.csv(f"{tmp_path}/c"), 50), (stored.limit(0), 0)]
+    for source, n in sources:
+        named = named_rows(source, "file", "row")
+        names = {(r.file, r.row): r[0] for r in named.collect()}
+        assert len(names) == n and names == {(r.file, r.row): r[0] for r in named.collect()} and named.columns == [*source.columns, "file", "row"]
+
+
+def test_edges_are_settled_when_they_are_stars(spark):
+    e = lambda *x: settled(spark.createDataFrame(list(x), "a long, b long"))
+    assert e((2, 1), (3, 1), (5, 4)) and not e((2, 1), (3, 2)) and not e((3, 1), (3, 2)) and settled(spark.createDataFrame([], "a long, b long"))
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "x long, y long"), "x", "y").collect()}
