@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import mimetypes
 import re
 import unicodedata
 from collections.abc import Sequence
@@ -22,10 +23,9 @@ FAMILIES = {
 }
 AUDIO_VARIANT = r"(?i)_(\d+kHz\d+B|TI)$"
 AUDIO_VARIANT_ORDER = ("96kHz24B", "44kHz24B", "TI")
-MIME_TYPES = {
-    "jpg": "image/jpeg", "jpeg": "image/jpeg", "jpe": "image/jpeg", "tif": "image/tiff", "tiff": "image/tiff", "jp2": "image/jp2", "png": "image/png", "gif": "image/gif",
-    "txt": "text/plain", "csv": "text/csv", "html": "text/html", "pdf": "application/pdf", "xml": "application/xml", "json": "application/json", "zip": "application/zip",
-    "mp3": "audio/mpeg", "wav": "audio/x-wav", "flac": "audio/flac", "mp4": "video/mp4", "mov": "video/quicktime", "wmv": "video/x-ms-wmv", "avi": "video/x-msvideo",
+#: Extension without its dot to media type, as Python's own table has them; the types of a collection's masters come first.
+MIME_TYPES = {"tif": "image/tiff", "jp2": "image/jp2", "jpg": "image/jpeg", "wav": "audio/x-wav", "flac": "audio/flac", "wmv": "video/x-ms-wmv", "xml": "application/xml"} | {
+    k.lstrip("."): v for k, v in sorted(mimetypes.MimeTypes().types_map[True].items()) if k not in (".wav", ".jp2", ".flac", ".wmv", ".xml")
 }
 JUNK_ENDINGS = (".db", "lnk")
 

@@ -47,7 +47,7 @@ TECHNICAL = _struct(
 )
 #: An XML document as rows in document order.
 NODES = _struct(
-    "doc string, node_id int, parent_id int, ord int, depth int, tag string, attrs map<string;string>, text string, tail string, comp_id int, comp_depth int"
+    "doc string, node_id int, parent_id int, ord int, depth int, tag string, attrs map<string;string>, text string, tail string, comp_id int, comp_depth int, last_id int, inner string"
 )
 TRANSFER_LOG = _struct("name string, path string, checksum_md5 string, uuid string, size long, key string, uploaded boolean, uploaded_file_size long, uploaded_file_lastmodified string, error string")
 COPY_LOG = _struct("corpus_code string, name string, statut string, src string, dst string, erreur string")
