@@ -251,6 +251,26 @@ def q_calibrated(spark, sf):
     return got.select("path", F.when(F.col("error").isNull(), F.col("ratio").between(13.5, 17.0)).alias("near"), "error")
 
 
+@query(
+    "SELECT 'd' || (doc_id % 7) || '_' || doc_id || '.xml' AS name, octet_length(encode(coalesce(text, ''))) // 2 AS w1800, CASE WHEN octet_length(encode(coalesce(text, ''))) < 5000 THEN octet_length(encode(coalesce(text, ''))) // 3 END AS w2500 FROM documents"
+)
+def q_image_versions(spark, sf):
+    """Files copied, then converted at two widths by a stand-in encoder that fails for large files at one of them."""
+    at = _folder(spark, "versions")
+    files = _text_files(spark, sf, f"{at}/from")
+
+    def encode(data, job):
+        wide = job["signature"] == "w2500"
+        if wide and len(data) >= 5000:
+            raise ValueError("too large")
+        return data[: len(data) // (3 if wide else 2)], 1, 1
+
+    m = files.select(L("MED_X").alias("corpus_code"), F.col("doc").alias("name"), L("").alias("path"), L(None).cast("string").alias("s3_key"), L(4000.0).alias("width"))
+    parameters = spark.createDataFrame([("MED_X", "w1800", 45, 1800), ("MED_X", "w2500", 62, 2500)], "corpus string, signature string, facteur int, rmin int")
+    _, log = images.chain(m, f"{at}/from", f"{at}/to", "m", parameters, f"{at}/out", ".jpg", encode)
+    return images.versions(log, ["w1800", "w2500"]).select(K.basename(F.col("source")).alias("name"), "w1800", "w2500")
+
+
 @query(
     "WITH l AS (SELECT c_custkey, 'S_' || (c_custkey % 40) AS stem, c_custkey % 3 AS kind, c_name FROM customer), f AS (SELECT 'U' || i AS uuid, i, 's_' || CASE WHEN i % 2 = 0 THEN '0' ELSE '' END || i AS name FROM range(0, 50) t(i)) "
     "SELECT DISTINCT 'U' || (c_custkey % 40) AS uuid, c_name AS unitid, CASE WHEN (c_custkey % 40) % 2 = 0 THEN 'padding' ELSE 'normalisee' END AS methode FROM l WHERE kind <> 2"

@@ -105,3 +105,55 @@ def calibrate_images(images: DataFrame, encoder: Callable[[bytes, int], bytes],
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, kinds)], ["path", "quality", "ratio", "size", "steps", "error"])
 
     return images.select("path", raw_size, content).mapInArrow(run, "path string, quality int, ratio double, size long, steps int, error string")
+
+
+RUN = "source string, target string, signature string, size long, width int, height int, error string"
+
+
+def run_jobs(jobs: DataFrame, encode: Callable[[bytes, dict], tuple[bytes, int, int]]) -> DataFrame:
+    """Convert planned jobs (source, target, signature, scale): read, encode, write; a log row each.
+
+    ``encode`` takes a file's bytes and its job, and gives bytes, width and height.  One failing job fails only its row."""
+
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow import fs as pafs
+
+        for b in batches:
+            rows = []
+            for job in b.to_pylist():
+                head = (job["source"], job["target"], job["signature"])
+                try:
+                    (fs, at), (to, z) = map(pafs.FileSystem.from_uri, head[:2])
+                    with fs.open_input_stream(at, compression=None) as data:
+                        made, width, height = encode(data.read(), job)
+                    to.create_dir(z.rsplit("/", 1)[0], recursive=True)
+                    with to.open_output_stream(z, compression=None) as out:
+                        out.write(made)
+                    rows.append((*head, len(made), width, height, None))
+                except Exception as e:  # noqa: BLE001 - reported in the row
+                    rows.append((*head, None, None, None, str(e)[:500]))
+            kinds = [pa.string()] * 3 + [pa.int64(), pa.int32(), pa.int32(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 7, kinds)], ["source", "target", "signature", "size", "width", "height", "error"])
+
+    return jobs.select("source", "target", "signature", "scale").mapInArrow(run, RUN)
+
+
+def chain(manifest: DataFrame, source: str, destination: str, stem: str, parameters: DataFrame, root: str, extension: str, encode: Callable[[bytes, dict], tuple[bytes, int, int]]) -> tuple[DataFrame, DataFrame]:
+    """Copy the files of a manifest (corpus_code, name, path, s3_key, width), then convert those that arrived by the
+    parameters of their corpus (corpus, signature, facteur, rmin); the two logs, written.  A run can be taken up again."""
+    from cartulary.operators.materialise import written
+    from cartulary.sources import writers
+
+    copied = written(writers.copy_files(manifest, source, destination, stem), "copied")
+    here = copied.where(F.col("statut").isin(writers.COPIED, writers.THERE)).select(F.col("corpus_code").alias("corpus"), "name", F.col("dst").alias("source"))
+    images = here.join(manifest.select(F.col("corpus_code").alias("corpus"), "name", "width"), ["corpus", "name"])
+    done = images.sparkSession.createDataFrame([], "path string")
+    return copied, written(run_jobs(plan_jobs(images, parameters, root, extension, done), encode), "converted")
+
+
+def versions(log: DataFrame, signatures: Sequence[str]) -> DataFrame:
+    """One row per source, a column of sizes per signature (widths to compare, say); failed versions are null."""
+    from cartulary.operators.aggregates import wide_by_signature
+
+    return wide_by_signature(log.where("error is null"), "source", "signature", list(signatures), "size", "target")
