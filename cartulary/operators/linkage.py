@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cartulary.operators.materialise import written
 
@@ -51,8 +51,10 @@ def match_exact(left: DataFrame, right: DataFrame, keys: Sequence[str], carry: S
 
 
 def mark_multiple(df: DataFrame, keys: Sequence[str], name: str = "multiple") -> DataFrame:
-    """Flag every row whose key occurs more than once (null keys together)."""
-    return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1)
+    """Flag every row whose key occurs more than once (null keys together); a common key is counted before it meets its rows."""
+    several = df.groupBy(*(F.col(k).alias(f"_k_{k}") for k in keys)).count().where("count > 1").drop("count").withColumn("_several", F.lit(True))
+    marked = df.join(several, null_safe(keys, [f"_k_{k}" for k in keys]), "left")
+    return marked.select(*df.columns, F.coalesce("_several", F.lit(False)).alias(name))
 
 
 def match_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], carry: Sequence[str], write: bool = False) -> Tier:

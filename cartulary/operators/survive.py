@@ -21,8 +21,12 @@ def last_per_key(df: DataFrame, key: str, value: str, position: str) -> DataFram
 
 
 def at_group_maximum(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    """Rows that have their group's greatest value, all ties."""
-    return df.select("*", F.max(column).over(Window.partitionBy(*keys)).alias("_top")).where(F.col(column) == F.col("_top")).drop("_top")
+    """Rows that have their group's greatest value, all ties; the greatest is found before it meets the rows."""
+    top = df.groupBy(*(F.col(k).alias(f"_k_{k}") for k in keys)).agg(F.max(column).alias("_top"))
+    same = F.col(column) == F.col("_top")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return df.join(top, same, "left_semi")
 
 
 def ranked_choice(column: str, values: Sequence[str], default: int = 9) -> Column:
@@ -53,20 +57,19 @@ def decide_transfers(df: DataFrame, key: Sequence[str], sort: Sequence[str], dat
     that stands but shares one part of the key with another that stands isn't sent.  A
     null key is a key; at its greatest date no rows are counted (0).
     """
-    group = Window.partitionBy(*key)
-    dated = df.withColumn("_date", F.col(date).cast("string").try_cast("double"))
-    order = [F.col("_date").desc_nulls_last(), *(F.col(c).asc_nulls_last() for c in (*sort, *tie))]
-    complete = F.lit(True)
-    for k in key:
-        complete = complete & F.col(k).isNotNull()
-    marked = dated.select(
-        "*",
-        F.count(F.lit(1)).over(group).alias("_copies"),
-        F.max("_date").over(group).alias("_newest"),
-        (F.row_number().over(group.orderBy(*order)) == 1).alias("_stands"),
+    dated = df.withColumns({"_date": F.col(date).cast("string").try_cast("double"), "_rid": F.monotonically_increasing_id()})
+    rows = written(dated, "transfers")
+    place = F.struct(*(x for i, c in enumerate((*sort, *tie)) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))), F.col("_rid").alias("rid"))
+    days = rows.groupBy(*key, "_date").agg(F.count("*").alias("_n"), F.min(place).alias("_first"))
+    undated = F.max(F.when(F.col("_date").isNull(), F.col("_first")))
+    groups = days.groupBy(*(F.col(k).alias(f"_k_{k}") for k in key)).agg(
+        F.sum("_n").alias("_copies"), F.max_by("_n", "_date").alias("_newest"), F.coalesce(F.max_by("_first", "_date"), undated)["rid"].alias("_stand")
     )
-    at_newest = F.sum(F.when((F.col("_date") == F.col("_newest")) & complete, 1).otherwise(0)).over(group)
-    marked = written(marked.withColumn("_at_newest", at_newest), "marked")
+    same, complete = F.lit(True), F.lit(True)
+    for k in key:
+        same, complete = same & F.col(k).eqNullSafe(F.col(f"_k_{k}")), complete & F.col(k).isNotNull()
+    marked = rows.join(groups, same).withColumns({"_stands": F.col("_rid") == F.col("_stand"), "_at_newest": F.when(complete, F.coalesce("_newest", F.lit(0))).otherwise(0)})
+    marked = written(marked, "marked")
     for k in key:  # a common part of the key is counted before it meets its rows
         several = marked.where("_stands").groupBy(F.col(k).alias("_part")).count().where("count > 1").select("_part", F.lit(True).alias("_several"))
         marked = marked.join(several, F.col(k).eqNullSafe(F.col("_part")), "left").withColumn(f"_clash_{k}", F.col("_stands") & F.coalesce("_several", F.lit(False))).drop("_part", "_several")
