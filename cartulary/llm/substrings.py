@@ -84,13 +84,14 @@ def contexts(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return value[lo], lo, np.diff(np.append(lo, len(place)))
 
 
-def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
-    """Positions of ``t`` in the order of their suffixes, right to ``depth`` bytes.
+def suffix_order(t: np.ndarray, depth: int, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Positions of ``t``, or the ``wanted`` ones of them (a mask), in the order of their suffixes, right to ``depth`` bytes.
 
     Two-stage sorting: suffixes smaller than their successor are sorted directly.  A
     suffix that is not smaller stands in the bucket of its first byte before those
     that are, in the order of its successor, so that a scan of the buckets in
-    ascending order induces it.
+    ascending order induces it.  Of the others only those take part that a wanted one
+    is induced from, through however many successors.
     """
     n = len(t)
     if n == 0:
@@ -101,25 +102,33 @@ def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
     has = nxt < len(differ)
     at = differ[nxt[has]]
     small[:-1][has] = t[at] < t[at + 1]
+    part = np.ones(n, bool)
+    if wanted is not None:  # from each wanted suffix on to the first that is sorted directly
+        direct = np.append(np.flatnonzero(small), n - 1)
+        i = np.flatnonzero(wanted)
+        ends = np.where(small[i], i, direct[np.minimum(np.searchsorted(direct, i), len(direct) - 1)])
+        steps = np.bincount(i, minlength=n + 1) - np.bincount(ends + 1, minlength=n + 1)
+        part = np.cumsum(steps[:n]) > 0
     raw = t.tobytes()
-    direct = np.array(sorted(np.flatnonzero(small).tolist(), key=lambda i: raw[i : i + depth]), np.int64)
+    direct = np.array(sorted(np.flatnonzero(small & part).tolist(), key=lambda i: raw[i : i + depth]), np.int64)
     bounds = np.searchsorted(t[direct], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
-    waiting[t[-1]].append(np.array([n - 1]))  # its successor is the empty suffix, the least of all
+    if part[-1]:
+        waiting[t[-1]].append(np.array([n - 1]))  # its successor is the empty suffix, the least of all
     out = []
     for c in range(256):
         wave, mine = np.concatenate(waiting[c]) if waiting[c] else np.zeros(0, np.int64), []
         while len(wave):  # runs of the byte c induce within the bucket
             mine.append(wave)
             j = wave - 1
-            wave = j[(j >= 0) & (t[j] == c)]
+            wave = j[(j >= 0) & (t[j] == c) & part[j]]
         bucket = np.concatenate([*mine, direct[bounds[c] : bounds[c + 1]]])
         if not len(bucket):
             continue
         out.append(bucket)
         j = bucket - 1
         j = j[j >= 0]
-        j = j[t[j] > c]
+        j = j[(t[j] > c) & part[j]]
         if len(j):
             first = t[j]
             order = np.argsort(first, kind="stable")
@@ -127,7 +136,8 @@ def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
             heads = np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1])))
             for a, b in zip(heads, np.append(heads[1:], len(j))):
                 waiting[first[a]].append(j[a:b])
-    return np.concatenate(out)
+    found = np.concatenate(out) if out else np.zeros(0, np.int64)
+    return found if wanted is None else found[wanted[found]]
 
 
 def adjacent_equal(t: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
@@ -156,8 +166,7 @@ def repeats(pieces: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, i
     own = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     slot = np.full(len(t), -1, np.int64)
     slot[begin[owner] + own] = np.arange(len(owner))
-    order = suffix_order(t, LENGTH)
-    order = order[slot[order] >= 0]
+    order = suffix_order(t, LENGTH, slot >= 0)
     equal = adjacent_equal(t, order, LENGTH)
     kind = np.concatenate(([0], np.cumsum(~equal)))
     which = slot[order]
@@ -361,27 +370,32 @@ def _plan(longest: int):
     return lambda batches: map(functools.partial(_planned, longest), batches)
 
 
+def _lists(counts: list[int], kinds: dict[str, pa.DataType], columns: list[np.ndarray]) -> pa.Array:
+    """An array of lists of structs, of ``counts`` elements each."""
+    values = pa.StructArray.from_arrays([pa.array(c).cast(k) for c, k in zip(columns, kinds.values())], list(kinds))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts, dtype=np.int64))), pa.int32()), values)
+
+
 def _planned(longest: int, b: pa.RecordBatch) -> pa.RecordBatch:
-    needs, runs_ = [], []
-    for acts in b.column("acts"):
-        x = {name: acts.values.field(name).to_numpy(zero_copy_only=False) for name in ("lo", "n", "kind", "anchor", "oi", "oh", "olo")}
-        some = np.flatnonzero(x["kind"] != COPY)
-        needs.append([dict(zip(("lo", "n", "kind", "anchor"), v)) for v in zip(*(x[c][some].tolist() for c in ("lo", "n", "kind", "anchor")))])
-        some = np.flatnonzero(x["kind"] == COPY)
-        some = some[np.lexsort((x["lo"][some], x["oh"][some], x["oi"][some], x["lo"][some] - x["olo"][some]))]
-        run = np.zeros(len(some), RUN)
-        run["lo"], run["n"], run["olo"] = x["lo"][some], x["n"][some], x["olo"][some]
-        run["doc"] = np.arange(len(some))
-        oi, oh = x["oi"][some], x["oh"][some]
-        run = joined(run, (oi, oh))
-        mine = []
-        for lo, n, olo, at in zip(run["lo"].tolist(), run["n"].tolist(), run["olo"].tolist(), run["doc"].tolist()):
-            for d in range(0, n, longest):
-                mine.append({"lo": lo + d, "n": min(longest, n - d), "oi": int(oi[at]), "oh": int(oh[at]), "olo": olo + d})
-        runs_.append(mine)
-    need = pa.list_(pa.struct([("lo", pa.int32()), ("n", pa.int32()), ("kind", pa.int32()), ("anchor", pa.int64())]))
-    run_ = pa.list_(pa.struct([("lo", pa.int32()), ("n", pa.int32()), ("oi", pa.int64()), ("oh", pa.int64()), ("olo", pa.int32())]))
-    return pa.RecordBatch.from_arrays([b.column("i"), b.column("h"), pa.array(needs, need), pa.array(runs_, run_)], ["i", "h", "needs", "runs"])
+    acts = b.column("acts")
+    cuts = acts.offsets.to_numpy()
+    x = {name: acts.values.field(name).to_numpy(zero_copy_only=False) for name in ("lo", "n", "kind", "anchor", "oi", "oh", "olo")}
+    owner = np.repeat(np.arange(len(acts)), np.diff(cuts))
+    x = {name: v[cuts[0] : cuts[-1]] for name, v in x.items()}
+    some = x["kind"] != COPY
+    need = _lists(np.bincount(owner[some], minlength=len(acts)), {"lo": pa.int32(), "n": pa.int32(), "kind": pa.int32(), "anchor": pa.int64()}, [x[c][some] for c in ("lo", "n", "kind", "anchor")])
+    some = np.flatnonzero(~some)
+    some = some[np.lexsort((x["lo"][some], x["oh"][some], x["oi"][some], x["lo"][some] - x["olo"][some], owner[some]))]
+    run = np.zeros(len(some), RUN)
+    run["lo"], run["n"], run["olo"], run["doc"] = x["lo"][some], x["n"][some], x["olo"][some], np.arange(len(some))
+    oi, oh, of = x["oi"][some], x["oh"][some], owner[some]
+    run = joined(run, (oi, oh, of))
+    parts = -(-run["n"] // longest)  # a long run is compared in parts
+    at, step = np.repeat(np.arange(len(run)), parts), (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)) * longest
+    first = run["doc"][at]
+    columns = [run["lo"][at] + step, np.minimum(longest, run["n"][at] - step), oi[first], oh[first], run["olo"][at] + step]
+    runs_ = _lists(np.bincount(of[first], minlength=len(acts)), {"lo": pa.int32(), "n": pa.int32(), "oi": pa.int64(), "oh": pa.int64(), "olo": pa.int32()}, columns)
+    return pa.RecordBatch.from_arrays([b.column("i"), b.column("h"), need, runs_], ["i", "h", "needs", "runs"])
 
 
 SORTED, COPIED, ASKED = 0, 1, 2
@@ -414,36 +428,44 @@ class _Strings:
         return self.again + [(SORTED, xxh3(p) - (1 << 63), *at, 1, None, None, None, p) for p, at in self.seen.items()]
 
 
+def _listed(column: pa.ListArray, *names: str) -> tuple[list[int], list[tuple]]:
+    """Where the elements of each row begin, and the elements as tuples; a null row has none."""
+    cuts = column.offsets.to_numpy()
+    fields = (column.values.field(n).to_numpy(zero_copy_only=False)[cuts[0] : cuts[-1]].tolist() for n in names)
+    return (cuts - cuts[0]).tolist(), list(zip(*fields))
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pieces of three sides: to be sorted by their route (without bytes: strings that an earlier piece of this task
     equals), copies, and what is asked for to compare them with."""
     for b in batches:
         offsets, raw = utf8_column(b, "text")
         rows, strings, held = [], _Strings(), 0
-        for r in range(b.num_rows):
-            t = raw[offsets[r] : offsets[r + 1]]
-            i, h = b.column("i")[r].as_py(), b.column("h")[r].as_py()
-            for need in b.column("needs")[r].as_py() or ():
-                lo, n = need["lo"], need["n"]
-                if need["kind"] == SHARED:
-                    rows.append((SORTED, need["anchor"], i, h, lo, n, None, None, None, t[lo : lo + n + LENGTH - 1].tobytes()))
-                    held += n + LENGTH
+        ids, hs, view, more = b.column("i").to_pylist(), b.column("h").to_pylist(), memoryview(raw), LENGTH - 1
+        need_at, needs = _listed(b.column("needs"), "lo", "n", "kind", "anchor")
+        run_at, runs_ = _listed(b.column("runs"), "lo", "n", "oi", "oh", "olo")
+        ask_at, asked = _listed(b.column("asked"), "lo", "n")
+        for r, at in enumerate(offsets[:-1].tolist()):
+            i, h = ids[r], hs[r]
+            for lo, n, kind, anchor in needs[need_at[r] : need_at[r + 1]]:
+                if kind == SHARED:
+                    rows.append((SORTED, anchor, i, h, lo, n, None, None, None, bytes(view[at + lo : at + lo + n + more])))
+                    held += n + more
                 else:
-                    strings.add(t, i, h, lo, n)
-            for x in b.column("runs")[r].as_py() or ():
-                lo, n = x["lo"], x["n"]
-                rows.append((COPIED, None, i, h, lo, n, x["oi"], x["oh"], x["olo"], t[lo : lo + n + LENGTH - 1].tobytes()))
-                held += n + LENGTH
-                if held > 1 << 23:
-                    yield _pieces(rows)
-                    rows, held = [], 0
-            for x in b.column("asked")[r].as_py() or ():
-                lo, n = x["lo"], x["n"]
-                rows.append((ASKED, None, i, h, lo, n, None, None, None, t[lo : lo + n + LENGTH - 1].tobytes()))
-                held += n + LENGTH
+                    strings.add(raw[at : offsets[r + 1]], i, h, lo, n)
+            for lo, n, oi, oh, olo in runs_[run_at[r] : run_at[r + 1]]:
+                rows.append((COPIED, None, i, h, lo, n, oi, oh, olo, bytes(view[at + lo : at + lo + n + more])))
+                held += n + more
+            for lo, n in asked[ask_at[r] : ask_at[r + 1]]:
+                end = min(at + lo + n + more, int(offsets[r + 1]))
+                rows.append((ASKED, None, i, h, lo, n, None, None, None, bytes(view[at + lo : end])))
+                held += n + more
                 if held > 1 << 23:
                     yield _pieces(rows)
                     rows, held = [], 0
+            if held > 1 << 23:
+                yield _pieces(rows)
+                rows, held = [], 0
         yield _pieces(rows + strings.rows())
 
 

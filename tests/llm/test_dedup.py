@@ -253,6 +253,20 @@ def clashing(piece) -> int:
     return len(piece) % 3
 
 
+@pytest.mark.parametrize("alphabet", [1, 2, 3, 40])
+def test_suffixes_are_ordered(alphabet):
+    rng = np.random.default_rng(alphabet)
+    for n in (0, 1, 2, 7, 60, 400):
+        for share in (None, 0.0, 0.1, 0.7):
+            t = rng.integers(97, 97 + alphabet, n).astype(np.uint8)
+            wanted = None if share is None else rng.random(n) < share
+            raw = t.tobytes()
+            expected = sorted((i for i in range(n) if wanted is None or wanted[i]), key=lambda i: raw[i:])
+            assert substrings.suffix_order(t, n + 1, wanted).tolist() == expected
+            got = substrings.suffix_order(t, 5, wanted).tolist()  # right to the depth, all there
+            assert sorted(got) == sorted(expected) and [raw[i : i + 5] for i in got] == sorted(raw[i : i + 5] for i in got)
+
+
 def test_runs_are_joined():
     x = np.array([(0, 0, 5, 7, 10), (0, 5, 4, 7, 15), (0, 9, 4, 7, 30), (0, 13, 2, 8, 34), (1, 15, 3, 8, 36)], substrings.RUN)
     got = substrings.joined(x, (x["doc"], x["odoc"]))
