@@ -361,6 +361,7 @@ def _meet(crowd: int):
 # ---- stage 2: what shares an anchor is cut from the documents and sorted, what copies is compared ----
 
 LONGEST = 1 << 15  # starts of a run that is compared at once
+PIECES_HELD = 1 << 22  # bytes of pieces that a task gathers before it hands them on
 NEEDS = "array<struct<lo:int,n:int,kind:int,anchor:long>>"
 RUNS = "array<struct<lo:int,n:int,oi:long,oh:long,olo:int>>"
 
@@ -460,10 +461,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 end = min(at + lo + n + more, int(offsets[r + 1]))
                 rows.append((ASKED, None, i, h, lo, n, None, None, None, bytes(view[at + lo : end])))
                 held += n + more
-                if held > 1 << 23:
+                if held > PIECES_HELD:
                     yield _pieces(rows)
                     rows, held = [], 0
-            if held > 1 << 23:
+            if held > PIECES_HELD:
                 yield _pieces(rows)
                 rows, held = [], 0
         yield _pieces(rows + strings.rows())
@@ -567,7 +568,8 @@ def remove_repeats(docs: DataFrame, crowd: int = CROWD, digest: Callable = xxh3,
 
     # one row per copied run: what it copies is joined to it and compared; a row that occurs several times gives several
     place = ["oi", "oh", "olo", "n"]
-    asked = cut.where(F.col("side") == ASKED).select(F.col("i").alias("oi"), F.col("h").alias("oh"), F.col("lo").alias("olo"), "n", F.col("piece").alias("other")).dropDuplicates(place)
+    asked = cut.where(F.col("side") == ASKED).select(F.col("i").alias("oi"), F.col("h").alias("oh"), F.col("lo").alias("olo"), "n", F.col("piece").alias("other"))
+    asked = stash(asked.dropDuplicates(place), "asked")  # bare sides, so that a place of very many copies can be split
     copied = cut.where(F.col("side") == COPIED).join(asked, place, "left")
     compared = stash(copied.select("i", "h", "lo", *place, (F.col("piece") == F.col("other")).alias("same")), "compared")
     to_sort = cut.where((F.col("side") == SORTED) & F.col("piece").isNotNull()).select("route", "i", "h", "lo", "n", "piece")
