@@ -31,18 +31,21 @@ JUNK_ENDINGS = (".db", "lnk")
 
 
 def basename(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]*)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
 def dirname(path: Column) -> Column:
     """All before the last slash, without trailing slashes (unless it is all slashes)."""
-    head = F.regexp_extract(path, r"(?s)^(.*/)[^/]*$", 1)
-    return F.when(head.rlike(r"^/+$"), head).otherwise(F.regexp_replace(head, r"/+$", ""))
+    head = F.left(path, F.length(path) - F.length(basename(path)))
+    bare = F.rtrim(head, F.lit("/"))
+    return F.when(bare == "", head).otherwise(bare)
 
 
 def stem(name: Column) -> Column:
     """Name without its extension; leading dots are no extension."""
-    return F.when(name.rlike(r"(?s)^\.*[^.].*\.[^.]*$"), F.regexp_extract(name, r"(?s)^(\.*[^.].*)\.[^.]*$", 1)).otherwise(name)
+    before = F.left(name, F.length(name) - F.instr(F.reverse(name), "."))
+    dotted = F.contains(name, F.lit(".")) & (F.ltrim(before, F.lit(".")) != "")
+    return F.when(dotted, before).otherwise(name)
 
 
 def splitext_extension(name: Column) -> Column:

@@ -69,7 +69,9 @@ def with_span(df: DataFrame, first: Column, last: Column, name: str = "span") ->
     base, folder = basename(first), dirname(first)
     lead = F.when(F.contains(first, F.lit("/")), F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))).otherwise(F.lit(""))
     a, b, i = F.col("_a"), F.col("_b"), F.col("_i")
-    d = df.withColumns({"_lead": lead, "_ext": splitext_extension(base), "_a": tokens(stem(base)), "_b": tokens(stem(basename(last)))})
+    name_, ext = F.col("_name"), F.substring("_base", F.length("_name") + 1, F.lit(1 << 20))
+    d = df.withColumns({"_lead": lead, "_base": base, "_name": stem(base), "_b": tokens(stem(basename(last)))})
+    d = d.withColumns({"_ext": ext, "_a": tokens(name_)}).drop("_base", "_name")
     d = d.withColumn("_other", F.when(F.size(a) == F.size(b), F.zip_with(a, b, lambda x, y: x != y)))
     d = d.withColumn("_i", F.when(F.size(F.array_remove("_other", F.lit(False))) == 1, F.array_position("_other", F.lit(True)).cast("int")))
     x, y = F.get(a, i - 1), F.get(b, i - 1)
@@ -83,7 +85,7 @@ def with_span(df: DataFrame, first: Column, last: Column, name: str = "span") ->
 def members(df: DataFrame, name: str = "span", href: str = "href") -> DataFrame:
     """A row for each name of a span, with its ``position`` and the span's ``size``; rows without a span go."""
     s = F.col(name)
-    out = df.where(s.isNotNull()).select("*", F.explode(F.sequence(s["lo"], s["hi"])).alias("_n"))
+    out = df.select("*", F.explode(F.sequence(s["lo"], s["hi"])).alias("_n"))  # a test for null would be pushed below and cut the tokens again
     digits = F.col("_n").cast("string")
     made = F.concat(s["head"], F.lpad(digits, F.greatest(s["width"], F.length(digits)), F.lit("0")), s["foot"])
     size = (s["hi"] - s["lo"] + 1).cast("int")
