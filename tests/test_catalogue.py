@@ -305,19 +305,12 @@ def test_generated_finding_aids(spark):
 def test_finding_aids_take_every_order(spark, tmp_path):
     days = [(i, f"{1 + i % 2}-X", datetime.date(1996, 1 + i % 3, 1 + i % 28)) for i in range(1, 120)]
     spark.createDataFrame(days, "o_orderkey long, o_orderpriority string, o_orderdate date").write.parquet(f"{tmp_path}/orders.parquet")
-    links = Q.q_extracted_links_all(spark, str(tmp_path)).collect()
+    links = Q.q_extracted_links(spark, str(tmp_path)).collect()
     assert sorted(r.href for r in links) == sorted(f"/p/p_{k}.tif" for k, _, _ in days)
     docs = {f"PRA_{p[0]}_{d:%Y%m}.xml" for _, p, d in days}
     assert {r.doc for r in links} == docs
-    assert {r.doc: r.leaves for r in Q.q_generated_components_all(spark, str(tmp_path)).collect()} == {x: len({d for _, p, d in days if x == f"PRA_{p[0]}_{d:%Y%m}.xml"}) for x in docs}
-    assert sum(r.n_changes for r in Q.q_batch_dryrun_all(spark, str(tmp_path)).collect()) == len(days)
-
-
-def test_terms_are_compared_whole(spark, tmp_path):
-    stock = "Thank you for asking about "
-    turns = [(1, 0, "user", stock + "rivers"), (1, 1, "user", stock + "lakes"), (1, 2, "user", f"{stock}rivers "), (1, 3, "bot", stock + "rivers"), (2, 0, "user", stock), (2, 1, "user", None), (2, 2, "user", None)]
-    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
-    assert {r.conv_id: r.removed for r in Q.q_term_dedupe(spark, str(tmp_path)).collect()} == {1: 1, 2: 1}
+    assert {r.doc: r.leaves for r in Q.q_generated_components(spark, str(tmp_path)).collect()} == {x: len({d for _, p, d in days if x == f"PRA_{p[0]}_{d:%Y%m}.xml"}) for x in docs}
+    assert sum(r.n_changes for r in Q.q_batch_dryrun(spark, str(tmp_path)).collect()) == len(days)
 
 
 def test_technical_metadata(spark):
