@@ -13,8 +13,8 @@ from cartulary.plans.queries import ORACLES, QUERIES
 
 TABLES = Path("/root/testdata/sf0.001")
 SOME = (
-    "q_csv_roundtrip", "q_strict_union", "q_copied_files", "q_uploaded", "q_harvested", "q_xml_files", "q_image_versions", "q_calibrated", "q_associated", "q_landed_events", "q_doc_orphans", "q_doc_navigator",
-    "q_doc_checked_ranges", "q_edit_single", "q_edit_dedupe", "q_rewrite_links", "q_rewrite_terms", "q_rewrite_documents", "q_dedup_decision", "q_mark_multiple", "q_share_sample", "q_extract_all", "q_generated_registers", "q_resolution_recap",
+    "q_csv_roundtrip", "q_strict_union", "q_copied_files", "q_uploaded", "q_harvested", "q_xml_files", "q_image_versions", "q_calibrated", "q_associated", "q_landed_events",
+    "q_edit_single", "q_edit_dedupe", "q_rewrite_links", "q_dedup_decision", "q_mark_multiple", "q_share_sample", "q_resolution_recap",
 )
 
 
