@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cartulary.functions import keys as K, ranges as R
+from cartulary.operators.materialise import bounded_batches, written
 
 COMPONENTS = ("c", "archdesc")
 FIELDS = "doc string, node_id int, parent_id int, ord int, depth int, tag string, attrs map<string,string>, text string, tail string, comp_id int, comp_depth int, last_id int, inner string"
@@ -25,7 +26,8 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 class _Builder:
     """Collects nodes; text and tail as in an element tree, ``inner`` the whole text of a description of links."""
 
-    def __init__(self) -> None:
+    def __init__(self, outside: tuple[int | None, int] = (None, -1)) -> None:
+        self.outside = outside  # component around the root, and its depth
         self.rows: list[list] = []
         self.stack: list[int] = []
         self.children: list[int] = []
@@ -39,7 +41,7 @@ class _Builder:
             order = self.children[parent]
             self.children[parent] += 1
         above = self.rows[parent] if parent is not None else None
-        comp, depth = (above[9], above[10]) if above else (None, -1)
+        comp, depth = (above[9], above[10]) if above else self.outside
         if tag in COMPONENTS:
             comp, depth = node, 0 if tag == "archdesc" else max(depth, 0) + 1
         self.rows.append([None, node, parent, order, len(self.stack), tag, attrs, "", "", comp, depth, node, "" if tag == "daodesc" else None])
@@ -61,9 +63,9 @@ class _Builder:
             self.rows[self.stack[-1]][7] += text
 
 
-def parse_strict(content: bytes) -> list[list]:
+def parse_strict(content: bytes, outside: tuple[int | None, int] = (None, -1)) -> list[list]:
     """Nodes of a well-formed document; raises ``ValueError`` for others."""
-    b = _Builder()
+    b = _Builder(outside)
     parser = expat.ParserCreate()
     parser.buffer_text = True
     parser.StartElementHandler = b.start
@@ -113,10 +115,20 @@ def parse_tolerant(content: bytes) -> list[list]:
     return b.rows
 
 
+NAMES = [f.split()[0] for f in FIELDS.split(", ")]
+KINDS = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.map_(pa.string(), pa.string()), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
+
+
+def _batches(doc: str, rows: list[list]) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(rows), 4096):
+        part = rows[i : i + 4096]
+        for r in part:
+            r[0], r[6] = doc, list(r[6].items())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), KINDS)], NAMES)
+
+
 def nodes(docs: DataFrame, tolerant: bool = False) -> DataFrame:
     """Node rows of ``docs`` (doc, content binary); documents that don't parse have none."""
-    names = [f.split()[0] for f in FIELDS.split(", ")]
-    kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.map_(pa.string(), pa.string()), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -128,15 +140,94 @@ def nodes(docs: DataFrame, tolerant: bool = False) -> DataFrame:
                     rows = parse_tolerant(raw) if tolerant else parse_strict(raw)
                 except ValueError:
                     continue
-                for i in range(0, len(rows), 4096):
-                    part = rows[i : i + 4096]
-                    for r in part:
-                        r[0], r[6] = doc, list(r[6].items())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), kinds)], names)
+                yield from _batches(doc, rows)
 
+    bounded_batches(docs)
     return docs.select("doc", "content").mapInArrow(run, FIELDS)
 
 
+def _wrapped(content: bytes) -> bytes:
+    """A sequence of elements below a root of their own."""
+    return b"<x>" + content + b"</x>"
+
+
+def _sizes(content: bytes) -> tuple[int, int]:
+    """Elements of a sequence, and its outermost ones; raises ``ValueError`` for what isn't one or begins with text."""
+    n = depth = roots = 0
+
+    def start(_, attrs) -> None:
+        nonlocal n, depth, roots
+        n, depth, roots = n + 1, depth + 1, roots + (depth == 1)
+        if n == 2:
+            parser.CharacterDataHandler = None
+
+    def end(_) -> None:
+        nonlocal depth
+        depth -= 1
+
+    early: list[str] = []
+    parser = expat.ParserCreate()
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, early.append
+    try:
+        parser.Parse(_wrapped(content), True)
+    except expat.ExpatError as e:
+        raise ValueError(str(e)) from e
+    if early:
+        raise ValueError("text before the first element")
+    return n - 1, roots
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        rows = []
+        for doc, part, content in zip(b.column("doc").to_pylist(), b.column("part").to_pylist(), b.column("content")):
+            try:
+                rows.append((doc, part, *_sizes(content.as_py() or b"")))
+            except ValueError:
+                rows.append((doc, part, None, None))
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 4, (pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["doc", "part", "n", "roots"])
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes of parts, numbered and placed as in the whole document."""
+    at = ("doc", "node_id", "depth", "comp_id", "comp_depth", "n_before", "roots_before")
+    for b in batches:
+        for doc, hole, depth, comp, comp_depth, n, roots, content in zip(*(b.column(c).to_pylist() for c in at), b.column("content")):
+            rows, low = parse_strict(_wrapped(content.as_py() or b""), (-1, comp_depth)), hole + n
+            for r in rows[1:]:
+                r[1] += low
+                r[11] += low
+                r[4] += depth
+                r[9] = comp if r[9] == -1 else r[9] + low
+                if r[2] == 0:
+                    r[2], r[3] = hole, r[3] + roots
+                else:
+                    r[2] += low
+            yield from _batches(doc, rows[1:])
+
+
+def nodes_in_parts(frames: DataFrame, parts: DataFrame, hole: str) -> DataFrame:
+    """Node rows of documents that are too long for a row, as ``nodes`` would give of each in one piece.
+
+    ``frames`` (doc, content binary): documents without what their first element ``hole``, which is empty, contains;
+    ``parts`` (doc, part long, content binary), written: that, cut before elements, in the order of part.  Parts are parsed
+    side by side: their nodes are counted first.  A document of which something doesn't parse has none."""
+    bounded_batches(parts)
+    counts = written(parts.mapInArrow(_count, "doc string, part long, n long, roots long"), "part-sizes")
+    before = Window.partitionBy("doc").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
+    offsets = counts.select("doc", "part", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("n", "roots")))
+    sums = counts.groupBy("doc").agg(F.sum("n").alias("more"), F.count_if(F.col("n").isNull()).alias("bad"))
+    frame = nodes(frames)
+    first = frame.where(F.col("tag") == hole).groupBy("doc").agg(F.min(F.struct("node_id", "depth", "comp_id", "comp_depth")).alias("at"))
+    spots = sums.join(first, "doc").where("bad = 0").select("doc", "at.*", "more")
+    inside = parts.join(offsets, ["doc", "part"]).join(spots.drop("more"), "doc").mapInArrow(_placed, FIELDS)
+    sizes = sums.join(first, "doc", "left").select("doc", "more", "bad", F.col("at.node_id").alias("at"))
+    around = frame.join(sizes, "doc", "left").where("bad is null or bad = 0 and at is not null")
+    later = lambda c, own=False: F.when(F.col(c) >= F.col("at") if own else F.col(c) > F.col("at"), F.col(c) + F.col("more")).otherwise(F.col(c)).cast("int").alias(c)
+    moved = {"node_id": later("node_id"), "parent_id": later("parent_id"), "comp_id": later("comp_id"), "last_id": later("last_id", own=True)}
+    return around.select(*(moved.get(c, F.col(c)) for c in NAMES)).unionByName(inside)
+
+
 def sniff(files: DataFrame, root: str = "ead", size: int = 4096) -> DataFrame:
     """Files (path, content) named .xml whose first bytes hold the root element."""
     head = F.decode(F.substring("content", 1, size), "ISO-8859-1")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cartulary.functions import keys as K, ranges as R
 from cartulary.operators import matching, survive, xmltree
+from cartulary.operators.materialise import discard, written
 
 
 def media_index(files: DataFrame) -> DataFrame:
@@ -163,16 +164,37 @@ def press_finding_aid(files: DataFrame, identity: Column) -> DataFrame:
     return year.groupBy("corpus_code").agg(joined("y").alias("dsc"))
 
 
-def register_finding_aid(files: DataFrame, identity: Column) -> DataFrame:
-    """(corpus_code, dsc): one file component per shelf-mark, by its first number, dated by its folder's span."""
+def _register_units(files: DataFrame, identity: Column) -> DataFrame:
+    """(corpus_code, o, unitid, x): one file component per shelf-mark, by its first number, dated by its folder's span."""
     units = _files(files.withColumn("unitid", K.shelfmark(F.col("unitid"))).distinct(), ["corpus_code", "unitid"])
     span = K.year_span(F.col("path"))
     normal = F.concat(span["first"], F.lit("-01-01/"), span["last"], F.lit("-12-31"))
     said = F.when(span["first"] == span["last"], span["first"]).otherwise(F.concat_ws("-", span["first"], span["last"]))
     x = _unit("file", F.col("unitid"), normal, F.col("group"), F.col("unitid"), said, identity)
     rows = units.withColumn("key", F.concat_ws("|", "corpus_code", "unitid")).withColumn("x", x).withColumn("o", K.first_number(F.col("unitid")))
-    listed = F.array_sort(F.collect_list(F.struct("o", "unitid", "x")))
-    return rows.groupBy("corpus_code").agg(F.array_join(F.transform(listed, lambda i: i["x"]), "").alias("dsc"))
+    return rows.select("corpus_code", "o", "unitid", "x")
+
+
+def _register_list() -> Column:
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "unitid", "x"))), lambda i: i["x"]), "")
+
+
+def register_finding_aid(files: DataFrame, identity: Column) -> DataFrame:
+    """(corpus_code, dsc): the file components of a corpus in one text; ``register_parts`` has those that are too long for that."""
+    return _register_units(files, identity).groupBy("corpus_code").agg(_register_list().alias("dsc"))
+
+
+def register_parts(files: DataFrame, identity: Column) -> DataFrame:
+    """(corpus_code, part, dsc), written: ``dsc`` of ``register_finding_aid`` in the order of part, up to 1024 components in each.
+
+    Components are sorted by ranges, so that no task holds a corpus."""
+    order = ["corpus_code", "o", "unitid"]
+    units = written(_register_units(files, identity), "register-units")
+    # partition numbers stand far above row numbers, so that no part holds rows of two partitions
+    rows = units.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.shiftright(F.monotonically_increasing_id(), 10))
+    parts = written(rows.groupBy("corpus_code", "part").agg(_register_list().alias("dsc")), "register-parts")
+    discard(units)
+    return parts
 
 
 def whole_document(eadid: Column, title: Column, dsc: Column, identity: Column, publisher: str) -> Column:

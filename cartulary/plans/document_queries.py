@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartulary.operators import xmledit, xmltree
+from cartulary.operators.materialise import written
 from cartulary.plans import catalogue, rewrite
 from cartulary.plans.queries import query, table
 
@@ -404,7 +405,9 @@ def q_generated_registers(spark, sf):
         _text("R", F.left("o_orderpriority", L(1))).alias("corpus_code"), _text(F.col("o_custkey"), "_D_", F.col("o_orderkey") % 3).alias("unitid"), _text("r_", F.col("o_orderkey"), ".tif").alias("name"),
         L("/r (1900-1905)").alias("path"), L(None).cast("string").alias("s3_key"),
     )
-    made = catalogue.register_finding_aid(files, F.concat(L("m0"), F.md5(F.col("key"))))
-    text = catalogue.whole_document(F.col("corpus_code"), F.col("corpus_code"), F.col("dsc"), F.concat(L("m0"), F.col("corpus_code")), "Library")
-    n = xmltree.nodes(made.select(F.concat("corpus_code", L(".xml")).alias("doc"), F.encode(text, "UTF-8").alias("content")))
+    made = catalogue.register_parts(files, F.concat(L("m0"), F.md5(F.col("key"))))
+    doc = F.concat("corpus_code", L(".xml")).alias("doc")
+    around = catalogue.whole_document(F.col("corpus_code"), F.col("corpus_code"), L(""), F.concat(L("m0"), F.col("corpus_code")), "Library")
+    frames = made.select("corpus_code").distinct().select(doc, F.encode(around, "UTF-8").alias("content"))
+    n = written(xmltree.nodes_in_parts(frames, made.select(doc, "part", F.encode("dsc", "UTF-8").alias("content")), "dsc"), "register-nodes")
     return xmltree.components(n).where("tag = 'c'").select("doc", "unitid", "level")

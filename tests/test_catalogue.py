@@ -323,3 +323,29 @@ def test_technical_metadata(spark):
 def test_sniffing(spark):
     rows = [("/a/x.xml", bytearray(HARBOUR)), ("/a/y.xml", bytearray(b"<other/>")), ("/a/x.txt", bytearray(HARBOUR)), ("/a/Z.XML", bytearray(b"<ead>")), ("/a/late.xml", bytearray(b" " * 5000 + b"<ead>"))]
     assert {r.path for r in xmltree.sniff(spark.createDataFrame(rows, "path string, content binary")).collect()} == {"/a/x.xml", "/a/Z.XML"}
+
+
+def test_a_document_in_parts_has_the_nodes_of_the_whole(spark):
+    frame = "<ead><archdesc><did><unitid>F</unitid></did>{}<dsc a='1'>{}</dsc><odd>x<c/></odd></archdesc> t </ead>"
+    inside = ["<c id='1'><did><unitid>1</unitid></did><c/>two</c> tail <p/>", "", "<c><c><c/></c></c>", "<daogrp><daodesc>a<b>c</b></daodesc></daogrp><c/>"]
+    deep = "<c>{}</c>"
+    documents = {"a.xml": frame.format("", "{}"), "b.xml": frame.format("", deep.format("<dsc>{}</dsc>")).replace("<dsc a='1'>", "").replace("</dsc><odd>", "<odd>"), "lone.xml": "<ead><dsc>{}</dsc></ead>", "none.xml": "<ead><p/></ead>"}
+    whole = spark.createDataFrame([(d, bytearray(t.format("".join(inside)).encode())) for d, t in documents.items()], "doc string, content binary")
+    bad = [("bad.xml", "<ead><dsc></dsc></ead>"), ("text.xml", "<ead><dsc></dsc></ead>"), ("frame.xml", "<ead><dsc></ead>")]
+    frames = spark.createDataFrame([(d, bytearray(t.encode())) for d, t in [*((d, t.format("")) for d, t in documents.items()), *bad]], "doc string, content binary")
+    rows = [(d, i, bytearray(t.encode())) for d in documents if d != "none.xml" for i, t in enumerate(inside, 5)]
+    rows += [("bad.xml", 1, bytearray(b"<c/>")), ("bad.xml", 2, bytearray(b"<c>")), ("text.xml", 1, bytearray(b"t<c/>")), ("frame.xml", 1, bytearray(b"<c/>"))]
+    got = xmltree.nodes_in_parts(frames, spark.createDataFrame(rows, "doc string, part long, content binary"), "dsc")
+    key = lambda n: sorted((str([sorted(x.items()) if isinstance(x, dict) else x for x in r]) for r in n.collect()))
+    assert key(got) == key(xmltree.nodes(whole)) and got.columns == xmltree.nodes(whole).columns
+
+
+def test_a_long_register_is_made_in_parts(spark):
+    files = spark.range(5000).select(
+        F.concat(F.lit("R"), (F.col("id") % 2).cast("string")).alias("corpus_code"), F.concat(F.lit("V_"), (F.col("id") % 1999).cast("string")).alias("unitid"),
+        F.format_string("p_%04d.tif", "id").alias("name"), F.lit("/r (1900-1905)").alias("path"), F.lit(None).cast("string").alias("s3_key"),
+    )
+    parts = catalogue.register_parts(files, F.md5("key")).orderBy("corpus_code", "part").collect()
+    want = {r.corpus_code: r.dsc for r in catalogue.register_finding_aid(files, F.md5("key")).collect()}
+    assert {c: "".join(r.dsc for r in parts if r.corpus_code == c) for c in want} == want
+    assert max(r.dsc.count("<c ") for r in parts) <= 1024 and len(parts) > len(want)
