@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cartulary.functions import keys as K
 from cartulary.operators import ids as I, survive, xmledit, xmltree
-from cartulary.operators.materialise import written
+from cartulary.operators.materialise import bounded_batches, discard, written
 from cartulary.operators.xmldoc import Document, Element
 from cartulary.plans import catalogue
 
@@ -310,10 +310,16 @@ def carry_out(d: Document, ids: list[dict], tags: list[dict], boxes: list[dict],
     xmledit.remove_empty(root)
 
 
+def _each(b: pa.RecordBatch) -> Iterator[dict]:
+    """Rows one at a time: a document's edit script takes many times its bytes as Python objects."""
+    for i in range(b.num_rows):
+        yield from b.slice(i, 1).to_pylist()
+
+
 def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
-        for row in b.to_pylist():
+        for row in _each(b):
             try:
                 d = Document.load(row["content"] or b"")
                 xmledit.set_head(d.root, {k: row[k] for k in ("eadid", "unitid", "repository")})
@@ -328,7 +334,7 @@ def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _finished(rules: Rules, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
-        for row in b.to_pylist():
+        for row in _each(b):
             content, error = None, row["error"]
             if error is None:
                 try:
@@ -348,11 +354,12 @@ def prepared(docs: DataFrame, sources: Sources) -> DataFrame:
     """(doc, content, error) with new heads, plain references and terms without blanks around them, written."""
     heads = _table(docs, sources, "heads")
     with_heads = docs.select("doc", "content").join(heads, "doc", "left")
+    bounded_batches(docs)
     return written(with_heads.mapInArrow(_prepared, SHAPE), "prepared")
 
 
 def rewrite_all(docs: DataFrame, sources: Sources, rules: Rules) -> tuple[DataFrame, DataFrame]:
-    """Rewritten ``docs`` (doc, content): (doc, content, error), and the new ids (doc, unitid, id) for the concordance.
+    """Rewritten ``docs`` (doc, content): (doc, content, error), written, and the new ids (doc, unitid, id) for the concordance.
 
     A document that fails keeps its error and has no content."""
     ready = prepared(docs, sources)
@@ -366,5 +373,7 @@ def rewrite_all(docs: DataFrame, sources: Sources, rules: Rules) -> tuple[DataFr
     new = comps.groupBy("doc").agg(F.collect_list(F.struct("comp", "id")).alias("ids"))
     full = ready.join(boxes, "doc", "left").join(tags, "doc", "left").join(new, "doc", "left")
     full = full.select("doc", "content", "error", F.col("ids").cast(IDS).alias("ids"), F.col("tags").cast(TAGS).alias("tags"), F.col("boxes").cast(BOXES).alias("boxes"))
-    out = full.mapInArrow(functools.partial(_finished, rules), SHAPE)
+    out = written(full.mapInArrow(functools.partial(_finished, rules), SHAPE), "rewritten")
+    discard(n)
+    discard(ready)
     return out, comps.where("made").select("doc", F.trim("unitid").alias("unitid"), "id")

@@ -6,6 +6,7 @@ import datetime
 import random
 import xml.etree.ElementTree as ET
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -349,3 +350,15 @@ def test_a_long_register_is_made_in_parts(spark):
     want = {r.corpus_code: r.dsc for r in catalogue.register_finding_aid(files, F.md5("key")).collect()}
     assert {c: "".join(r.dsc for r in parts if r.corpus_code == c) for c in want} == want
     assert max(r.dsc.count("<c ") for r in parts) <= 1024 and len(parts) > len(want)
+
+
+def test_a_rewrite_runs_once_and_in_small_batches(spark):
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    for k in keys:
+        spark.conf.unset(k)
+    out, _ = W.rewrite_all(table(spark, ("h", HARBOUR), ("g", HARBOUR)), W.Sources(), W.Rules("http://l.example/"))
+    assert "MapInArrow" not in out._jdf.queryExecution().toString()  # several readers don't carry out the scripts again
+    assert [int(spark.conf.get(k)) for k in keys] == [2000, 8 << 20] and out.where("error is null and content is not null").count() == 2
+    batch = pa.RecordBatch.from_pylist([{"doc": str(i), "ids": [{"comp": i, "id": "x"}]} for i in range(3)])
+    rows = W._each(batch)
+    assert next(rows) == batch.to_pylist()[0] and list(rows) == batch.to_pylist()[1:]
