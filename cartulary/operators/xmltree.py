@@ -18,6 +18,8 @@ from cartulary.operators.materialise import bounded_batches, written
 
 COMPONENTS = ("c", "archdesc")
 FIELDS = "doc string, node_id int, parent_id int, ord int, depth int, tag string, attrs map<string,string>, text string, tail string, comp_id int, comp_depth int, last_id int, inner string"
+#: What ``nodes`` adds on demand, so that nobody joins nodes to look up what they stand in.
+ABOVE = "parent_tag string, up_id int, up_tag string"
 #: Tags that index, wherever they stand.
 TERMS = ("subject", "geogname", "persname", "corpname", "famname", "genreform", "function", "occupation", "title", "name")  # fixed values
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -119,16 +121,28 @@ NAMES = [f.split()[0] for f in FIELDS.split(", ")]
 KINDS = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.map_(pa.string(), pa.string()), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
 
 
-def _batches(doc: str, rows: list[list]) -> Iterator[pa.RecordBatch]:
+ABOVE_NAMES, ABOVE_KINDS = [f.split()[0] for f in ABOVE.split(", ")], [pa.string(), pa.int32(), pa.string()]
+
+
+def _batches(doc: str, rows: list[list], above: bool = False) -> Iterator[pa.RecordBatch]:
+    names, kinds = (NAMES + ABOVE_NAMES, KINDS + ABOVE_KINDS) if above else (NAMES, KINDS)
     for i in range(0, len(rows), 4096):
         part = rows[i : i + 4096]
         for r in part:
             r[0], r[6] = doc, list(r[6].items())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), KINDS)], NAMES)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), kinds)], names)
+
 
+def _add_above(rows: list[list]) -> None:
+    """Append to each node its parent's tag, and id and tag of the parent's parent."""
+    for r in rows:
+        parent = rows[r[2]] if r[2] is not None else None
+        up = parent[2] if parent else None
+        r += [parent[5] if parent else None, up, rows[up][5] if up is not None else None]
 
-def nodes(docs: DataFrame, tolerant: bool = False) -> DataFrame:
-    """Node rows of ``docs`` (doc, content binary); documents that don't parse have none."""
+
+def nodes(docs: DataFrame, tolerant: bool = False, above: bool = False) -> DataFrame:
+    """Node rows of ``docs`` (doc, content binary); documents that don't parse have none.  ``above``: with the columns ``ABOVE``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -140,10 +154,12 @@ def nodes(docs: DataFrame, tolerant: bool = False) -> DataFrame:
                     rows = parse_tolerant(raw) if tolerant else parse_strict(raw)
                 except ValueError:
                     continue
-                yield from _batches(doc, rows)
+                if above:
+                    _add_above(rows)
+                yield from _batches(doc, rows, above)
 
     bounded_batches(docs)
-    return docs.select("doc", "content").mapInArrow(run, FIELDS)
+    return docs.select("doc", "content").mapInArrow(run, f"{FIELDS}, {ABOVE}" if above else FIELDS)
 
 
 def _wrapped(content: bytes) -> bytes:
@@ -242,12 +258,20 @@ def _attr(name: str) -> Column:
     return F.try_element_at(F.col("attrs"), F.lit(name))
 
 
+def _placed_nodes(n: DataFrame) -> bool:
+    return set(ABOVE_NAMES) <= set(n.columns)
+
+
 def components(n: DataFrame, trimmed: bool = True) -> DataFrame:
     """Components in document order: doc, comp_id, tag, level, id, unitid, unittitle, comp_depth, leaf."""
     said = F.trim("text") if trimmed else F.col("text")
-    did = n.where("tag = 'did'").select("doc", F.col("node_id").alias("did_id"), F.col("parent_id").alias("comp_id"))
-    fields = n.where(F.col("tag").isin("unitid", "unittitle")).select("doc", F.col("parent_id").alias("did_id"), "tag", "ord", "text")
-    first = fields.join(did, ["doc", "did_id"]).groupBy("doc", "comp_id").agg(
+    fields = n.where(F.col("tag").isin("unitid", "unittitle"))
+    if _placed_nodes(n):
+        fields = fields.where("parent_tag = 'did'").select("doc", F.col("up_id").alias("comp_id"), "tag", "ord", "text")
+    else:
+        did = n.where("tag = 'did'").select("doc", F.col("node_id").alias("did_id"), F.col("parent_id").alias("comp_id"))
+        fields = fields.select("doc", F.col("parent_id").alias("did_id"), "tag", "ord", "text").join(did, ["doc", "did_id"])
+    first = fields.groupBy("doc", "comp_id").agg(
         F.min_by(F.when(F.col("tag") == "unitid", said), F.when(F.col("tag") == "unitid", F.col("ord"))).alias("unitid"),
         F.min_by(F.when(F.col("tag") == "unittitle", said), F.when(F.col("tag") == "unittitle", F.col("ord"))).alias("unittitle"),
     )
@@ -259,8 +283,12 @@ def components(n: DataFrame, trimmed: bool = True) -> DataFrame:
 
 def links(n: DataFrame) -> DataFrame:
     """Digital object links with their group: doc, node_id, kind, href, role, audience, group_id, comp_id, comp_depth."""
-    groups = n.where("tag = 'daogrp'").select("doc", F.col("node_id").alias("parent_id"), F.lit(True).alias("_grouped"))
-    found = n.where(F.col("tag").isin("dao", "daoloc")).join(groups, ["doc", "parent_id"], "left")
+    found = n.where(F.col("tag").isin("dao", "daoloc"))
+    if _placed_nodes(n):
+        found = found.withColumn("_grouped", F.col("parent_tag") == "daogrp")
+    else:
+        groups = n.where("tag = 'daogrp'").select("doc", F.col("node_id").alias("parent_id"), F.lit(True).alias("_grouped"))
+        found = found.join(groups, ["doc", "parent_id"], "left")
     return found.select(
         "doc", "node_id", F.col("tag").alias("kind"), _attr("href").alias("href"), _attr("role").alias("role"), _attr("audience").alias("audience"),
         F.when(F.col("_grouped"), F.col("parent_id")).otherwise(F.col("node_id")).alias("group_id"), "comp_id", "comp_depth",

@@ -318,7 +318,7 @@ def _rewritten(spark, sf) -> DataFrame:
 
 
 def _rewritten_nodes(spark, sf) -> DataFrame:
-    return written(xmltree.nodes(_rewritten(spark, sf).where("error is null").select("doc", "content")), "rewritten-nodes")
+    return written(xmltree.nodes(_rewritten(spark, sf).where("error is null").select("doc", "content"), above=True), "rewritten-nodes")
 
 
 @query(f"WITH {_C} SELECT DISTINCT doc, 'E_' || fonds AS eadid, 'Title ' || fonds AS titleproper, 'U_' || fonds AS unitid, 'Reading room' AS repository FROM c")

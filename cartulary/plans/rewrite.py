@@ -70,22 +70,25 @@ def _table(docs: DataFrame, sources: Sources, name: str) -> DataFrame:
 
 
 def entries(n: DataFrame) -> DataFrame:
-    """A row per thing in a group, per link outside of groups, and per group itself (tag ``#``).
+    """A row per thing in a group, per link outside of groups, and per group itself (tag ``#``), of nodes with what is above.
 
     doc, comp (the component it is directly in, or null), box (its group, or the link itself), grouped, pos (place of the
-    box), at (place in the box, ordered as an array), node, tag, href, role, same (what makes a further group's entry a copy)."""
-    comps = n.where(F.col("tag").isin(*xmltree.COMPONENTS)).select("doc", F.col("node_id").alias("comp"))
-    groups = n.where("tag = 'daogrp'").select("doc", F.col("node_id").alias("box"), F.col("parent_id").alias("home"))
+    box), at (place in the box, ordered as an array), node, tag, href, role, inner."""
     attr = lambda name: F.try_element_at("attrs", F.lit(name)).alias(name)
-    node = n.select("doc", F.col("node_id").alias("node"), F.col("parent_id").alias("box"), "tag", attr("href"), attr("role"), "inner")
-    inside = node.join(groups, ["doc", "box"]).withColumn("grouped", F.lit(True))
-    alone = node.where("tag in ('dao', 'daoloc')").join(groups, ["doc", "box"], "left_anti")
-    alone = alone.withColumn("home", F.col("box")).withColumn("box", F.col("node")).withColumn("grouped", F.lit(False))
-    marks = groups.select("doc", F.lit(None).cast("int").alias("node"), "box", F.lit("#").alias("tag"), "home", F.lit(True).alias("grouped"))
-    rows = inside.unionByName(alone).unionByName(marks, allowMissingColumns=True)
-    rows = rows.join(comps, (rows["doc"] == comps["doc"]) & (rows["home"] == comps["comp"]), "left").drop(comps["doc"])
+    component = lambda node, tag: F.when(F.col(tag).isin(*xmltree.COMPONENTS), F.col(node))
+    grouped = F.col("parent_tag").eqNullSafe("daogrp")
+    comp = F.when(grouped, component("up_id", "up_tag")).otherwise(component("parent_id", "parent_tag"))
+    links = n.where(grouped | F.col("tag").isin("dao", "daoloc")).select(
+        "doc", comp.alias("comp"), F.when(grouped, F.col("parent_id")).otherwise(F.col("node_id")).cast("long").alias("box"), grouped.alias("grouped"),
+        F.col("node_id").alias("node"), "tag", attr("href"), attr("role"), "inner",
+    )
+    nothing = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    marks = n.where("tag = 'daogrp'").select(
+        "doc", component("parent_id", "parent_tag").alias("comp"), F.col("node_id").cast("long").alias("box"), F.lit(True).alias("grouped"),
+        nothing("int", "node"), F.lit("#").alias("tag"), nothing("string", "href"), nothing("string", "role"), nothing("string", "inner"),
+    )
     at = F.array(F.coalesce("node", F.lit(-1)).cast("long"))
-    return rows.select("doc", "comp", F.col("box").cast("long").alias("box"), "grouped", F.col("box").cast("long").alias("pos"), at.alias("at"), "node", "tag", "href", "role", "inner")
+    return links.unionByName(marks).select("doc", "comp", "box", "grouped", F.col("box").alias("pos"), at.alias("at"), "node", "tag", "href", "role", "inner")
 
 
 def _same() -> Column:
@@ -104,30 +107,40 @@ def united(e: DataFrame) -> DataFrame:
     return e.withColumn("at", at).withColumn("box", F.coalesce("lead.box", "box")).withColumn("pos", F.coalesce("lead.pos", "pos")).drop("lead", "further", "same", "before")
 
 
-def published(e: DataFrame, comps: DataFrame, records: DataFrame, base: str) -> DataFrame:
-    """With a link to each component's page, and to its former one where ``records`` know it."""
+def publications(comps: DataFrame, records: DataFrame, base: str) -> DataFrame:
+    """Entries, in no box yet, that link to each component's page (k 1), and to its former one (k 2) where ``records`` know it."""
     known = survive.last_per_key(records, "unitid", "osiros_id", "n")
     href = lambda c: F.concat(F.lit(base), c)
     now = comps.where("id <> ''").select("doc", "comp", F.lit(1).alias("k"), href(F.col("id")).alias("href"), F.lit(CURRENT).alias("role"))
     was = comps.where("tag = 'c'").join(known, "unitid").select("doc", "comp", F.lit(2).alias("k"), href(F.col("osiros_id")).alias("href"), F.lit(PREVIOUS).alias("role"))
-    new = now.unionByName(was).withColumn("news", F.count("*").over(Window.partitionBy("doc", "comp")))
-    here = e.where("comp is not null").groupBy("doc", "comp").agg(
-        F.min(F.when(F.col("grouped"), F.struct("pos", "box"))).alias("lead"),
-        F.collect_set(F.when(F.col("grouped") & (F.col("tag") == "daoloc"), F.col("role"))).alias("roles"),
-        F.min(F.when(~F.col("grouped") & (F.col("tag") == "dao"), F.col("node"))).alias("first"),
+    nothing = lambda kind: F.lit(None).cast(kind)
+    return now.unionByName(was).select(
+        "doc", "comp", nothing("long").alias("box"), F.lit(False).alias("grouped"), F.lit(BEHIND).alias("pos"), F.array(F.lit(-1).cast("long")).alias("at"),
+        nothing("int").alias("node"), F.lit("daoloc").alias("tag"), "href", "role", nothing("string").alias("inner"), "k",
     )
-    new = new.join(here, ["doc", "comp"], "left").where("lead is null or not array_contains(roles, role)")
+
+
+def published(e: DataFrame) -> DataFrame:
+    """With the publications among the entries (k not null) in their boxes.
+
+    They go to a component's first group, unless it has a link of that role; else into a new one, with the first link
+    outside of groups; a single one, where there is no link, stays outside."""
+    own = Window.partitionBy("doc", "comp")
+    old, new = F.col("k").isNull(), F.col("k").isNotNull()
+    over = {
+        "lead": F.min(F.when(old & F.col("grouped"), F.struct("pos", "box"))), "roles": F.collect_set(F.when(old & F.col("grouped") & (F.col("tag") == "daoloc"), F.col("role"))),
+        "first": F.min(F.when(old & ~F.col("grouped") & (F.col("tag") == "dao"), F.col("node"))), "news": F.count("k"),
+    }
+    e = e.select("*", *(F.when(F.col("comp").isNotNull(), c.over(own)).alias(name) for name, c in over.items()))
+    e = e.where(old | F.col("lead").isNull() | ~F.array_contains("roles", F.col("role")))
     made = -F.col("comp").cast("long") - 1  # a box that is new
-    more = new.select(
-        "doc", "comp", F.coalesce("lead.box", made).alias("box"), F.expr("lead is not null or first is not null or news > 1").alias("grouped"),
-        F.coalesce("lead.pos", F.lit(BEHIND)).alias("pos"), F.array(F.lit(PUBLISHED).cast("long"), F.col("k").cast("long")).alias("at"),
-        F.lit(None).cast("int").alias("node"), F.lit("daoloc").alias("tag"), "href", "role", F.lit(None).cast("string").alias("inner"),
+    taken = F.coalesce(old & F.col("lead").isNull() & (F.col("news") > 0) & (F.col("node") == F.col("first")), F.lit(False))
+    pick = lambda fresh, moved, name: F.when(new, fresh).when(taken, moved).otherwise(F.col(name)).alias(name)
+    return e.select(
+        "doc", "comp", pick(F.coalesce("lead.box", made), made, "box"), pick(F.expr("lead is not null or first is not null or news > 1"), F.lit(True), "grouped"),
+        pick(F.coalesce("lead.pos", F.lit(BEHIND)), F.lit(BEHIND), "pos"), F.when(new, F.array(F.lit(PUBLISHED).cast("long"), F.col("k").cast("long"))).otherwise(F.col("at")).alias("at"),
+        "node", pick(F.col("tag"), F.lit("daoloc"), "tag"), "href", "role", "inner", *(c for c in e.columns if c in FOUND),
     )
-    taken = new.where("lead is null and first is not null").select("doc", "comp", F.col("first").alias("node"), made.alias("to")).distinct()
-    e = e.join(taken, ["doc", "comp", "node"], "left")
-    e = e.withColumn("tag", F.when(F.col("to").isNull(), F.col("tag")).otherwise("daoloc"))
-    e = e.withColumn("box", F.coalesce("to", "box")).withColumn("pos", F.when(F.col("to").isNull(), F.col("pos")).otherwise(BEHIND))
-    return e.withColumn("grouped", F.col("grouped") | F.col("to").isNotNull()).drop("to").unionByName(more)
 
 
 def access_role(role: Column) -> Column:
@@ -136,41 +149,55 @@ def access_role(role: Column) -> Column:
     return F.when(role.startswith("image") | role.isin("mp3", "mp4", "pdf"), F.concat(F.lit("access:"), kind)).otherwise(role)
 
 
-def masters(e: DataFrame, files: DataFrame, renamed: tuple[str, str]) -> DataFrame:
-    """With links to the master files and texts of each link's file; the link itself moves to the masters' folder.
+#: What there is for a file: keys of its masters, its spoken variant, its text.
+FOUND = ("masters", "spoken", "ocr")
 
-    Audio is asked for by its renamed stem too; where its spoken variant is there, the link leads to that."""
+
+def with_files(e: DataFrame, files: DataFrame, renamed: tuple[str, str]) -> DataFrame:
+    """Entries with what there is for their link's file (``FOUND``), looked up once for each stem and family.
+
+    Audio is asked for by its renamed stem too."""
     order = F.coalesce(*(F.when(F.col("variant") == v, F.lit(i)) for i, v in enumerate(K.AUDIO_VARIANT_ORDER)), F.lit(len(K.AUDIO_VARIANT_ORDER)))
-    index = catalogue.media_index(files).groupBy("stem", "family").agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), "variant", "s3_key"))).alias("held"))
+    held = F.array_sort(F.collect_list(F.struct(order.alias("o"), "variant", "s3_key")))
+    index = catalogue.media_index(files).groupBy(F.col("stem").alias("known"), "family").agg(F.transform(held, lambda v: v["s3_key"]).alias("masters"))
     spoken = catalogue.spoken_files(files).select(F.col("stem").alias("known"), F.col("s3_key").alias("spoken"))
     texts = files.where("file_type = 'ocr xml' and s3_key is not null").groupBy(K.stem(F.col("name")).alias("stem")).agg(F.max("s3_key").alias("ocr"))
     base = K.basename(F.col("href"))
-    asked = e.withColumn("row", F.monotonically_increasing_id()).withColumn("stem", F.nullif(K.stem(base), F.lit("")))
-    asked = written(asked.withColumn("family", F.when(F.col("tag").isin(*xmledit.LINKS), K.media_family(K.splitext_extension(base)))), "link-entries")
-    wanted = asked.where("stem is not null and family is not null").select("row", "stem", "family")
+    stem, family, link = F.nullif(K.stem(base), F.lit("")), K.media_family(K.splitext_extension(base)), F.col("tag").isin(*xmledit.LINKS)
+    hrefs = written(e.where(link).select("href").distinct().select(stem.alias("stem"), family.alias("family")), "files-named")
+    wanted = hrefs.where("stem is not null and family is not null").distinct()
     tries = wanted.withColumn("known", F.col("stem")).withColumn("turn", F.lit(1))
     if renamed[0]:
         tries = tries.unionByName(wanted.where("family = 'audio'").withColumn("known", K.renamed(F.col("stem"), *renamed)).withColumn("turn", F.lit(2)))
-    hits = tries.join(index.withColumnRenamed("stem", "known"), ["known", "family"]).groupBy("row").agg(F.min_by(F.struct("known", "held"), "turn").alias("hit")).select("row", "hit.known", "hit.held")
-    heard = wanted.where("family = 'audio'").select("row").join(hits.select("row", "known"), "row").join(spoken, "known").select("row", "spoken")
-    read = wanted.where("family in ('image', 'pdf')").join(texts, "stem").select("row", "ocr")
-    found = hits.join(heard, "row", "left").join(read, "row", "full")
-    e = asked.join(found, "row", "left")
-    first = F.col("held")[0]["s3_key"]
+    hits = tries.join(index, ["known", "family"]).groupBy("stem", "family").agg(F.min_by(F.struct("known", "masters"), "turn").alias("hit")).select("stem", "family", "hit.known", "hit.masters")
+    heard = hits.where("family = 'audio'").join(spoken, "known").select("stem", "family", "spoken")
+    read = wanted.where("family in ('image', 'pdf')").join(texts, "stem").select("stem", "family", "ocr")
+    found = written(hits.drop("known").join(heard, ["stem", "family"], "left").join(read, ["stem", "family"], "full"), "files-found")
+    return e.withColumn("stem", stem).withColumn("family", F.when(link, family)).join(found, ["stem", "family"], "left").drop("stem", "family")
+
+
+def masters(e: DataFrame) -> DataFrame:
+    """With links to the master files and texts found for each link's file; the link itself moves to the masters' folder.
+
+    Where the spoken variant of audio is there, the link leads to that."""
+    first = F.col("masters")[0]
     moved = F.coalesce("spoken", F.concat(F.regexp_extract(first, "^(.*/)[^/]*$", 1), K.basename(F.col("href"))))
     kept_role = F.coalesce("role", F.lit(""))
     master_role = F.when(F.contains(kept_role, F.lit("access:")), F.concat(F.regexp_extract(kept_role, "^(.*?)access:", 1), F.lit("preservation:"), F.regexp_extract(kept_role, "^.*?access:(.*)$", 1))).otherwise(kept_role)
     link = lambda href, role: F.struct(href.alias("href"), role.alias("role"))
     no = F.array().cast("array<struct<href:string,role:string>>")
-    added = F.concat(F.coalesce(F.transform("held", lambda v: link(v["s3_key"], master_role)), no), F.when(F.col("ocr").isNotNull(), F.array(link(F.col("ocr"), F.lit(OCR)))).otherwise(no))
+    added = F.concat(F.coalesce(F.transform("masters", lambda key: link(key, F.col("master_role"))), no), F.when(F.col("ocr").isNotNull(), F.array(link(F.col("ocr"), F.lit(OCR)))).otherwise(no))
     takes = F.col("grouped") & (F.col("tag") == "daoloc") | ~F.col("grouped") & (F.col("tag") == "dao")
-    e = e.withColumn("added", F.when(takes, added).otherwise(no)).withColumn("grouped", F.col("grouped") | (F.size("added") > 0))
-    e = e.withColumn("href", F.when(F.col("held").isNotNull(), moved).otherwise(F.col("href")))
-    more = e.where(F.size("added") > 0).select("doc", "comp", "box", "grouped", "pos", "at", F.posexplode("added").alias("k", "x")).select(
-        "doc", "comp", "box", "grouped", "pos", F.concat(F.array(F.lit(MASTERS).cast("long")), "at", F.array(F.col("k").cast("long"))).alias("at"),
-        F.lit(None).cast("int").alias("node"), F.lit("daoloc").alias("tag"), "x.href", "x.role", F.lit(None).cast("string").alias("inner"),
+    e = e.withColumn("master_role", master_role).withColumn("added", F.when(takes, added).otherwise(no))
+    here = F.struct(F.lit(None).cast("int").alias("k"), F.when(F.col("masters").isNotNull(), moved).otherwise(F.col("href")).alias("href"), F.col("role").alias("role"))
+    more = F.transform("added", lambda x, k: F.struct(k.alias("k"), x["href"].alias("href"), x["role"].alias("role")))
+    e = e.select("doc", "comp", "box", (F.col("grouped") | (F.size("added") > 0)).alias("grouped"), "pos", "at", "node", "tag", "inner", F.explode(F.concat(F.array(here), more)).alias("x"))
+    own = F.col("x.k").isNull()
+    mine = lambda name: F.when(own, F.col(name)).alias(name)
+    return e.select(
+        "doc", "comp", "box", "grouped", "pos", F.when(own, F.col("at")).otherwise(F.concat(F.array(F.lit(MASTERS).cast("long")), "at", F.array(F.col("x.k").cast("long")))).alias("at"),
+        mine("node"), F.when(own, F.col("tag")).otherwise("daoloc").alias("tag"), "x.href", "x.role", mine("inner"),
     )
-    return e.select(*more.columns).unionByName(more)
 
 
 def group_rank() -> Column:
@@ -184,10 +211,12 @@ def rewritten_links(n: DataFrame, comps: DataFrame, sources: Sources, rules: Rul
     """What the links of the documents become: entries with ``position`` in their box, from 1.
 
     ``comps``: doc, comp, tag, id, unitid (as written).  Groups are united, publications added, roles prefixed, masters
-    added, groups united again and sorted."""
-    e = published(united(entries(n)), comps, _table(n, sources, "records"), rules.link_base)
+    added, groups united again and sorted.  All rows that this takes are gathered by document once; its windows and
+    aggregates then only sort."""
+    e = entries(n).withColumn("k", F.lit(None).cast("int")).unionByName(publications(comps, _table(n, sources, "records"), rules.link_base))
+    e = published(united(with_files(e, _table(n, sources, "files"), rules.renamed_prefix).repartition("doc")))
     e = e.withColumn("role", F.when(F.col("tag").isin(*xmledit.LINKS), access_role(F.col("role"))).otherwise(F.col("role")))
-    e = united(masters(e, _table(n, sources, "files"), rules.renamed_prefix)).withColumn("rank", group_rank())
+    e = united(masters(e)).withColumn("rank", group_rank())
     place = F.row_number().over(Window.partitionBy("doc", "box").orderBy(F.col("tag") == "#", "rank", "at"))
     return e.withColumn("position", F.when(F.col("tag") != "#", place))
 
@@ -200,12 +229,11 @@ def name_tags(n: DataFrame, names: DataFrame) -> DataFrame:
     node, tag, comp.  Of a name in both lists the list of persons counts in originations, that of bodies among terms."""
     known = names.where("contenu is not null").groupBy("contenu").agg(F.bool_or(F.col("type") == "persname").alias("person"), F.bool_or(F.col("type") == "corpname").alias("body"))
     said = n.where("tag in ('name', 'persname')").select("doc", "node_id", "tag", F.trim("text").alias("contenu"))
-    spans = lambda tag: n.where(F.col("tag") == tag).select("doc", F.col("node_id").alias("lo"), F.col("last_id").alias("hi"), F.col("parent_id").alias("up"))
-    homes = n.select("doc", F.col("node_id").alias("up"), F.col("parent_id").alias("comp"))
-    origins = spans("origination").join(homes, ["doc", "up"])
+    spans = lambda tag: n.where(F.col("tag") == tag).select("doc", F.col("node_id").alias("lo"), F.col("last_id").alias("hi"), "parent_id", F.col("up_id").alias("comp"))
+    origins = spans("origination").where("parent_id is not null").drop("parent_id")
     among = lambda s: (said["doc"] == s["doc"]) & (said["node_id"] > s["lo"]) & (said["node_id"] <= s["hi"])
     moved = said.join(origins, among(origins)).groupBy(said["doc"], "node_id", "tag", "contenu").agg(F.max("comp").alias("comp"))
-    access = spans("controlaccess").drop("up")
+    access = spans("controlaccess").drop("parent_id", "comp")
     inside = said.where("tag = 'name'").join(access, among(access), "left_semi").join(moved.select("doc", "node_id"), ["doc", "node_id"], "left_anti")
     both = moved.unionByName(inside.withColumn("comp", F.lit(None).cast("int"))).join(known, "contenu", "left")
     person, body = F.when(F.col("person"), "persname"), F.when(F.col("body"), "corpname")
@@ -355,7 +383,7 @@ def prepared(docs: DataFrame, sources: Sources) -> DataFrame:
     heads = _table(docs, sources, "heads")
     with_heads = docs.select("doc", "content").join(heads, "doc", "left")
     bounded_batches(docs)
-    return written(with_heads.mapInArrow(_prepared, SHAPE), "prepared")
+    return written(with_heads.mapInArrow(_prepared, SHAPE), "prepared", texts=True)
 
 
 def rewrite_all(docs: DataFrame, sources: Sources, rules: Rules) -> tuple[DataFrame, DataFrame]:
@@ -363,7 +391,7 @@ def rewrite_all(docs: DataFrame, sources: Sources, rules: Rules) -> tuple[DataFr
 
     A document that fails keeps its error and has no content."""
     ready = prepared(docs, sources)
-    n = written(xmltree.nodes(ready.where("error is null")), "nodes")
+    n = written(xmltree.nodes(ready.where("error is null"), above=True), "nodes")
     comps = written(with_ids(n, sources, rules), "ids")
     rows = rewritten_links(n, comps, sources, rules)
     one = F.struct(F.col("position").cast("int").alias("position"), "node", "href", "role")
@@ -373,7 +401,7 @@ def rewrite_all(docs: DataFrame, sources: Sources, rules: Rules) -> tuple[DataFr
     new = comps.groupBy("doc").agg(F.collect_list(F.struct("comp", "id")).alias("ids"))
     full = ready.join(boxes, "doc", "left").join(tags, "doc", "left").join(new, "doc", "left")
     full = full.select("doc", "content", "error", F.col("ids").cast(IDS).alias("ids"), F.col("tags").cast(TAGS).alias("tags"), F.col("boxes").cast(BOXES).alias("boxes"))
-    out = written(full.mapInArrow(functools.partial(_finished, rules), SHAPE), "rewritten")
+    out = written(full.mapInArrow(functools.partial(_finished, rules), SHAPE), "rewritten", texts=True)
     discard(n)
     discard(ready)
     return out, comps.where("made").select("doc", F.trim("unitid").alias("unitid"), "id")

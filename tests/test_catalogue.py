@@ -5,12 +5,15 @@ from __future__ import annotations
 import datetime
 import random
 import xml.etree.ElementTree as ET
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from cartulary.operators import xmledit as X, xmltree
+from cartulary.operators.materialise import written
 from cartulary.operators.xmldoc import Document, Element
 from cartulary.plans import catalogue, document_queries as D, queries as Q, rewrite as W
 
@@ -362,3 +365,31 @@ def test_a_rewrite_runs_once_and_in_small_batches(spark):
     batch = pa.RecordBatch.from_pylist([{"doc": str(i), "ids": [{"comp": i, "id": "x"}]} for i in range(3)])
     rows = W._each(batch)
     assert next(rows) == batch.to_pylist()[0] and list(rows) == batch.to_pylist()[1:]
+
+
+def test_tables_of_texts_have_small_row_groups(spark):
+    """A reader decodes up to 4096 rows of a row group at once."""
+    texts = spark.range(0, 400, 1, 1).select("id", F.expr("array_join(transform(sequence(1, 1000), x -> sha2(concat(id, '-', x), 256)), '')").alias("content"))
+    out = written(texts, "texts", texts=True)
+    [path] = Path(out.written_to.removeprefix("file:")).glob("*.parquet")
+    meta = pq.ParquetFile(path).metadata
+    assert meta.num_rows == out.count() == 400 and meta.num_row_groups >= 3 and max(meta.row_group(i).num_rows for i in range(meta.num_row_groups)) < 256
+
+
+def test_links_are_gathered_by_document_once(spark):
+    n = written(xmltree.nodes(table(spark, ("h", HARBOUR)), above=True), "nodes")
+    comps = written(W.with_ids(n, sources(spark), W.Rules("http://p/")), "ids")
+    rows = W.rewritten_links(n, comps, sources(spark), W.Rules("http://p/"))
+    per = rows.groupBy("doc", "comp", "box").agg(F.count("*").alias("n")).groupBy("doc").agg(F.sum("n").alias("n"))
+    plan = per._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("Exchange hashpartitioning(doc") == 1 and "REPARTITION_BY_COL" in plan and per.first().n == rows.count()
+
+
+def test_links_are_the_same_by_what_is_above_and_by_joins(spark):
+    text = b"<dao href='r'><c><did><unitid> 1 </unitid><did><unitid>no</unitid></did></did><daogrp><daoloc href='x'/><daogrp><dao href='y'/><daodesc>t</daodesc></daogrp></daogrp><p><dao href='z'/></p></c></dao>"
+    docs = table(spark, ("h", HARBOUR), ("g", text))
+    plain, above = xmltree.nodes(docs), xmltree.nodes(docs, above=True)
+    key = lambda n: sorted(map(str, n.collect()))
+    for f in (xmltree.links, xmltree.components):
+        assert key(f(plain).select(*sorted(f(plain).columns))) == key(f(above).select(*sorted(f(plain).columns)))
+    assert "Join" not in xmltree.links(above)._jdf.queryExecution().toString()
