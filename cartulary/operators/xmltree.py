@@ -345,8 +345,11 @@ def orphan_links(n: DataFrame, before: str, after: str) -> DataFrame:
 
 def terms(n: DataFrame) -> DataFrame:
     """Indexing terms: children of controlaccess, with their text trimmed."""
-    parents = n.where("tag = 'controlaccess'").select("doc", F.col("node_id").alias("parent_id"))
-    return n.join(parents, ["doc", "parent_id"], "left_semi").select(
+    if _placed_nodes(n):
+        inside = n.where("parent_tag = 'controlaccess'")
+    else:
+        inside = n.join(n.where("tag = 'controlaccess'").select("doc", F.col("node_id").alias("parent_id")), ["doc", "parent_id"], "left_semi")
+    return inside.select(
         "doc", "node_id", "comp_id", "parent_id", "ord", "tag", F.trim("text").alias("text"), _attr("source").alias("source"), _attr("role").alias("role"), _attr("normal").alias("normal")
     )
 

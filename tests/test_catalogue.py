@@ -393,3 +393,11 @@ def test_links_are_the_same_by_what_is_above_and_by_joins(spark):
     for f in (xmltree.links, xmltree.components):
         assert key(f(plain).select(*sorted(f(plain).columns))) == key(f(above).select(*sorted(f(plain).columns)))
     assert "Join" not in xmltree.links(above)._jdf.queryExecution().toString()
+
+
+def test_terms_are_the_same_by_what_is_above_and_by_a_join(spark):
+    docs = table(spark, ("h", HARBOUR), ("g", b"<controlaccess><name>x</name><controlaccess><p><name>no</name></p><subject> y </subject></controlaccess></controlaccess>"))
+    plain, above = xmltree.terms(xmltree.nodes(docs)), xmltree.terms(xmltree.nodes(docs, above=True))
+    key = lambda t: sorted(map(str, t.collect()))
+    assert key(plain) == key(above) and above.where("doc = 'g.xml'").count() == 4
+    assert "Join" not in above._jdf.queryExecution().toString()
